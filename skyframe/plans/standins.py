@@ -128,3 +128,65 @@ patches(patch, west, south, east, north) AS (VALUES
   ('Virgin Islands', -65.2, 17.5, -64.3, 18.7), ('Offshore south', -67.0, 15.0, -65.0, 16.0))
 """
 IN_PATCH = "((lon + 180.0::DOUBLE) % 360.0::DOUBLE) - 180.0::DOUBLE >= west AND ((lon + 180.0::DOUBLE) % 360.0::DOUBLE) - 180.0::DOUBLE < east AND lat >= south AND lat < north"
+
+
+CURRENT = "quality-v1"
+
+
+def diagnostics(spark: SparkSession, folder: str) -> DataFrame:
+    """orders as diagnostics rows with a JSON payload."""
+    o = table(spark, folder, "orders")
+    pixels = F.when(F.col("o_orderkey") % 7 == 0, 0).otherwise(1000 + F.col("o_orderkey") % 500)
+    good = F.when(pixels == 0, 0).otherwise(F.col("o_orderkey") % 900)
+    mean, std = F.when(good > 0, F.col("o_totalprice") / 1000.0), F.when(good > 0, (F.col("o_custkey") % 50) / 10.0)
+    stats = F.struct(mean.alias("mean"), std.alias("std"), (mean - std).alias("minimum"), (mean + std).alias("maximum"),
+                     (mean - std / 2).alias("q25"), mean.alias("median"), (mean + std / 2).alias("q75"))
+    payload = F.to_json(F.struct(
+        pixels.alias("pixels"), good.alias("strict_good"), (good + F.col("o_custkey") % 100).alias("good_plus_conditional"),
+        F.when(F.col("o_custkey") % 3 == 0, F.lit("n/a")).otherwise((F.col("o_custkey") % 20).cast("string")).alias("fill"),
+        F.struct((F.col("o_custkey") % 4).alias("scale_factor")).alias("calibration"),
+        F.when(F.col("o_custkey") % 5 == 0, "int16").otherwise("uint16").alias("packed_dtype"), stats.alias("strict_stats")))
+    patch = F.when(F.col("o_orderkey") % 4 == 0, "Whole ROI").otherwise(
+        F.concat(F.lit("patch "), (F.col("o_orderkey") % 4).cast("string")))
+    return o.select(
+        F.format_string("audit-%03d", F.col("o_custkey") % 40).alias("audit_key"),
+        F.concat(F.lit("archive/"), (F.col("o_custkey") % 10).cast("string")).alias("path"),
+        F.concat(F.lit("product "), F.col("o_orderstatus")).alias("product"),
+        F.when(F.col("o_orderstatus") != "P", (F.col("o_custkey") % 2 + 1).cast("int")).alias("band"),
+        F.col("o_orderdate").alias("time"), patch.alias("patch"), payload.alias("payload"))
+
+
+def audits(spark: SparkSession, folder: str) -> DataFrame:
+    o = table(spark, folder, "orders").select((F.col("o_custkey") % 40).alias("k")).distinct()
+    return o.select(
+        F.format_string("audit-%03d", "k").alias("audit_key"),
+        F.when(F.col("k") % 3 == 0, F.lit(CURRENT)).otherwise("quality-v0").alias("code_hash"),
+        F.when(F.col("k") % 11 == 0, "failed").otherwise("complete").alias("status"),
+        F.when(F.col("k") % 2 == 0, "full selected observations").otherwise("sample").alias("scope"))
+
+
+DIAGNOSTICS = """
+audits AS (
+  SELECT 'audit-' || lpad(CAST(k AS VARCHAR), 3, '0') AS audit_key, CASE WHEN k % 3 = 0 THEN 'quality-v1' ELSE 'quality-v0' END AS code_hash,
+         CASE WHEN k % 11 = 0 THEN 'failed' ELSE 'complete' END AS status,
+         CASE WHEN k % 2 = 0 THEN 'full selected observations' ELSE 'sample' END AS scope
+  FROM (SELECT DISTINCT o_custkey % 40 AS k FROM orders)),
+d0 AS (
+  SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 1000 + o_orderkey % 500 END AS pixels,
+         CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_orderkey % 900 END AS strict_good FROM orders),
+d1 AS (
+  SELECT *, CASE WHEN strict_good > 0 THEN o_totalprice / 1000.0::DOUBLE END AS mean,
+         CASE WHEN strict_good > 0 THEN (o_custkey % 50) / 10.0::DOUBLE END AS std FROM d0),
+diagnostics AS (
+  SELECT 'audit-' || lpad(CAST(o_custkey % 40 AS VARCHAR), 3, '0') AS audit_key, 'archive/' || (o_custkey % 10) AS path,
+         'product ' || o_orderstatus AS product, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey % 2 + 1 AS INTEGER) END AS band,
+         o_orderdate AS time, CASE WHEN o_orderkey % 4 = 0 THEN 'Whole ROI' ELSE 'patch ' || (o_orderkey % 4) END AS patch,
+         pixels, strict_good, strict_good + o_custkey % 100 AS good_plus_conditional,
+         CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey % 20 END AS fill, o_custkey % 4 AS calibration,
+         CASE WHEN o_custkey % 5 = 0 THEN 'int16' ELSE 'uint16' END AS packed_dtype,
+         mean, std, mean - std AS minimum, mean + std AS maximum FROM d1),
+visible AS (
+  SELECT d.*, a.status, a.scope FROM diagnostics d JOIN audits a USING (audit_key)
+  QUALIFY row_number() OVER (PARTITION BY d.path, d.band, d.time, d.patch
+    ORDER BY a.code_hash = 'quality-v1' DESC, a.audit_key DESC, pixels, strict_good, mean, std) = 1)
+"""
