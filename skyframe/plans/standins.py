@@ -190,3 +190,97 @@ visible AS (
   QUALIFY row_number() OVER (PARTITION BY d.path, d.band, d.time, d.patch
     ORDER BY a.code_hash = 'quality-v1' DESC, a.audit_key DESC, pixels, strict_good, mean, std) = 1)
 """
+
+
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    """orders as completed archives, one per order."""
+    o = table(spark, folder, "orders")
+    source = F.when(F.col("o_custkey") % 3 == 0, "radar").otherwise("satellite")
+    band = F.when(F.col("o_custkey") % 3 != 0, (F.col("o_custkey") % 8 + 1).cast("int"))
+    product = F.concat(F.lit("P"), F.substring("o_orderpriority", 1, 1))
+    stored = F.round("o_totalprice").cast("long")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    path = F.concat_ws("/", F.lit("data"), source, product, F.when(band.isNotNull(), F.format_string("C%02d", band)),
+                       F.concat(F.lit("roi-"), (F.col("o_custkey") % 5).cast("string")), F.date_format("o_orderdate", "yyyy"),
+                       F.date_format("o_orderdate", "MM"), F.concat(F.col("o_orderkey").cast("string"), F.lit("-raw")))
+    return o.select(
+        path.alias("path"), F.col("o_orderkey").alias("archive_key"), source.alias("source"), product.alias("product"), band.alias("band"),
+        F.when(source == "satellite", (F.col("o_custkey") % 2 * 3 + 16).cast("int")).alias("satellite"),
+        F.date_format("o_orderdate", "yyyy").cast("int").alias("year"), month.alias("month"),
+        stored.alias("stored_bytes"), (stored * 7).alias("logical_bytes"),
+        F.when(F.col("o_orderstatus") != "P", stored * 3).alias("source_bytes"),
+        (F.col("o_custkey") % 30).alias("observations"), F.md5(F.col("o_orderkey").cast("string")).alias("archive_sha256"),
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_orderdate")).alias("start_utc"),
+        F.when(F.col("o_custkey") % 11 != 0, F.col("o_orderdate") + F.expr("interval 30 days")).alias("end_utc"),
+        F.col("o_orderstatus").alias("state"), F.col("o_orderdate").alias("indexed_at"))
+
+
+ARCHIVES = """
+archives AS (
+  SELECT *, 'data/' || source || '/' || product || coalesce('/C' || lpad(CAST(band AS VARCHAR), 2, '0'), '') || '/roi-' || (o_custkey % 5) || '/'
+         || strftime(o_orderdate, '%Y/%m') || '/' || o_orderkey || '-raw' AS path,
+         CASE WHEN source = 'satellite' THEN CAST(o_custkey % 2 * 3 + 16 AS INTEGER) END AS satellite,
+         CAST(year(o_orderdate) AS INTEGER) AS year, strftime(o_orderdate, '%Y-%m') AS month, stored_bytes * 7 AS logical_bytes,
+         CASE WHEN o_orderstatus <> 'P' THEN stored_bytes * 3 END AS source_bytes, o_custkey % 30 AS observations,
+         md5(CAST(o_orderkey AS VARCHAR)) AS archive_sha256,
+         CASE WHEN o_custkey % 7 <> 0 THEN o_orderdate END AS start_utc,
+         CASE WHEN o_custkey % 11 <> 0 THEN o_orderdate + INTERVAL 30 DAY END AS end_utc, o_orderstatus AS state, o_orderdate AS indexed_at
+  FROM (SELECT *, o_orderkey AS archive_key, CASE WHEN o_custkey % 3 = 0 THEN 'radar' ELSE 'satellite' END AS source,
+               CASE WHEN o_custkey % 3 <> 0 THEN CAST(o_custkey % 8 + 1 AS INTEGER) END AS band,
+               'P' || substr(o_orderpriority, 1, 1) AS product, CAST(round(o_totalprice) AS BIGINT) AS stored_bytes FROM orders))
+"""
+
+
+def assets(spark: SparkSession, folder: str) -> DataFrame:
+    """lineitem as the assets of the archives (joined on the order)."""
+    li = table(spark, folder, "lineitem")
+    own = archives(spark, folder).select("archive_key", "path", "source", "product", "band", "satellite", "archive_sha256", "state")
+    us = F.unix_micros(F.col("l_shipdate").cast("timestamp")) + (F.col("l_partkey") % 1440) * 60_000_000
+    rows = li.select(
+        F.col("l_orderkey").alias("archive_key"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("asset_id"),
+        F.timestamp_micros(us).cast("timestamp_ntz").alias("time"),
+        F.timestamp_micros(us + (F.col("l_suppkey") % 15 - 1) * 60_000_000).cast("timestamp_ntz").alias("end_time"),
+        F.concat(F.lit("bucket"), (F.col("l_suppkey") % 3).cast("string")).alias("bucket"),
+        F.concat_ws("/", F.lit("scan"), F.col("l_partkey"), F.col("l_linenumber")).alias("key"),
+        F.concat(F.lit("e"), (F.col("l_suppkey") % 10).cast("string")).alias("etag"),
+        F.when(F.col("l_tax") != 0.0, F.round(F.col("l_quantity") * 1000).cast("long")).alias("source_bytes"),
+        F.when(F.col("l_linenumber") <= 4, "6").when(F.col("l_linenumber") <= 6, "3").alias("mode"),
+        F.when(F.col("l_returnflag") == "R", "corrupt_source").otherwise("saved").alias("status"))
+    return rows.join(own, "archive_key")
+
+
+ASSETS = """
+assets AS (
+  SELECT a.path, a.source, a.product, a.band, a.satellite, a.archive_sha256, a.state,
+         concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS asset_id,
+         l_shipdate + to_minutes(l_partkey % 1440) AS time,
+         l_shipdate + to_minutes(l_partkey % 1440 + l_suppkey % 15 - 1) AS end_time,
+         'bucket' || (l_suppkey % 3) AS bucket, concat_ws('/', 'scan', l_partkey, l_linenumber) AS key, 'e' || (l_suppkey % 10) AS etag,
+         CASE WHEN l_tax <> 0.0 THEN CAST(round(l_quantity * 1000) AS BIGINT) END AS source_bytes,
+         CASE WHEN l_linenumber <= 4 THEN '6' WHEN l_linenumber <= 6 THEN '3' END AS mode,
+         CASE WHEN l_returnflag = 'R' THEN 'corrupt_source' ELSE 'saved' END AS status
+  FROM lineitem JOIN archives a ON a.archive_key = l_orderkey)
+"""
+
+
+def tasks(spark: SparkSession, folder: str) -> DataFrame:
+    """orders as fetch tasks, one per archive, some of them unfinished."""
+    a = archives(spark, folder)
+    selected = F.col("observations")
+    return a.select(
+        F.col("path").alias("task_id"), F.concat(F.lit("run-"), (F.col("archive_key") % 9).cast("string")).alias("run_id"),
+        "source", "product", F.when(F.col("archive_key") % 13 != 0, F.col("month")).alias("month"), "band", selected.alias("selected"),
+        F.floor(selected / 2).cast("long").alias("checkpointed"),
+        F.when(F.col("state") == "F", selected).otherwise(F.lit(0)).cast("long").alias("completed"),
+        F.when(F.col("state") == "F", "complete").when(F.col("state") == "O", "fetching").otherwise("failed").alias("status"),
+        (F.col("archive_key") % 1000).cast("double").alias("updated_at"))
+
+
+TASKS = """
+tasks AS (
+  SELECT path AS task_id, 'run-' || (archive_key % 9) AS run_id, source, product, CASE WHEN archive_key % 13 <> 0 THEN month END AS month,
+         band, observations AS selected, observations // 2 AS checkpointed, CASE WHEN state = 'F' THEN observations ELSE 0 END AS completed,
+         CASE state WHEN 'F' THEN 'complete' WHEN 'O' THEN 'fetching' ELSE 'failed' END AS status, (archive_key % 1000)::DOUBLE AS updated_at
+  FROM archives)
+"""
