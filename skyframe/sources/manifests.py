@@ -193,18 +193,22 @@ CATALOG_FEATURE = ("struct<id:string,properties:struct<datetime:string,end_datet
                    "source:struct<bucket:string,key:string,size:bigint,etag:string>>>")
 
 
-def read_catalog(spark: SparkSession, location: str) -> DataFrame:
-    """Assets of a catalog in any of three layouts (an item collection, a collection that links one,
-    or a bare list of assets), compressed or not."""
+def read_catalog(spark: SparkSession, location: str, multi_line: bool = True) -> DataFrame:
+    """Assets of the catalog documents at a location, compressed or not."""
     asset = "struct<bucket:string,key:string,size:bigint,etag:string,time:string,end_time:string>"
     schema = f"type string, features array<{CATALOG_FEATURE}>, assets array<{asset}>"
-    docs = spark.read.schema(schema).json(location, multiLine=True)
+    return catalog_assets(spark.read.schema(schema).json(location, multiLine=multi_line))
+
+
+def catalog_assets(documents: DataFrame) -> DataFrame:
+    """One row per asset for any of three layouts (an item collection, a collection that lists its
+    assets, or a bare list)."""
     from_features = F.transform("features", lambda f: F.struct(
         f["properties"]["source"]["bucket"].alias("bucket"), f["properties"]["source"]["key"].alias("key"),
         f["properties"]["source"]["size"].alias("size"), f["properties"]["source"]["etag"].alias("etag"),
         f["properties"]["datetime"].alias("time"), f["properties"]["end_datetime"].alias("end_time")))
     rows = F.when(F.col("type") == "FeatureCollection", from_features).otherwise(F.col("assets"))
-    out = docs.select(F.explode(rows).alias("a")).select("a.*")
+    out = documents.select(F.explode(rows).alias("a")).select("a.*")
     return out.withColumns({"time": F.try_to_timestamp("time").cast("timestamp_ntz"),
                             "end_time": F.try_to_timestamp("end_time").cast("timestamp_ntz")})
 
