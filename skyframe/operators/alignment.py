@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyframe.functions.checks import guard
 from skyframe.functions.identity import hash_number
 from skyframe.functions.times import HOUR, MINUTE, SECOND, ceil_to, instant, literal_micros, micros
-from skyframe.operators.sequences import asof_latest, with_last_known, with_previous
+from skyframe.operators.sequences import asof_latest, with_previous
 
 # The two source families and how old a matched observation may be, in seconds.
 SATELLITE_TOLERANCE = 600
@@ -103,10 +103,12 @@ def match_nearest(assets: DataFrame, start: str, end: str, cadence_minutes: int,
         .when(~has["l1"], 1)
         .when(F.col("_slot") == first, 0)
     )
+    # One row per slot and key: the calendar bounds this window, however many sources there are. A slot
+    # with a left-hand source always has the slot before it in the table.
+    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     slots = slots.withColumn("_definite", definite)
-    slots = with_last_known(slots, keys, ["_slot"], "_definite", "_spent")
-    slots = with_previous(slots, keys, ["_slot"], ["_slot", "_spent"], prefix="prev")
-    taken = F.when((F.col("prev_slot") == F.col("_slot") - step) & (F.col("prev_spent") == 1), 1).otherwise(0)
+    slots = slots.withColumn("_spent", F.coalesce(F.last("_definite", ignorenulls=True).over(before), F.lit(0)))
+    taken = F.when(F.col("_slot") == first, 0).otherwise(F.col("_spent"))
     left = F.when(taken == 0, F.col("l1")).otherwise(F.col("l2"))
     pick = F.coalesce(F.col("own"), left, F.col("r1"))
     picked = slots.withColumn("_pick", pick).filter("_pick is not null").select("_slot", "_pick.*")

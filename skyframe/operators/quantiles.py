@@ -1,69 +1,35 @@
 """Exact linear quantiles per group without gathering a group in one task.
 
-Values are first counted by (group, value). Split points from the mergeable sketch cut each group
-into value ranges; range counts (a tiny table) tell which ranges hold the wanted ranks, and only
-those ranges are ranked. The answer is exact whatever the sketch returns.
+Values are first counted by (group, value), then ranked by one ordered scan that cuts hot groups into
+value ranges (see ``sequences``). The answer is exact whatever the cuts are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyframe.operators.sequences import with_block
+from skyframe.operators.sequences import with_running
 
-PARTS = 64
 
-
-def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probabilities: list[float],
-                    names: list[str], parts: int = PARTS) -> DataFrame:
-    """One row per group: keys, then one column per probability (linear interpolation)."""
+def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probabilities: list[float], names: list[str]) -> DataFrame:
+    """One row per group: keys, then one column per probability (linear interpolation between ranks)."""
     marker = keys or ["_all"]
     source = df.select(*[F.col(k) for k in keys], value.cast("double").alias("_v")).filter("_v is not null")
     if not keys:
         source = source.withColumn("_all", F.lit(0))
     counted = source.groupBy(*marker, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    blocked = with_block(counted, marker, F.col("_v"), parts)
-    per_block = blocked.groupBy(*marker, "_block").agg(F.sum("_n").alias("_size"))
-    along = Window.partitionBy(*marker).orderBy("_block")
-    offsets = per_block.select(
-        *marker, "_block", "_size",
-        F.coalesce(F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("_size").over(Window.partitionBy(*marker)).alias("_total"),
-    )
-    wanted = F.array(*[
-        F.struct(
-            F.lit(i).alias("i"),
-            F.floor((F.col("_total") - 1) * F.lit(float(p))).cast("long").alias("lo"),
-            ((F.col("_total") - 1) * F.lit(float(p))).alias("at"),
-        )
-        for i, p in enumerate(probabilities)
-    ])
-    ranks = offsets.withColumn("_want", F.explode(wanted)).withColumn("_top", F.col("_before") + F.col("_size") - 1)
-    need = ranks.filter(
-        (F.col("_want.lo") <= F.col("_top")) & (F.col("_want.lo") + 1 >= F.col("_before"))
-    ).select(*marker, "_block", "_before", "_want")
-    live = need.select(*marker, "_block", "_before").distinct()
-    inside = Window.partitionBy(*marker, "_block").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        blocked.join(live, [*marker, "_block"])
-        .withColumn("_last", F.col("_before") + F.sum("_n").over(inside) - 1)
-        .withColumn("_first", F.col("_last") - F.col("_n") + 1)
-        .drop("_before", "_n")
-    )
-    # The wanted ranks of a block are at most 2 x len(probabilities); keep them as an array per block.
-    asks = need.groupBy(*marker, "_block").agg(F.collect_list("_want").alias("_asks"))
-    hits = (
-        ranked.join(asks, [*marker, "_block"])
-        .withColumn("_ask", F.explode(F.filter(
-            "_asks", lambda w: ((w.lo >= F.col("_first")) & (w.lo <= F.col("_last")))
-            | ((w.lo + 1 >= F.col("_first")) & (w.lo + 1 <= F.col("_last"))))))
-    )
-    low = F.max(F.when((F.col("_ask.lo") >= F.col("_first")) & (F.col("_ask.lo") <= F.col("_last")), F.col("_v")))
-    high = F.max(F.when((F.col("_ask.lo") + 1 >= F.col("_first")) & (F.col("_ask.lo") + 1 <= F.col("_last")), F.col("_v")))
-    points = hits.groupBy(*marker, F.col("_ask.i").alias("_i")).agg(
-        low.alias("_low"), high.alias("_high"), F.max(F.col("_ask.at") - F.col("_ask.lo")).alias("_frac"))
-    point = F.col("_low") + F.coalesce(F.col("_high") - F.col("_low"), F.lit(0.0)) * F.col("_frac")
-    wide = points.groupBy(*marker).agg(*[
-        F.max(F.when(F.col("_i") == i, point)).alias(name) for i, name in enumerate(names)])
-    return wide.drop("_all") if not keys else wide
+    totals = counted.groupBy(*marker).agg(F.sum("_n").alias("_total"))
+    ranked = with_running(counted, marker, ["_v"], F.col("_n"), "_upto").join(totals, marker)
+
+    def value_at(rank):
+        return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("_v")))
+
+    parts, points = [F.max("_total").alias("_total")], []
+    for i, p in enumerate(probabilities):
+        low = F.floor((F.col("_total") - 1) * F.lit(float(p)))
+        parts += [value_at(low).alias(f"_low{i}"), value_at(low + 1).alias(f"_high{i}")]
+        at = (F.col("_total") - 1) * F.lit(float(p))
+        step = F.coalesce(F.col(f"_high{i}") - F.col(f"_low{i}"), F.lit(0.0))
+        points.append((F.col(f"_low{i}") + step * (at - F.floor(at))).alias(names[i]))
+    return ranked.groupBy(*marker).agg(*parts).select(*keys, *points)

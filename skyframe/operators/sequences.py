@@ -1,10 +1,10 @@
-"""Ordered scans that do not put a whole key into one task.
+"""Ordered scans that do not put a hot key into one task.
 
-A plain ``Window.partitionBy(key)`` sorts one key in one task. The scans here cut every key into
-blocks of about equal population (split points come from Spark's mergeable quantile sketch), scan
-each block on its own, and pass one carry row per block along the key. The carry table holds at most
-``parts`` rows per key. Results do not depend on where the cuts fall. Rows that share one order value
-stay in one block, so the first order column should be fine-grained (an instant, a position).
+A plain ``Window.partitionBy(key)`` sorts one key in one task. The scans here cut every hot key into
+blocks of about equal population (split points come from Spark's mergeable quantile sketch), scan each
+block on its own, and pass one carry row per block along the key. Keys that are not hot are one block.
+Results do not depend on where the cuts fall. Rows that share one order value stay in one block, so the
+first order column should be fine-grained (an instant, a position) and not NULL.
 """
 
 from __future__ import annotations
@@ -12,32 +12,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PARTS = 64
+PARTS = 256  # blocks per hot key
+HOT_KEYS = 5_000  # only the largest keys are cut, so the split table is bounded and may be broadcast
+HOT_ROWS = 1_000_000  # a key below this fits one task
 
 
-def split_points(df: DataFrame, keys: list[str], value: Column, parts: int = PARTS) -> DataFrame:
-    """One row per key with its inner split values."""
+def split_points(df: DataFrame, keys: list[str], value: Column, parts: int | None = None, hot_rows: int | None = None) -> DataFrame:
+    """Inner split values of the hot keys: at most ``HOT_KEYS`` rows of at most ``parts`` numbers."""
+    parts, hot_rows = parts or PARTS, HOT_ROWS if hot_rows is None else hot_rows
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    hot = sizes.orderBy(F.col("_rows").desc()).limit(HOT_KEYS).select(*keys)
     probabilities = [i / parts for i in range(1, parts)]
-    return df.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(value, probabilities, 10 * parts)).alias("_splits")
-    )
-
-
-def with_block(df: DataFrame, keys: list[str], value: Column, parts: int = PARTS) -> DataFrame:
-    """Add ``_block``: how many split values of the key are at or below the row's value."""
-    splits = split_points(df, keys, value, parts)
-    joined = df.join(splits, keys, "left") if keys else df.join(splits)
-    return joined.withColumn("_block", F.size(F.filter("_splits", lambda s: s <= value))).drop("_splits")
+    sketch = F.percentile_approx(value, probabilities, 10 * parts)
+    return df.join(F.broadcast(hot), keys, "left_semi").groupBy(*keys).agg(F.array_distinct(sketch).alias("_splits"))
 
 
-def _order_value(order: list[Column]) -> Column:
-    return order[0]
+def with_block(df: DataFrame, keys: list[str], value: Column, parts: int | None = None, hot_rows: int | None = None) -> DataFrame:
+    """Add ``_block``: how many split values of the key are at or below the row's value (0 if not hot)."""
+    splits = split_points(df, keys, value, parts, hot_rows)
+    joined = df.join(F.broadcast(splits), keys, "left")
+    below = F.size(F.filter("_splits", lambda s: s <= value))
+    return joined.withColumn("_block", F.when(F.col("_splits").isNull(), 0).otherwise(below)).drop("_splits")
 
 
 def _scan(df, keys, order, parts):
     """Blocked rows plus the window inside a block and the window along the blocks of a key."""
     columns = [F.col(o) for o in order]
-    blocked = with_block(df, keys, _order_value(columns), parts)
+    blocked = with_block(df, keys, columns[0], parts)
     inside = Window.partitionBy(*keys, "_block").orderBy(*columns)
     along = Window.partitionBy(*keys).orderBy("_block")
     return blocked, inside, along
@@ -48,7 +49,7 @@ def _attach(rows, carry, keys):
 
 
 def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list[str],
-                  prefix: str = "prev_", parts: int = PARTS) -> DataFrame:
+                  prefix: str = "prev_", parts: int | None = None) -> DataFrame:
     """Add the values of the preceding row of the key (``lag``). Order columns must be ascending."""
     blocked, inside, along = _scan(df, keys, order, parts)
     kept = F.struct(*[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
@@ -62,7 +63,7 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list
 
 
 def with_last_known(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,
-                    parts: int = PARTS) -> DataFrame:
+                    parts: int | None = None) -> DataFrame:
     """Add the last non-NULL ``value`` at or before the row in key order."""
     blocked, inside, along = _scan(df, keys, order, parts)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -77,7 +78,7 @@ def with_last_known(df: DataFrame, keys: list[str], order: list[str], value: str
 
 
 def with_running(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str,
-                 parts: int = PARTS) -> DataFrame:
+                 parts: int | None = None) -> DataFrame:
     """Add the running total of ``value`` up to and including the row."""
     source = df.withColumn("_value", value)
     blocked, inside, along = _scan(source, keys, order, parts)
@@ -91,7 +92,7 @@ def with_running(df: DataFrame, keys: list[str], order: list[str], value: Column
 
 
 def with_running_max(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,
-                     parts: int = PARTS) -> DataFrame:
+                     parts: int | None = None) -> DataFrame:
     """Add the greatest ``value`` over all *earlier* rows of the key (NULL on the first)."""
     blocked, inside, along = _scan(df, keys, order, parts)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
@@ -104,21 +105,21 @@ def with_running_max(df: DataFrame, keys: list[str], order: list[str], value: st
 
 
 def with_ordinal(df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal",
-                 parts: int = PARTS) -> DataFrame:
+                 parts: int | None = None) -> DataFrame:
     """Add the zero-based position of the row in its key."""
     out = with_running(df, keys, order, F.lit(1), "_upto", parts)
     return out.withColumn(name, (F.col("_upto") - 1).cast("long")).drop("_upto")
 
 
 def islands(df: DataFrame, keys: list[str], order: list[str], starts: Column, name: str = "island",
-            parts: int = PARTS) -> DataFrame:
+            parts: int | None = None) -> DataFrame:
     """Number runs: a new one begins wherever ``starts`` is true."""
     return with_running(df, keys, order, F.when(starts, 1).otherwise(0), name, parts)
 
 
 def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], left_us: str, right_us: str,
                 right_order: list[str], payload: list[str], hit: str = "hit",
-                tolerance_us: int | None = None, forward: bool = False, parts: int = PARTS) -> DataFrame:
+                tolerance_us: int | None = None, forward: bool = False, parts: int | None = None) -> DataFrame:
     """As-of join with reuse: for each left row the latest right row at or before it.
 
     Both sides go through one ordered scan, so the work is linear in their sizes and no pairs are

@@ -284,3 +284,91 @@ tasks AS (
          CASE state WHEN 'F' THEN 'complete' WHEN 'O' THEN 'fetching' ELSE 'failed' END AS status, (archive_key % 1000)::DOUBLE AS updated_at
   FROM archives)
 """
+
+
+# Fixed values of the stand-in: field, level and kind of the records in every forecast file, in file order.
+FORECAST_RECORDS = [
+    ("PRES", "surface", "instant"), ("PRMSL", "mean sea level", "instant"), ("TMP", "2 m above ground", "instant"),
+    ("DPT", "2 m above ground", "instant"), ("UGRD", "10 m above ground", "instant"), ("VGRD", "10 m above ground", "instant"),
+    ("PWAT", "entire atmosphere (considered as a single layer)", "instant"), ("APCP", "surface", "sum"), ("PRATE", "surface", "instant"),
+    ("REFC", "entire atmosphere", "instant"), ("HGT", "500 mb", "instant"), ("TMP", "850 mb", "instant"), ("APCP", "surface", "sum"),
+]
+
+
+def forecast_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """events as published forecast files: one per six-hour cycle and lead."""
+    ev = table(spark, folder, "events")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    cycle = us - F.pmod(us, F.lit(6 * 3_600_000_000))
+    rows = ev.select(cycle.alias("c"), (F.col("event_id") % 61).cast("int").alias("lead"), "event_id", "user_id", "value")
+    one = rows.groupBy("c", "lead").agg(F.min_by(F.struct("event_id", "user_id", "value"), "event_id").alias("e"))
+    late = (F.col("e.event_id") % 7 + 1) * 3_600_000_000
+    return one.select(
+        F.timestamp_micros("c").cast("timestamp_ntz").alias("cycle"), "lead",
+        F.concat(F.lit("f/"), F.date_format(F.timestamp_micros("c"), "yyyyMMddHH"), F.lit("/"), F.lpad(F.col("lead").cast("string"), 2, "0")).alias("key"),
+        F.col("e.event_id").cast("string").alias("etag"), (F.floor(F.col("e.value") * 10) + 10000).cast("long").alias("size"),
+        F.when(F.col("e.user_id") % 10 != 0, F.lit(900)).alias("index_size"),
+        F.when(F.col("e.user_id") % 17 != 0, F.timestamp_micros(F.col("c") + late).cast("timestamp_ntz")).alias("modified"))
+
+
+LISTING = """
+listing AS (
+  SELECT make_timestamp(c) AS cycle, lead, 'f/' || strftime(make_timestamp(c), '%Y%m%d%H') || '/' || lpad(CAST(lead AS VARCHAR), 2, '0') AS key,
+         CAST(event_id AS VARCHAR) AS etag, CAST(floor(value * 10) AS BIGINT) + 10000 AS size, CASE WHEN user_id % 10 <> 0 THEN 900 END AS index_size,
+         CASE WHEN user_id % 17 <> 0 THEN make_timestamp(c + (event_id % 7 + 1) * 3600000000) END AS modified
+  FROM (SELECT epoch_us(ts) - epoch_us(ts) % 21600000000 AS c, CAST(event_id % 61 AS INTEGER) AS lead, event_id, user_id, value,
+          row_number() OVER (PARTITION BY epoch_us(ts) // 21600000000, event_id % 61 ORDER BY event_id) AS r FROM events) WHERE r = 1)
+"""
+
+
+def index_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Text index lines of every forecast file that has an index."""
+    files = forecast_listing(spark, folder).filter("index_size is not null")
+    fixed = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(lv).alias("level"), F.lit(k).alias("kind")) for f, lv, k in FORECAST_RECORDS])
+    rows = files.select("key", "lead", "size", F.posexplode(fixed).alias("i", "r"))
+    rows = rows.filter((F.col("i") != 12) | (F.col("size") % 5 == 0)).filter((F.col("i") != 9) | (F.col("size") % 7 != 0))
+    instant = F.when(F.col("lead") == 0, "anl").otherwise(F.concat(F.col("lead").cast("string"), F.lit(" hour fcst")))
+    begin = F.greatest(F.lit(0), F.col("lead") - (F.col("size") % 4 + 1).cast("int"))
+    summed = F.concat(begin.cast("string"), F.lit("-"), F.col("lead").cast("string"), F.lit(" hour acc fcst"))
+    descriptor = F.when(F.col("r.kind") == "sum", summed).when((F.col("i") == 8) & (F.col("size") % 3 == 0), "0-3 hour ave fcst").otherwise(instant)
+    offset = F.floor(F.col("i") / 2) * (100 + F.col("size") % 50)
+    line = F.concat_ws(":", (F.col("i") + 1).cast("string"), offset.cast("long").cast("string"), F.lit("d=2024"), "r.field", "r.level", descriptor, F.lit(""))
+    return rows.select("key", "lead", "size", line.alias("line"))
+
+
+_VALUES = ", ".join(f"({i}, '{f}', '{lv}', '{k}')" for i, (f, lv, k) in enumerate(FORECAST_RECORDS))
+RECORDS = f"""
+raw_records AS (
+  SELECT key, lead, size, cycle, (i // 2) * (100 + size % 50) AS start, field, level,
+         CASE WHEN kind = 'sum' THEN greatest(0, lead - (size % 4 + 1)) || '-' || lead || ' hour acc fcst'
+              WHEN i = 8 AND size % 3 = 0 THEN '0-3 hour ave fcst' WHEN lead = 0 THEN 'anl' ELSE lead || ' hour fcst' END AS descriptor
+  FROM listing CROSS JOIN (VALUES {_VALUES}) v(i, field, level, kind)
+  WHERE index_size IS NOT NULL AND (i <> 12 OR size % 5 = 0) AND (i <> 9 OR size % 7 <> 0)),
+ends AS (SELECT key, start, lead(start) OVER (PARTITION BY key ORDER BY start) AS nxt FROM (SELECT DISTINCT key, start FROM raw_records)),
+records AS (SELECT r.*, coalesce(nxt, size) AS stop FROM raw_records r JOIN ends e USING (key, start))
+"""
+
+
+def index_records(spark: SparkSession, folder: str) -> DataFrame:
+    from skyframe.sources.forecast_index import parse_byte_index
+
+    lines = index_lines(spark, folder)
+    return parse_byte_index(lines)
+
+
+def storm_events(spark: SparkSession, folder: str) -> DataFrame:
+    """customers as storm encounters of one to three days within the events' month."""
+    c = table(spark, folder, "customer")
+    start = F.lit(1704067200000000) + (F.col("c_custkey") * 37 % 40000) * 60_000_000
+    return c.select(
+        F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("event_id"), F.timestamp_micros(start).cast("timestamp_ntz").alias("start"),
+        F.timestamp_micros(start + (F.col("c_nationkey") % 3 * 24 + 5) * 3_600_000_000).cast("timestamp_ntz").alias("end"))
+
+
+STORMS = """
+storms AS (
+  SELECT 'S' || c_custkey AS event_id, TIMESTAMP '2024-01-01' + to_minutes(c_custkey * 37 % 40000) AS start,
+         TIMESTAMP '2024-01-01' + to_minutes(c_custkey * 37 % 40000) + to_hours(c_nationkey % 3 * 24 + 5) AS "end" FROM customer),
+storm_hours AS (
+  SELECT event_id, unnest(generate_series(make_timestamp((epoch_us(start) + 3599999999) // 3600000000 * 3600000000), "end" - INTERVAL 1 MICROSECOND, INTERVAL 1 HOUR)) AS hour FROM storms)
+"""
