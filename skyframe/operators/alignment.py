@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyframe.functions.checks import guard
 from skyframe.functions.identity import hash_number
 from skyframe.functions.times import HOUR, MINUTE, SECOND, ceil_to, instant, literal_micros, micros
-from skyframe.operators.sequences import asof_latest, with_previous
+from skyframe.operators.sequences import asof_latest, asof_nearest, with_previous
 
 # The two source families and how old a matched observation may be, in seconds.
 SATELLITE_TOLERANCE = 600
@@ -194,20 +194,12 @@ def nearest_peers(assets: DataFrame, anchors: DataFrame, peer_keys: list[str], t
                   anchor_time: str = "anchor_time", limit_seconds: int = 90) -> DataFrame:
     """Per anchor and peer key the nearest asset within the limit (earlier, then smaller key, on a tie).
 
-    ``anchors`` carries one row per (anchor, peer key). Two as-of scans replace a range join. The
-    backward scan gives the first key of its instant by scanning keys in descending order.
+    ``anchors`` carries one row per (anchor, peer key). One as-of scan replaces a range join.
     """
     left = anchors.withColumn("_want", micros(anchor_time))
-    right = assets.withColumn("_have", micros(time))
-    right = right.groupBy(*peer_keys, "_have").agg(F.min(key).alias(key))
-    limit = limit_seconds * SECOND
-    both = asof_latest(left, right, peer_keys, "_want", "_have", [], [key], hit="back", tolerance_us=limit)
-    both = asof_latest(both, right, peer_keys, "_want", "_have", [], [key], hit="ahead", tolerance_us=limit, forward=True)
-    gap_back, gap_ahead = F.col("_want") - F.col("back._us"), F.col("ahead._us") - F.col("_want")
-    use_back = F.col("ahead").isNull() | (F.col("back").isNotNull() & (gap_back <= gap_ahead))
-    pick = F.when(use_back, F.col("back")).otherwise(F.col("ahead"))
-    return both.withColumn("_pick", pick).filter("_pick is not null").select(
-        *anchors.columns, F.col(f"_pick.{key}").alias(key), instant(F.col("_pick._us")).alias(time))
+    right = assets.withColumn("_have", micros(time)).groupBy(*peer_keys, "_have").agg(F.min(key).alias(key))
+    hits = asof_nearest(left, right, peer_keys, "_want", "_have", [key], limit_seconds * SECOND)
+    return hits.filter("hit is not null").select(*anchors.columns, F.col(f"hit.{key}").alias(key), instant(F.col("hit._us")).alias(time))
 
 
 def comparable(obs: DataFrame, requested: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:

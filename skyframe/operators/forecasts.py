@@ -259,7 +259,7 @@ def channel_summary(records: DataFrame, specs: DataFrame, sample: list[str]) ->
     ranges = match_records(records, specs).select(*sample, "name", "start", "stop").distinct()
     per = ranges.groupBy(*sample, "name").agg(F.count(F.lit(1)).alias("_n"), F.first(F.col("stop") - F.col("start")).alias("_bytes"))
     counts = per.groupBy("name").agg(F.count_if(F.col("_n") == 1).alias("samples"), F.count_if(F.col("_n") > 1).alias("ambiguous"))
-    sizes = exact_quantiles(per.filter("_n = 1"), ["name"], F.col("_bytes"), [0.1, 0.5, 0.9], ["p10", "median", "p90"])
+    sizes = exact_quantiles(per.filter("_n = 1"), ["name"], F.col("_bytes"), [0.1, 0.5, 0.9], ["p10", "median", "p90"], bounded=True)
     return specs.select("name").join(counts, "name", "left").join(sizes, "name", "left").select(
         "name", F.coalesce("samples", F.lit(0)).alias("samples"), F.coalesce("ambiguous", F.lit(0)).alias("ambiguous"), "p10", "median", "p90")
 
@@ -293,7 +293,7 @@ def message_medians(samples: DataFrame, keys: list[str], metrics: list[str]) ->
     """Sample count and exact medians of the message sizes per group."""
     out = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("samples"))
     for metric in metrics:
-        out = out.join(exact_quantiles(samples, keys, F.col(metric), [0.5], [f"median_{metric}"]), keys, "left")
+        out = out.join(exact_quantiles(samples, keys, F.col(metric), [0.5], [f"median_{metric}"], bounded=True), keys, "left")
     return out
 
 

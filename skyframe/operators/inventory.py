@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyframe.functions.checks import guard
@@ -310,7 +310,8 @@ def satellite_segments(requests: DataFrame, start: str = "start", end: str = "en
 
 def partition_problems(parts: DataFrame, start: str = "start", end: str = "end", label: str = "label") -> DataFrame:
     """partitions off a month boundary, with a repeated label, or not joining their predecessor."""
-    rows = with_previous(parts.withColumn("_us", micros(start)).withColumn("_all", F.lit("all")), ["_all"], ["_us", label], [end])
+    clock = Window.partitionBy(F.lit(0)).orderBy(start, label)  # a study has a handful of partitions
+    rows = parts.withColumn(f"prev_{end}", F.lag(end).over(clock))
     labels = parts.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     rows = rows.join(labels, label)
     whole = (F.date_trunc("month", start).cast("timestamp_ntz") == F.col(start)) & (F.date_trunc("month", end).cast("timestamp_ntz") == F.col(end))
@@ -382,9 +383,9 @@ def band_sequences(scans: DataFrame, series: list[str], time: str = "time") -> D
     rows = scans.withColumn("_i", F.explode("images")).select(
         *series, time, "grid_hash", F.size("images").alias("available_bands"), F.col("_i.band").alias("band"),
         F.col("_i.origin").alias("origin"), F.col("_i.size").alias("size"), micros(time).alias("_us"))
-    rows = with_previous(rows, [*series, "band"], ["_us", "origin"], ["grid_hash"])
-    rows = guard(rows, F.col("prev_grid_hash").isNull() | (F.col("prev_grid_hash") == F.col("grid_hash")), "The grid changed between scans")
-    return with_ordinal(rows.drop("prev_grid_hash"), [*series, "band"], ["_us", "origin"], "scan_index").drop("_us")
+    grids = scans.groupBy(*series).agg(F.count_distinct("grid_hash").alias("_n"))
+    same = guard(grids, F.col("_n") == 1, "The grid changed between scans").select(*series)
+    return with_ordinal(rows.join(same, series), [*series, "band"], ["_us", "origin"], "scan_index").drop("_us")
 
 
 def completion_offsets(attempts: DataFrame, bands: list[int]) -> DataFrame:

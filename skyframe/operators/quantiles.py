@@ -12,13 +12,22 @@ from pyspark.sql import functions as F
 from skyframe.operators.sequences import with_running
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probabilities: list[float], names: list[str]) -> DataFrame:
-    """One row per group: keys, then one column per probability (linear interpolation between ranks)."""
+def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probabilities: list[float], names: list[str],
+                    bounded: bool = False) -> DataFrame:
+    """One row per group: keys, then one column per probability (linear interpolation between ranks).
+
+    ``bounded`` promises small groups (runs of a benchmark, sampled messages); then Spark's own exact
+    percentile, which holds a group's distinct values in one buffer, does.
+    """
+    if bounded:
+        found = df.groupBy(*keys).agg(F.percentile(value.cast("double"), probabilities).alias("_p"))
+        return found.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
     marker = keys or ["_all"]
-    source = df.select(*[F.col(k) for k in keys], value.cast("double").alias("_v")).filter("_v is not null")
+    source = df.select(*[F.col(k) for k in keys], value.cast("double").alias("_v"))
     if not keys:
         source = source.withColumn("_all", F.lit(0))
-    counted = source.groupBy(*marker, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # NULLs stay as rows of no weight: a filter here would be pushed below the caller's expressions and repeat them.
+    counted = source.groupBy(*marker, "_v").agg(F.count("_v").alias("_n"))
     totals = counted.groupBy(*marker).agg(F.sum("_n").alias("_total"))
     ranked = with_running(counted, marker, ["_v"], F.col("_n"), "_upto").join(totals, marker)
 

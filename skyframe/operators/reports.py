@@ -148,7 +148,7 @@ def benchmark_medians(rows: DataFrame, value: str = "wall_seconds") -> DataFrame
     keys = ["scope", "method", "satellite", "band"]
     named = rows.filter(F.col("method").isNotNull()).select(
         *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_{k}") for k in keys], value)
-    medians = exact_quantiles(named, [f"_{k}" for k in keys], F.col(value), [0.5], [value])
+    medians = exact_quantiles(named, [f"_{k}" for k in keys], F.col(value), [0.5], [value], bounded=True)
     types = {"satellite": "double", "band": "int"}
     return medians.select(*[F.nullif(f"_{k}", F.lit("")).cast(types.get(k, "string")).alias(k) for k in keys], value)
 

@@ -62,19 +62,39 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list
     return out.select(*df.columns, *[best[f"v{i}"].alias(prefix + v) for i, v in enumerate(values)])
 
 
-def with_last_known(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,
-                    parts: int | None = None) -> DataFrame:
-    """Add the last non-NULL ``value`` at or before the row in key order."""
+def with_neighbours(df: DataFrame, keys: list[str], order: list[str], value: str, last: str | None = "last",
+                    following: str | None = None, bounded: bool = False, parts: int | None = None) -> DataFrame:
+    """Add the last non-NULL ``value`` at or before the row and/or the first one at or after it.
+
+    ``bounded`` promises that a key's rows are few (an axis, a clock); then one plain window does.
+    """
+    behind = (Window.unboundedPreceding, Window.currentRow)
+    ahead = (Window.currentRow, Window.unboundedFollowing)
+    if bounded:
+        whole = Window.partitionBy(*keys).orderBy(*order)
+        found = []
+        if last:
+            found.append(F.last(value, ignorenulls=True).over(whole.rowsBetween(*behind)).alias(last))
+        if following:
+            found.append(F.first(value, ignorenulls=True).over(whole.rowsBetween(*ahead)).alias(following))
+        return df.select("*", *found)
     blocked, inside, along = _scan(df, keys, order, parts)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = blocked.withColumn("_here", F.last(value, ignorenulls=True).over(upto))
     position = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
-    tails = blocked.groupBy(*keys, "_block").agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.when(F.col(value).isNotNull(), position)).alias("_tail"))
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(*keys, "_block", F.last("_tail.v", ignorenulls=True).over(earlier).alias("_carry"))
-    out = _attach(rows, carry, keys)
-    return out.select(*df.columns, F.coalesce("_here", "_carry").alias(name))
+    known = F.when(F.col(value).isNotNull(), position)
+    kept = F.struct(F.col(value).alias("v"))
+    edges = blocked.groupBy(*keys, "_block").agg(F.max_by(kept, known).alias("_tail"), F.min_by(kept, known).alias("_head"))
+    rows, carry, out = blocked, [], list(df.columns)
+    if last:
+        rows = rows.withColumn("_behind", F.last(value, ignorenulls=True).over(inside.rowsBetween(*behind)))
+        earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+        carry.append(F.last("_tail.v", ignorenulls=True).over(earlier).alias("_carry_behind"))
+        out.append(F.coalesce("_behind", "_carry_behind").alias(last))
+    if following:
+        rows = rows.withColumn("_ahead", F.first(value, ignorenulls=True).over(inside.rowsBetween(*ahead)))
+        later = along.rowsBetween(1, Window.unboundedFollowing)
+        carry.append(F.first("_head.v", ignorenulls=True).over(later).alias("_carry_ahead"))
+        out.append(F.coalesce("_ahead", "_carry_ahead").alias(following))
+    return _attach(rows, edges.select(*keys, "_block", *carry), keys).select(*out)
 
 
 def with_running(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str,
@@ -117,31 +137,39 @@ def islands(df: DataFrame, keys: list[str], order: list[str], starts: Column, na
     return with_running(df, keys, order, F.when(starts, 1).otherwise(0), name, parts)
 
 
-def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], left_us: str, right_us: str,
-                right_order: list[str], payload: list[str], hit: str = "hit",
-                tolerance_us: int | None = None, forward: bool = False, parts: int | None = None) -> DataFrame:
+def _both_sides(left, right, keys, left_us, right_us, right_order, payload):
+    """Left and right rows on one time line; right rows of an instant come before left ones."""
+    ties = [f"_t{i}" for i in range(len(right_order))]
+    asked = left.select(*keys, F.col(left_us).alias("_at"), F.lit(1).alias("_side"), F.struct(*[F.col(c) for c in left.columns]).alias("_left"))
+    found = right.select(
+        *keys, F.col(right_us).alias("_at"), F.lit(0).alias("_side"), *[F.col(c).alias(t) for c, t in zip(right_order, ties)],
+        F.struct(F.col(right_us).alias("_us"), *[F.col(c) for c in payload]).alias("_right"))
+    return asked.unionByName(found, allowMissingColumns=True), ["_at", "_side", *ties]
+
+
+def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], left_us: str, right_us: str, right_order: list[str],
+                payload: list[str], hit: str = "hit", tolerance_us: int | None = None, bounded: bool = False, parts: int | None = None) -> DataFrame:
     """As-of join with reuse: for each left row the latest right row at or before it.
 
-    Both sides go through one ordered scan, so the work is linear in their sizes and no pairs are
-    formed. ``right_order`` breaks ties between right rows of one instant (ascending, last wins).
-    ``forward`` looks at or after instead. ``hit`` is a struct of ``payload`` or NULL.
+    Both sides go through one ordered scan, so the work is linear in their sizes and no pairs are formed.
+    ``right_order`` breaks ties between right rows of one instant (ascending, last wins). ``hit`` is a
+    struct of ``_us`` and the payload, or NULL.
     """
-    sign = -1 if forward else 1
-    ties = [f"_t{i}" for i in range(len(right_order))]
-    rows = left.select(
-        *keys, (F.col(left_us) * sign).alias("_at"), F.lit(1).alias("_side"),
-        F.struct(*[F.col(c) for c in left.columns]).alias("_left"),
-    )
-    found = right.select(
-        *keys, (F.col(right_us) * sign).alias("_at"), F.lit(0).alias("_side"),
-        *[F.col(c).alias(t) for c, t in zip(right_order, ties)],
-        F.struct(F.col(right_us).alias("_us"), *[F.col(c) for c in payload]).alias("_right"),
-    )
-    both = rows.unionByName(found, allowMissingColumns=True)
-    scanned = with_last_known(both, keys, ["_at", "_side", *ties], "_right", "_last", parts)
-    answered = scanned.filter("_side = 1").select("_left.*", F.col("_last").alias("_last"))
+    both, order = _both_sides(left, right, keys, left_us, right_us, right_order, payload)
+    scanned = with_neighbours(both, keys, order, "_right", "_last", bounded=bounded, parts=parts).filter("_side = 1")
     value = F.col("_last")
     if tolerance_us is not None:
-        distance = F.abs(F.col(left_us) - F.col("_last._us"))
-        value = F.when(distance <= tolerance_us, value)
-    return answered.withColumn(hit, value).drop("_last")
+        value = F.when(F.col("_at") - F.col("_last._us") <= tolerance_us, value)
+    return scanned.select("_left.*", value.alias(hit))
+
+
+def asof_nearest(left: DataFrame, right: DataFrame, keys: list[str], left_us: str, right_us: str, payload: list[str],
+                 tolerance_us: int, hit: str = "hit", parts: int | None = None) -> DataFrame:
+    """As-of join to the nearest right row within the tolerance, the earlier one on a tie. Right rows must
+    be unique per key and instant."""
+    both, order = _both_sides(left, right, keys, left_us, right_us, [], payload)
+    scanned = with_neighbours(both, keys, order, "_right", "_last", "_next", parts=parts).filter("_side = 1")
+    back, ahead = F.col("_at") - F.col("_last._us"), F.col("_next._us") - F.col("_at")
+    pick = F.when(F.col("_next").isNull() | (back <= ahead), F.col("_last")).otherwise(F.col("_next"))
+    near = F.when(F.abs(F.col("_pick._us") - F.col("_at")) <= tolerance_us, F.col("_pick"))
+    return scanned.withColumn("_pick", pick).select("_left.*", near.alias(hit))

@@ -372,3 +372,51 @@ storms AS (
 storm_hours AS (
   SELECT event_id, unnest(generate_series(make_timestamp((epoch_us(start) + 3599999999) // 3600000000 * 3600000000), "end" - INTERVAL 1 MICROSECOND, INTERVAL 1 HOUR)) AS hour FROM storms)
 """
+
+
+def raster_frames(spark: SparkSession, folder: str) -> DataFrame:
+    """embeddings as 8 x 8 frames of two variables on a ten-minute clock."""
+    e = table(spark, folder, "embeddings")
+    slot = F.floor(F.col("vec_id") / 2).cast("long")
+    at = F.timestamp_micros(F.lit(1704067200000000) + slot * 600_000_000).cast("timestamp_ntz")
+    cells = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: ((F.col("vec_id") + i) % 3).cast("int"))
+    valid = F.transform("embedding", lambda v: v.cast("double") > -0.2)
+    return e.select(
+        "vec_id", at.alias("time"), F.when(F.col("vec_id") % 2 == 0, "abi01c").otherwise("abi13c").alias("variable"), F.lit("native").alias("grid_id"),
+        (at - F.expr("interval 1 minute")).alias("source_end"), F.col("embedding").alias("values"), valid.alias("valid"),
+        cells.alias("quality"), F.transform(valid, lambda ok: F.when(ok, 0).otherwise(5)).alias("classes"), "label")
+
+
+FRAMES = """
+frames AS (
+  SELECT vec_id, make_timestamp(1704067200000000 + vec_id // 2 * 600000000) AS time, CASE WHEN vec_id % 2 = 0 THEN 'abi01c' ELSE 'abi13c' END AS variable, label, embedding FROM embeddings),
+cells AS (
+  SELECT f.*, c.cell, embedding[c.cell + 1] AS value, embedding[c.cell + 1]::DOUBLE > -0.2::DOUBLE AS valid, CAST((vec_id + c.cell) % 3 AS INTEGER) AS quality,
+         CASE WHEN embedding[c.cell + 1]::DOUBLE > -0.2::DOUBLE THEN 0 ELSE 5 END AS class
+  FROM frames f CROSS JOIN (SELECT unnest(range(64)) AS cell) c)
+"""
+
+
+def raw_tracks(spark: SparkSession, folder: str) -> DataFrame:
+    """events as storm-track rows, all text as in a track file."""
+    ev = table(spark, folder, "events")
+    lon = -75 + (F.col("event_id") * 7919 % 2000) / 100.0
+    # Some storms only pass north of the region.
+    lat = F.when(F.col("user_id") % 3 == 0, 22.3 + (F.col("event_id") * 10473 % 60) / 100.0).otherwise(8 + (F.col("event_id") * 10473 % 2000) / 100.0)
+    return ev.select(
+        F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("SID"), F.upper("event_type").alias("NAME"),
+        F.when(F.col("event_type") == "error", "spur").otherwise("main").alias("TRACK_TYPE"),
+        F.date_format("ts", "yyyy-MM-dd HH:00:00").alias("ISO_TIME"),
+        F.when(F.col("event_type") == "signup", F.lit(" ")).otherwise(F.round(lat, 2).cast("string")).alias("USA_LAT"),
+        F.round(F.when(F.col("event_type") == "view", lon + 360).otherwise(lon), 2).cast("string").alias("USA_LON"))
+
+
+TRACKS = """
+fixes AS (
+  SELECT 'T' || user_id AS sid, upper(event_type) AS name, date_trunc('hour', ts)::TIMESTAMP AS time,
+         ((round(CASE WHEN event_type = 'view' THEN -75 + (event_id * 7919 % 2000) / 100.0::DOUBLE + 360 ELSE -75 + (event_id * 7919 % 2000) / 100.0::DOUBLE END, 2) + 180.0::DOUBLE) % 360.0::DOUBLE) - 180.0::DOUBLE AS lon,
+         round(CASE WHEN user_id % 3 = 0 THEN 22.3::DOUBLE + (event_id * 10473 % 60) / 100.0::DOUBLE ELSE 8 + (event_id * 10473 % 2000) / 100.0::DOUBLE END, 2) AS lat
+  FROM events WHERE event_type NOT IN ('error', 'signup')),
+settled AS (SELECT sid, time, min(lon) AS lon, min(lat) AS lat FROM fixes GROUP BY sid, time HAVING count(DISTINCT (lon, lat)) = 1),
+disputed AS (SELECT sid, time FROM fixes GROUP BY sid, time HAVING count(DISTINCT (lon, lat)) > 1)
+"""
