@@ -413,8 +413,3 @@ def band_tails(attempts: DataFrame, slow_band: int) -> DataFrame:
         "month", F.greatest(F.lit(0.0), F.col("_slow") - F.col("_rest")).alias("tail_seconds"))
 
 
-def stale_state(runs: DataFrame, now_seconds: float, limit: float = 120.0) -> DataFrame:
-    """T06 as a batch rule: a running run without a recent heartbeat is unknown."""
-    old = (F.col("status") == "running") & (F.lit(now_seconds) - F.col("heartbeat") > limit)
-    return runs.withColumn("shown_status", F.when(old, "unknown").otherwise(F.col("status")))
-
