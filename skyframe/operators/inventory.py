@@ -277,8 +277,10 @@ def prune_period(partitioned: DataFrame, start: str, end: str, date: str = "date
 
 def split_empty(assets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """usable assets and zero-byte ones with their reason; a negative size fails."""
-    checked = guard(assets, F.col("size") >= 0, "A listed size is negative")
-    return checked.filter("size > 0"), checked.filter("size = 0").withColumn("reason", F.lit("zero_byte_noaa_object"))
+    # The check is part of each condition: as a filter of its own it could run behind the other one.
+    sound = F.when(F.col("size") < 0, F.raise_error(F.lit("A listed size is negative")).cast("boolean"))
+    usable, empty = sound.otherwise(F.col("size") > 0), sound.otherwise(F.col("size") == 0)
+    return assets.filter(usable), assets.filter(empty).withColumn("reason", F.lit("zero_byte_noaa_object"))
 
 
 def confirmed_issues(issues: DataFrame, assets: DataFrame, product: str, region: str) -> DataFrame:

@@ -225,3 +225,25 @@ def temporal_blocks(slots: DataFrame, origin_us: int, width: int, halo: int = 5,
                    F.struct((F.col("_home") + 1).alias("block"), F.lit(True).alias("is_halo")))
     return rows.withColumn("_b", F.explode(F.array_compact(F.array(owns, lends)))).select(
         *slots.columns, "_b.block", "_b.is_halo")
+
+
+# Lists that a run summary replaces by their lengths.
+COUNTED = ["records", "assets", "features", "missing_times"]
+
+
+def compact_payload(payload: str, kept: str, nested: str | None = None):
+    """C11: a run summary without its object lists: the kept fields (a DDL list), the length of every counted
+    list, and the same for the entries of one nested list."""
+    plain = [part.split(":")[0].strip() for part in kept.split(",")]
+    lists = ",".join(f"{c}:array<string>" for c in COUNTED)
+    node = f"struct<{kept},{lists}>"
+    whole = f"struct<{kept},{lists},{nested}:array<{node}>>" if nested else node
+
+    def shorten(value, extra=()):
+        fields = [value[name].alias(name) for name in plain]
+        fields += [F.when(value[c].isNotNull(), F.size(value[c])).alias(f"{c}_count") for c in COUNTED]
+        return F.struct(*fields, *extra)
+
+    parsed = F.from_json(payload, whole)
+    extra = [F.transform(parsed[nested], shorten).alias(nested)] if nested else []
+    return F.to_json(shorten(parsed, extra))

@@ -291,3 +291,14 @@ def c14(spark, folder):
     rows = table(spark, folder, "part").select("p_partkey", "p_brand", F.when(n > 0, n).alias("band"),
                                                F.when(n > 0, F.format_string("abi%02dc", n)).otherwise("refc").alias("variable"))
     return rows.select("p_partkey", labels.variable_unit("variable").alias("unit"), labels.series_label("p_brand", "band").alias("series"))
+
+
+@query("c11_compact_summary", """
+SELECT o_orderkey, '{"status":"' || o_orderstatus || '","assets_count":' || (o_custkey % 4) || ',"months":[{"status":"m","records_count":' || (o_custkey % 3) || '}]}' AS summary FROM orders""")
+def c11(spark, folder):
+    o = table(spark, folder, "orders")
+    fill = lambda n: F.array_repeat(F.struct(F.lit(1).alias("id")), n.cast("int"))
+    month = F.struct(F.lit("m").alias("status"), fill(F.col("o_custkey") % 3).alias("records"))
+    doc = F.to_json(F.struct(F.col("o_orderstatus").alias("status"), fill(F.col("o_custkey") % 4).alias("assets"), F.array(month).alias("months")))
+    rows = o.select("o_orderkey", doc.alias("payload"))
+    return rows.select("o_orderkey", rp.compact_payload("payload", "status:string", "months").alias("summary"))
