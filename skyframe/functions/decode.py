@@ -129,12 +129,15 @@ def display_class_radar(raw="raw", missing="missing", no_coverage="no_coverage",
 
 
 def restore_calibration(df: DataFrame, metadata: str = "source_metadata_json", band_variable: str = "CMI") -> DataFrame:
-    """Every observation keeps the scale, offset, fill and limits of its own scan."""
+    """Every observation keeps the scale, offset, fill and limits of its own scan.
+
+    The parsed document goes through a generator: field by field Spark would parse it again for each.
+    """
     attrs = ("struct<scale_factor:double,add_offset:double,_FillValue:int,valid_range:array<int>,"
              "_Unsigned:string,units:string>")
     schema = f"struct<dataset:map<string,string>,variables:map<string,struct<attrs:{attrs}>>>"
-    parsed = F.from_json(metadata, schema)[ "variables"][band_variable]["attrs"]
-    return df.withColumn("_attrs", parsed).select(
+    parsed = F.from_json(metadata, schema)["variables"][band_variable]["attrs"]
+    return df.select("*", F.explode(F.array(parsed)).alias("_attrs")).select(
         *df.columns,
         F.coalesce("_attrs.scale_factor", F.lit(1.0)).alias("scale"),
         F.coalesce("_attrs.add_offset", F.lit(0.0)).alias("offset"),
@@ -145,47 +148,45 @@ def restore_calibration(df: DataFrame, metadata: str = "source_metadata_json", b
     )
 
 
-def audit_flags(kind: str) -> dict[str, Column]:
-    """P04 as overlapping flags plus the exclusive class, for ``radar`` or ``satellite`` pixels.
+def with_audit(df: DataFrame, kind: str) -> DataFrame:
+    """Overlapping flags plus the exclusive ``class`` and the ``value``, for ``radar`` or ``satellite`` pixels.
 
     Radar input columns: raw, missing, no_coverage, zero_ambiguous, bitmap (NULL when absent).
     Satellite input columns: raw, encoded, physical, quality (NULL when absent), fill, low, high.
+    The flags are columns that build on each other, so that no test is repeated.
     """
-    raw, no = F.col("raw"), F.lit(False)
-    is_finite = finite(raw)
+    raw, no, c = F.col("raw"), F.lit(False), F.col
 
     def known(condition):
         return F.coalesce(condition, no)
 
     if kind == "radar":
-        ambiguous = known(F.col("zero_ambiguous") & (raw == 0))
-        fill = known(~F.col("zero_ambiguous") & (raw == F.col("missing")))
-        no_coverage = known(~F.col("zero_ambiguous") & (raw == F.col("no_coverage")))
-        bitmap, outside, calibration = known(F.col("bitmap") == 0), no, no
-        value = raw.cast("double")
+        plain = ~c("zero_ambiguous")
+        first = {
+            "value": raw.cast("double"), "ambiguous_shear_zero": known(c("zero_ambiguous") & (raw == 0)),
+            "fill": known(plain & (raw == c("missing"))), "no_coverage": known(plain & (raw == c("no_coverage"))),
+            "bitmap_missing": known(c("bitmap") == 0), "outside_range": no, "nonfinite": ~finite(raw)}
     else:
-        ambiguous, no_coverage, bitmap = no, no, no
-        fill = known(raw == F.col("fill"))
-        outside = known((F.col("encoded") < F.col("low")) | (F.col("encoded") > F.col("high")))
-        value = F.col("physical").cast("double")
-        calibration = is_finite & ~finite(value)
-    numeric = is_finite & ~calibration & ~fill & ~no_coverage & ~bitmap & ~outside & ~ambiguous
+        first = {
+            "value": c("physical").cast("double"), "ambiguous_shear_zero": no, "fill": known(raw == c("fill")), "no_coverage": no,
+            "bitmap_missing": no, "outside_range": known((c("encoded") < c("low")) | (c("encoded") > c("high"))), "nonfinite": ~finite(raw)}
+    rows = df.withColumns(first)
+    rows = rows.withColumn("calibration_nonfinite", no if kind == "radar" else ~c("nonfinite") & ~finite("value"))
+    bad = ["nonfinite", "calibration_nonfinite", "fill", "no_coverage", "bitmap_missing", "outside_range", "ambiguous_shear_zero"]
+    numeric = ~c(bad[0])
+    for name in bad[1:]:
+        numeric = numeric & ~c(name)
+    rows = rows.withColumn("numeric_valid", numeric)
     if kind == "radar":
-        strict = conditional = numeric
-        base, unknown = F.lit(0), no
+        graded = {"strict_good": c("numeric_valid"), "good_plus_conditional": c("numeric_valid"), "quality_unknown": no}
+        base = F.lit(0)
     else:
-        quality = F.col("quality")
-        strict, conditional = numeric & known(quality == 0), numeric & known(quality.isin(0, 1))
-        unknown = quality.isNull()
-        base = (F.when(~numeric, 0).when(unknown, 8).when(quality == 1, 9).when(quality != 0, 5).otherwise(0))
+        quality = c("quality")
+        graded = {"strict_good": c("numeric_valid") & known(quality == 0), "good_plus_conditional": c("numeric_valid") & known(quality.isin(0, 1)),
+                  "quality_unknown": quality.isNull()}
+        base = F.when(~c("numeric_valid"), 0).when(quality.isNull(), 8).when(quality == 1, 9).when(quality != 0, 5).otherwise(0)
     code = (
-        F.when(bitmap, 3).when(calibration, 10).when(~is_finite, 4).when(no_coverage, 2)
-        .when(fill, 1).when(outside, 6).when(ambiguous, 7).otherwise(base)
-    )
-    return {
-        "value": value, "numeric_valid": numeric, "fill": fill, "no_coverage": no_coverage,
-        "bitmap_missing": bitmap, "nonfinite": ~is_finite, "outside_range": outside,
-        "ambiguous_shear_zero": ambiguous, "strict_good": strict, "good_plus_conditional": conditional,
-        "quality_unknown": unknown, "raw_zero": known(raw == 0), "valid_zero": strict & known(value == 0),
-        "valid_negative": strict & known(value < 0), "calibration_nonfinite": calibration, "class": code,
-    }
+        F.when(c("bitmap_missing"), 3).when(c("calibration_nonfinite"), 10).when(c("nonfinite"), 4).when(c("no_coverage"), 2)
+        .when(c("fill"), 1).when(c("outside_range"), 6).when(c("ambiguous_shear_zero"), 7).otherwise(base))
+    rows = rows.withColumns({**graded, "class": code, "raw_zero": known(raw == 0)})
+    return rows.withColumns({"valid_zero": c("strict_good") & known(c("value") == 0), "valid_negative": c("strict_good") & known(c("value") < 0)})

@@ -113,8 +113,7 @@ def decode_satellite(df: DataFrame, policy: str = "good") -> DataFrame:
 def pixel_statistics(df: DataFrame, keys: list[str], kind: str) -> DataFrame:
     """Overlapping counts, exclusive class counts, percentages (NULL without pixels) and moments
     with quartiles for strict, conditional and numeric pixels, per key (frame and scope)."""
-    flags = dc.audit_flags(kind)
-    rows = df.select(*keys, *[c.alias(n) for n, c in flags.items()])
+    rows = dc.with_audit(df, kind).select(*keys, "value", "class", *OVERLAPPING)
     labels = {"strict": "strict_good", "conditional": "good_plus_conditional", "numeric": "numeric_valid"}
     counts = [F.count_if(n).alias(n) for n in OVERLAPPING]
     classes = [F.count_if(F.col("class") == code).alias(f"class_{code}") for code in dc.CLASS_NAMES]
@@ -136,8 +135,7 @@ def pixel_statistics(df: DataFrame, keys: list[str], kind: str) -> DataFrame:
 
 def class_histogram(df: DataFrame, keys: list[str], kind: str) -> DataFrame:
     """Exclusive class counts in long form."""
-    code = dc.audit_flags(kind)["class"]
-    return df.groupBy(*keys, code.alias("class")).agg(F.count(F.lit(1)).alias("pixels"))
+    return dc.with_audit(df, kind).groupBy(*keys, "class").agg(F.count(F.lit(1)).alias("pixels"))
 
 
 def quality_histogram(df: DataFrame, keys: list[str], quality: str = "quality") -> DataFrame:
@@ -182,10 +180,10 @@ def training_moments(df: DataFrame, variables: list[str], start: str, end: str,
     usable = F.col(valid) & dc.finite(value)
     if inside:
         usable = usable & F.col(inside)
-    rows = df.filter((moment >= F.lit(start).cast("timestamp_ntz")) & (moment < F.lit(end).cast("timestamp_ntz")) & usable)
-    stats = rows.groupBy(variable).agg(
-        F.count(F.lit(1)).alias("pixels"), F.avg(F.col(value).cast("double")).alias("mean"),
-        F.stddev_pop(F.col(value).cast("double")).alias("std"))
+    # Only the time range is a filter: one on validity would be pushed down through the decoding and repeat it.
+    rows = df.filter((moment >= F.lit(start).cast("timestamp_ntz")) & (moment < F.lit(end).cast("timestamp_ntz")))
+    number = F.when(usable, F.col(value).cast("double"))
+    stats = rows.groupBy(variable).agg(F.count(number).alias("pixels"), F.avg(number).alias("mean"), F.stddev_pop(number).alias("std"))
     names = df.sparkSession.createDataFrame([(v,) for v in variables], f"{variable} string")
     return guard(names.join(stats, variable, "left"), (F.col("pixels") > 0) & (F.col("std") > 0),
                  "A training variable is empty or constant")

@@ -26,10 +26,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probabilities
     source = df.select(*[F.col(k) for k in keys], value.cast("double").alias("_v"))
     if not keys:
         source = source.withColumn("_all", F.lit(0))
-    # NULLs stay as rows of no weight: a filter here would be pushed below the caller's expressions and repeat them.
-    counted = source.groupBy(*marker, "_v").agg(F.count("_v").alias("_n"))
-    totals = counted.groupBy(*marker).agg(F.sum("_n").alias("_total"))
-    ranked = with_running(counted, marker, ["_v"], F.col("_n"), "_upto").join(totals, marker)
+    # NULLs stay as rows of no weight: a filter here would be pushed below the caller's expressions and
+    # repeat them. The test on the count keeps that column in every use of the table, so that Spark shuffles
+    # it once and reuses the exchange.
+    counted = source.groupBy(*marker, "_v").agg(F.count("_v").alias("_n")).filter(F.col("_n") >= 0)
+    ranked = with_running(counted, marker, ["_v"], F.col("_n"), "_upto", total="_total")
 
     def value_at(rank):
         return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("_v")))

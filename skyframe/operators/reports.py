@@ -23,7 +23,8 @@ def flatten_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
     plain = ",".join(f"{c}:string" for c in [*COUNTERS, "calibration", "packed_dtype"])
     stats = ",".join(f"{s}:string" for s in STATISTICS)
     parsed = F.from_json(payload, f"struct<{plain},strict_stats:struct<{stats}>>")
-    rows = df.withColumn("_p", parsed)
+    # Through a generator the document is parsed once; field by field Spark would parse it again for each.
+    rows = df.select("*", F.explode(F.array(parsed)).alias("_p"))
     return rows.select(
         *[c for c in df.columns if c != payload],
         *[F.coalesce(F.col(f"_p.{c}").try_cast("bigint"), F.lit(0)).alias(c) for c in COUNTERS],
@@ -123,7 +124,7 @@ def _node(depth: int) -> str:
 
 def measurement_rows(measurements: DataFrame, depth: int = 2) -> DataFrame:
     """One row per timed record of a nested measurement, down to ``depth`` levels of branches."""
-    level = measurements.select(F.col("kind").alias("_kind"), F.from_json("payload", _node(depth)).alias("n"))
+    level = measurements.select(F.col("kind").alias("_kind"), F.explode(F.array(F.from_json("payload", _node(depth)))).alias("n"))
     found = []
     for left in range(depth, -1, -1):
         timed = F.coalesce(*[F.col(f"n.{t}") for t in TIMED]).isNotNull()
@@ -245,5 +246,5 @@ def compact_payload(payload: str, kept: str, nested: str | None = None):
         return F.struct(*fields, *extra)
 
     parsed = F.from_json(payload, whole)
-    extra = [F.transform(parsed[nested], shorten).alias(nested)] if nested else []
+    extra = [F.transform(parsed[nested], lambda v: shorten(v)).alias(nested)] if nested else []
     return F.to_json(shorten(parsed, extra))

@@ -98,17 +98,19 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], value: str
 
 
 def with_running(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str,
-                 parts: int | None = None) -> DataFrame:
-    """Add the running total of ``value`` up to and including the row."""
+                 total: str | None = None, parts: int | None = None) -> DataFrame:
+    """Add the running total of ``value`` up to and including the row, and the key's ``total`` if named."""
     source = df.withColumn("_value", value)
     blocked, inside, along = _scan(source, keys, order, parts)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = blocked.withColumn("_here", F.sum("_value").over(upto))
     tails = blocked.groupBy(*keys, "_block").agg(F.sum("_value").alias("_part"))
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(*keys, "_block", F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_carry"))
+    carry = tails.select(*keys, "_block", F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_carry"),
+                         F.sum("_part").over(Window.partitionBy(*keys)).alias("_key_total"))
     out = _attach(rows, carry, keys)
-    return out.select(*df.columns, (F.coalesce("_here", F.lit(0)) + F.coalesce("_carry", F.lit(0))).alias(name))
+    columns = [*df.columns, (F.coalesce("_here", F.lit(0)) + F.coalesce("_carry", F.lit(0))).alias(name)]
+    return out.select(*columns, *([F.col("_key_total").alias(total)] if total else []))
 
 
 def with_running_max(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,
@@ -127,14 +129,14 @@ def with_running_max(df: DataFrame, keys: list[str], order: list[str], value: st
 def with_ordinal(df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal",
                  parts: int | None = None) -> DataFrame:
     """Add the zero-based position of the row in its key."""
-    out = with_running(df, keys, order, F.lit(1), "_upto", parts)
+    out = with_running(df, keys, order, F.lit(1), "_upto", parts=parts)
     return out.withColumn(name, (F.col("_upto") - 1).cast("long")).drop("_upto")
 
 
 def islands(df: DataFrame, keys: list[str], order: list[str], starts: Column, name: str = "island",
             parts: int | None = None) -> DataFrame:
     """Number runs: a new one begins wherever ``starts`` is true."""
-    return with_running(df, keys, order, F.when(starts, 1).otherwise(0), name, parts)
+    return with_running(df, keys, order, F.when(starts, 1).otherwise(0), name, parts=parts)
 
 
 def _both_sides(left, right, keys, left_us, right_us, right_order, payload):

@@ -24,7 +24,7 @@ def _visible(spark, folder):
     flat = _flat(spark, folder)
     facts = audits(spark, folder).select("audit_key", F.col("code_hash").alias("_code"))
     order = [(F.col("_code") == CURRENT).desc(), F.col("audit_key").desc(), "pixels", "strict_good",
-             F.col("mean").asc_nulls_last(), F.col("std").asc_nulls_last()]
+             F.col("mean").asc_nulls_last(), F.col("std").asc_nulls_last(), "product", "good_plus_conditional", "calibration", "packed_dtype"]
     return first_of(flat.join(facts, "audit_key"), ["path", "band", "time", "patch"], order).select(*flat.columns)
 
 
@@ -59,14 +59,15 @@ _A04 = ["product", "band", "patch", "period", "observations", "pixels", "strict_
 
 @query("a04_calendar_rollup", f"""
 WITH {DIAGNOSTICS}, {_rollup_sql('month')}
-SELECT product, band, patch, period, observations, pixels, strict_good, fill, round(vs / nullif(strict_good, 0), 6) AS mean,
-  round(sqrt(greatest(0, sq / nullif(strict_good, 0) - (vs / nullif(strict_good, 0)) * (vs / nullif(strict_good, 0)))), 6) AS std,
-  round(minimum, 6) AS minimum, round(maximum, 6) AS maximum, round(100.0 * strict_good / nullif(pixels, 0), 6) AS strict_good_percent,
+SELECT product, band, patch, period, observations, pixels, strict_good, fill, round(vs / nullif(strict_good, 0), 4) AS mean,
+  round(sqrt(greatest(0, sq / nullif(strict_good, 0) - (vs / nullif(strict_good, 0)) * (vs / nullif(strict_good, 0)))), 4) AS std,
+  round(minimum, 6) AS minimum, round(maximum, 6) AS maximum, round(100.0 * strict_good / nullif(pixels, 0), 4) AS strict_good_percent,
   product || CASE WHEN band IS NULL THEN '' ELSE ' C' || lpad(CAST(band AS VARCHAR), 2, '0') END AS series
 FROM rollup_month""")
 def a04(spark, folder):
     out = rp.calendar_rollup(_visible(spark, folder), "month")
-    return out.select(*_A04, *[F.round(c, 6).alias(c) for c in ("mean", "std", "minimum", "maximum", "strict_good_percent")], "series")
+    return out.select(*_A04, *[F.round(c, 4).alias(c) for c in ("mean", "std", "strict_good_percent")],
+                      *[F.round(c, 6).alias(c) for c in ("minimum", "maximum")], "series")
 
 
 def _count_sql(unit):

@@ -22,7 +22,7 @@ def observations(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("user_id") % 2).alias("satellite"), (F.col("user_id") % 8 + 1).cast("int").alias("band"),
         F.when(F.col("event_type").isin("error", "signup"), 300).otherwise(600).alias("tolerance_s"),
         F.get_json_object("props", "$.k").cast("int").alias("quality"),
-        F.round(F.col("value") * 100).cast("long").alias("size"), "user_id", "value",
+        (F.col("value") * 100 + 0.5).cast("long").alias("size"), "user_id", "value",
         F.format_string("scan/%s/%010d", "event_type", "event_id").alias("key"),
     )
 
@@ -43,7 +43,7 @@ observations AS (
 def satellite_pixels(spark: SparkSession, folder: str) -> DataFrame:
     """lineitem as packed satellite pixels: signed 16-bit raw, quality code, per-scan calibration."""
     li = table(spark, folder, "lineitem")
-    packed = (F.round(F.col("l_extendedprice") * 100).cast("long") % 65536 - 32768).cast("int")
+    packed = ((F.col("l_extendedprice") * 100 + 0.5).cast("long") % 65536 - 32768).cast("int")
     raw = F.when(F.col("l_discount") == 0.0, F.lit(-1)).when(F.col("l_tax") == 0.08, F.lit(-2)).otherwise(packed)
     return li.select(
         "l_orderkey", "l_linenumber", F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("time"),
@@ -188,7 +188,7 @@ diagnostics AS (
 visible AS (
   SELECT d.*, a.status, a.scope FROM diagnostics d JOIN audits a USING (audit_key)
   QUALIFY row_number() OVER (PARTITION BY d.path, d.band, d.time, d.patch
-    ORDER BY a.code_hash = 'quality-v1' DESC, a.audit_key DESC, pixels, strict_good, mean, std) = 1)
+    ORDER BY a.code_hash = 'quality-v1' DESC, a.audit_key DESC, pixels, strict_good, mean, std, product, good_plus_conditional, calibration, packed_dtype) = 1)
 """
 
 
@@ -198,7 +198,7 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
     source = F.when(F.col("o_custkey") % 3 == 0, "radar").otherwise("satellite")
     band = F.when(F.col("o_custkey") % 3 != 0, (F.col("o_custkey") % 8 + 1).cast("int"))
     product = F.concat(F.lit("P"), F.substring("o_orderpriority", 1, 1))
-    stored = F.round("o_totalprice").cast("long")
+    stored = (F.col("o_totalprice") + 0.5).cast("long")
     month = F.date_format("o_orderdate", "yyyy-MM")
     path = F.concat_ws("/", F.lit("data"), source, product, F.when(band.isNotNull(), F.format_string("C%02d", band)),
                        F.concat(F.lit("roi-"), (F.col("o_custkey") % 5).cast("string")), F.date_format("o_orderdate", "yyyy"),
@@ -244,7 +244,7 @@ def assets(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("bucket"), (F.col("l_suppkey") % 3).cast("string")).alias("bucket"),
         F.concat_ws("/", F.lit("scan"), F.col("l_partkey"), F.col("l_linenumber")).alias("key"),
         F.concat(F.lit("e"), (F.col("l_suppkey") % 10).cast("string")).alias("etag"),
-        F.when(F.col("l_tax") != 0.0, F.round(F.col("l_quantity") * 1000).cast("long")).alias("source_bytes"),
+        F.when(F.col("l_tax") != 0.0, (F.col("l_quantity") * 1000 + 0.5).cast("long")).alias("source_bytes"),
         F.when(F.col("l_linenumber") <= 4, "6").when(F.col("l_linenumber") <= 6, "3").alias("mode"),
         F.when(F.col("l_returnflag") == "R", "corrupt_source").otherwise("saved").alias("status"))
     return rows.join(own, "archive_key")

@@ -56,11 +56,10 @@ def test_pixel_statistics_example(spark):
 
 def test_class_ladders_differ(spark):
     df = _satellite(spark, [-1], [2]).withColumns({"encoded": dc.unsigned16("raw"), "physical": F.lit(1.0), "fill": F.lit(-1), "low": F.lit(0), "high": F.lit(10)})
-    row = df.select(dc.satellite_class().alias("a"), dc.audit_flags("satellite")["class"].alias("b"), dc.display_class_satellite().alias("c")).first()
-    assert (row.a, row.b, row.c) == (1, 1, 1)
-    row = df.withColumn("raw", F.lit(-5)).select(
-        dc.satellite_class().alias("a"), dc.audit_flags("satellite")["class"].alias("b"), dc.display_class_satellite().alias("c")).first()
-    assert (row.a, row.b, row.c) == (6, 6, 5)
+    for raw, want in ((-1, (1, 1, 1)), (-5, (6, 6, 5))):
+        rows = df.withColumn("raw", F.lit(raw)).withColumn("decode", dc.satellite_class()).withColumn("display", dc.display_class_satellite())
+        row = dc.with_audit(rows, "satellite").first()
+        assert (row.decode, row["class"], row.display) == want
 
 
 def test_training_moments_refuse_constant_channels(spark):
