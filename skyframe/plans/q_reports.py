@@ -60,7 +60,7 @@ _A04 = ["product", "band", "patch", "period", "observations", "pixels", "strict_
 @query("a04_calendar_rollup", f"""
 WITH {DIAGNOSTICS}, {_rollup_sql('month')}
 SELECT product, band, patch, period, observations, pixels, strict_good, fill, round(vs / nullif(strict_good, 0), 4) AS mean,
-  round(sqrt(greatest(0, sq / nullif(strict_good, 0) - (vs / nullif(strict_good, 0)) * (vs / nullif(strict_good, 0)))), 4) AS std,
+  CASE WHEN strict_good > 0 THEN round(sqrt(greatest(0, sq / nullif(strict_good, 0) - (vs / nullif(strict_good, 0)) * (vs / nullif(strict_good, 0)))), 4) END AS std,
   round(minimum, 6) AS minimum, round(maximum, 6) AS maximum, round(100.0 * strict_good / nullif(pixels, 0), 4) AS strict_good_percent,
   product || CASE WHEN band IS NULL THEN '' ELSE ' C' || lpad(CAST(band AS VARCHAR), 2, '0') END AS series
 FROM rollup_month""")

@@ -238,7 +238,7 @@ def assets(spark: SparkSession, folder: str) -> DataFrame:
     us = F.unix_micros(F.col("l_shipdate").cast("timestamp")) + (F.col("l_partkey") % 1440) * 60_000_000
     rows = li.select(
         F.col("l_orderkey").alias("archive_key"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("asset_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")).alias("asset_id"),
         F.timestamp_micros(us).cast("timestamp_ntz").alias("time"),
         F.timestamp_micros(us + (F.col("l_suppkey") % 15 - 1) * 60_000_000).cast("timestamp_ntz").alias("end_time"),
         F.concat(F.lit("bucket"), (F.col("l_suppkey") % 3).cast("string")).alias("bucket"),
@@ -253,7 +253,7 @@ def assets(spark: SparkSession, folder: str) -> DataFrame:
 ASSETS = """
 assets AS (
   SELECT a.path, a.source, a.product, a.band, a.satellite, a.archive_sha256, a.state,
-         concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS asset_id,
+         concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')) AS asset_id,
          l_shipdate + to_minutes(l_partkey % 1440) AS time,
          l_shipdate + to_minutes(l_partkey % 1440 + l_suppkey % 15 - 1) AS end_time,
          'bucket' || (l_suppkey % 3) AS bucket, concat_ws('/', 'scan', l_partkey, l_linenumber) AS key, 'e' || (l_suppkey % 10) AS etag,
