@@ -270,15 +270,15 @@ def g08c(spark, folder):
 
 @query("g09_forecast_crop", f"""
 WITH {RADAR},
-b AS (SELECT min(y) AS y0, max(y) AS y1, min(x) AS x0, max(x) AS x1 FROM radar WHERE lon BETWEEN -66.5 AND -66.0 AND lat BETWEEN 15.0 AND 15.3)
-SELECT l_orderkey, l_linenumber, y, x, CASE WHEN lon BETWEEN -66.5 AND -66.0 AND lat BETWEEN 15.0 AND 15.3 AND NOT isnan(raw) THEN raw END AS value
+b AS (SELECT min(y) AS y0, max(y) AS y1, min(x) AS x0, max(x) AS x1 FROM radar WHERE lon BETWEEN -68.5 AND -68.0 AND lat BETWEEN 15.0 AND 15.3)
+SELECT l_orderkey, l_linenumber, y, x, CASE WHEN lon BETWEEN -68.5 AND -68.0 AND lat BETWEEN 15.0 AND 15.3 AND NOT isnan(raw) THEN raw END AS value
 FROM radar, b WHERE y BETWEEN y0 AND y1 AND x BETWEEN x0 AND x1""")
 def g09(spark, folder):
     stamp = "2024-01-01 00:00:00"
     rows = radar_pixels(spark, folder).select(
         "l_orderkey", "l_linenumber", "y", "x", "lon", "lat", F.nanvl("raw", F.lit(None).cast("double")).alias("value"),
         F.lit(stamp).cast("timestamp_ntz").alias("cycle"), F.lit(stamp).cast("timestamp_ntz").alias("valid_time"))
-    return gr.forecast_crop(rows, (-66.5, 15.0, -66.0, 15.3), stamp, stamp).select("l_orderkey", "l_linenumber", "y", "x", "value")
+    return gr.forecast_crop(rows, (-68.5, 15.0, -68.0, 15.3), stamp, stamp).select("l_orderkey", "l_linenumber", "y", "x", "value")
 
 
 @query("g11_grown_boxes", """

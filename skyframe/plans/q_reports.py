@@ -59,15 +59,15 @@ _A04 = ["product", "band", "patch", "period", "observations", "pixels", "strict_
 
 @query("a04_calendar_rollup", f"""
 WITH {DIAGNOSTICS}, {_rollup_sql('month')}
-SELECT product, band, patch, period, observations, pixels, strict_good, fill, round(vs / nullif(strict_good, 0), 4) AS mean,
-  CASE WHEN strict_good > 0 THEN round(sqrt(greatest(0, sq / nullif(strict_good, 0) - (vs / nullif(strict_good, 0)) * (vs / nullif(strict_good, 0)))), 4) END AS std,
-  round(minimum, 6) AS minimum, round(maximum, 6) AS maximum, round(100.0 * strict_good / nullif(pixels, 0), 4) AS strict_good_percent,
+SELECT product, band, patch, period, observations, pixels, strict_good, fill, round(vs / nullif(strict_good, 0), 6) AS mean,
+  CASE WHEN strict_good > 0 THEN round(sqrt(greatest(0, sq / nullif(strict_good, 0) - (vs / nullif(strict_good, 0)) * (vs / nullif(strict_good, 0)))), 5) END AS std,
+  round(minimum, 6) AS minimum, round(maximum, 6) AS maximum, round(100.0 * strict_good / nullif(pixels, 0), 6) AS strict_good_percent,
   product || CASE WHEN band IS NULL THEN '' ELSE ' C' || lpad(CAST(band AS VARCHAR), 2, '0') END AS series
 FROM rollup_month""")
 def a04(spark, folder):
     out = rp.calendar_rollup(_visible(spark, folder), "month")
-    return out.select(*_A04, *[F.round(c, 4).alias(c) for c in ("mean", "std", "strict_good_percent")],
-                      *[F.round(c, 6).alias(c) for c in ("minimum", "maximum")], "series")
+    return out.select(*_A04, F.round("std", 5).alias("std"),
+                      *[F.round(c, 6).alias(c) for c in ("mean", "strict_good_percent", "minimum", "maximum")], "series")
 
 
 def _count_sql(unit):

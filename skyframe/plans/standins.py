@@ -138,7 +138,7 @@ def diagnostics(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "orders")
     pixels = F.when(F.col("o_orderkey") % 7 == 0, 0).otherwise(1000 + F.col("o_orderkey") % 500)
     good = F.when(pixels == 0, 0).otherwise(F.col("o_orderkey") % 900)
-    mean, std = F.when(good > 0, F.col("o_totalprice") / 1000.0), F.when(good > 0, (F.col("o_custkey") % 50) / 10.0)
+    mean, std = F.when(good > 0, F.sqrt("o_totalprice")), F.when(good > 0, (F.col("o_custkey") % 50) / 10.0)
     stats = F.struct(mean.alias("mean"), std.alias("std"), (mean - std).alias("minimum"), (mean + std).alias("maximum"),
                      (mean - std / 2).alias("q25"), mean.alias("median"), (mean + std / 2).alias("q75"))
     payload = F.to_json(F.struct(
@@ -175,7 +175,7 @@ d0 AS (
   SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 1000 + o_orderkey % 500 END AS pixels,
          CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_orderkey % 900 END AS strict_good FROM orders),
 d1 AS (
-  SELECT *, CASE WHEN strict_good > 0 THEN o_totalprice / 1000.0::DOUBLE END AS mean,
+  SELECT *, CASE WHEN strict_good > 0 THEN sqrt(o_totalprice) END AS mean,
          CASE WHEN strict_good > 0 THEN (o_custkey % 50) / 10.0::DOUBLE END AS std FROM d0),
 diagnostics AS (
   SELECT 'audit-' || lpad(CAST(o_custkey % 40 AS VARCHAR), 3, '0') AS audit_key, 'archive/' || (o_custkey % 10) AS path,
