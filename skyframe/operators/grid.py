@@ -185,7 +185,7 @@ def corrected_pixels(pixels: DataFrame, satellite_lon: float, height: float, res
     metres = F.when(F.col("height_unit") == "km", F.col("height") * 1000.0).otherwise(F.col("height"))
     known = (F.col("height_quality") == 0) & dc.finite(metres) & (metres >= 0)
     movable = F.col("variable").isin(correction)
-    rows = pixels.withColumns({"_metres": metres, "known": F.coalesce(known, F.lit(False))}).filter(~movable | F.col("known"))
+    rows = pixels.withColumns({"_metres": metres, "known": F.coalesce(known, F.lit(False))})
     rows = geo.with_parallax(rows, "lon", "lat", "_metres", satellite_lon, height, "_lon2", "_lat2")
     rows = rows.withColumns({"lon2": F.when(movable, F.col("_lon2")).otherwise(F.col("lon")), "lat2": F.when(movable, F.col("_lat2")).otherwise(F.col("lat")),
                              "parallax_applied": movable})
@@ -196,7 +196,7 @@ def corrected_pixels(pixels: DataFrame, satellite_lon: float, height: float, res
     rows = rows.withColumns({"_x": x, "_y": y})
     rows = rows.withColumns({"_c": F.floor((F.col("_x") - left) / spacing), "_r": F.floor((F.lit(top) - F.col("_y")) / spacing)})
     off = F.hypot(F.col("_x") - (left + (F.col("_c") + 0.5) * spacing), F.col("_y") - (top - (F.col("_r") + 0.5) * spacing))
-    on_grid = F.col("_c").between(0, nx - 1) & F.col("_r").between(0, ny - 1)
+    on_grid = F.col("_c").between(0, nx - 1) & F.col("_r").between(0, ny - 1) & (~F.col("parallax_applied") | F.col("known"))
     # A pixel yields one cell or none. As a filter this test would be pushed down through the whole chain
     # of projection steps and repeat all of it.
     cell = F.explode(F.array_compact(F.array(F.when(on_grid, (F.col("_r") * nx + F.col("_c")).cast("long")))))
