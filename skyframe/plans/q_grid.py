@@ -17,7 +17,7 @@ from skyframe.plans.registry import query, table
 from skyframe.plans.standins import (
     END, FRAMES, OBSERVATIONS, RADAR, SATELLITE, START, STORMS, TRACKS, observations, radar_pixels, raster_frames, raw_tracks,
     satellite_pixels, storm_events)
-from skyframe.sources.manifests import scratch_folder
+from skyframe.session import new_folder
 
 # --- map of the 8 x 8 frames to a 5 x 5 target whose last row and column lie outside ---------------
 _X_AXIS, _Y_AXIS = [float(i) for i in range(8)], [float(7 - i) for i in range(8)]
@@ -466,7 +466,7 @@ def _fixes(spark, folder):
 
 @query("s10_track_scan", f"WITH {TRACKS} SELECT sid, name, time, round(lon, 6) AS lon, lat FROM fixes")
 def s10(spark, folder):
-    target = scratch_folder(spark, "tracks")
+    target = new_folder(spark, "tracks")
     raw_tracks(spark, folder).write.csv(target, header=True)
     rows = st.read_tracks(spark, target)
     return rows.select("sid", "name", "time", F.round("lon", 6).alias("lon"), "lat")

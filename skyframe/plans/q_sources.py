@@ -9,6 +9,7 @@ from skyframe.functions.identity import content_id
 from skyframe.operators import alignment as al
 from skyframe.plans.registry import query, table
 from skyframe.plans.standins import ARCHIVES, ASSETS, END, OBSERVATIONS, START, archives, assets, observations
+from skyframe.session import new_folder
 from skyframe.sources import manifests as mf
 from skyframe.sources import writers as wr
 
@@ -38,7 +39,7 @@ def _manifests(spark, folder):
 
 def _stored_manifests(spark, folder):
     """The manifests written as JSON documents and read back from there."""
-    target = mf.scratch_folder(spark, "manifests")
+    target = new_folder(spark, "manifests")
     _manifests(spark, folder).write.json(target)
     return target
 
@@ -63,7 +64,7 @@ def s02(spark, folder):
 
 @query("s03_months_available", f"""WITH {ARCHIVES} SELECT DISTINCT month FROM archives""")
 def s03(spark, folder):
-    target = mf.scratch_folder(spark, "months")
+    target = new_folder(spark, "months")
     rows = archives(spark, folder).select("path", "year", F.substring("month", 6, 2).alias("month"))
     wr.write_archives(rows, target, ["year", "month"])
     return mf.months_available(spark.read.parquet(target))
@@ -147,7 +148,7 @@ def s11(spark, folder):
     """Three layouts of one catalog, one of them compressed, each a line-delimited set of documents."""
     rows = observations(spark, folder).select("variable", F.lit("b").alias("bucket"), "key", "size", F.lit("e").alias("etag"),
                                               tm.iso_text("time").alias("time"), tm.iso_text("end_time").alias("end_time"), "quality")
-    root = mf.scratch_folder(spark, "catalog")
+    root = new_folder(spark, "catalog")
     source = F.struct("bucket", "key", "size", "etag").alias("source")
     feature = F.struct(F.col("key").alias("id"), F.struct(F.col("time").alias("datetime"), F.col("end_time").alias("end_datetime"), source).alias("properties"))
     plain = F.struct("bucket", "key", "size", "etag", "time", "end_time")
@@ -162,7 +163,7 @@ def s11(spark, folder):
 WITH {OBSERVATIONS}
 SELECT least(TIMESTAMP '2024-01-02', min(time)) AS start, greatest(TIMESTAMP '2024-01-20', max(end_time)) AS end, count(*) AS items FROM observations""")
 def s12(spark, folder):
-    root = mf.scratch_folder(spark, "catalog")
+    root = new_folder(spark, "catalog")
     mf.write_catalog(observations(spark, folder).select("key", "time", "end_time", "size"), "2024-01-02", "2024-01-20", root)
     back = spark.read.schema("start timestamp_ntz, end timestamp_ntz, items bigint").json(f"{root}/collection")
     return back
@@ -174,14 +175,14 @@ SELECT 'observations' AS "table", count(*) AS rows FROM observations UNION ALL S
 def s13(spark, folder):
     obs = observations(spark, folder)
     windows = al.window_index(al.causal_align(obs, START, END), START, END, 5)
-    return wr.write_index({"observations": obs, "windows": windows}, mf.scratch_folder(spark, "index"), "study")
+    return wr.write_index({"observations": obs, "windows": windows}, new_folder(spark, "index"), "study")
 
 
 @query("s14_archive_write", f"""
 WITH {ARCHIVES}, {ASSETS}
 SELECT source, product, strftime(time, '%Y-%m') AS month, count(*) AS rows, sum(source_bytes)::BIGINT AS bytes FROM assets GROUP BY ALL""")
 def s14(spark, folder):
-    target = mf.scratch_folder(spark, "archive")
+    target = new_folder(spark, "archive")
     rows = assets(spark, folder).select("asset_id", "time", "source_bytes", "source", "product", F.date_format("time", "yyyy-MM").alias("month"))
     wr.write_archives(rows, target, ["source", "product", "month"], sort=["time"], salt=2)
     back = spark.read.option("inferSchema", "false").parquet(target)
@@ -232,7 +233,7 @@ def s17(spark, folder):
 WITH {OBSERVATIONS} SELECT 'csv' AS kind, variable, count(*) AS rows, sum(size)::BIGINT AS bytes FROM observations GROUP BY ALL
 UNION ALL SELECT 'json', variable, count(*), sum(size)::BIGINT FROM observations GROUP BY ALL""")
 def s18(spark, folder):
-    rows, root = observations(spark, folder).select("variable", "asset_id", "size"), mf.scratch_folder(spark, "export")
+    rows, root = observations(spark, folder).select("variable", "asset_id", "size"), new_folder(spark, "export")
     parts = []
     for kind in ("csv", "json"):
         wr.export(rows, f"{root}/{kind}", kind)
@@ -267,7 +268,7 @@ def s20(spark, folder):
 
 @query("x02_readback_verification", f"""WITH {OBSERVATIONS} SELECT count(*) AS rows, true AS verified FROM observations""")
 def x02(spark, folder):
-    rows, target = observations(spark, folder), mf.scratch_folder(spark, "verify")
+    rows, target = observations(spark, folder), new_folder(spark, "verify")
     rows.write.parquet(target)
     return wr.verify_readback(spark.read.parquet(target), rows, rows.columns)
 

@@ -9,7 +9,7 @@ from skyframe.plans.q_grid import _YEAR
 from skyframe.plans.registry import query, table
 from skyframe.plans.standins import LISTING, OBSERVATIONS, RADAR, START, forecast_listing, observations, radar_pixels
 from skyframe.operators.forecasts import valid_time
-from skyframe.sources.manifests import scratch_folder
+from skyframe.session import new_folder
 from skyframe.streaming import ingest as ig
 from skyframe.streaming import rates as rt
 
@@ -50,7 +50,7 @@ SELECT task_id, run_id, status, snapshot_at, snapshot_at - a AS elapsed_seconds,
 
 @query("t01_rate_monitor_stream", _T01)
 def t01(spark, folder):
-    root = scratch_folder(spark, "rates")
+    root = new_folder(spark, "rates")
     _snapshots(spark, folder).write.json(f"{root}/in")
     stream = ig.read_folder(spark, f"{root}/in", rt.SNAPSHOT)
     ig.drain(rt.watch_rates(stream), f"{root}/checkpoint", lambda df, i: df.write.mode("overwrite").parquet(f"{root}/out/batch={i}"), mode="update")
@@ -101,7 +101,7 @@ def _rounded(df):
 
 @query("t02_bandwidth_stream", _T02)
 def t02(spark, folder):
-    root = scratch_folder(spark, "bandwidth")
+    root = new_folder(spark, "bandwidth")
     _daily(spark, folder).write.json(f"{root}/in")
     ig.bandwidth_intervals(ig.read_folder(spark, f"{root}/in", rt.SNAPSHOT), f"{root}/parts", f"{root}/checkpoint")
     return _rounded(rt.recent_bandwidth(spark.read.parquet(f"{root}/parts").drop("batch")))
@@ -116,7 +116,7 @@ def t02b(spark, folder):
 WITH {OBSERVATIONS} SELECT variable, count(*) AS rows, sum(size)::BIGINT AS bytes, min(time) AS first_time, max(end_time) AS last_end FROM observations GROUP BY variable""")
 def t03(spark, folder):
     """Half of the files, a run; the rest, a second run that goes on behind the first."""
-    root = scratch_folder(spark, "materialise")
+    root = new_folder(spark, "materialise")
     rows = observations(spark, folder)
     schema, columns = rows.schema, ["asset_id", "variable", "size"]
     for part in ("quality < 50", "quality >= 50"):
@@ -131,7 +131,7 @@ WITH {OBSERVATIONS}
 SELECT variable, band, date_trunc('hour', time)::TIMESTAMP AS scan, max(key) AS key FROM observations GROUP BY ALL""")
 def t04(spark, folder):
     """Listings come twice and in two runs; a newer processing of a scan replaces the older one."""
-    root = scratch_folder(spark, "listing")
+    root = new_folder(spark, "listing")
     rows = observations(spark, folder).select("asset_id", "variable", "band", "key", F.col("time").cast("timestamp").alias("listed_at"),
                                               F.date_trunc("hour", "time").cast("timestamp_ntz").alias("scan"))
     for part in ("band <= 4", "band > 2"):
@@ -144,7 +144,7 @@ def t04(spark, folder):
 @query("t05_publication_cutoff", f"""
 WITH {LISTING} SELECT key, cycle, lead, modified FROM listing WHERE modified <= cycle + to_hours(lead)""")
 def t05(spark, folder):
-    root = scratch_folder(spark, "forecasts")
+    root = new_folder(spark, "forecasts")
     rows = forecast_listing(spark, folder).withColumn("valid", valid_time())
     rows.write.parquet(f"{root}/in")
     stream = ig.published_by(ig.read_folder(spark, f"{root}/in", rows.schema, "parquet"), "modified", "valid")
@@ -169,7 +169,7 @@ SELECT cell::BIGINT AS cell, round(coalesce(sum(raw) FILTER (q AND ok), 0), 6) A
 FROM u WHERE month < '2001-12' GROUP BY cell""")
 def t07(spark, folder):
     """Years arrive one after the other; the last month is still open and stays out."""
-    root = scratch_folder(spark, "months")
+    root = new_folder(spark, "months")
     rows = radar_pixels(spark, folder).withColumn("month", F.date_format("time", "yyyy-MM"))
     rows = rows.select("product", "raw", "bitmap", "month", (F.col("y") * 32 + F.col("x")).cast("long").alias("cell"), (F.col("month") < "2001-12").alias("month_complete"))
     for part in ("month < '1999-01'", "month >= '1999-01'"):

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -32,14 +33,29 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the cluster's own setting, else a folder the caller's tests set."""
+    """Shared folder for written tables and checkpoints: the session's ``spark.checkpoint.dir``, else the environment's
+    ``SKYFRAME_CHECKPOINT_DIR``. Only a session whose executors all live in this process (master ``local``) may do without."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or os.environ.get("SKYFRAME_CHECKPOINT_DIR")
-    if not configured:
-        raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach")
-    return configured
+    if configured:
+        return configured.rstrip("/")
+    if spark.conf.get("spark.master", "").split("[")[0] == "local":
+        return f"file://{os.environ.get('TMPDIR', '/tmp').rstrip('/')}/skyframe-{spark.sparkContext.applicationId}"
+    raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach")
 
 
-def cut_lineage(df):
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder under the shared one that nothing else uses."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: computed once, and still there when an executor is lost."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (never the executors' local disks)."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,16 +17,6 @@ MANIFEST = ("path string, raw_path string, source string, product string, satell
             f"time string, source_url string, asset_ids array<string>, assets array<{ASSET}>")
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """New folder under the cluster's shared checkpoint folder; a local one only where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="run-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def file_sizes(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Path and length of the files below a folder; the content column is never read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
