@@ -25,7 +25,7 @@ def op3_best_fit_packing(spark, folder):
 
 LINE_SQL = r"""
 WITH line AS (
-  SELECT doc_id, n, unnest(l) AS line, unnest(range(len(l))) AS at
+  SELECT doc_id, n, unnest(l) AS line, unnest(range(len(l))) AS place
   FROM (SELECT doc_id, row_number() OVER () AS n, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
 keyed AS (
   SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
@@ -35,7 +35,7 @@ known AS (
 judged AS (
   SELECT k.*, coalesce(k.doc_id <> known.keeps, false) AS dropped FROM keyed k LEFT JOIN known ON k.key = known.key)
 SELECT doc_id, count(*) AS n_lines, CAST(sum(dropped::INT) AS BIGINT) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id, n
 """
 
