@@ -29,6 +29,10 @@ def get_session(app: str = "skyframe", master: str | None = None, **settings: st
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings that the operators rely on to a session somebody else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Python workers on this machine find the package wherever the driver was started; a cluster ships it itself.
+    workers, here = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if here not in workers.get("PYTHONPATH", "").split(os.pathsep):
+        workers["PYTHONPATH"] = os.pathsep.join(filter(None, [here, workers.get("PYTHONPATH", "")]))
     return spark
 
 
