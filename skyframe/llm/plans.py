@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from skyframe.llm import line_dedup, mixing, packing, simhash, toxicity
+from skyframe.llm import exact_search, licenses, line_dedup, mixing, neighbours, packing, simhash, surrogates, toxicity, windows
 from skyframe.plans.registry import query, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -17,6 +17,31 @@ def tokenizer_files() -> dict[str, str]:
     return {"path": public_tokenizers.path(BYTE_BPE), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
+@query("op1_multiprobe_neighbours")
+def op1_multiprobe_neighbours(spark, folder):
+    """The five nearest vectors by cosine that multiprobe hashing finds for every fiftieth vector."""
+    return neighbours.search(table(spark, folder, "embeddings"), "id % 50 = 0", 5)
+
+
+SCORE_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_dot_product(q.v, r.v) AS BIGINT) AS score
+  FROM v q JOIN v r ON q.vec_id <> r.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+"""
+
+
+@query("op2_exact_top_k", SCORE_SQL)
+def op2_exact_top_k(spark, folder):
+    """The twenty greatest inner products of every twentieth vector, in whole 64ths."""
+    return exact_search.top_k(exact_search.as_integers(table(spark, folder, "embeddings")), "id % 20 = 0", 20)
+
+
 @query("op3_best_fit_packing")
 def op3_best_fit_packing(spark, folder):
     """All documents as byte-level ids in sequences of at most 1024 tokens."""
@@ -53,6 +78,39 @@ def op5_simhash(spark, folder):
     return simhash.near_groups(table(spark, folder, "documents"), words=4, max_bits=4)
 
 
+WINDOW_SQL = r"""
+WITH word AS (
+  SELECT doc_id, n, w, len(w) AS n_words FROM (
+    SELECT doc_id, row_number() OVER () AS n, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents)),
+win AS (
+  SELECT doc_id, n, p, array_to_string(list_slice(w, p + 1, p + 20), ' ') AS content
+  FROM (SELECT doc_id, n, w, unnest(range(n_words - 19)) AS p FROM word WHERE n_words >= 20 AND doc_id IS NOT NULL)),
+first AS (SELECT content, min((doc_id, p)) AS best FROM win GROUP BY content HAVING count(*) > 1),
+lost AS (
+  SELECT DISTINCT n, p + k AS place FROM win JOIN first USING (content), (SELECT unnest(range(20)) AS k)
+  WHERE (doc_id, p) <> best),
+kept AS (
+  SELECT word.n, list(x.v ORDER BY x.i) AS w FROM word, (SELECT n, unnest(w) AS v, unnest(range(n_words)) AS i FROM word) x
+  WHERE x.n = word.n AND NOT EXISTS (SELECT 1 FROM lost WHERE lost.n = x.n AND lost.place = x.i) GROUP BY word.n)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_words - coalesce(len(kept.w), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(kept.w, ' '), '')) AS kept_sha256
+FROM word LEFT JOIN kept ON word.n = kept.n
+"""
+
+
+@query("op6_window_dedup", WINDOW_SQL)
+def op6_window_dedup(spark, folder):
+    """Words of 20-word windows that start earlier too, removed."""
+    rows = windows.without_repeated_windows(table(spark, folder, "documents"), raw=True)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark, folder):
+    """License phrases and notices of every document."""
+    return licenses.digest(licenses.scan(table(spark, folder, "documents")))
+
+
 @query("op8_toxicity_chain")
 def op8_toxicity_chain(spark, folder):
     """Every document's probabilities along the chain, and whether it is rejected."""
@@ -61,6 +119,14 @@ def op8_toxicity_chain(spark, folder):
     return rows.select("doc_id", *[F.round(F.col("p")[i], 6).alias(f"p_{c}") for i, c in enumerate(CHAIN)], F.col("rejected").alias("toxic"))
 
 
+@query("op9_surrogates")
+def op9_surrogates(spark, folder):
+    """Every document with its personal data and secrets replaced."""
+    rows = surrogates.with_surrogates(table(spark, folder, "documents"), key="surrogates-1")
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.col("entities.kind"))), ",")
+    return rows.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), kinds.alias("kinds"))
+
+
 @query("op10_mixing")
 def op10_mixing(spark, folder):
     """How many words of every document a mix of all sources by weight takes."""
