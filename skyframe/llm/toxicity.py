@@ -14,7 +14,7 @@ from skyframe.llm.common import packed, schema_of, slices, texts, unpacked
 from skyframe.session import written
 
 BUCKETS = 1 << 18
-SAMPLE = 20_000  # labelled documents that a chain is trained on at most
+SAMPLE = 12_000  # labelled documents that a chain is trained on at most
 FOLDS = 3
 CHANCE = 6.0  # standard deviations by which a feature's share must differ between the classes
 KNOWN = 400_000  # words with their features that a task remembers
@@ -52,24 +52,27 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def telling(index: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> np.ndarray:
+def telling(bags: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Which features occur in one class's rows so much more often than in the other's that chance is no explanation."""
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    seen = np.unique(row.astype(np.int64) * BUCKETS + index)  # a feature counts once a row
-    row, feature = seen // BUCKETS, seen % BUCKETS
-    ones, all_rows = np.bincount(feature, weights=y[row], minlength=BUCKETS), np.bincount(feature, minlength=BUCKETS)
+    ones, rows = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for bag, positive in zip(bags, y):
+        once = np.unique(bag)  # a feature counts once a row
+        rows[once] += 1
+        if positive:
+            ones[once] += 1
     p, n = max(y.sum(), 1.0), max((1 - y).sum(), 1.0)
-    share = all_rows / (p + n)
-    gap = ones / p - (all_rows - ones) / n
-    return (all_rows >= 5) & (np.abs(gap) > CHANCE * np.sqrt(share * (1 - share) * (1 / p + 1 / n) + 1e-12))
-
-
-def fit(index: np.ndarray, sizes: np.ndarray, extra: np.ndarray, y: np.ndarray, rounds: int = 80, ridge: float = 1e-5, rate: float = 0.2):
-    """Logistic regression over bags of features (their indices in one array, ``sizes`` of them per row) and dense
-    ``extra`` columns, by full-batch steps scaled per coordinate. Only telling features have weights."""
-    used = telling(index, sizes, y)
-    row = np.repeat(np.arange(len(sizes)), sizes)[used[index]]
-    index = index[used[index]]
+    share = rows / (p + n)
+    gap = ones / p - (rows - ones) / n
+    return (rows >= 5) & (np.abs(gap) > CHANCE * np.sqrt(share * (1 - share) * (1 / p + 1 / n) + 1e-12))
+
+
+def fit(bags: list[np.ndarray], extra: np.ndarray, y: np.ndarray, rounds: int = 80, ridge: float = 1e-5, rate: float = 0.2):
+    """Logistic regression over bags of features and dense ``extra`` columns, by full-batch steps scaled per coordinate.
+    Only telling features have weights."""
+    used = telling(bags, y)
+    bags = [bag[used[bag]] for bag in bags]
+    row = np.repeat(np.arange(len(bags)), [len(bag) for bag in bags])
+    index = np.concatenate(bags) if bags else np.zeros(0, np.int32)
     w, v, b = np.zeros(BUCKETS), np.zeros(extra.shape[1]), 0.0
     gw, gv, gb = np.full(BUCKETS, 1e-8), np.full(extra.shape[1], 1e-8), 1e-8
     share = min(max(y.mean(), 1e-6), 1 - 1e-6)
@@ -88,13 +91,8 @@ def fit(index: np.ndarray, sizes: np.ndarray, extra: np.ndarray, y: np.ndarray,
     return w, v, b
 
 
-def margins(w, v, b, index, sizes, extra):
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-    some = np.flatnonzero(sizes > 0)
-    z = extra @ v + b
-    if len(some):
-        z[some] += np.add.reduceat(w[index], starts[some])
-    return z
+def margins(w, v, b, bags, extra):
+    return extra @ v + b + np.array([w[bag].sum() for bag in bags])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int) -> DataFrame:
@@ -120,7 +118,9 @@ def labelled(docs: DataFrame, labels: DataFrame, categories: list[str], sample:
 
     # The sample's bound makes its ids a safe broadcast; only its documents are hashed.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return rows.mapInArrow(bags, "doc_id long, bag binary, y array<double>")
+    found = rows.mapInArrow(bags, "doc_id long, bag binary, y array<double>")
+    # Rows that repeat a doc_id train once, with the smallest bag.
+    return found.groupBy("doc_id").agg(F.min(F.struct("bag", "y")).alias("r")).select("doc_id", "r.bag", "r.y")
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE, folds: int = FOLDS) -> Chain:
@@ -160,19 +160,18 @@ def fold_fit(c, known):
         table = table.sort_by([("doc_id", "ascending")])
         ids, fold = table.column("doc_id").to_numpy(), table.column("fold").to_numpy()
         bags = [np.frombuffer(b, np.int32) for b in table.column("bag").to_pylist()]
-        sizes = np.array([len(b) for b in bags], np.int64)
         y = np.array(table.column("y").to_pylist(), np.float64)[:, c]
         extra = np.array([known.value.get(int(i), []) for i in ids], np.float64).reshape(len(ids), c)
         inside = fold != which
         if not inside.any() or y[inside].min() == y[inside].max():
             w, v, b = np.zeros(BUCKETS), np.zeros(c), -40.0
         else:
-            w, v, b = fit(np.concatenate([x for x, k in zip(bags, inside) if k]), sizes[inside], extra[inside], y[inside])
+            w, v, b = fit([x for x, k in zip(bags, inside) if k], extra[inside], y[inside])
         if which < 0:
             return pa.table({"doc_id": pa.array([None], pa.int64()), "z": pa.array([float(b)]), "y": pa.array([0.0]),
                              "model": pa.array([np.concatenate([w, v]).tobytes()], pa.binary())})
         out = ~inside
-        z = margins(w, v, b, np.concatenate([x for x, k in zip(bags, out) if k]), sizes[out], extra[out]) if out.any() else np.zeros(0)
+        z = margins(w, v, b, [x for x, k in zip(bags, out) if k], extra[out]) if out.any() else np.zeros(0)
         return pa.table({"doc_id": pa.array(ids[out], pa.int64()), "z": pa.array(z), "y": pa.array(y[out]), "model": pa.array([None] * int(out.sum()), pa.binary())})
 
     return run
