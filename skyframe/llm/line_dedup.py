@@ -14,7 +14,7 @@ from skyframe.llm.common import packed, schema_of, slices, texts, unpacked
 from skyframe.session import written
 
 PAGE = 1 << 16  # cells of a filter that travel and are merged together
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28  # a filter's cells: 8 per line within these bounds; the upper one bounds the broadcast at 32 MB
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28  # a filter's cells: 4 per line within these bounds; the upper one bounds the broadcast at 32 MB
 HASHES = 2
 
 
@@ -85,10 +85,10 @@ def repeat_filter(docs: DataFrame, bits: int, least: int) -> np.ndarray:
 
 
 def line_filter_bits(docs: DataFrame) -> int:
-    """Cells for the lines of the table: eight times their number as a power of two, within the bounds."""
+    """Cells for the lines of the table: four times their number as a power of two, within the bounds."""
     newlines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     lines = docs.agg(F.sum(newlines)).first()[0] or 0
-    return int(min(MOST_BITS, max(LEAST_BITS, 1 << (8 * int(lines)).bit_length())))
+    return int(min(MOST_BITS, max(LEAST_BITS, 1 << (4 * int(lines)).bit_length())))
 
 
 def repeated_lines(docs: DataFrame, least: int = 20, copies: int = 3, keep: str = "last", bits: int | None = None) -> DataFrame:

@@ -105,8 +105,8 @@ def search(rows: DataFrame, is_query: str, k: int, hashing: Hashing | None = Non
 
     Of rows with one and the same vector the ``k + 1`` smallest ids are indexed: no other can be among ``k`` results, as ties
     go to the smaller id. Null, zero, empty and non-finite vectors take no part, nor null ids, nor vectors whose length
-    differs from the most common one's. Rows that repeat an id count once (the smallest vector). Fewer candidates than
-    ``k`` all come back if found. Empty tables and no queries give no rows. Other columns are not read.
+    differs from the most common one's. Rows that repeat an id count once (the smallest vector). A query that finds
+    fewer than ``k`` rows in its buckets visits all buckets, so fewer candidates than ``k`` all come back. Empty tables and no queries give no rows. Other columns are not read.
     """
     hashing = hashing or Hashing()
     spark = rows.sparkSession
@@ -145,12 +145,24 @@ def search(rows: DataFrame, is_query: str, k: int, hashing: Hashing | None = Non
 
     indexed = packed_parts(kept.mapInArrow(index, "shard long, id long, t long, code long, v array<double>"), SLICE, ["id", "t", "code"])
     asked = packed_parts(clean.filter(F.expr(is_query)).mapInArrow(route, "shard long, id long, v array<double>"), CHUNK, ["id"])
-    pairs = indexed.join(asked.select("shard", F.col("id").alias("q"), F.col("v").alias("qv")), "shard")
-    found = pairs.mapInArrow(scored(hashing, k), "query_id long, vec_id long, score double")
-    return best(found.dropDuplicates(["query_id", "vec_id"]), k, [F.col("score").desc(), F.col("vec_id")]).select("query_id", "rank", "vec_id", "score")
-
-
-def scored(hashing: Hashing, k: int):
+    def results(asked, everywhere):
+        pairs = indexed.join(asked.select("shard", F.col("id").alias("q"), F.col("v").alias("qv")), "shard")
+        found = pairs.mapInArrow(scored(hashing, k, everywhere), "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id"])
+        return best(found, k, [F.col("score").desc(), F.col("vec_id")]).select("query_id", "rank", "vec_id", "score")
+
+    indexed = written(indexed, "index")
+    found = written(results(asked, False), "found")
+    # A query whose buckets hold too few rows goes to all shards and all their buckets.
+    have = found.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("_n"))
+    short = clean.filter(F.expr(is_query)).join(have, "id", "left").filter(F.coalesce("_n", F.lit(0)) < min(k, widths["count"] - 1)).select("id", "v")
+    if not short.limit(1).count():
+        return found
+    everywhere = short.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))).select("shard", "id", "v")
+    again = results(packed_parts(everywhere, CHUNK, ["id"]), True)
+    return found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(again)
+
+
+def scored(hashing: Hashing, k: int, everywhere: bool):
     """For a slice of index rows and a chunk of queries: the ``k`` best of every query in the buckets that it visits."""
     def run(batches):
         for batch in batches:
@@ -161,8 +173,8 @@ def scored(hashing: Hashing, k: int):
                 for start in range(0, len(queries), PIECE):
                     q = slice(start, start + PIECE)
                     near = (y[q] @ x.T) / (ny[q, None] * nx[None, :])
-                    hit = np.zeros(near.shape, bool)
-                    for t in np.unique(tables):
+                    hit = np.full(near.shape, everywhere)
+                    for t in () if everywhere else np.unique(tables):
                         own = np.flatnonzero(tables == t)
                         buckets, bucket = np.unique(codes[own], return_inverse=True)
                         probes = hashing.visited(y[q] / ny[q, None], t)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from skyframe.llm.common import schema_of, slices
 
 GROUP_DOCS = 16384  # documents whose open pieces one task packs together
-KNOWN = 400_000  # words with their ids that a task remembers
+KNOWN = 200_000  # words with their ids that a task remembers
 STRETCH = 1 << 20  # characters split into words at a time
 
 

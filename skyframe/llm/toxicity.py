@@ -17,7 +17,7 @@ BUCKETS = 1 << 18
 SAMPLE = 12_000  # labelled documents that a chain is trained on at most
 FOLDS = 3
 CHANCE = 6.0  # standard deviations by which a feature's share must differ between the classes
-KNOWN = 400_000  # words with their features that a task remembers
+KNOWN = 80_000  # words with their features or weights that a task remembers
 #: ASCII letters in lower case; everything else in ASCII parts words.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
