@@ -66,9 +66,11 @@ def product_key(name: Column | str) -> Column:
                       F.raise_error(F.lit("Unknown product name")).cast("string"))
 
 
-def unsigned16(value: Column | str) -> Column:
-    """Reinterpret a signed 16-bit container."""
-    return col(value).cast("int").bitwiseAND(F.lit(65535))
+def unsigned16(value: Column | str, flag: Column | None = None) -> Column:
+    """Reinterpret a signed 16-bit container, where ``flag`` holds (everywhere without one)."""
+    plain = col(value).cast("int")
+    masked = plain.bitwiseAND(F.lit(65535))
+    return masked if flag is None else F.when(flag, masked).otherwise(plain)
 
 
 def finite(value: Column | str) -> Column:
@@ -129,7 +131,8 @@ def display_class_radar(raw="raw", missing="missing", no_coverage="no_coverage",
 
 
 def restore_calibration(df: DataFrame, metadata: str = "source_metadata_json", band_variable: str = "CMI") -> DataFrame:
-    """Every observation keeps the scale, offset, fill and limits of its own scan.
+    """Every observation keeps the scale, offset, fill and limits of its own scan, and whether its container is
+    unsigned; limits of a signed one are taken as they are.
 
     The parsed document goes through a generator: field by field Spark would parse it again for each.
     """
@@ -137,14 +140,16 @@ def restore_calibration(df: DataFrame, metadata: str = "source_metadata_json", b
              "_Unsigned:string,units:string>")
     schema = f"struct<dataset:map<string,string>,variables:map<string,struct<attrs:{attrs}>>>"
     parsed = F.from_json(metadata, schema)["variables"][band_variable]["attrs"]
+    flag = F.coalesce(F.lower("_attrs._Unsigned") == "true", F.lit(False))
     return df.select("*", F.explode(F.array(parsed)).alias("_attrs")).select(
         *df.columns,
         F.coalesce("_attrs.scale_factor", F.lit(1.0)).alias("scale"),
         F.coalesce("_attrs.add_offset", F.lit(0.0)).alias("offset"),
         F.col("_attrs._FillValue").alias("fill"),
-        unsigned16(F.col("_attrs.valid_range")[0]).alias("low"),
-        unsigned16(F.col("_attrs.valid_range")[1]).alias("high"),
+        unsigned16(F.col("_attrs.valid_range")[0], flag).alias("low"),
+        unsigned16(F.col("_attrs.valid_range")[1], flag).alias("high"),
         F.col("_attrs.units").alias("units"),
+        flag.alias("unsigned"),
     )
 
 

@@ -207,11 +207,10 @@ def comparable(obs: DataFrame, requested: DataFrame, on: list[str]) -> tuple[Dat
     return obs.join(requested, on, "left_semi"), obs.join(requested, on, "left_anti")
 
 
-def observation_at(aligned: DataFrame, when: str, variable: str) -> DataFrame:
-    """The aligned observation of one slot and variable; fails when there is none."""
-    hit = aligned.filter((F.col("slot_time") == F.lit(when).cast("timestamp_ntz")) & (F.col("variable") == variable))
-    counted = hit.agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in aligned.columns])
-    return guard(counted, F.col("n") >= 1, "No observation for the slot").drop("n")
+def observations_at(aligned: DataFrame, requests: DataFrame) -> DataFrame:
+    """The aligned observation of every requested slot and variable; fails when one has none."""
+    found = requests.select("slot_time", "variable").distinct().join(aligned, ["slot_time", "variable"], "left")
+    return guard(found, F.col("asset_id").isNotNull(), "No observation for the slot")
 
 
 def window_index(aligned: DataFrame, start: str, end: str, variables: int, history: int = 6, targets: int = 0,

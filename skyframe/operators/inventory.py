@@ -138,14 +138,19 @@ def selection_summary(assets: DataFrame, expected: DataFrame, matches: DataFrame
     return facts.agg(*[F.max(c).alias(c) for c in facts.columns])
 
 
-def task_progress_table(tasks: DataFrame) -> DataFrame:
-    """Accounted and verified counts per task with a NULL-safe percentage and start time."""
+def task_progress_table(tasks: DataFrame, pattern: str = "%raw.zarr.zip") -> DataFrame:
+    """Accounted and verified counts of every raw archive's task with a NULL-safe percentage, its start and its last
+    update, by month, product, band and task."""
     done = F.greatest("checkpointed", "completed")
     started = F.get_json_object("metrics_json", "$.attempt_started_at").try_cast("double")
-    return tasks.select(
+
+    def stamp(seconds):
+        return F.timestamp_micros((seconds * SECOND).cast("long")).cast("timestamp_ntz")
+
+    return tasks.filter(F.col("task_id").like(pattern)).select(
         "source", "product", "month", "band", "selected", done.alias("accounted"), F.col("completed").alias("verified"),
         F.round(100.0 * done / F.nullif("selected", F.lit(0)), 1).alias("percent"), "status",
-        F.timestamp_micros((started * SECOND).cast("long")).cast("timestamp_ntz").alias("started_utc"), F.col("task_id").alias("archive"))
+        stamp(started).alias("started_utc"), stamp(F.col("updated_at")).alias("updated_utc"), F.col("task_id").alias("archive")).orderBy("month", "product", "band", "archive")
 
 
 def archive_accounting(members: DataFrame, key: str = "path") -> DataFrame:

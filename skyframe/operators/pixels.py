@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from skyframe.functions import decode as dc
 from skyframe.functions.checks import guard
-from skyframe.operators.quantiles import exact_quantiles
+from skyframe.operators.quantiles import exact_quantiles, quantile_parts
+from skyframe.operators.sequences import join_on, with_runnings
 
 # Named lon/lat boxes (west, south, east, north).
 PATCHES = {
@@ -101,8 +102,10 @@ def decode_radar(df: DataFrame) -> DataFrame:
 
 
 def decode_satellite(df: DataFrame, policy: str = "good") -> DataFrame:
-    """P02 on (raw, quality, scale, offset, fill, low, high) pixels with per-scan calibration columns."""
-    rows = df.withColumn("encoded", dc.unsigned16("raw")).withColumn(
+    """P02 on (raw, quality, scale, offset, fill, low, high) pixels with per-scan calibration columns. Containers are
+    unsigned unless a column ``unsigned`` says otherwise for a scan."""
+    flag = F.col("unsigned") if "unsigned" in df.columns else None
+    rows = df.withColumn("encoded", dc.unsigned16("raw", flag)).withColumn(
         "physical", dc.to_physical(F.col("encoded"), "scale", "offset"))
     rows = rows.withColumn("class", dc.satellite_class())
     rows = rows.withColumn("valid", dc.class_valid("class", policy))
@@ -124,13 +127,16 @@ def pixel_statistics(df: DataFrame, keys: list[str], kind: str) -> DataFrame:
                     F.avg(value).alias(f"{label}_mean"), F.stddev_pop(value).alias(f"{label}_std")]
     base = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("pixels"), *counts, *classes, *moments)
     percent = [(F.lit(100.0) * F.col(n) / F.nullif("pixels", F.lit(0))).alias(f"{n}_percent") for n in PERCENTED]
-    tagged = rows.select(*keys, "value", F.explode(F.array_compact(F.array(*[
-        F.when(F.col(flag), F.lit(label)) for label, flag in labels.items()]))).alias("_label"))
-    quartiles = exact_quantiles(tagged, [*keys, "_label"], F.col("value"), [0.25, 0.5, 0.75], ["q25", "median", "q75"])
-    wide = quartiles.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_label") == label, F.col(q))).alias(f"{label}_{q}")
-        for label in labels for q in ("q25", "median", "q75")])
-    return base.join(wide, keys, "left").select(*base.columns, *percent, *[c for c in wide.columns if c not in keys])
+    # The three kinds are nested, so each value is counted once for all of them and one scan ranks them together.
+    counted = rows.groupBy(*keys, F.col("value").cast("double").alias("value")).agg(*[F.count_if(F.col(flag) & F.col("value").isNotNull()).alias(label) for label, flag in labels.items()])
+    ranked = with_runnings(counted, keys, ["value"], {f"_upto_{x}": F.col(x) for x in labels}, {f"_upto_{x}": f"_total_{x}" for x in labels})
+    parts, points = [], []
+    for label in labels:
+        own, points_of = quantile_parts(label, f"_upto_{label}", f"_total_{label}", "value", [0.25, 0.5, 0.75], [f"{label}_{q}" for q in ("q25", "median", "q75")])
+        parts += own
+        points += points_of
+    wide = ranked.groupBy(*keys).agg(*parts).select(*keys, *points)
+    return join_on(base, wide, keys).select(*base.columns, *percent, *[c for c in wide.columns if c not in keys])
 
 
 def class_histogram(df: DataFrame, keys: list[str], kind: str) -> DataFrame:
@@ -159,7 +165,7 @@ def describe(df: DataFrame, keys: list[str], patches: dict | None = None, code:
     quartiles = exact_quantiles(found.withColumn("_valid", valid), [*keys, "patch"], F.col("_valid"),
                                 [0.25, 0.5, 0.75], ["q25", "median", "q75"])
     spine = df.select(*keys).distinct().withColumn("patch", F.explode(F.array(*[F.lit(n) for n in names])))
-    out = spine.join(stats, [*keys, "patch"], "left").join(quartiles, [*keys, "patch"], "left")
+    out = join_on(join_on(spine, stats, [*keys, "patch"]), quartiles, [*keys, "patch"])
     counted = [c for c in stats.columns if c.endswith("_count") or c in ("pixels", "valid_pixels")]
     out = out.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in counted})
 
@@ -214,12 +220,18 @@ def common_limits(df: DataFrame, value: str = "value") -> DataFrame:
     return edges.select("low", F.when(F.col("low") == F.col("high"), F.col("high") + 1).otherwise(F.col("high")).alias("high"))
 
 
-def raster_summary(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """Valid, zero, minimum, maximum and an order-free content number per raster."""
-    finite = F.when(dc.finite(value), F.col(value).cast("double"))
-    return df.groupBy(*keys).agg(
-        F.count(finite).alias("valid"), F.count_if(finite == 0).alias("zero"),
-        F.min(finite).alias("min"), F.max(finite).alias("max"))
+def raster_summary(df: DataFrame, keys: list[str], value: str = "value", cell: list[str] | None = None, nodata: Column | None = None) -> DataFrame:
+    """Valid, zero, minimum, maximum and, given the columns of a cell's place, an order-free ``content`` number per
+    raster. Cells of the value ``nodata`` count as missing; all missing cells are alike to the content."""
+    known = dc.finite(value) if nodata is None else dc.finite(value) & ~F.coalesce(F.col(value).cast("double") == nodata.cast("double"), F.lit(False))
+    finite = F.when(known, F.col(value).cast("double"))
+    parts = [F.count(finite).alias("valid"), F.count_if(finite == 0).alias("zero"), F.min(finite).alias("min"), F.max(finite).alias("max")]
+    if cell:
+        shown = F.coalesce(F.round(finite.cast("float").cast("double"), 6).cast("decimal(38,6)").cast("string"), F.lit("missing"))
+        digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cell], shown))
+        # Sums of 60 bits each do not depend on the order and merge over partitions.
+        parts.append(F.sum(F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")).alias("content"))
+    return df.groupBy(*keys).agg(*parts)
 
 
 def coverage_frequency(df: DataFrame, cell: list[str], code: str = "class") -> DataFrame:

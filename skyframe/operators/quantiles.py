@@ -32,14 +32,21 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probabilities
     counted = source.groupBy(*marker, "_v").agg(F.count("_v").alias("_n")).filter(F.col("_n") >= 0)
     ranked = with_running(counted, marker, ["_v"], F.col("_n"), "_upto", total="_total")
 
+    parts, points = quantile_parts("_n", "_upto", "_total", "_v", probabilities, names)
+    return ranked.groupBy(*marker).agg(*parts).select(*keys, *points)
+
+
+def quantile_parts(count: str, upto: str, total: str, value: str, probabilities: list[float], names: list[str]) -> tuple[list[Column], list[Column]]:
+    """Aggregates over counted and ranked values of a group, and the columns that make quantiles of them."""
     def value_at(rank):
-        return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("_v")))
+        return F.max(F.when((F.col(upto) - F.col(count) <= rank) & (rank < F.col(upto)), F.col(value)))
 
-    parts, points = [F.max("_total").alias("_total")], []
+    prefix = f"_{count}"
+    parts, points = [F.max(total).alias(f"{prefix}_all")], []
     for i, p in enumerate(probabilities):
-        low = F.floor((F.col("_total") - 1) * F.lit(float(p)))
-        parts += [value_at(low).alias(f"_low{i}"), value_at(low + 1).alias(f"_high{i}")]
-        at = (F.col("_total") - 1) * F.lit(float(p))
-        step = F.coalesce(F.col(f"_high{i}") - F.col(f"_low{i}"), F.lit(0.0))
-        points.append((F.col(f"_low{i}") + step * (at - F.floor(at))).alias(names[i]))
-    return ranked.groupBy(*marker).agg(*parts).select(*keys, *points)
+        low = F.floor((F.col(total) - 1) * F.lit(float(p)))
+        parts += [value_at(low).alias(f"{prefix}_low{i}"), value_at(low + 1).alias(f"{prefix}_high{i}")]
+        at = (F.col(f"{prefix}_all") - 1) * F.lit(float(p))
+        step = F.coalesce(F.col(f"{prefix}_high{i}") - F.col(f"{prefix}_low{i}"), F.lit(0.0))
+        points.append((F.col(f"{prefix}_low{i}") + step * (at - F.floor(at))).alias(names[i]))
+    return parts, points

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyframe.functions.labels import series_label
 from skyframe.functions.times import SECOND, micros
 from skyframe.operators.alignment import first_of
-from skyframe.operators.quantiles import exact_quantiles
+from skyframe.session import written
 from skyframe.operators.sequences import islands, with_ordinal
 
 # Counters carried by a diagnostics payload.
@@ -107,51 +107,51 @@ def audit_scope(audits: DataFrame, visible: DataFrame, inventory: DataFrame, sco
     return one.withColumn("audit_scope", label).drop("_full")
 
 
-MEASURES = ["satellite", "repeat", "wall_seconds", "wall_s", "read_bytes", "returned_bytes", "stored_bytes",
-            "write_seconds", "download_seconds", "reader_seconds", "peak_rss_bytes"]
+# Fields of a measurement that are kept, fields that mark one as timed, branches that hold more of them.
+MEASURES = ["satellite", "repeat", "wall_seconds", "wall_s", "read_bytes", "returned_bytes", "stored_bytes", "write_seconds", "download_seconds",
+            "local_decode_crop_seconds", "reader_seconds", "reader_wait_seconds", "source_retries", "peak_rss_bytes"]
 TIMED = ["wall_seconds", "wall_s", "write_seconds", "download_seconds"]
 BRANCHES = ["rows", "monthly_archives", "monthly_metrics", "evidence"]
-
-
-def _node(depth: int) -> str:
-    own = ["stage:string", "scope:string", "method:string", "product:string", "band:int", "profile:struct<read_mode:string>"]
-    own += [f"{m}:double" for m in MEASURES]
-    plain = f"struct<{','.join(own)}>"
-    below = _node(depth - 1) if depth else plain
-    branches = [f"{b}:array<{below}>" for b in BRANCHES] if depth else []
-    return f"struct<{','.join([*own, *branches, f'summary:{below}'])}>"
-
-
-def measurement_rows(measurements: DataFrame, depth: int = 2) -> DataFrame:
-    """One row per timed record of a nested measurement, down to ``depth`` levels of branches."""
-    level = measurements.select(F.col("kind").alias("_kind"), F.explode(F.array(F.from_json("payload", _node(depth)))).alias("n"))
-    found = []
-    for left in range(depth, -1, -1):
-        timed = F.coalesce(*[F.col(f"n.{t}") for t in TIMED]).isNotNull()
-        found.append(level.filter(timed).select(
+MEDIANS = ["wall_seconds", "returned_bytes", "peak_rss_bytes", "download_seconds", "local_decode_crop_seconds"]
+
+
+def measurement_rows(measurements: DataFrame) -> DataFrame:
+    """One row per timed record of a nested measurement, however deep it lies.
+
+    The documents are opened level by level: a record's own fields are read, its branches become the next level's
+    documents, as texts. There are as many rounds as the deepest document has levels, over ever fewer rows.
+    """
+    own = ["stage:string", "scope:string", "method:string", "product:string", "band:int", "profile:struct<read_mode:string>", *[f"{m}:double" for m in MEASURES]]
+    level, found = measurements.select(F.col("kind").alias("_kind"), F.col("payload").alias("n")), []
+    while True:
+        level = written(level.filter(F.col("n").startswith("{")), "measurements")
+        # Through a generator: field by field Spark would parse the document again for each.
+        timed = level.filter(F.arrays_overlap(F.json_object_keys("n"), F.array(*[F.lit(t) for t in TIMED])))
+        fields = timed.select("_kind", F.explode(F.array(F.from_json("n", f"struct<{','.join(own)}>"))).alias("n"))
+        found.append(fields.select(
             F.concat(F.col("_kind"), F.lit(":"), F.coalesce("n.stage", "n.scope", F.lit(""))).alias("scope"),
             F.coalesce("n.method", "n.profile.read_mode").alias("method"), F.col("n.product").alias("product"),
             F.col("n.band").alias("band"), *[F.col(f"n.{m}").alias(m) for m in MEASURES]))
-        if left:
-            children = F.flatten(F.array(*[F.coalesce(F.col(f"n.{b}"), F.array().cast(f"array<{_node(left - 1)}>")) for b in BRANCHES]))
-            level = level.select("_kind", F.explode(children).alias("n"))
-            # A child that carries a summary is represented by it.
-            bare = F.from_json(F.to_json("n.summary"), _node(left - 1))
-            level = level.select("_kind", F.when(F.col("n.summary").isNotNull(), bare).otherwise(F.col("n")).alias("n"))
+        lists = [F.get_json_object("n", f"$.{b}") for b in BRANCHES]
+        below = F.flatten(F.array(*[F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.array().cast("array<string>")) for text in lists]))
+        children = level.select("_kind", F.explode(below).alias("c"))
+        # A child that carries a summary is represented by it.
+        summed = F.coalesce(F.array_contains(F.json_object_keys("c"), "summary"), F.lit(False))
+        level = children.select("_kind", F.when(summed, F.get_json_object("c", "$.summary")).otherwise(F.col("c")).alias("n"))
+        if not level.filter(F.col("n").startswith("{")).limit(1).count():
+            break
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
     return out
 
 
-def benchmark_medians(rows: DataFrame, value: str = "wall_seconds") -> DataFrame:
-    """Exact median per (scope, method, satellite, band); NULL group values are groups of their own."""
-    keys = ["scope", "method", "satellite", "band"]
-    named = rows.filter(F.col("method").isNotNull()).select(
-        *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_{k}") for k in keys], value)
-    medians = exact_quantiles(named, [f"_{k}" for k in keys], F.col(value), [0.5], [value], bounded=True)
-    types = {"satellite": "double", "band": "int"}
-    return medians.select(*[F.nullif(f"_{k}", F.lit("")).cast(types.get(k, "string")).alias(k) for k in keys], value)
+def benchmark_medians(rows: DataFrame, values: list[str] | None = None) -> DataFrame:
+    """Exact medians per (scope, method, satellite, band); NULL group values are groups of their own."""
+    keys, values = ["scope", "method", "satellite", "band"], values or MEDIANS
+    named = rows.filter(F.col("method").isNotNull())
+    # The runs of one benchmark are few: Spark's exact percentile holds a group's distinct values in one buffer.
+    return named.groupBy(*keys).agg(*[F.percentile(F.col(v).cast("double"), 0.5).alias(v) for v in values])
 
 
 def throughput(runs: DataFrame, seconds: str = "wall_seconds", data: str = "source_bytes") -> DataFrame:

@@ -1,51 +1,48 @@
 """Ordered scans that do not put a hot key into one task.
 
-A plain ``Window.partitionBy(key)`` sorts one key in one task. The scans here cut every hot key into
-blocks of about equal population (split points come from Spark's mergeable quantile sketch), scan each
-block on its own, and pass one carry row per block along the key. Keys that are not hot are one block.
-Results do not depend on where the cuts fall. Rows that share one order value stay in one block, so the
-first order column should be fine-grained (an instant, a position) and not NULL.
+A plain ``Window.partitionBy(key)`` sorts one key in one task. The scans here range-partition all rows by key and order
+together, so that a key of any size spreads over as many ranges as its rows need, and a NULL key like any other. Each
+range is scanned on its own, and one carry row per key and range is passed along the key. There is no limit on keys, rows
+or ranges: their number is the session's shuffle partitions, which a cluster sets to its data. The ranges are written to
+the shared folder once, so that both uses of them see the same cuts, also when a task runs again. Results do not depend
+on where the cuts fall.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PARTS = 256  # blocks per hot key
-HOT_KEYS = 5_000  # only the largest keys are cut, so the split table is bounded and may be broadcast
-HOT_ROWS = 1_000_000  # a key below this fits one task
+from skyframe.session import written
 
 
-def split_points(df: DataFrame, keys: list[str], value: Column, parts: int | None = None, hot_rows: int | None = None) -> DataFrame:
-    """Inner split values of the hot keys: at most ``HOT_KEYS`` rows of at most ``parts`` numbers."""
-    parts, hot_rows = parts or PARTS, HOT_ROWS if hot_rows is None else hot_rows
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
-    hot = sizes.orderBy(F.col("_rows").desc()).limit(HOT_KEYS).select(*keys)
-    probabilities = [i / parts for i in range(1, parts)]
-    sketch = F.percentile_approx(value, probabilities, 10 * parts)
-    return df.join(F.broadcast(hot), keys, "left_semi").groupBy(*keys).agg(F.array_distinct(sketch).alias("_splits"))
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on keys that may be NULL: a NULL meets a NULL. The left side's keys stay."""
+    same = reduce(lambda x, y: x & y, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    added = [F.col(f"r.{c}") for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), same, how).select("l.*", *added)
 
 
-def with_block(df: DataFrame, keys: list[str], value: Column, parts: int | None = None, hot_rows: int | None = None) -> DataFrame:
-    """Add ``_block``: how many split values of the key are at or below the row's value (0 if not hot)."""
-    splits = split_points(df, keys, value, parts, hot_rows)
-    joined = df.join(F.broadcast(splits), keys, "left")
-    below = F.size(F.filter("_splits", lambda s: s <= value))
-    return joined.withColumn("_block", F.when(F.col("_splits").isNull(), 0).otherwise(below)).drop("_splits")
+def with_block(df: DataFrame, keys: list[str], order: list[Column], parts: int | None = None) -> DataFrame:
+    """Add ``_block``, the range of a row among all rows by key and order. Equal rows are in one block."""
+    count = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(count, *[F.col(k) for k in keys], *order)
+    return written(ranged.withColumn("_block", F.spark_partition_id()), "ranges")
 
 
 def _scan(df, keys, order, parts):
     """Blocked rows plus the window inside a block and the window along the blocks of a key."""
     columns = [F.col(o) for o in order]
-    blocked = with_block(df, keys, columns[0], parts)
+    blocked = with_block(df, keys, columns, parts)
     inside = Window.partitionBy(*keys, "_block").orderBy(*columns)
     along = Window.partitionBy(*keys).orderBy("_block")
     return blocked, inside, along
 
 
 def _attach(rows, carry, keys):
-    return rows.join(carry, [*keys, "_block"], "left")
+    return join_on(rows, carry, [*keys, "_block"])
 
 
 def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list[str],
@@ -100,17 +97,25 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], value: str
 def with_running(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str,
                  total: str | None = None, parts: int | None = None) -> DataFrame:
     """Add the running total of ``value`` up to and including the row, and the key's ``total`` if named."""
-    source = df.withColumn("_value", value)
+    return with_runnings(df, keys, order, {name: value}, {name: total} if total else {}, parts)
+
+
+def with_runnings(df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], totals: dict[str, str] | None = None,
+                  parts: int | None = None) -> DataFrame:
+    """Add several running totals in one scan, by name, and the key's totals of those that ``totals`` names."""
+    source = df.withColumns({f"_value{i}": v for i, v in enumerate(values.values())})
     blocked, inside, along = _scan(source, keys, order, parts)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = blocked.withColumn("_here", F.sum("_value").over(upto))
-    tails = blocked.groupBy(*keys, "_block").agg(F.sum("_value").alias("_part"))
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(*keys, "_block", F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_carry"),
-                         F.sum("_part").over(Window.partitionBy(*keys)).alias("_key_total"))
+    earlier, whole = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
+    n = range(len(values))
+    rows = blocked.withColumns({f"_here{i}": F.sum(f"_value{i}").over(upto) for i in n})
+    tails = blocked.groupBy(*keys, "_block").agg(*[F.sum(f"_value{i}").alias(f"_part{i}") for i in n])
+    carry = tails.select(*keys, "_block", *[F.coalesce(F.sum(f"_part{i}").over(earlier), F.lit(0)).alias(f"_carry{i}") for i in n],
+                         *[F.sum(f"_part{i}").over(whole).alias(f"_total{i}") for i in n])
     out = _attach(rows, carry, keys)
-    columns = [*df.columns, (F.coalesce("_here", F.lit(0)) + F.coalesce("_carry", F.lit(0))).alias(name)]
-    return out.select(*columns, *([F.col("_key_total").alias(total)] if total else []))
+    upto = [(F.coalesce(f"_here{i}", F.lit(0)) + F.coalesce(f"_carry{i}", F.lit(0))).alias(name) for i, name in enumerate(values)]
+    known = [F.col(f"_total{i}").alias(totals[name]) for i, name in enumerate(values) if totals and name in totals]
+    return out.select(*df.columns, *upto, *known)
 
 
 def with_running_max(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,

@@ -12,6 +12,7 @@ from skyframe.functions.checks import guard
 from skyframe.functions.times import HOUR, MINUTE, instant, literal_micros, micros
 from skyframe.operators.alignment import decimate, first_of
 from skyframe.operators.quantiles import exact_quantiles
+from skyframe.operators.sequences import join_on
 
 # Scenario name, bands, scans per hour.
 EIGHT_BANDS = (1, 2, 3, 7, 8, 9, 10, 13)
@@ -25,9 +26,9 @@ def join_truth(forecast: DataFrame, truth: DataFrame, initial: DataFrame) -> Dat
 
     forecast: run, variable, lead, cell, predicted, support, valid_time; truth: run, variable, lead, cell,
     observed, valid, source_end; initial: run, variable, cell, initial. A truth that ends after its valid
-    time fails the job.
+    time fails the job. Every forecast pixel stays: without truth or persistence it is not joint.
     """
-    rows = forecast.join(truth, ["run", "variable", "lead", "cell"]).join(initial, ["run", "variable", "cell"])
+    rows = forecast.join(truth, ["run", "variable", "lead", "cell"], "left").join(initial, ["run", "variable", "cell"], "left")
     rows = guard(rows, F.col("source_end").isNull() | (F.col("source_end") <= F.col("valid_time")), "Evaluation holds future observations")
     ok = F.col("support") & F.col("valid") & dc.finite("predicted") & dc.finite("observed") & dc.finite("initial")
     return rows.withColumn("joint", F.coalesce(ok, F.lit(False)))
@@ -202,7 +203,7 @@ def compare_parallax(cells: DataFrame, keys: list[str]) -> DataFrame:
         F.avg(diff).alias("mean_difference"), F.greatest(F.max(F.abs(diff)), F.lit(1e-6)).alias("limit"), F.avg(F.col("_both").cast("double")).alias("common_share"))
     pooled = rows.filter("_both").select(*keys, F.explode(F.array("plain", "moved")).alias("v"))
     edges = exact_quantiles(pooled, keys, F.col("v"), [0.02, 0.98], ["low", "high"])
-    return out.join(edges, keys, "left")
+    return join_on(out, edges, keys)
 
 
 def pilot_observations(obs: DataFrame, hours: tuple[int, ...] = (4, 16), variable: str = "variable", time: str = "time", ident: str = "asset_id") -> DataFrame:
@@ -216,6 +217,6 @@ def pilot_displacement(moved: DataFrame, keys: list[str]) -> DataFrame:
     """Per pilot observation the median and largest displacement and the valid share."""
     facts = moved.groupBy(*keys).agg(F.max("displacement_km").alias("max_km"), F.avg(F.col("valid").cast("double")).alias("valid_fraction"))
     medians = exact_quantiles(moved, keys, F.col("displacement_km"), [0.5], ["median_km"])
-    return facts.join(medians, keys, "left")
+    return join_on(facts, medians, keys)
 
 

@@ -212,14 +212,13 @@ def j23(spark, folder):
 
 @query("j24_observation_at", f"""
 WITH {OBSERVATIONS}, {ALIGNED}
-SELECT asset_id, variable, time, slot_time FROM aligned WHERE variable = 'click'
-AND slot_time = (SELECT max(slot_time) FROM aligned WHERE variable = 'click' AND slot_time <= TIMESTAMP '2024-01-16 12:00:00')""")
+SELECT asset_id, variable, time, slot_time FROM aligned
+WHERE (variable, slot_time) IN (SELECT (variable, max(slot_time)) FROM aligned GROUP BY variable, date_trunc('day', slot_time))""")
 def j24(spark, folder):
+    """The last slot of every variable and day."""
     rows = aligned(spark, folder)
-    cut = F.lit("2024-01-16 12:00:00").cast("timestamp_ntz")
-    inside = rows.filter((F.col("variable") == "click") & (F.col("slot_time") <= cut))
-    out = inside.agg(F.max(F.struct("slot_time", "asset_id", "variable", "time")).alias("best"))
-    return out.select("best.asset_id", "best.variable", "best.time", "best.slot_time")
+    asked = rows.groupBy("variable", F.date_trunc("day", "slot_time").alias("_day")).agg(F.max("slot_time").alias("slot_time"))
+    return al.observations_at(rows, asked).select("asset_id", "variable", "time", "slot_time")
 
 
 def _window_sql(history, targets, variables, rows="aligned", start=_T0, end=_T1):

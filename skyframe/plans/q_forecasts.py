@@ -183,13 +183,13 @@ def j13b(spark, folder):
 
 @query("j14_rain_context", f"""
 WITH {OBSERVATIONS}, {STORMS},
-f AS (SELECT epoch_us(time) AS u, max_by(quality / 100.0::DOUBLE, value) AS vf, max(value) AS peak FROM observations WHERE variable = 'view' GROUP BY ALL),
+f AS (SELECT epoch_us(time) AS u, max_by(quality / 100.0::DOUBLE, value) AS vf, max(value) AS peak FROM observations GROUP BY ALL),
 h AS (SELECT s.event_id, s.hour, epoch_us(s.hour) AS w FROM storm_hours s),
 j AS (SELECT h.event_id, CASE WHEN w - u <= 300000000 THEN vf END AS vf, CASE WHEN w - u <= 300000000 THEN peak END AS peak FROM h ASOF LEFT JOIN f ON h.w >= f.u)
 SELECT s.event_id, count(*) FILTER (vf > 0) AS hours_observed, round(coalesce(avg(vf) FILTER (vf > 0), 0), 9) AS valid_fraction, max(peak) FILTER (vf > 0) AS peak
 FROM storms s LEFT JOIN j USING (event_id) GROUP BY s.event_id""")
 def j14(spark, folder):
-    frames = observations(spark, folder).filter("variable = 'view'").groupBy("time").agg(
+    frames = observations(spark, folder).groupBy("time").agg(
         F.max_by(F.col("quality") / 100.0, "value").alias("valid_fraction"), F.max("value").alias("peak"))
     out = fc.rain_context(storm_events(spark, folder), frames)
     return out.withColumn("valid_fraction", F.round("valid_fraction", 9))
@@ -312,9 +312,9 @@ def e03(spark, folder):
 
 @query("e06_hourly_at_minute", f"""
 WITH {OBSERVATIONS}, {HOURS},
-s AS (SELECT *, epoch_us(time) AS u, epoch_us(time) + ((600000000 - epoch_us(time) % 600000000) % 600000000) AS slot FROM observations WHERE variable = 'view'),
+s AS (SELECT *, epoch_us(time) AS u, epoch_us(time) + ((600000000 - epoch_us(time) % 600000000) % 600000000) AS slot FROM observations),
 m AS (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY u DESC, key) AS r FROM s WHERE slot - u <= 300000000 AND slot < {literal_micros(END)})
 SELECT h.hour, m.asset_id, m.time AS source_time FROM hours h LEFT JOIN m ON m.r = 1 AND m.slot = epoch_us(h.hour) + 600000000""")
 def e06(spark, folder):
-    matched = al.match_previous(observations(spark, folder).filter("variable = 'view'"), START, END, 10, 5, ["variable"])
+    matched = al.match_previous(observations(spark, folder).withColumn("variable", F.lit("all")), START, END, 10, 5, ["variable"])
     return fc.hourly_at_minute(matched.withColumnRenamed("time", "source_time"), START, END)

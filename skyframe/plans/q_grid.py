@@ -337,7 +337,8 @@ def a25(spark, folder):
 _JOINED = """
 j AS (
   SELECT a.vec_id AS run, a.variable, 10 * (1 + a.vec_id % 3) AS lead, a.cell, a.value AS predicted, b.value AS observed, p.value AS initial,
-    a.valid AND b.valid AS joint FROM cells a JOIN cells b ON b.vec_id = a.vec_id + 1 AND b.cell = a.cell JOIN cells p ON p.vec_id = a.vec_id - 1 AND p.cell = a.cell)
+    coalesce(a.valid AND b.valid AND p.value IS NOT NULL, false) AS joint
+  FROM cells a LEFT JOIN cells b ON b.vec_id = a.vec_id + 1 AND b.cell = a.cell LEFT JOIN cells p ON p.vec_id = a.vec_id - 1 AND p.cell = a.cell)
 """
 
 
@@ -638,7 +639,7 @@ def a18c(spark, folder):
 
 _COUNTS = """
 c AS (SELECT variable AS scenario, satellite, band, count(*) AS files FROM observations GROUP BY ALL),
-q AS (SELECT satellite, band, quantile_cont(size::DOUBLE, 0.1) AS low, quantile_cont(size::DOUBLE, 0.5) AS central, quantile_cont(size::DOUBLE, 0.9) AS high FROM observations WHERE variable = 'view' AND NOT (band = 8 AND satellite = 1) GROUP BY ALL)
+q AS (SELECT satellite, band, quantile_cont(size::DOUBLE, 0.1) AS low, quantile_cont(size::DOUBLE, 0.5) AS central, quantile_cont(size::DOUBLE, 0.9) AS high FROM observations WHERE NOT (band = 8 AND satellite = 1) GROUP BY ALL)
 """
 
 
@@ -651,7 +652,7 @@ def a19(spark, folder):
     rows = observations(spark, folder)
     counts = rows.groupBy(F.col("variable").alias("scenario"), "satellite", "band").agg(F.count(F.lit(1)).alias("files"))
     counts = counts.filter("scenario <> 'click' or not (band = 8 and satellite = 1)")
-    samples = rows.filter("variable = 'view' and not (band = 8 and satellite = 1)")
+    samples = rows.filter("not (band = 8 and satellite = 1)")
     out = sd.size_estimate(counts, samples, "size", sd.PROVENANCE_BYTES)
     return out.select("scenario", *[F.round(c, 3).alias(c) for c in ("low", "central", "high")])
 

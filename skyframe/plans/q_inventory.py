@@ -107,24 +107,24 @@ def a11(spark, folder):
 WITH {OBSERVATIONS},
 h AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS hour),
 c AS (SELECT date_trunc('hour', time) AS hour, count(*) AS n, list_sort(list(DISTINCT CASE WHEN quality < 15 THEN '3' ELSE '6' END)) AS m
-  FROM observations WHERE variable = 'view' GROUP BY ALL)
+  FROM observations GROUP BY ALL)
 SELECT h.hour, coalesce(n, 0) AS observed_files, coalesce(array_to_string(m, ','), '') AS scan_modes,
   CAST(CASE WHEN m = ['6'] THEN 48 WHEN m = ['3'] THEN 32 END AS BIGINT) AS expected_files,
   CASE WHEN m = ['6'] OR m = ['3'] THEN '' ELSE 'not inferred for absent, mixed or unsupported scan modes' END AS note
 FROM h LEFT JOIN c USING (hour)""")
 def a17(spark, folder):
-    rows = observations(spark, folder).filter("variable = 'view'").withColumn("mode", F.when(F.col("quality") < 15, "3").otherwise("6"))
+    rows = observations(spark, folder).withColumn("mode", F.when(F.col("quality") < 15, "3").otherwise("6"))
     return iv.acquisition_coverage(rows, START, END, bands=8)
 
 
 @query("a20_selection_summary", f"""
 WITH {OBSERVATIONS},
-s AS (SELECT *, epoch_us(time) AS u, epoch_us(time) + ((3600000000 - epoch_us(time) % 3600000000) % 3600000000) AS slot FROM observations WHERE variable = 'view'),
+s AS (SELECT *, epoch_us(time) AS u, epoch_us(time) + ((3600000000 - epoch_us(time) % 3600000000) % 3600000000) AS slot FROM observations),
 m AS (SELECT slot, arg_max(u, (u, -asset_id)) AS u FROM s WHERE slot - u <= 1800000000 AND slot < {literal_micros(END)} GROUP BY slot)
 SELECT (SELECT count(*) FROM s) AS files, (SELECT round(sum(size) / 1e6, 6) FROM s) AS source_mb, 744::BIGINT AS expected_slots,
   744 - (SELECT count(*) FROM m) AS missing_slots, (SELECT count(*) FROM m WHERE u <> slot) AS shifted_matches""")
 def a20(spark, folder):
-    rows = observations(spark, folder).filter("variable = 'view'")
+    rows = observations(spark, folder).withColumn("variable", F.lit("all"))
     matches = match_previous(rows, START, END, 60, 30, ["variable"])
     hours = spark.range(literal_micros(START), literal_micros(END), 3_600_000_000).select(
         F.timestamp_micros("id").cast("timestamp_ntz").alias("slot_time"))
@@ -135,11 +135,12 @@ def a20(spark, folder):
 WITH {ARCHIVES}, {TASKS}
 SELECT source, product, month, band, selected, greatest(checkpointed, completed) AS accounted, completed AS verified,
   round(100.0 * greatest(checkpointed, completed) / nullif(selected, 0), 1) AS percent, status,
-  CASE WHEN status <> 'failed' THEN make_timestamp(CAST(updated_at * 1000000 AS BIGINT)) END AS started_utc, task_id AS archive FROM tasks""")
+  CASE WHEN status <> 'failed' THEN make_timestamp(CAST(updated_at * 1000000 AS BIGINT)) END AS started_utc,
+  make_timestamp(CAST(updated_at * 1000000 AS BIGINT)) AS updated_utc, task_id AS archive FROM tasks WHERE task_id LIKE '%-raw'""")
 def a33(spark, folder):
     stamp = F.when(F.col("status") != "failed", F.col("updated_at").cast("string")).otherwise("unknown")
     rows = tasks(spark, folder).withColumn("metrics_json", F.to_json(F.struct(stamp.alias("attempt_started_at"))))
-    return iv.task_progress_table(rows)
+    return iv.task_progress_table(rows, "%-raw")
 
 
 @query("a36_archive_accounting", """
@@ -359,11 +360,11 @@ def f14(spark, folder):
 
 
 @query("f15_product_choice", f"""
-WITH {ARCHIVES}, h AS (SELECT DISTINCT satellite, band FROM archives WHERE band IS NOT NULL AND year = 1995 AND band < 6),
+WITH {ARCHIVES}, h AS (SELECT DISTINCT satellite, band FROM archives WHERE band IS NOT NULL),
 r AS (SELECT c_custkey AS request_id, CAST(16 + c_nationkey % 2 * 3 AS INTEGER) AS satellite, CAST(c_custkey % 8 + 1 AS INTEGER) AS b1, CAST(c_nationkey % 8 + 1 AS INTEGER) AS b2 FROM customer)
 SELECT request_id, r.satellite, CASE WHEN EXISTS (SELECT 1 FROM h WHERE h.satellite = r.satellite AND h.band IN (b1, b2)) THEN 'single' ELSE 'multiband' END AS product FROM r""")
 def f15(spark, folder):
-    have = archives(spark, folder).filter("band is not null and year = 1995 and band < 6")
+    have = archives(spark, folder).filter("band is not null")
     requests = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("request_id"), (F.lit(16) + F.col("c_nationkey") % 2 * 3).cast("int").alias("satellite"),
         F.array((F.col("c_custkey") % 8 + 1).cast("int"), (F.col("c_nationkey") % 8 + 1).cast("int")).alias("bands"))

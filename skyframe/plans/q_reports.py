@@ -156,9 +156,11 @@ def r03(spark, folder):
 
 @query("a23_measurement_medians", """
 WITH m AS (SELECT o_orderpriority AS stage, o_custkey % 3 AS mode, CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE (16 + o_custkey % 2)::DOUBLE END AS satellite,
-  CAST(o_custkey % 8 + 1 AS INTEGER) AS band, o_totalprice / 100.0::DOUBLE AS wall_seconds FROM orders)
+  CAST(o_custkey % 8 + 1 AS INTEGER) AS band, o_totalprice / 100.0::DOUBLE AS wall_seconds, (o_custkey % 1000)::DOUBLE AS download_seconds,
+  (o_orderkey % 5000)::DOUBLE AS returned_bytes, CASE WHEN o_custkey % 7 = 0 THEN (o_orderkey % 900)::DOUBLE END AS peak_rss_bytes FROM orders)
 SELECT 'fetch:' || stage AS scope, CASE mode WHEN 0 THEN 'direct' ELSE 'staged' END AS method, satellite, band,
-  round(quantile_cont(wall_seconds, 0.5), 6) AS wall_seconds FROM m WHERE mode <> 2 GROUP BY ALL""")
+  round(quantile_cont(wall_seconds, 0.5), 6) AS wall_seconds, quantile_cont(returned_bytes, 0.5) AS returned_bytes, quantile_cont(peak_rss_bytes, 0.5) AS peak_rss_bytes,
+  quantile_cont(download_seconds, 0.5) AS download_seconds, NULL::DOUBLE AS local_decode_crop_seconds FROM m WHERE mode <> 2 GROUP BY ALL""")
 def a23(spark, folder):
     o = table(spark, folder, "orders")
     mode = F.col("o_custkey") % 3
@@ -166,10 +168,14 @@ def a23(spark, folder):
         F.col("o_orderpriority").alias("stage"), F.when(mode == 0, "direct").alias("method"),
         F.when(mode == 1, F.struct(F.lit("staged").alias("read_mode"))).alias("profile"),
         F.when(F.col("o_custkey") % 4 != 0, (16 + F.col("o_custkey") % 2).cast("double")).alias("satellite"),
-        (F.col("o_custkey") % 8 + 1).cast("int").alias("band"), (F.col("o_totalprice") / 100.0).alias("wall_seconds"))
-    # Half of the records sit one level down, under "rows" and their "summary".
+        (F.col("o_custkey") % 8 + 1).cast("int").alias("band"), (F.col("o_totalprice") / 100.0).alias("wall_seconds"),
+        (F.col("o_custkey") % 1000).cast("double").alias("download_seconds"), (F.col("o_orderkey") % 5000).alias("returned_bytes"),
+        F.when(F.col("o_custkey") % 7 == 0, F.col("o_orderkey") % 900).alias("peak_rss_bytes"))
+    # A record lies at the top, one level down under "rows" and its "summary", or four levels down.
     nested = F.struct(F.array(F.struct(record.alias("summary"))).alias("rows"))
-    payload = F.when(F.col("o_orderkey") % 2 == 0, F.to_json(nested)).otherwise(F.to_json(record))
+    deep = F.struct(F.array(F.struct(F.array(F.struct(F.array(nested).alias("evidence"))).alias("monthly_metrics"))).alias("monthly_archives"))
+    third = F.col("o_orderkey") % 3
+    payload = F.when(third == 0, F.to_json(nested)).when(third == 1, F.to_json(deep)).otherwise(F.to_json(record))
     rows = rp.measurement_rows(o.select(F.lit("fetch").alias("kind"), payload.alias("payload")))
     return rp.benchmark_medians(rows).withColumn("wall_seconds", F.round("wall_seconds", 6))
 

@@ -130,14 +130,14 @@ def t03(spark, folder):
 WITH {OBSERVATIONS}
 SELECT variable, band, date_trunc('hour', time)::TIMESTAMP AS scan, max(key) AS key FROM observations GROUP BY ALL""")
 def t04(spark, folder):
-    """Listings come twice and in two runs; a newer processing of a scan replaces the older one."""
+    """Listings come twice and in two runs; a newer processing of a scan replaces the older one, and most of the second
+    run's scans are older than all of the first run's."""
     root = new_folder(spark, "listing")
-    rows = observations(spark, folder).select("asset_id", "variable", "band", "key", F.col("time").cast("timestamp").alias("listed_at"),
-                                              F.date_trunc("hour", "time").cast("timestamp_ntz").alias("scan"))
-    for part in ("band <= 4", "band > 2"):
+    rows = observations(spark, folder).select("asset_id", "variable", "band", "key", F.date_trunc("hour", "time").cast("timestamp_ntz").alias("scan"))
+    for part in ("scan >= '2024-01-12'", "scan < '2024-01-20'"):
         rows.filter(part).write.mode("append").parquet(f"{root}/in")
-        stream = ig.unseen_listings(ig.read_folder(spark, f"{root}/in", rows.schema, "parquet"), "listed_at", "40 days")
-        ig.drain(stream, f"{root}/checkpoint", ig.listing_writer(f"{root}/archive", ["variable", "band", "scan"]))
+        stream = ig.newer_listings(ig.read_folder(spark, f"{root}/in", rows.schema, "parquet"), ["variable", "band", "scan"])
+        ig.drain(stream, f"{root}/checkpoint", ig.folder_writer(f"{root}/archive"))
     return ig.current_listing(spark, f"{root}/archive", ["variable", "band", "scan"]).select("variable", "band", "scan", "key")
 
 

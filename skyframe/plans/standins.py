@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyframe.functions.times import literal_micros
 from skyframe.plans.registry import table
 
 # The calendar range that holds every row of the events table.
@@ -296,28 +297,25 @@ FORECAST_RECORDS = [
 
 
 def forecast_listing(spark: SparkSession, folder: str) -> DataFrame:
-    """events as published forecast files: one per six-hour cycle and lead."""
+    """events as published forecast files: every event is one lead of a six-hour cycle, so cycles grow with the table."""
     ev = table(spark, folder, "events")
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    cycle = us - F.pmod(us, F.lit(6 * 3_600_000_000))
+    cycle = literal_micros(START) + F.floor(F.col("event_id") / 61) * 6 * 3_600_000_000
     rows = ev.select(cycle.alias("c"), (F.col("event_id") % 61).cast("int").alias("lead"), "event_id", "user_id", "value")
-    one = rows.groupBy("c", "lead").agg(F.min_by(F.struct("event_id", "user_id", "value"), "event_id").alias("e"))
-    late = (F.col("e.event_id") % 7 + 1) * 3_600_000_000
-    return one.select(
+    late = (F.col("event_id") % 7 + 1) * 3_600_000_000
+    return rows.select(
         F.timestamp_micros("c").cast("timestamp_ntz").alias("cycle"), "lead",
         F.concat(F.lit("f/"), F.date_format(F.timestamp_micros("c"), "yyyyMMddHH"), F.lit("/"), F.lpad(F.col("lead").cast("string"), 2, "0")).alias("key"),
-        F.col("e.event_id").cast("string").alias("etag"), (F.floor(F.col("e.value") * 10) + 10000).cast("long").alias("size"),
-        F.when(F.col("e.user_id") % 10 != 0, F.lit(900)).alias("index_size"),
-        F.when(F.col("e.user_id") % 17 != 0, F.timestamp_micros(F.col("c") + late).cast("timestamp_ntz")).alias("modified"))
+        F.col("event_id").cast("string").alias("etag"), (F.floor(F.col("value") * 10) + 10000).cast("long").alias("size"),
+        F.when(F.col("user_id") % 10 != 0, F.lit(900)).alias("index_size"),
+        F.when(F.col("user_id") % 17 != 0, F.timestamp_micros(F.col("c") + late).cast("timestamp_ntz")).alias("modified"))
 
 
-LISTING = """
+LISTING = f"""
 listing AS (
   SELECT make_timestamp(c) AS cycle, lead, 'f/' || strftime(make_timestamp(c), '%Y%m%d%H') || '/' || lpad(CAST(lead AS VARCHAR), 2, '0') AS key,
          CAST(event_id AS VARCHAR) AS etag, CAST(floor(value * 10) AS BIGINT) + 10000 AS size, CASE WHEN user_id % 10 <> 0 THEN 900 END AS index_size,
          CASE WHEN user_id % 17 <> 0 THEN make_timestamp(c + (event_id % 7 + 1) * 3600000000) END AS modified
-  FROM (SELECT epoch_us(ts) - epoch_us(ts) % 21600000000 AS c, CAST(event_id % 61 AS INTEGER) AS lead, event_id, user_id, value,
-          row_number() OVER (PARTITION BY epoch_us(ts) // 21600000000, event_id % 61 ORDER BY event_id) AS r FROM events) WHERE r = 1)
+  FROM (SELECT {literal_micros(START)} + (event_id // 61) * 21600000000 AS c, CAST(event_id % 61 AS INTEGER) AS lead, event_id, user_id, value FROM events))
 """
 
 

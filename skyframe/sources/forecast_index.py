@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyframe.functions.checks import guard
-from skyframe.operators.sequences import with_previous
 
 # Chosen record per channel: name, field code, level, statistic.
 CORE = [
@@ -52,10 +51,10 @@ def parse_byte_index(lines: DataFrame, key: str = "key", line: str = "line", siz
     rows = lines.filter((F.size(parts) >= 6) & number.rlike(r"^\d+$")).select(
         key, size, number.cast("long").alias("start"), parts[3].alias("field"), parts[4].alias("level"), parts[5].alias("descriptor"))
     rows = guard(rows, F.col("start") < F.col(size), "Malformed index offsets")
-    offsets = rows.select(key, size, "start").distinct().withColumn("_back", -F.col("start"))
-    ends = with_previous(offsets, [key], ["_back"], ["start"], prefix="next_")
-    ends = ends.select(key, "start", F.coalesce("next_start", size).alias("stop"))
-    return rows.join(ends, [key, "start"]).select(key, "start", "stop", "field", "level", "descriptor")
+    # One file's index is small, so a window over it does; equal offsets share their end.
+    later = Window.partitionBy(key).orderBy("start").rangeBetween(1, Window.unboundedFollowing)
+    stop = F.coalesce(F.min("start").over(later), F.col(size))
+    return rows.select(key, "start", stop.alias("stop"), "field", "level", "descriptor")
 
 
 def match_records(records: DataFrame, specs: DataFrame, lead: str = "lead") -> DataFrame:

@@ -113,7 +113,7 @@ def inventory(observations: DataFrame, source: str | None = None, start: str | N
     if band is not None:
         keep = keep & (F.col("band").isNull() | (F.col("band") == band))
     rows = observations.filter(keep)
-    probe = rows.select(F.lit(1).alias("_one")).limit(limit).agg(F.count(F.lit(1)).alias("_n"))
+    probe = rows.agg(F.count(F.lit(1)).alias("_n"))
     probe = guard(probe, F.col("_n") < limit, "Too many observations match; choose a shorter period")
     checked = rows.join(F.broadcast(probe), F.col("_n") >= 0).drop("_n")  # one row: the guard
     ident = checked.withColumn("_id", F.coalesce("asset_id", "path"))
@@ -143,7 +143,7 @@ def selected_archives(manifests: DataFrame, source: str | None = None, product:
         return test
 
     rows = manifests.filter(keep).withColumn("assets", F.filter("assets", inside)).filter(F.size("assets") > 0)
-    return rows.dropDuplicates(["path"]).withColumn("selected_observations", F.size("assets").cast("long"))
+    return first_of(rows, ["path"], [F.to_json(F.struct(*[F.col(c) for c in rows.columns]))]).drop("_rank").withColumn("selected_observations", F.size("assets").cast("long"))
 
 
 def observation_index(assets: DataFrame, start: str, end: str, region: list[float], variable: Column,

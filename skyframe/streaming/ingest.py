@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from skyframe.functions.checks import guard
 from skyframe.functions.identity import fingerprint
 from skyframe.operators.alignment import newest_version
 from skyframe.operators.studies import merge_months, radar_month_cells
+from skyframe.session import STATE_STORE
 from skyframe.streaming.rates import counter_steps, interval_parts
 
 
@@ -56,23 +59,46 @@ def materialise(stream: DataFrame, target: str, checkpoint: str, columns: list[s
     drain(stream, checkpoint, batch_writer(target, columns, partitions))
 
 
-def unseen_listings(stream: DataFrame, time: str, delay: str, key: str = "asset_id") -> DataFrame:
-    """Listed objects once each, however often they are listed within the watermark."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+class ListingProcessor(StatefulProcessor):
+    """Of the listed processings of one scan the newest, if it is newer than any before. State is one value per scan,
+    so neither the archive nor earlier batches are read; a batch that is run again starts from the state before it."""
 
+    def __init__(self, key: str, version: str):
+        self.key, self.version = key, version
 
-def listing_writer(archive: str, scan_keys: list[str], key: str = "asset_id", version: str = "key") -> Callable[[DataFrame, int], None]:
-    """Append what the archive does not hold; of several processings of one scan in a batch the newest."""
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", "version string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known = self.newest.get()[0] if self.newest.exists() else None
+        best = None
+        for chunk in rows:
+            chunk = chunk[chunk[self.version].notna()]
+            if len(chunk):
+                top = chunk.sort_values([self.version, self.key], kind="stable").iloc[-1:]
+                if best is None or top[self.version].iloc[0] > best[self.version].iloc[0]:
+                    best = top
+        if best is not None and (known is None or best[self.version].iloc[0] > known):
+            self.newest.update((best[self.version].iloc[0],))
+            yield best
+
+    def close(self) -> None:
+        pass
+
+
+def newer_listings(stream: DataFrame, scan_keys: list[str], key: str = "asset_id", version: str = "key") -> DataFrame:
+    """Listed objects that are the newest processing of their scan so far. An object that is listed again, or an
+    older processing, adds nothing, whenever it comes: an old scan may be listed late."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return stream.groupBy(*scan_keys).transformWithStateInPandas(
+        statefulProcessor=ListingProcessor(key, version), outputStructType=stream.schema, outputMode="Append", timeMode="None")
+
+
+def folder_writer(target: str) -> Callable[[DataFrame, int], None]:
+    """A batch under its own id; a batch that is run again replaces what it wrote before."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        newest = newest_version(batch, scan_keys, version)[0]
-        earlier = spark.read.schema(batch.schema).parquet(f"{archive}/batch=*") if batch_id else spark.createDataFrame([], batch.schema)
-        earlier = earlier.select(key, *scan_keys, F.col(version).alias("_version"))
-        fresh = newest.join(earlier.select(key), key, "left_anti")
-        known = earlier.groupBy(*scan_keys).agg(F.max("_version").alias("_version"))
-        better = fresh.join(known, scan_keys, "left").filter(F.col("_version").isNull() | (F.col(version) > F.col("_version")))
-        better.drop("_version").write.mode("overwrite").parquet(f"{archive}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return write
 

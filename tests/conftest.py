@@ -20,9 +20,9 @@ def spark():
 
 
 @pytest.fixture
-def cut_keys(monkeypatch):
-    """Make every key hot, so that the blocked paths run on small data."""
-    from skyframe.operators import sequences
-
-    monkeypatch.setattr(sequences, "HOT_ROWS", 0)
-    monkeypatch.setattr(sequences, "PARTS", 5)
+def cut_keys(spark):
+    """More ranges than keys, so that keys are cut even on small data."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -37,11 +37,18 @@ def test_radar_example(spark):
 
 
 def test_scan_calibration_stays_with_its_scan(spark):
-    meta = '{"variables":{"CMI":{"attrs":{"scale_factor":%d,"add_offset":0,"_FillValue":65535,"valid_range":[0,-2]}}}}'
-    df = spark.createDataFrame([(1, 10, meta % 2), (2, 10, meta % 7)], "scan int, raw int, source_metadata_json string")
+    meta = '{"variables":{"CMI":{"attrs":{"scale_factor":%d,"add_offset":0,"_FillValue":65535,"valid_range":[0,-2]%s}}}}'
+    df = spark.createDataFrame([(1, 10, meta % (2, ',"_Unsigned":"True"')), (2, 10, meta % (7, ""))], "scan int, raw int, source_metadata_json string")
     rows = dc.restore_calibration(df).orderBy("scan").collect()
     assert [r.raw * r.scale + r.offset for r in rows] == [20.0, 70.0]
-    assert (rows[0].low, rows[0].high) == (0, 65534)
+    assert (rows[0].low, rows[0].high) == (0, 65534) and (rows[1].low, rows[1].high) == (0, -2)
+
+
+def test_signed_scans_stay_signed(spark):
+    meta = '{"variables":{"CMI":{"attrs":{"scale_factor":1,"add_offset":0,"_Unsigned":"false","valid_range":[-100,100]}}}}'
+    df = dc.restore_calibration(spark.createDataFrame([(-10, 0, meta)], "raw int, quality int, source_metadata_json string"))
+    row = px.decode_satellite(df).first()
+    assert (row["class"], row.value) == (0, -10.0)
 
 
 def test_pixel_statistics_example(spark):

@@ -70,10 +70,9 @@ def test_asof_both_ways(spark, cut_keys):
 
 
 @pytest.mark.parametrize("cut", [False, True])
-def test_exact_quantiles(spark, cut, monkeypatch):
+def test_exact_quantiles(spark, cut, request):
     if cut:
-        monkeypatch.setattr(sq, "HOT_ROWS", 0)
-        monkeypatch.setattr(sq, "PARTS", 4)
+        request.getfixturevalue("cut_keys")
     rng = np.random.default_rng(3)
     data = [("a", float(v)) for v in rng.normal(size=333)] + [("b", float(v)) for v in rng.integers(0, 4, 57)] + [("c", 5.0), ("d", None)]
     df = spark.createDataFrame(data, "k string, v double")
@@ -86,3 +85,22 @@ def test_exact_quantiles(spark, cut, monkeypatch):
     few = {r.k: r for r in exact_quantiles(df, ["k"], F.col("v"), probs, [f"q{i}" for i in range(6)], bounded=True).collect()}
     assert few["b"].q2 == pytest.approx(got["b"].q2)
     assert exact_quantiles(df, [], F.col("v"), [0.5], ["m"]).first().m == pytest.approx(np.median([v for _, v in data if v is not None]))
+
+
+def test_null_keys_are_keys(spark, cut_keys):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0), ("a", None)], "k string, v double")
+    got = {r.k: r.m for r in exact_quantiles(df, ["k"], F.col("v"), [0.5], ["m"]).collect()}
+    assert got == {None: 2.0, "a": 2.0}
+    runs = sq.with_running(spark.createDataFrame([(None, i, i) for i in range(50)], "k string, o long, v long"), ["k"], ["o"], F.col("v"), "s", total="t")
+    assert {(r.o, r.s, r.t) for r in runs.collect()} == {(i, i * (i + 1) // 2, 1225) for i in range(50)}
+
+
+def test_a_third_of_the_rows_in_one_key(spark, cut_keys):
+    """One scan equals the plain window, whatever the sizes of the keys."""
+    from pyspark.sql import Window
+
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 97).alias("k"), F.xxhash64("id").alias("o"), (F.col("id") % 11).alias("v"))
+    plain = Window.partitionBy("k").orderBy("o")
+    want = df.select("k", "o", F.sum("v").over(plain.rowsBetween(Window.unboundedPreceding, 0)).alias("s"), F.lag("v").over(plain).alias("prev_v"))
+    got = sq.with_previous(sq.with_running(df, ["k"], ["o"], F.col("v"), "s"), ["k"], ["o"], ["v"]).select("k", "o", "s", "prev_v")
+    assert got.exceptAll(want).count() == 0 and got.count() == 6000

@@ -88,3 +88,17 @@ def test_month_twice_in_the_state_fails(spark, tmp_path):
     write(rows, 1)
     with pytest.raises(Exception, match="twice"):
         ig.year_cells(spark, f"{tmp_path}/state").collect()
+
+
+def test_listings_survive_retries_and_late_scans(spark, tmp_path):
+    """A second listing of a scan adds nothing, a newer processing does, and an old scan may come last."""
+    schema = "asset_id string, scan string, key string"
+    batches = [[("a", "2024-03-01", "k2"), ("a", "2024-03-01", "k2"), ("b", "2024-03-01", "k1")], [("a", "2024-03-01", "k2"), ("c", "2024-01-01", "k0")], [("d", "2024-03-01", "k3"), ("e", None, "k9")]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = ig.newer_listings(ig.read_folder(spark, f"{tmp_path}/in", schema, "parquet"), ["scan"])
+        write = ig.folder_writer(f"{tmp_path}/archive")
+        ig.drain(stream, f"{tmp_path}/checkpoint", lambda df, n: (write(df, n), write(df, n)))
+    held = spark.read.parquet(f"{tmp_path}/archive")
+    assert sorted(r.asset_id for r in held.collect()) == ["a", "c", "d", "e"]
+    assert {r.scan: r.key for r in ig.current_listing(spark, f"{tmp_path}/archive", ["scan"]).collect()} == {"2024-01-01": "k0", "2024-03-01": "k3"}  # a scan without a time has no newest
