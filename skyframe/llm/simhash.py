@@ -17,6 +17,7 @@ from skyframe.session import written
 PIVOTS = 24  # reference fingerprints of a distance table
 SLOTS = 128  # smallest shingle hashes kept for the similarity check, by hash class
 BANDS = 16  # pairs of slots that let similar documents meet
+ROOM = 0.05  # by so much both estimates of a similarity may fall short: about one and a half standard errors of the sketch
 SMALL = 24  # runs up to this many fingerprints are compared by shifts, longer ones by expanding groups
 PIECE = 1 << 22  # comparisons at a time
 
@@ -222,7 +223,7 @@ def near_groups(docs: DataFrame, words: int = 4, max_bits: int = 4, similarity:
 
     Shingles are runs of ``words`` words over whole texts. Without ``similarity`` two fingerprints link at ``max_bits`` or
     fewer differing bits. With it, they link if the cosine that the fingerprints estimate and the share of shingles that
-    sketches of both texts estimate are at least ``similarity``. Equal texts fall together before anything is compared.
+    sketches of both texts estimate are at least ``similarity``, with ``ROOM`` for the error of the estimates. Equal texts fall together before anything is compared.
 
     Null and empty texts have fingerprint zero and link like any other; so do texts of a few words. A null doc_id is
     grouped but never names a group. Rows that repeat a doc_id come back as often. An empty table gives no rows. Other
@@ -233,7 +234,8 @@ def near_groups(docs: DataFrame, words: int = 4, max_bits: int = 4, similarity:
     prints = written(fingerprints(rows, words, seed, similar), "fingerprints")
     same = ["fingerprint", "marks"] if similar else ["fingerprint"]
     classes = prints.groupBy(*same).agg(F.min("doc_id").alias("node"))
-    found = links(classes.filter("node is not null"), cosine_bits(similarity) if similar else max_bits, similarity)
+    wanted = similarity - ROOM if similar else None
+    found = links(classes.filter("node is not null"), cosine_bits(wanted) if similar else max_bits, wanted)
     grouped = components(found)
     named = classes.join(grouped, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
     out = prints.join(named, same)
