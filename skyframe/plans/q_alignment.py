@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from skyframe.functions.times import literal_micros
 from skyframe.operators import alignment as al
-from skyframe.plans.registry import query
+from skyframe.operators.sequences import with_previous, with_running
+from skyframe.plans.registry import query, table
 from skyframe.plans.standins import END, OBSERVATIONS, START, observations
 
 _T0, _T1 = literal_micros(START), literal_micros(END)
@@ -267,3 +268,14 @@ def w05(spark, folder):
     obs = observations(spark, folder).withColumn("_us", F.unix_micros(F.col("time").cast("timestamp")))
     rows = al.change_points(obs, ["variable"], ["_us", "key"], "band")
     return rows.select("variable", "time", "key", "from_band", "band")
+
+
+@query("w05_hot_key_running", """
+SELECT event_id, sum(CAST(round(value * 100) AS BIGINT)) OVER w::BIGINT AS upto, lag(event_id) OVER w AS before
+FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id % 50 END AS k FROM events) WINDOW w AS (PARTITION BY k ORDER BY ts, event_id)""")
+def w05h(spark, folder):
+    """Ordered scans with a third of the rows in one key, which is NULL."""
+    key = F.when(F.col("event_id") % 3 != 0, F.col("user_id") % 50)
+    rows = table(spark, folder, "events").select(key.alias("k"), "ts", "event_id", F.round(F.col("value") * 100).cast("long").alias("v"))
+    summed = with_running(rows, ["k"], ["ts", "event_id"], F.col("v"), "upto")
+    return with_previous(summed, ["k"], ["ts", "event_id"], ["event_id"]).select("event_id", "upto", F.col("prev_event_id").alias("before"))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from skyframe.functions import decode as dc
 from skyframe.operators import pixels as px
-from skyframe.plans.registry import query
+from skyframe.operators.quantiles import exact_quantiles
+from skyframe.plans.registry import query, table
 from skyframe.plans.standins import IN_PATCH, PATCH_SQL, RADAR, SATELLITE, radar_pixels, satellite_pixels
 
 _ID = ["l_orderkey", "l_linenumber"]
@@ -285,3 +286,31 @@ def c12(spark, folder):
     rows = radar_pixels(spark, folder)
     readable = F.when(F.col("product").startswith("Merged"), "Composite-Reflectivity").otherwise(F.col("product"))
     return rows.withColumn("product", dc.product_key(readable)).groupBy("product").agg(F.count(F.lit(1)).alias("pixels"))
+
+
+@query("c05_packed_to_physical", f"""
+WITH {SATELLITE}
+SELECT l_orderkey, l_linenumber, CAST(enc::DOUBLE * scale + off AS FLOAT)::DOUBLE AS physical FROM encoded WHERE scale < 9""")
+def c05(spark, folder):
+    """Scans of a finite scale; an infinite one has no physical value (P02 classifies it)."""
+    rows = satellite_pixels(spark, folder).filter("scale < 9")
+    return rows.select(*_ID, dc.to_physical(dc.unsigned16("raw"), "scale", "offset").cast("double").alias("physical"))
+
+
+@query("c06_wrapped_longitude", """
+SELECT o_orderkey, round(((o_custkey % 1441 - 720) / 2.0 + 180) - floor(((o_custkey % 1441 - 720) / 2.0 + 180) / 360) * 360 - 180, 6) AS lon FROM orders""")
+def c06(spark, folder):
+    """Half degrees over four half turns, both edges included."""
+    lon = (F.col("o_custkey") % 1441 - 720) / 2.0
+    return table(spark, folder, "orders").select("o_orderkey", F.round(px.wrap_longitude(lon), 6).alias("lon"))
+
+
+@query("a02_null_band_quartiles", """
+WITH p AS (SELECT CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE CAST(o_custkey % 8 AS INTEGER) END AS band, o_totalprice::DOUBLE AS v FROM orders)
+SELECT band, round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS median, round(quantile_cont(v, 0.75), 6) AS q75 FROM p GROUP BY band""")
+def a02n(spark, folder):
+    """A NULL band beside known ones, holding a third of the rows."""
+    band = F.when(F.col("o_custkey") % 3 != 0, (F.col("o_custkey") % 8).cast("int"))
+    rows = table(spark, folder, "orders").select(band.alias("band"), F.col("o_totalprice").cast("double").alias("v"))
+    out = exact_quantiles(rows, ["band"], F.col("v"), [0.25, 0.5, 0.75], ["q25", "median", "q75"])
+    return out.select("band", *[F.round(c, 6).alias(c) for c in ("q25", "median", "q75")])
