@@ -1,4 +1,5 @@
-"""SimHash near-duplicates: pivot distance tables discard pairs, survivors are verified, links become components."""
+"""Near copies, by SimHash fingerprints (pivot distance tables discard pairs, popcounts verify) or by the exact share of
+shingles of pairs that keys bring together; links become components."""
 
 from __future__ import annotations
 
@@ -15,9 +16,11 @@ from skyframe.llm.common import components, partitions, shares, slices, texts
 from skyframe.session import written
 
 PIVOTS = 24  # reference fingerprints of a distance table
-SLOTS = 128  # smallest shingle hashes kept for the similarity check, by hash class
-BANDS = 16  # pairs of slots that let similar documents meet
-ROOM = 0.05  # by so much both estimates of a similarity may fall short: about one and a half standard errors of the sketch
+SLOTS = 128  # smallest shingle hashes kept of a long text, by hash class
+BANDS = 16  # pairs of slots that let long similar texts meet
+SHORT = 64  # texts up to this many shingles meet by some of the shingles themselves, which misses no pair
+LOOSE = 0.3  # by so much the share of equal slots may fall short of the similarity before the exact check
+BITMAP = 1024  # places that the shingles of a short text are marked in
 SMALL = 24  # runs up to this many fingerprints are compared by shifts, longer ones by expanding groups
 PIECE = 1 << 22  # comparisons at a time
 
@@ -74,19 +77,15 @@ def table(prints: np.ndarray) -> np.ndarray:
     return np.bitwise_count(prints[:, None] ^ references()[None, :]).astype(np.int8)
 
 
-def near(prints, pivots, marks, a, b, max_bits, least) -> np.ndarray:
+def near(prints, pivots, a, b, max_bits) -> np.ndarray:
     """Which of the pairs (a, b) link: pivot distances differ by ``max_bits`` at most in every coordinate (by the triangle
-    inequality no link fails that), then the fingerprints do, then the sketches agree in a share of ``least``."""
-    ok = np.ones(np.broadcast(a, b).shape, bool)
+    inequality no link fails that), then the fingerprints do."""
+    ok = np.zeros(np.broadcast(a, b).shape, bool)
     a, b = np.broadcast_arrays(a, b)
     left = np.arange(len(a))
     for p in range(PIVOTS):
         left = left[np.abs(pivots[a[left], p] - pivots[b[left], p]) <= max_bits]
-    left = left[np.bitwise_count(prints[a[left]] ^ prints[b[left]]) <= max_bits]
-    if marks is not None and len(left):
-        left = left[(marks[a[left]] == marks[b[left]]).mean(axis=1) >= least]
-    ok[:] = False
-    ok[left] = True
+    ok[left[np.bitwise_count(prints[a[left]] ^ prints[b[left]]) <= max_bits]] = True
     return ok
 
 
@@ -109,25 +108,30 @@ def expand(members: np.ndarray, link) -> list[tuple[np.ndarray, int]]:
     return out
 
 
-def run_links(keys: np.ndarray, prints: np.ndarray, marks: np.ndarray | None, max_bits: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links (indices a, b) within every run of equal keys (sorted): all of short runs, spanning ones of long runs."""
-    runs = [r for r in shares(keys) if r[1] - r[0] > 1]
-    if not runs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pivots, found_a, found_b = table(prints), [], []
-    short = np.array([r for r in runs if r[1] - r[0] <= SMALL], np.int64).reshape(-1, 2)
+def shifted(runs: np.ndarray):
+    """All pairs (a, b) within the runs (starts and ends, each of at most ``SMALL`` rows), shift by shift."""
     for shift in range(1, SMALL):
-        begin, length = short[:, 0], short[:, 1] - short[:, 0] - shift
+        begin, length = runs[:, 0], runs[:, 1] - runs[:, 0] - shift
         begin, length = begin[length > 0], length[length > 0]
         if not len(begin):
-            break
+            return
         a = np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
-        ok = near(prints, pivots, marks, a, a + shift, max_bits, least)
+        yield a, a + shift
+
+
+def run_links(keys: np.ndarray, prints: np.ndarray, marks: None = None, max_bits: int = 4, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Links (indices a, b) within every run of equal keys (sorted): all of short runs, spanning ones of long runs."""
+    runs = [r for r in shares(keys) if r[1] - r[0] > 1]
+    if not runs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    pivots, found_a, found_b = table(prints), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, b in shifted(np.array([r for r in runs if r[1] - r[0] <= SMALL], np.int64).reshape(-1, 2)):
+        ok = near(prints, pivots, a, b, max_bits)
         found_a.append(a[ok])
-        found_b.append(a[ok] + shift)
+        found_b.append(b[ok])
     for begin, end in runs:
         if end - begin > SMALL:
-            for reached, at in expand(np.arange(begin, end), lambda x, y: near(prints, pivots, marks, x, y, max_bits, least)):
+            for reached, at in expand(np.arange(begin, end), lambda x, y: near(prints, pivots, x, y, max_bits)):
                 found_a.append(np.full(len(reached), at))
                 found_b.append(reached)
     return np.concatenate(found_a), np.concatenate(found_b)
@@ -141,74 +145,34 @@ def bit_keys(max_bits: int) -> list[tuple[int, int]]:
     return [(i, x | y) for i, (x, y) in enumerate(combinations(masks, 2))]
 
 
-def cosine_bits(similarity: float) -> int:
-    """Most differing bits of two fingerprints whose estimated cosine is at least ``similarity``."""
-    return int(64 * math.acos(similarity) / math.pi)
-
-
-def fingerprints(docs: DataFrame, words: int, seed: int = 42, sketched: bool = False) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (signed long) and, if asked for, ``marks`` (the sketch) of ``doc_id`` and ``text`` rows."""
+def fingerprints(docs: DataFrame, words: int, seed: int = 42) -> DataFrame:
+    """``doc_id`` and ``fingerprint`` (signed long) of ``doc_id`` and ``text`` rows."""
     def run(batches):
         for batch in slices(batches):
-            prints, marks = [], []
-            for text in texts(batch):
-                hashes = shingle_hashes(text, words, seed)
-                prints.append(majority(hashes))
-                if sketched:
-                    marks.append(sketch(hashes).tobytes())
-            columns = [batch.column("doc_id"), pa.array(np.array(prints, np.uint64).view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(marks, pa.binary())] * sketched, names=["doc_id", "fingerprint", "marks"][:2 + sketched])
+            prints = np.array([majority(shingle_hashes(text, words, seed)) for text in texts(batch)], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], names=["doc_id", "fingerprint"])
 
-    kind = "doc_id long, fingerprint long" + (", marks binary" if sketched else "")
-    return docs.select("doc_id", "text").mapInArrow(run, kind)
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint long")
 
 
-def links(classes: DataFrame, max_bits: int, least: float | None = None) -> DataFrame:
-    """Links (``a``, ``b``: class ids) between classes of ``node``, ``fingerprint`` and, with ``least``, ``marks``.
+def links(classes: DataFrame, max_bits: int) -> DataFrame:
+    """Links (``a``, ``b``: class ids) between classes of ``node`` and ``fingerprint``.
 
-    Pairs meet in blocks. For few differing bits a block is a pair of equal fingerprint segments, which every linked pair
-    shares (pigeonhole). With ``least``, blocks are pairs of equal sketch slots: of two documents that share 0.8 of
-    their shingles, one in ten million meets in none of ``BANDS`` blocks. A block is sorted and compared in its task, in
-    pieces of bounded size, and gives at most spanning links, so that a large group never becomes a list of its pairs.
+    Pairs meet in blocks: a block is a pair of equal fingerprint segments, which every linked pair shares (pigeonhole). It
+    is sorted and compared in its task, in pieces of bounded size, and gives at most spanning links, so that a large group
+    never becomes a list of its pairs.
     """
-    similar = least is not None
-    bands = BANDS
-
-    def keyed(batches):
-        for batch in slices(batches, 4096):
-            marks = np.stack([np.frombuffer(m, np.uint64) for m in batch.column("marks").to_pylist()]) if batch.num_rows else np.zeros((0, SLOTS), np.uint64)
-            step = SLOTS // (2 * bands)
-            for band in range(bands):
-                x, y = marks[:, 2 * step * band], marks[:, 2 * step * band + step]
-                key = (x * np.uint64(0x9E3779B97F4A7C15) ^ (y + np.uint64(band))) * np.uint64(0xD6E8FEB86659FD93)
-                short = pa.array([m.tobytes() for m in (marks >> np.uint64(48)).astype(np.uint8)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("fingerprint"), pa.array(key.view(np.int64)), short],
-                                                 names=["node", "fingerprint", "key", "short"])
-
-    if similar:
-        rows = classes.select("node", "fingerprint", "marks").mapInArrow(keyed, "node long, fingerprint long, key long, short binary")
-    else:
-        masks = [F.struct(F.lit(i).cast("long").alias("i"), F.lit(m - (1 << 64) if m >> 63 else m).cast("long").alias("m")) for i, m in bit_keys(max_bits)]
-        rows = classes.select("node", "fingerprint", F.explode(F.array(*masks)).alias("mask"))
-        rows = rows.select("node", "fingerprint", F.xxhash64("mask.i", F.col("fingerprint").bitwiseAND(F.col("mask.m"))).alias("key"))
+    masks = [F.struct(F.lit(i).cast("long").alias("i"), F.lit(m - (1 << 64) if m >> 63 else m).cast("long").alias("m")) for i, m in bit_keys(max_bits)]
+    rows = classes.select("node", "fingerprint", F.explode(F.array(*masks)).alias("mask"))
+    rows = rows.select("node", "fingerprint", F.xxhash64("mask.i", F.col("fingerprint").bitwiseAND(F.col("mask.m"))).alias("key"))
     # Equal keys of different blocks only bring pairs together that fail the check.
 
     def compare(batches):
-        whole = pa.Table.from_batches(batches) if (batches := list(batches)) else None
-        if whole is None or not whole.num_rows:
+        whole = met(batches)
+        if whole is None:
             return
-        key = whole.column("key").to_numpy()
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        alone = np.ones(len(key), bool)
-        same = key[1:] == key[:-1]
-        alone[1:] &= ~same
-        alone[:-1] &= ~same
-        order, key = order[~alone], key[~alone]
-        whole = whole.take(pa.array(order))
         node, prints = whole.column("node").to_numpy(), whole.column("fingerprint").to_numpy().view(np.uint64)
-        marks = np.stack([np.frombuffer(m, np.uint8) for m in whole.column("short").to_pylist()]) if similar and len(key) else None
-        a, b = run_links(key, prints, marks, max_bits, least or 0.0)
+        a, b = run_links(whole.column("key").to_numpy(), prints, None, max_bits, 0.0)
         yield pa.RecordBatch.from_arrays([pa.array(node[a], pa.int64()), pa.array(node[b], pa.int64())], names=["a", "b"])
 
     # A partition holds its keys' rows at once; many partitions keep that small, whatever the session's count is for the input.
@@ -217,27 +181,228 @@ def links(classes: DataFrame, max_bits: int, least: float | None = None) -> Data
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def met(batches) -> pa.Table | None:
+    """A partition's rows sorted by key, without those whose key no other row has."""
+    whole = pa.Table.from_batches(batches) if (batches := list(batches)) else None
+    if whole is None or not whole.num_rows:
+        return None
+    key = whole.column("key").to_numpy()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    alone = np.ones(len(key), bool)
+    same = key[1:] == key[:-1]
+    alone[1:] &= ~same
+    alone[:-1] &= ~same
+    return whole.take(pa.array(order[~alone])) if not alone.all() else None
+
+
+def content(hashes: np.ndarray) -> bytes:
+    """What stands for a set of shingles (sorted, distinct): 16 bytes."""
+    return xxhash.xxh3_128_digest(hashes.tobytes())
+
+
+def meeting_keys(hashes: np.ndarray, similarity: float) -> tuple[np.ndarray, bytes | None, bytes | None]:
+    """Keys by which sets of shingles (sorted, distinct) meet, a bitmap of a short set and one byte a slot of a long one.
+
+    Two short sets of at least the similarity share one of their ``n - similarity * n + 1`` least members (even keys). Long
+    sets meet by pairs of equal slots (odd keys): at 0.8 about one pair in a million meets in none of ``BANDS``. Sets
+    near the border have both, so that a pair meets in one of the two ways.
+    """
+    n, keys, bitmap, marks = len(hashes), [], None, None
+    if n <= SHORT / similarity:
+        least = hashes[:n - math.ceil(similarity * n - 1e-9) + 1]
+        keys.append((least * np.uint64(0xD6E8FEB86659FD93)) & ~np.uint64(1))
+        places = np.zeros(BITMAP, np.uint8)
+        places[((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(54)).astype(np.int64)] = 1
+        bitmap = np.packbits(places).tobytes()
+    if n > SHORT:
+        slots = sketch(hashes)
+        step = SLOTS // (2 * BANDS)
+        x, y = slots[::2 * step], slots[step::2 * step]
+        keys.append((x * np.uint64(0x9E3779B97F4A7C15) ^ (y + np.arange(BANDS, dtype=np.uint64))) * np.uint64(0xD6E8FEB86659FD93) | np.uint64(1))
+        marks = ((slots * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes()
+    return np.unique(np.concatenate(keys)), bitmap, marks
+
+
+def may_link(key, n, body, a, b, similarity) -> np.ndarray:
+    """Which of the pairs (a, b) of equal keys may have the similarity: by their sizes, then by what bitmaps say at most
+    (neither loses a pair), or by slots with ``LOOSE`` to spare."""
+    a, b = np.broadcast_arrays(a, b)
+    ok = np.zeros(a.shape, bool)
+    for start in range(0, len(a), 1 << 16):
+        x, y = a[start:start + (1 << 16)], b[start:start + (1 << 16)]
+        at = np.flatnonzero(np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9)
+        x, y = x[at], y[at]
+        long = (key[x] & 1) == 1
+        good = np.zeros(len(x), bool)
+        good[long] = (body[x[long]] == body[y[long]]).mean(axis=1) >= similarity - LOOSE
+        x, y = x[~long], y[~long]
+        both = np.minimum(n[x] - np.bitwise_count(body[x] & ~body[y]).sum(axis=1, dtype=np.int64), n[y] - np.bitwise_count(body[y] & ~body[x]).sum(axis=1, dtype=np.int64))
+        good[~long] = both >= similarity * (n[x] + n[y] - both) - 1e-9
+        ok[start + at[good]] = True
+    return ok
+
+
+def probe(key, n, body, label, probed, similarity: float, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs to be checked within every run of equal keys (sorted), the rows of runs that are not done and which were probed.
+
+    A pair needs no check if its labels (components so far) are equal. Runs of up to ``SMALL`` rows give all pairs. Of a
+    longer one up to ``probes`` rows meet all others; it is done when the rows that never did so are of one component.
+    """
+    runs = [r for r in shares(key) if r[1] - r[0] > 1]
+    found_a, found_b, left, probed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], probed.copy()
+    for a, b in shifted(np.array([r for r in runs if r[1] - r[0] <= SMALL], np.int64).reshape(-1, 2)):
+        ok = may_link(key, n, body, a, b, similarity) & (label[a] != label[b])
+        found_a.append(a[ok])
+        found_b.append(b[ok])
+    for begin, end in runs:
+        if end - begin <= SMALL:
+            continue
+        rows = np.arange(begin, end)
+        open_ = rows[~probed[begin:end]]
+        names, counts = np.unique(label[open_], return_counts=True)
+        if len(names) < 2:
+            continue
+        outside = open_[label[open_] != names[counts.argmax()]] if counts.max() > 1 else open_
+        for at in (outside if len(open_) <= SMALL else outside[:probes]):
+            probed[at] = True
+            others = rows[~probed[begin:end] & (label[begin:end] != label[at])]
+            hit = others[may_link(key, n, body, np.intp(at), others, similarity)]
+            found_a.append(hit)
+            found_b.append(np.full(len(hit), at))
+        if len(np.unique(label[rows[~probed[begin:end]]])) > 1:
+            left.append(rows)
+    return np.concatenate(found_a), np.concatenate(found_b), np.concatenate(left), probed
+
+
+def shingle_sets(docs: DataFrame, members: DataFrame, words: int, seed: int) -> DataFrame:
+    """``content`` and ``shingles`` (all distinct hashes) of the members (``content`` and the ``node`` whose text has it)."""
+    def run(batches):
+        def batch_of(contents, sets):
+            ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
+            values = pa.array(np.concatenate(sets).view(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(contents, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), values)], names=["content", "shingles"])
+
+        contents, sets, held = [], [], 0
+        for batch in slices(batches):
+            for text, wanted in zip(texts(batch), batch.column("content").to_pylist()):
+                hashes = np.unique(shingle_hashes(text, words, seed))
+                if content(hashes) == wanted:  # a repeated doc_id may have other texts
+                    contents.append(wanted)
+                    sets.append(hashes)
+                    held += len(hashes)
+                if held > 1 << 20:
+                    yield batch_of(contents, sets)
+                    contents, sets, held = [], [], 0
+        if sets:
+            yield batch_of(contents, sets)
+
+    found = docs.join(members.withColumnRenamed("node", "doc_id"), "doc_id").withColumn("_text", F.xxhash64("text"))
+    found = found.dropDuplicates(["doc_id", "content", "_text"]).select("content", "text")
+    return found.mapInArrow(run, "content binary, shingles array<long>")
+
+
+def similar_links(classes: DataFrame, docs: DataFrame, words: int, seed: int, similarity: float) -> DataFrame:
+    """Links (``a``, ``b``: class ids) that span all pairs of classes which meet by a key and share at least ``similarity`` of
+    the shingles of both, counted on the whole sets.
+
+    Pairs that a round brings together are joined with both sets. What links has one label in the next round, where
+    long runs of one key go on with eight times as many probes; a tight group is linked by its first probe and never
+    becomes a list of its pairs.
+    """
+    kind = "node long, content binary, n long, key long, body binary, label long, probed boolean, other long, other_content binary"
+    names = [c.split(" ")[0] for c in kind.split(", ")]
+    body = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, F.col("marks")).otherwise(F.col("bitmap"))
+    rows = classes.select("node", "content", "n", F.explode("keys").alias("key"), "marks", "bitmap").select(
+        "node", "content", "n", "key", body.alias("body"), F.col("node").alias("label"), F.lit(False).alias("probed"))
+    many, probes, sets, found = max(partitions(classes), 32), 1, None, None
+
+    def compare(batches):
+        whole = met(batches)
+        if whole is None:
+            return
+        key, n, label = (whole.column(c).to_numpy() for c in ("key", "n", "label"))
+        body = np.frombuffer(b"".join(whole.column("body").to_pylist()), np.uint8).reshape(len(key), -1)
+        a, b, left, probed = probe(key, n, body, label, np.array(whole.column("probed").to_pylist(), bool), similarity, probes)
+        for start in range(0, len(a), 1 << 16):
+            x, y = (whole.select(["node", "content"]).take(pa.array(i[start:start + (1 << 16)])) for i in (a, b))
+            columns = {"node": x["node"], "content": x["content"], "other": y["node"], "other_content": y["content"]}
+            kinds = {"n": pa.int64(), "key": pa.int64(), "body": pa.binary(), "label": pa.int64(), "probed": pa.bool_()}
+            yield from pa.table([columns[c] if c in columns else pa.nulls(len(x), kinds[c]) for c in names], names=names).to_batches()
+        if len(left):
+            rest = whole.select(names[:6]).take(pa.array(left))
+            yield from pa.table([*rest.columns, pa.array(probed[left]), pa.nulls(len(left), pa.int64()), pa.nulls(len(left), pa.binary())], names=names).to_batches()
+
+    while True:
+        step = written(rows.repartition(many, "key").mapInArrow(compare, kind), "pairs")
+        met_pairs = step.filter("key is null").withColumn("_a", F.least("content", "other_content")).withColumn("_b", F.greatest("content", "other_content"))
+        pairs = met_pairs.dropDuplicates(["_a", "_b"]).select("node", "content", "other", "other_content")
+        rows = step.filter("key is not null").drop("other", "other_content")
+        if sets is None:
+            members = step.select("content", "node").unionAll(step.filter("key is null").select("other_content", "other")).distinct()
+            sets = written(shingle_sets(docs, members, words, seed), "sets")
+        # A probe is in many pairs: its set comes last, so that the shuffled rows hold the other one's.
+        both = pairs.join(sets.withColumnRenamed("shingles", "_x"), "content").join(
+            sets.select(F.col("content").alias("other_content"), F.col("shingles").alias("_y")), "other_content")
+        shared = both.select(F.col("node").alias("a"), F.col("other").alias("b"), F.size(F.array_intersect("_x", "_y")).alias("_both"), (F.size("_x") + F.size("_y")).alias("_all"))
+        now = written(shared.filter(F.col("_both") / (F.col("_all") - F.col("_both")) >= similarity).select("a", "b"), "links")
+        found = now if found is None else found.unionAll(now)
+        if not rows.limit(1).count():
+            return found
+        named = components(found).select("node", F.col("component").alias("_label"))
+        rows = rows.join(named, "node", "left").select("node", "content", "n", "key", "body", F.coalesce("_label", "label").alias("label"), "probed")
+        probes *= 8
+
+
+def described(docs: DataFrame, words: int, seed: int, similarity: float) -> DataFrame:
+    """``doc_id``, ``fingerprint`` and what ``similar_links`` needs of ``doc_id`` and ``text`` rows."""
+    names = ["doc_id", "fingerprint", "content", "n", "keys", "bitmap", "marks"]
+
+    def run(batches):
+        for batch in slices(batches):
+            prints, contents, sizes, keys, bitmaps, marks = [], [], [], [], [], []
+            for text in texts(batch):
+                hashes = shingle_hashes(text, words, seed)
+                prints.append(majority(hashes))
+                hashes = np.unique(hashes)
+                contents.append(content(hashes))
+                sizes.append(len(hashes))
+                own = meeting_keys(hashes, similarity)
+                keys.append(own[0].view(np.int64))
+                bitmaps.append(own[1])
+                marks.append(own[2])
+            columns = [batch.column("doc_id"), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(contents, pa.binary()), pa.array(sizes, pa.int64()),
+                       pa.array(keys, pa.list_(pa.int64())), pa.array(bitmaps, pa.binary()), pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint long, content binary, n long, keys array<long>, bitmap binary, marks binary")
+
+
 def near_groups(docs: DataFrame, words: int = 4, max_bits: int = 4, similarity: float | None = None, id: str = "doc_id",
                 text: str = "text", seed: int = 42) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 lowercase hex digits) and ``component_id``, the smallest doc_id of its group.
 
     Shingles are runs of ``words`` words over whole texts. Without ``similarity`` two fingerprints link at ``max_bits`` or
-    fewer differing bits. With it, they link if the cosine that the fingerprints estimate and the share of shingles that
-    sketches of both texts estimate are at least ``similarity``, with ``ROOM`` for the error of the estimates. Equal texts fall together before anything is compared.
+    fewer differing bits. With it, two texts link if they share at least that part of the distinct shingles of both (their
+    exact Jaccard similarity); what brings them together is in ``meeting_keys``. Equal fingerprints, or equal sets of
+    shingles, fall together before anything is compared.
 
     Null and empty texts have fingerprint zero and link like any other; so do texts of a few words. A null doc_id is
     grouped but never names a group. Rows that repeat a doc_id come back as often. An empty table gives no rows. Other
     columns are not read.
     """
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    similar = similarity is not None
-    prints = written(fingerprints(rows, words, seed, similar), "fingerprints")
-    same = ["fingerprint", "marks"] if similar else ["fingerprint"]
-    classes = prints.groupBy(*same).agg(F.min("doc_id").alias("node"))
-    wanted = similarity - ROOM if similar else None
-    found = links(classes.filter("node is not null"), cosine_bits(wanted) if similar else max_bits, wanted)
+    if similarity is None:
+        same, prints = "fingerprint", written(fingerprints(rows, words, seed), "fingerprints")
+        classes = prints.groupBy(same).agg(F.min("doc_id").alias("node"))
+        found = links(classes.filter("node is not null"), max_bits)
+    else:
+        same, prints = "content", written(described(rows, words, seed, similarity), "fingerprints")
+        firsts = [F.first(c).alias(c) for c in ("n", "keys", "bitmap", "marks")]  # the same in all rows of one content
+        classes = prints.groupBy(same).agg(F.min("doc_id").alias("node"), *firsts)
+        found = similar_links(classes.filter("node is not null"), rows, words, seed, similarity)
     grouped = components(found)
-    named = classes.join(grouped, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
+    named = classes.join(grouped, "node", "left").select(same, F.coalesce("component", "node").alias("component_id"))
     out = prints.join(named, same)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 

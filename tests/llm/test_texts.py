@@ -194,3 +194,43 @@ def test_licenses(spark, docs, rows, none):
     assert all(0 <= r.score <= 1 for r in got)
     assert licenses.digest(licenses.scan(none)).collect() == []
     assert licenses.scan(docs).count() == len(rows)
+
+
+def between():
+    """Texts of 5 to 400 words and copies of them whose similarity lies between 0.6 and 1, long families among them."""
+    rng, texts = np.random.default_rng(11), []
+    for n in (5, 6, 8, 9, 12, 24, 50, 50, 69, 70, 84, 85, 100, 250, 400):
+        base = [f"w{n}x{i}" for i in rng.integers(0, 10**6, n)]
+        texts += [base, base[:-1], base + ["more"], base[: max(1, n * 9 // 10)], base[: max(1, n * 4 // 5 + 1)]]
+        for changed in range(1, max(2, n // 25)):
+            for _ in range(3):
+                other = list(base)
+                for at in rng.choice(n, changed, replace=False):
+                    other[at] = f"new{rng.integers(0, 10**6)}"
+                texts.append(other)
+    template = [f"t{i}" for i in range(80)]
+    for i in range(40):  # alike to about 0.7 to one another, and pairs of them closer
+        texts.append(template + [f"own{i // 2}x{k}" for k in range(12)] + [f"last{i}x{k}" for k in range(3)])
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("small", [simhash.SMALL, 3])
+def test_similar_texts_at_exactly_the_similarity(spark, small, monkeypatch):
+    monkeypatch.setattr(simhash, "SMALL", small)
+    rows = between()
+    sets = [frozenset(" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))) for w in (t.split(" ") for _, t in rows)]
+    share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(len(rows)) for b in range(a) if sets[a] & sets[b]}
+    assert sum(0.7 <= s < 0.8 for s in share.values()) > 20 and sum(0.8 <= s < 0.9 for s in share.values()) > 20
+    want = groups([p for p, s in share.items() if s >= 0.8], range(len(rows)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(docs, words=5, similarity=0.8).collect()}
+    assert got == {i: min(j for j in want if want[j] == want[i]) for i in want}
+
+
+def test_similar_texts_of_one_long_group_are_not_listed_pair_by_pair():
+    n = 500
+    key, sizes, body = np.zeros(n, np.int64), np.full(n, 60), np.full((n, 128), 255, np.uint8)
+    a, b, left, probed = simhash.probe(key, sizes, body, np.arange(n), np.zeros(n, bool), 0.8, 1)
+    assert len(a) == n - 1 and len(left) == n and probed.sum() == 1
+    a, b, left, probed = simhash.probe(key, sizes, body, np.zeros(n, np.int64), probed, 0.8, 8)
+    assert len(a) == len(left) == 0
