@@ -234,3 +234,15 @@ def test_similar_texts_of_one_long_group_are_not_listed_pair_by_pair():
     assert len(a) == n - 1 and len(left) == n and probed.sum() == 1
     a, b, left, probed = simhash.probe(key, sizes, body, np.zeros(n, np.int64), probed, 0.8, 8)
     assert len(a) == len(left) == 0
+
+
+def test_templated_texts_below_the_similarity_all_stay(spark):
+    """Each shares 0.70 to 0.79 of the shingles with every other one: none is a near copy, and none may chain to another."""
+    def family(own, n):
+        return [" ".join([f"t{n}x{i}" for i in range(n)] + [f"own{n}x{k}x{i}" for i in range(own)]) for k in range(60)]
+    texts = family(9, 60) + family(30, 200) + family(120, 900)
+    sets = [frozenset(" ".join(w[i:i + 5]) for i in range(len(w) - 4)) for w in (t.split(" ") for t in texts)]
+    shares = [len(sets[at] & sets[at + 1]) / len(sets[at] | sets[at + 1]) for at in (0, 60, 120)]
+    assert all(0.7 <= s < 0.8 for s in shares)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert simhash.without_near_copies(docs).count() == len(texts)
