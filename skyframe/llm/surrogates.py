@@ -15,18 +15,20 @@ EITHER = ["Dr", "Prof"]
 
 TITLES = "|".join([*MALE, *FEMALE, *EITHER])
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-NAME_WORD = r"\p{Lu}[\p{L}'’-]*\p{L}"
+NAME_WORD = r"\p{Lu}(?:-?\p{L}|['’](?!s(?!\p{L}))\p{L})+"
+INITIAL = r"\p{Lu}\."
 #: Every kind's form. Earlier ones win where several would start at one place.
 FORMS = {
+    "secret": r"""(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)["']{0,1}\s{0,2}[=:]\s{0,2}["']{0,1})"""
+              r"""(?:(?<=")(?:[^"\\\r\n]|\\.){6,}(?=")|(?<=')(?:[^'\\\r\n]|\\.){6,}(?=')|[^\s"']{5,}[^\s"',;:.!?)\]}])""",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": r"""(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}["']{0,1})[^\s"',;=:]{6,}""",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "ip": rf"(?<![0-9A-Za-z.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?[0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{4}(?![0-9A-Za-z])",
-    "name": rf"(?<!\p{{L}})(?:{TITLES})\.? {NAME_WORD}(?: {NAME_WORD})?",
+    "phone": r"(?<![0-9A-Za-z])(?:\+(?=(?:[ .()-]{0,3}[0-9]){7})[0-9]{1,3}(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})){2,6}|(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{4})(?![0-9A-Za-z])",
+    "name": rf"(?<!\p{{L}})(?:(?:{TITLES})\.? )+(?:{INITIAL} )*{NAME_WORD}(?: (?:{INITIAL} )*{NAME_WORD})*",
 }
 ANY = "|".join(f"(?:{form})" for form in FORMS.values())
 #: How the numbers of card issuers begin.
@@ -67,15 +69,29 @@ def kind_of(value: Column) -> Column:
     return out.when(is_card & (luhn_sum(digits, 0) % 10 == 0) & digits.rlike(ISSUERS), "card").when(is_card, F.lit(None)).when(value.rlike(f"^{FORMS['phone']}$"), "phone").otherwise("secret")
 
 
+def title_of(value: Column) -> Column:
+    """The forms of address that a name begins with, and the space behind them."""
+    return F.regexp_extract(value, rf"^((?:(?:{TITLES})\.? )+)", 1)
+
+
+def words_of(value: Column) -> Column:
+    """The words of a name behind its forms of address."""
+    return F.split(F.substr(value, F.length(title_of(value)) + 1), " ")
+
+
+def gender_of(value: Column) -> Column:
+    titles = F.split(F.replace(F.trim(title_of(value)), F.lit("."), F.lit("")), " ")
+    told = [F.arrays_overlap(titles, F.array(*map(F.lit, kind))) for kind in (MALE, FEMALE)]
+    return F.when(told[0], "m").when(told[1], "f").otherwise("")
+
+
 def script_of(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
 def units_of(value: Column, kind: Column) -> Column:
     """What the surrogates of a value hang on: (kind, canonical form); the words of a name one by one, all else as one."""
-    title = F.regexp_extract(value, r"^([^ .]+)", 1)
-    gender = F.when(title.isin(MALE), "m").when(title.isin(FEMALE), "f").otherwise("")
-    words = F.slice(F.split(value, " "), 2, 2)
+    gender, words = gender_of(value), words_of(value)
     # The last word is the surname, keyed without gender, so that a family keeps one name; its form follows the gender.
     named = F.transform(words, lambda w, i: F.struct(
         F.concat(F.when(i == F.size(words) - 1, "surname").otherwise(F.concat(F.lit("first_"), gender)), F.lit(":"), script_of(w)).alias("unit"), F.lower(w).alias("canon")))
@@ -185,10 +201,7 @@ def filled(value: Column, digits: Column) -> Column:
 
 def named(value: Column, parts: Column) -> Column:
     """A title and its surrogate names, in the case of the original words and, in Cyrillic and Greek, the title's gender."""
-    title = F.regexp_extract(value, r"^([^ ]+ )", 1)
-    plain = F.regexp_replace(title, r"[. ]", "")
-    gender = F.when(plain.isin(MALE), "m").when(plain.isin(FEMALE), "f").otherwise("")
-    words = F.slice(F.split(value, " "), 2, 2)
+    title, gender, words = title_of(value), gender_of(value), words_of(value)
 
     def ending(script, last):
         forms = ENDINGS[script]
@@ -199,7 +212,8 @@ def named(value: Column, parts: Column) -> Column:
         last = i == F.size(words) - 1
         script = script_of(w)
         whole = F.concat(F.element_at(parts, (i + 1).cast("int")), F.when(script == "cyrillic", ending("cyrillic", last)).when(script == "greek", ending("greek", last)).otherwise(ending("latin", last)))
-        return F.when((F.length(w) > 1) & (F.upper(w) == w), F.upper(whole)).otherwise(F.initcap(whole))
+        initial = F.concat(F.upper(F.substring(whole, 1, 1)), F.lit("."))
+        return F.when(w.endswith("."), initial).when((F.length(w) > 1) & (F.upper(w) == w), F.upper(whole)).otherwise(F.initcap(whole))
 
     return F.concat(title, F.array_join(F.transform(words, word), " "))
 
@@ -218,7 +232,7 @@ def with_surrogates(docs: DataFrame, key: str, id: str = "doc_id", text: str = "
     surrogate, in order of place).
 
     Entities: e-mail and IP addresses, phone, card, account and social security numbers, access keys, assigned secrets, and
-    names behind a form of address. One value has one surrogate in the whole corpus, however it is written (digits of a
+    names behind a form of address, with the bare repeats of their surnames in the same document. One value has one surrogate in the whole corpus, however it is written (digits of a
     phone number, case of an address, a surname by itself), two values never share one, and no surrogate is a real value.
     Surrogates keep type and form: separators, letter case, check digits, country codes, private networks, reserved
     domains, script, and the gender of the address. Long numbers that are no cards stay.
@@ -233,16 +247,27 @@ def with_surrogates(docs: DataFrame, key: str, id: str = "doc_id", text: str = "
     kept = F.struct("kind", "value", "surrogate")
     none = F.array().cast("array<struct<kind:string,value:string,surrogate:string>>")
     # Only texts with entities are cut up, written and shuffled; the others pass through.
-    cut = rows.filter(found).select("doc_id", "rest", F.xxhash64("doc_id", "text").alias("_row"), F.split("text", ANY, -1).alias("_between"),
-                                    F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("_found"))
+    # A surname that stands behind a form of address is looked for in its whole document, by a pattern of the document's own.
+    titled = F.filter(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), lambda v: title_of(v) != "")
+    surnames = F.transform(titled, lambda v: F.struct(F.element_at(words_of(v), -1).alias("word"), title_of(v).alias("title")))
+    seen = rows.filter(found).select("doc_id", "rest", "text", surnames.alias("_surnames"))
+    spelled = F.array_distinct(F.flatten(F.transform("_surnames", lambda n: F.array(n.word, F.upper(n.word), F.initcap(n.word)))))
+    bare = F.concat(F.lit(ANY + r"|(?<!\p{L})(?:"), F.array_join(spelled, "|"), F.lit(r")(?!\p{L})"))
+    seen = seen.withColumn("_form", F.when(F.size("_surnames") > 0, bare).otherwise(ANY))
+    cut = seen.select("doc_id", "rest", F.xxhash64("doc_id", "text").alias("_row"), "_surnames", F.split("text", F.col("_form"), -1).alias("_between"),
+                      F.regexp_extract_all("text", F.col("_form"), F.lit(0)).alias("_found"))
     cut = written(cut, "entities")
-    one = cut.dropDuplicates(["_row"]).select("_row", F.posexplode("_found").alias("_at", "value"))
-    one = one.withColumn("kind", kind_of(F.col("value")))
-    units = one.filter("kind is not null").select("*", F.posexplode(units_of(F.col("value"), F.col("kind"))).alias("_unit_at", "u")).select("_row", "_at", "value", "kind", "_unit_at", "u.unit", "u.canon")
+    one = cut.dropDuplicates(["_row"]).select("_row", "_surnames", F.posexplode("_found").alias("_at", "value"))
+    # A bare surname is read as if the title of its first bearer stood before it.
+    bearer = F.filter("_surnames", lambda n: F.lower(n.word) == F.lower("value"))
+    one = one.select("_row", "_at", "value", F.when(F.size(bearer) > 0, F.element_at(bearer, 1).title).otherwise("").alias("_title"))
+    one = one.withColumn("_whole", F.concat("_title", "value")).withColumn("kind", kind_of(F.col("_whole")))
+    units = one.filter("kind is not null").select("*", F.posexplode(units_of(F.col("_whole"), F.col("kind"))).alias("_unit_at", "u")).select(
+        "_row", "_at", "value", "_title", "kind", "_unit_at", "u.unit", "u.canon")
     units = written(units, "units")
     known = distinct_surrogates(units, key)
-    per = units.join(known, ["unit", "canon"]).groupBy("_row", "_at", "value", "kind").agg(F.array_sort(F.collect_list(F.struct("_unit_at", "surrogate"))).alias("_parts"))
-    per = per.withColumn("surrogate", rendered(F.col("value"), F.col("kind"), F.col("_parts.surrogate")))
+    per = units.join(known, ["unit", "canon"]).groupBy("_row", "_at", "value", "_title", "kind").agg(F.array_sort(F.collect_list(F.struct("_unit_at", "surrogate"))).alias("_parts"))
+    per = per.withColumn("surrogate", F.substr(rendered(F.concat("_title", "value"), F.col("kind"), F.col("_parts.surrogate")), F.length("_title") + 1))
     swaps = per.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_at", kept))).alias("_swaps"))  # bounded by the text's own entities
     joined = cut.join(swaps, "_row", "left")
     whole = F.array_join(F.flatten(F.transform("_found", lambda v, i: F.array(F.element_at("_between", (i + 1).cast("int")), F.coalesce(F.col("_swaps")[i]["surrogate"], v)))), "")

@@ -154,3 +154,28 @@ def test_key_decides_and_runs_agree(spark):
     assert surrogates.with_surrogates(docs.filter("false"), "a").collect() == []
     clean = spark.createDataFrame([(1, "plain", None, None, None)], KIND)
     assert surrogates.with_surrogates(clean, "a").first().text == "plain"
+
+
+LEFT = {
+    1: ("password=abc123def:ghi789 and password=bob@corp.de;x9y8z7", ["abc123def", "ghi789", "bob@corp", "x9y8z7"]),
+    2: ('{"password": "hunter2222", "token": "two words, here"}', ["hunter2222", "two", "words"]),
+    3: ("Dr. Ana Maria Lopez spoke. Lopez, said Lopez's aide, and LOPEZ left.", ["Ana", "Maria", "Lopez", "LOPEZ"]),
+    4: ("Mr. J. Smith and Prof. Dr. Eva K. Braun; later Smith met Braun.", ["Smith", "Eva", "Braun"]),
+    5: ("Call +14155550123, (555)123-4567 or +33 6 12 34 56 78.", ["14155550123", "123-4567", "12 34 56 78"]),
+    6: ("Господин Иванов, Иванов.", ["Иванов"]),
+}
+
+
+def test_nothing_of_a_found_value_stays(spark):
+    rows = [(i, t, None, None, None) for i, (t, _) in LEFT.items()] + [(7, "Smith wrote: 1", None, None, None)]
+    out = by_id(surrogates.with_surrogates(spark.createDataFrame(rows, KIND), "key").collect())
+    for i, (text, parts) in LEFT.items():
+        assert not [p for p in parts if p in out[i].text], out[i].text
+    lopez = re.fullmatch(r"Dr\. \w+ \w+ (\w+) spoke\. (\w+), said (\w+)'s aide, and (\w+) left\.", out[3].text).groups()
+    assert len({x.lower() for x in lopez}) == 1 and lopez[3].isupper()
+    smith = re.fullmatch(r"Mr\. [A-Z]\. (\w+) and Prof\. Dr\. \w+ [A-Z]\. (\w+); later (\w+) met (\w+)\.", out[4].text).groups()
+    assert smith[:2] == smith[2:]
+    assert re.fullmatch(r"Call \+1\d{10}, \(\d{3}\)\d{3}-\d{4} or \+3\d \d \d\d \d\d \d\d \d\d\.", out[5].text)
+    one, two = re.fullmatch(r"Господин (\w+), (\w+)\.", out[6].text).groups()
+    assert one == two and one.endswith("ов")
+    assert out[7].text == "Smith wrote: 1"
