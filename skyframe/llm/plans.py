@@ -5,10 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from skyframe.llm import exact_search, licenses, line_dedup, mixing, neighbours, packing, simhash, surrogates, toxicity, windows
+from skyframe.llm import (
+    conversations, exact_search, licenses, line_dedup, mixing, neighbours, packing, simhash, subwords, surrogates, toxicity, windows)
 from skyframe.plans.registry import query, table
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 CHAIN = ["quality", "toxic"]
 
 
@@ -131,3 +133,18 @@ def op9_surrogates(spark, folder):
 def op10_mixing(spark, folder):
     """How many words of every document a mix of all sources by weight takes."""
     return mixing.mixed(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op12_subword_round_trip")
+def op12_subword_round_trip(spark, folder):
+    """Digests of every text's SentencePiece ids and of the text that they decode to."""
+    rows = subwords.encoded(table(spark, folder, "documents"), public_tokenizers.path(PIECE_BPE))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark, folder):
+    """Faults, cheapest edits and the repaired form of every damaged conversation."""
+    rows = table(spark, folder, "conversations")
+    return conversations.audits(conversations.damaged(rows), rows)
