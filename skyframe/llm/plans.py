@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from skyframe.llm import (
-    conversations, exact_search, licenses, line_dedup, mixing, neighbours, packing, simhash, subwords, surrogates, toxicity, windows)
+    collocations, conversations, exact_search, licenses, line_dedup, mixing, neighbours, packing, simhash, subwords, surrogates, toxicity, windows)
 from skyframe.plans.registry import query, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -135,6 +135,12 @@ def op10_mixing(spark, folder):
     return mixing.mixed(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op11_collocations")
+def op11_collocations(spark, folder):
+    """Every language's first 2000 phrases of two to four words by how firmly their parts belong together."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 @query("op12_subword_round_trip")
 def op12_subword_round_trip(spark, folder):
     """Digests of every text's SentencePiece ids and of the text that they decode to."""
