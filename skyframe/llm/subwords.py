@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import heapq
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import pyarrow as pa
@@ -51,12 +52,12 @@ class Vocabulary:
         with open(path, "rb") as file:
             model = file.read()
         self.ids: dict[str, int] = {}
-        self.cost: dict[str, float] = {}  # the negative score: the agenda's order
+        scores: dict[str, float] = {}
         self.size, self.unknown, self.end, self.bytes = 0, 0, None, {}
         trainer, rules = {}, {}
         for field, value in fields(model):
             if field == 1:
-                self._piece(dict(fields(value)))
+                self._piece(dict(fields(value)), scores)
             elif field == 2:
                 trainer = dict(fields(value))
             elif field == 3:
@@ -64,6 +65,8 @@ class Vocabulary:
         if trainer.get(3) != BPE or trainer.get(24) or rules.get(2) or not rules.get(5, 1):
             raise ValueError(f"{path} is not a merge-type vocabulary without a table of replacements")
         self.prefix, self.squeeze = bool(rules.get(3, 1)), bool(rules.get(4, 1))
+        order = {score: i for i, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.place = {piece: order[score] for piece, score in scores.items()}  # equal scores have equal places
         self.bytes = self.bytes if trainer.get(35) and len(self.bytes) == 256 else {}
         long = [p for p in self.ids if len(p) > 1]
         # No piece goes over a cut, so nothing can merge over it and what lies between two cuts is encoded on its own.
@@ -73,10 +76,10 @@ class Vocabulary:
         self.pairs = {a + b for p in long for a, b in zip(p, p[1:])}
         self.unit = re.compile(r"(?s).+" if crossing else f"{one}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
 
-    def _piece(self, piece: dict) -> None:
+    def _piece(self, piece: dict, scores: dict[str, float]) -> None:
         text, kind, id, self.size = piece[1].decode(), piece.get(3, NORMAL), self.size, self.size + 1
         if kind == NORMAL:
-            self.ids[text], self.cost[text] = id, -struct.unpack("<f", piece.get(2, bytes(4)))[0]
+            self.ids[text], scores[text] = id, struct.unpack("<f", piece.get(2, bytes(4)))[0]
         elif kind == BYTE:
             self.bytes[int(text[3:5], 16)] = id
         elif kind == UNKNOWN:
@@ -94,55 +97,72 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """Ids of a text; units between cuts are remembered."""
+    """Ids of a text. Units between cuts are remembered, twice ``KNOWN`` at most."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, list[int]] = {}
 
     def __missing__(self, unit: str) -> list[int]:
-        pairs = self.vocabulary.pairs
-        cuts = [i for i, pair in enumerate(map(str.__add__, unit, unit[1:]), 1) if pair not in pairs]
-        if cuts:  # neighbours that no piece holds next to each other
-            ids = list(chain.from_iterable(self[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)])))
-        else:
-            ids = self.merged(unit)
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.cut(unit)
         if len(unit) <= LONGEST:
-            if len(self) >= KNOWN:
+            if len(self) >= KNOWN:  # what was met since the last time stays within reach
+                self.older = dict(self)
                 self.clear()
             self[unit] = ids
         return ids
 
+    def cut(self, unit: str) -> list[int]:
+        """Ids of a unit, cut between neighbours that no piece holds next to each other."""
+        pairs = self.vocabulary.pairs
+        cuts = [i for i, pair in enumerate(map(str.__add__, unit, unit[1:]), 1) if pair not in pairs]
+        if not cuts:
+            return self.merged(unit)
+        return list(chain.from_iterable(self[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)])))
+
     def merged(self, unit: str) -> list[int]:
         """Merge adjacent symbols, the pair of the greatest score first and the leftmost of equal ones.
 
         The agenda holds every pair of neighbours that is a piece. An entry whose ends have meanwhile merged with others
         no longer spells its piece and is passed over.
         """
-        known, cost = self.vocabulary.ids, self.vocabulary.cost
+        place = self.vocabulary.place
         symbols: list[str | None] = list(unit)
         n = len(symbols)
+        if n < 2:
+            return self.spelled(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pairs = map(str.__add__, unit, unit[1:])
-        agenda = [(cost[piece], left, piece) for left, piece in enumerate(pairs) if piece in cost]
-        heapq.heapify(agenda)
+        # An entry is the pair's place in the order of scores and, below it, where the pair stands.
+        agenda = [place[piece] * n + left for left, piece in enumerate(map(str.__add__, unit, unit[1:])) if piece in place]
+        heapify(agenda)
         while agenda:
-            _, left, piece = heapq.heappop(agenda)
+            rank, left = divmod(heappop(agenda), n)
             first, right = symbols[left], after[left]
-            if first is None or right == n or first + symbols[right] != piece:
+            if first is None or right == n:
+                continue
+            piece = first + symbols[right]
+            if place.get(piece) != rank:
                 continue
             symbols[left], symbols[right] = piece, None
             right = after[left] = after[right]
             if right < n:
                 before[right] = left
                 longer = piece + symbols[right]
-                if longer in cost:
-                    heapq.heappush(agenda, (cost[longer], left, longer))
+                if longer in place:
+                    heappush(agenda, place[longer] * n + left)
             left = before[left]
             if left >= 0:
                 longer = symbols[left] + piece
-                if longer in cost:
-                    heapq.heappush(agenda, (cost[longer], left, longer))
+                if longer in place:
+                    heappush(agenda, place[longer] * n + left)
+        return self.spelled(symbols)
+
+    def spelled(self, symbols: list[str | None]) -> list[int]:
+        """Ids of the symbols that are left."""
+        known = self.vocabulary.ids
         out: list[int] = []
         for symbol in symbols:
             if symbol is None:
@@ -164,6 +184,12 @@ class Encoder(dict):
         return ids + [self.vocabulary.end] if end else ids
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder a worker process, so that tasks after the first find its units."""
+    return Encoder(Vocabulary(path))
+
+
 def encoded(docs: DataFrame, path: str, end: bool = True, check: bool = True, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``ids``, ``decoded`` (the library's text of the ids) and ``agrees``.
 
@@ -177,7 +203,7 @@ def encoded(docs: DataFrame, path: str, end: bool = True, check: bool = True, id
     def run(batches):
         import sentencepiece
 
-        encode, library = Encoder(Vocabulary(path)), sentencepiece.SentencePieceProcessor(model_file=path)
+        encode, library = encoder(path), sentencepiece.SentencePieceProcessor(model_file=path)
         for batch in slices(batches, BATCH):
             contents = [t or "" for t in batch.column("text").to_pylist()]
             ids = [encode(t, end) for t in contents]
