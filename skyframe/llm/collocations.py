@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from skyframe.llm.common import partitions, shares, slices
 from skyframe.session import written
 
-FLUSH = 1 << 20  # words whose n-grams a task counts at a time
-CHUNK = 4096  # n-grams of one transducer of a shard
+FLUSH = 1 << 19  # words whose n-grams a task counts at a time
+HELD = 1 << 19  # n-grams of a shard that a task holds at a time
+CHUNK = 1024  # n-grams of one transducer of a shard
 SHOWN = 64  # bytes of a word that a bound of ranges keeps
 ROOM = 16  # cells of the first pass for every n-gram
 BREAK = 0  # the word id between pieces
@@ -141,6 +142,17 @@ def composed(questions: Automaton, counts: Automaton) -> Iterator[tuple[tuple[by
     return walk(questions.root, counts.root, ())
 
 
+def chained(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of an n-gram and one more word."""
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """The hash with all bits alike, so that its upper ones make a cell."""
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
 class Words(dict):
     """Ids of one language's words, from a counter that all languages share."""
 
@@ -173,19 +185,16 @@ class Flush:
         self.ids.extend(map(words.__getitem__, text.translate(TABLE).replace(b".", b" . ").split()))
         self.ids.append(BREAK)
 
-    def grams(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For 1 to ``most`` words: where n-grams start, and their hashes."""
+    def grams(self, most: int) -> Iterator[np.ndarray]:
+        """For 1 to ``most`` words: hashes of all n-grams."""
         ids = np.array(self.ids, np.int64)
         word = np.array(self.hashes, np.uint64)[ids]
         whole, h = ids != BREAK, word
         for m in range(1, most + 1):
             if m > 1:
                 whole = whole[:-1] & (ids[m - 1:] != BREAK)
-                h = (h[:-1] ^ (h[:-1] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word[m - 1:]
-            at = np.flatnonzero(whole)
-            x = h[at]
-            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            yield at, x ^ (x >> np.uint64(32))
+                h = chained(h[:-1], word[m - 1:])
+            yield mixed(h[whole])
 
 
 def narrow(values: np.ndarray, width: int) -> bytes:
@@ -206,7 +215,7 @@ def maybe_frequent(docs: DataFrame, most: int, least: int, width: int, n: int, w
         flush, shard = Flush(), None
 
         def rows():
-            cells, counts = np.unique(np.concatenate([h >> shift for _, h in flush.grams(most)]), return_counts=True)
+            cells, counts = np.unique(np.concatenate([h >> shift for h in flush.grams(most)]), return_counts=True)
             counts = np.minimum(counts, least).astype(small)
             # The cells are in order, so those of a bucket lie side by side.
             for a, b in shares((cells >> np.uint64(8 * width - 16)).astype(np.int64) * n >> 16):
@@ -254,34 +263,40 @@ def maybe_frequent(docs: DataFrame, most: int, least: int, width: int, n: int, w
     return asked.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(answer, "shard int, cells binary")
 
 
-def counted(flush: Flush, cells: np.ndarray, shift: np.uint64, most: int) -> tuple[list[tuple[bytes, ...]], list[int]]:
-    """N-grams of a flush whose cells are among the given ones, in order, with their counts. Words tell n-grams apart, not hashes."""
-    ids = np.array(flush.ids, np.int64)
-    size, columns, counts, code, kept_before = len(flush.names), [], [], ids, None
-    for m, (at, h) in enumerate(flush.grams(most), 1):
-        x = h >> shift
-        place = np.minimum(np.searchsorted(cells, x), max(0, len(cells) - 1))
-        at = at[cells[place] == x] if len(cells) else at[:0]
+def counted(flush: Flush, cells: np.ndarray, shift: np.uint64, most: int, into: dict[tuple[bytes, ...], int]) -> None:
+    """Add a flush's counts of n-grams whose cells are among the given ones. Words tell n-grams apart, not hashes."""
+    def among(h):
+        x = mixed(h) >> shift
+        return cells[np.minimum(np.searchsorted(cells, x), len(cells) - 1)] == x
+
+    if not len(cells):
+        return
+    ids, word = np.array(flush.ids, np.int64), np.array(flush.hashes, np.uint64)
+    size, names, known = len(flush.names), flush.names, among(word)
+    known[BREAK] = False
+    at = np.flatnonzero(known[ids])
+    h, code, grams = word[ids], ids, [None] * size
+    for m in range(1, most + 1):
         if m > 1:  # both shorter n-grams in it are as frequent
-            at = at[kept_before[at] & kept_before[at + 1]]
-        kept_before = np.zeros(len(ids) + 1, bool)
-        kept_before[at] = True
+            at = at[kept[at] & kept[at + 1]]
+            x = chained(h[at], word[ids[at + m - 1]])
+            good = among(x)
+            at = at[good]
+            h[at] = x[good]
+        kept = np.zeros(len(ids) + most, bool)
+        kept[at] = True
         key = ids[at] if m == 1 else code[at] * size + ids[at + m - 1]
-        _, first, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        code = np.zeros(len(ids) + 1, np.int64)
+        found, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+        if m == 1:
+            paths = [names[i] for i in found.tolist()]
+        else:
+            first, last = np.divmod(found, size)
+            paths = [(*grams[i], names[j][1]) for i, j in zip(first.tolist(), last.tolist())]
+        code = np.zeros(len(ids), np.int64)
         code[at] = inverse
-        starts = at[first]
-        columns.append(np.stack([ids[starts + j] if j < m else np.zeros(len(starts), np.int64) for j in range(most)]))
-        counts.append(count)
-    grams, counts = np.concatenate(columns, axis=1), np.concatenate(counts)
-    used = np.unique(grams)
-    used = used[used != BREAK].tolist()
-    place = np.zeros(size, np.int64)
-    place[sorted(used, key=lambda i: flush.names[i])] = np.arange(1, len(used) + 1)
-    order = np.lexsort(place[grams][::-1])
-    names = flush.names
-    paths = [(names[g[0]][0], *[names[i][1] for i in g if i]) for g in grams[:, order].T.tolist()]
-    return paths, counts[order].tolist()
+        grams = paths
+        for path, n in zip(paths, count.tolist()):
+            into[path] = into.get(path, 0) + n
 
 
 def shown(path: tuple[bytes, ...], end: bool = False) -> list[bytes]:
@@ -295,39 +310,44 @@ def shard_counts(docs: DataFrame, frequent: DataFrame, most: int, width: int, n:
     names = ["low", "high", "lang", "words", *[c for c, _ in PARTS_SCHEMA]]
     kinds = [pa.list_(pa.binary()), pa.list_(pa.binary()), pa.string(), pa.int64(), *[t for _, t in PARTS_SCHEMA]]
 
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * len(kinds), kinds)], names=names)
+
     def run(batches):
-        flush, shard, cells = Flush(), None, []
+        flush, shard, cells, held, totals = Flush(), None, [], {}, {}
 
-        def out():
-            nonlocal cells
+        def count():
+            nonlocal flush, cells
             cells = [np.unique(np.concatenate(cells))] if cells else [np.zeros(0, np.uint64)]
-            rows = []
-            per = np.bincount(np.array(flush.ids), minlength=len(flush.names))
-            totals = {}
-            for i, count in enumerate(per.tolist()):
-                if i:
-                    totals[flush.names[i][0]] = totals.get(flush.names[i][0], 0) + count
-            for lang, count in totals.items():
-                rows.append((None, None, lang.decode(), count, None, None, None, None))
-            paths, counts = counted(flush, cells[0], shift, most)
-            for a in range(0, len(paths), chunk):
-                some = paths[a:a + chunk]
-                rows.append((shown(some[0]), shown(some[-1], True), None, None, *Automaton.from_sorted(zip(some, counts[a:a + chunk])).parts()))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+            per = np.bincount(np.array(flush.ids), minlength=len(flush.names)).tolist()
+            for name, times in zip(flush.names[1:], per[1:]):
+                totals[name[0]] = totals.get(name[0], 0) + times
+            counted(flush, cells[0], shift, most, held)
+            flush = Flush()
+
+        def out():
+            items = sorted(held.items())
+            held.clear()
+            for a in range(0, len(items), 64 * chunk):
+                some = [items[b:b + chunk] for b in range(a, min(len(items), a + 64 * chunk), chunk)]
+                yield batch_of([(shown(x[0][0]), shown(x[-1][0], True), None, None, *Automaton.from_sorted(x).parts()) for x in some])
 
         for batch in slices(batches):
             for number, lang, body in zip(*(batch.column(c).to_pylist() for c in ("shard", "lang", "body"))):
-                if len(flush.names) > 1 and (number != shard or len(flush.ids) > words):
-                    yield out()
-                    flush = Flush()
+                if number != shard or len(flush.ids) > words:
+                    count()
+                    if number != shard or len(held) > HELD:
+                        yield from out()
                 if number != shard:
                     shard, cells = number, []
                 if lang is None:  # a shard's cells come before its documents
                     cells.append(wide(body, width))
                 else:
                     flush.add(lang.encode(), body)
-        if len(flush.names) > 1:
-            yield out()
+        count()
+        yield from out()
+        if totals:
+            yield batch_of([(None, None, lang.decode(), n, None, None, None, None) for lang, n in totals.items()])
 
     both = frequent.select("shard", F.lit(None).cast("string").alias("lang"), F.col("cells").alias("body")).unionByName(docs)
     sorted_rows = both.repartition(n, "shard").sortWithinPartitions("shard", F.col("lang").isNotNull())

@@ -17,7 +17,7 @@ from skyframe.llm.common import slices
 
 SPACE = "▁"  # how the vocabulary writes a space
 BPE, NORMAL, UNKNOWN, CONTROL, BYTE = 2, 1, 2, 3, 6  # numbers of the model file's format
-KNOWN = 400_000  # units with their ids that a task remembers
+KNOWN = 500_000  # units with their ids that a task remembers
 LONGEST = 64  # characters of a unit worth remembering
 BATCH = 256  # texts encoded and checked at a time
 
@@ -72,6 +72,7 @@ class Vocabulary:
         # No piece goes over a cut, so nothing can merge over it and what lies between two cuts is encoded on its own.
         alone = "".join(c for c in "\n\t" if not any(c in p for p in long))
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in long)
+        self.single = self.prefix and not self.squeeze and not crossing and "\n" in alone
         one = f"[{alone}]|" if alone else ""
         self.pairs = {a + b for p in long for a, b in zip(p, p[1:])}
         self.unit = re.compile(r"(?s).+" if crossing else f"{one}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
@@ -102,9 +103,9 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
-        self.older: dict[str, list[int]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
-    def __missing__(self, unit: str) -> list[int]:
+    def __missing__(self, unit: str) -> tuple[int, ...]:
         ids = self.older.get(unit)
         if ids is None:
             ids = self.cut(unit)
@@ -115,15 +116,15 @@ class Encoder(dict):
             self[unit] = ids
         return ids
 
-    def cut(self, unit: str) -> list[int]:
+    def cut(self, unit: str) -> tuple[int, ...]:
         """Ids of a unit, cut between neighbours that no piece holds next to each other."""
         pairs = self.vocabulary.pairs
         cuts = [i for i, pair in enumerate(map(str.__add__, unit, unit[1:]), 1) if pair not in pairs]
         if not cuts:
             return self.merged(unit)
-        return list(chain.from_iterable(self[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)])))
+        return tuple(chain.from_iterable(self[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)])))
 
-    def merged(self, unit: str) -> list[int]:
+    def merged(self, unit: str) -> tuple[int, ...]:
         """Merge adjacent symbols, the pair of the greatest score first and the leftmost of equal ones.
 
         The agenda holds every pair of neighbours that is a piece. An entry whose ends have meanwhile merged with others
@@ -160,7 +161,7 @@ class Encoder(dict):
                     heappush(agenda, place[longer] * n + left)
         return self.spelled(symbols)
 
-    def spelled(self, symbols: list[str | None]) -> list[int]:
+    def spelled(self, symbols: list[str | None]) -> tuple[int, ...]:
         """Ids of the symbols that are left."""
         known = self.vocabulary.ids
         out: list[int] = []
@@ -174,10 +175,13 @@ class Encoder(dict):
                 out.extend(self.vocabulary.bytes[b] for b in symbol.encode())
             else:
                 out.append(self.vocabulary.unknown)
-        return out
+        return tuple(out)
 
     def __call__(self, text: str, end: bool = True) -> list[int]:
-        units = self.vocabulary.unit.findall(self.vocabulary.written(text))
+        if self.vocabulary.single and text and text[0] != " " and "  " not in text and SPACE not in text:
+            units = (SPACE + text.replace(" ", f" {SPACE}").replace("\n", " \n ")).split(" ")  # one space before every word
+        else:
+            units = self.vocabulary.unit.findall(self.vocabulary.written(text))
         ids = list(chain.from_iterable(map(self.__getitem__, units)))
         if not self.vocabulary.bytes:  # a run of unknown symbols is one
             ids = [x for i, x in enumerate(ids) if x != self.vocabulary.unknown or not i or ids[i - 1] != x]
