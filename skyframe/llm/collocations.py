@@ -22,7 +22,7 @@ from skyframe.llm.common import partitions, shares, slices
 from skyframe.session import written
 
 FLUSH = 1 << 19  # words whose n-grams a task counts at a time
-HELD = 1 << 19  # n-grams of a shard that a task holds at a time
+HELD = 1 << 17  # n-grams of a shard that a task holds at a time
 CHUNK = 1024  # n-grams of one transducer of a shard
 SHOWN = 64  # bytes of a word that a bound of ranges keeps
 ROOM = 16  # cells of the first pass for every n-gram
@@ -496,7 +496,7 @@ def collocations(docs: DataFrame, most: int = 4, least: int = 30, percent: int =
     # A word and what parts it from the next take two bytes at least, so there are at most most / 2 n-grams a byte.
     width = max(3, min(8, math.ceil(math.log2(ROOM * most * max(2, size) / 2) / 8)))
     frequent = maybe_frequent(rows, most, least, width, 4 * n, words)
-    chunks = written(shard_counts(rows, frequent, most, width, n, words, chunk), "chunks")
+    chunks = written(shard_counts(rows, frequent, most, width, n, max(1, words // 2), chunk), "chunks")
     bounds = bounds_of(chunks.filter("low IS NOT NULL"), n)
     counts = written(range_counts(chunks, bounds, least, n), "counts")
     found = scored(answers(counts, questions(counts, bounds), percent, n), n)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,10 @@ from skyframe.llm.common import slices
 
 SPACE = "▁"  # how the vocabulary writes a space
 BPE, NORMAL, UNKNOWN, CONTROL, BYTE = 2, 1, 2, 3, 6  # numbers of the model file's format
-KNOWN = 500_000  # units with their ids that a task remembers
+KNOWN = 650_000  # units with their ids that a task remembers
 LONGEST = 64  # characters of a unit worth remembering
+SHORT = 24  # characters of a unit whose agenda is a plain list
+NONE = 1 << 60  # place of a pair that is no piece
 BATCH = 256  # texts encoded and checked at a time
 
 
@@ -103,9 +106,9 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, unit: str) -> tuple[int, ...]:
+    def __missing__(self, unit: str) -> bytes:
         ids = self.older.get(unit)
         if ids is None:
             ids = self.cut(unit)
@@ -116,24 +119,33 @@ class Encoder(dict):
             self[unit] = ids
         return ids
 
-    def cut(self, unit: str) -> tuple[int, ...]:
+    def cut(self, unit: str) -> bytes:
         """Ids of a unit, cut between neighbours that no piece holds next to each other."""
         pairs = self.vocabulary.pairs
         cuts = [i for i, pair in enumerate(map(str.__add__, unit, unit[1:]), 1) if pair not in pairs]
         if not cuts:
             return self.merged(unit)
-        return tuple(chain.from_iterable(self[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)])))
+        return b"".join(self[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)]))
 
-    def merged(self, unit: str) -> tuple[int, ...]:
+    def merged(self, unit: str) -> bytes:
         """Merge adjacent symbols, the pair of the greatest score first and the leftmost of equal ones.
 
-        The agenda holds every pair of neighbours that is a piece. An entry whose ends have meanwhile merged with others
-        no longer spells its piece and is passed over.
+        The agenda holds every pair of neighbours that is a piece; that of a short unit is searched, that of a long one a heap.
+        There an entry whose ends have meanwhile merged with others no longer spells its piece and is passed over.
         """
         place = self.vocabulary.place
         symbols: list[str | None] = list(unit)
         n = len(symbols)
-        if n < 2:
+        if n <= SHORT:
+            agenda = [place.get(piece, NONE) for piece in map(str.__add__, unit, unit[1:])]
+            while agenda and (first := min(agenda)) < NONE:
+                left = agenda.index(first)
+                piece = symbols[left] = symbols[left] + symbols.pop(left + 1)
+                del agenda[left]
+                if left < len(agenda):
+                    agenda[left] = place.get(piece + symbols[left + 1], NONE)
+                if left:
+                    agenda[left - 1] = place.get(symbols[left - 1] + piece, NONE)
             return self.spelled(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         # An entry is the pair's place in the order of scores and, below it, where the pair stands.
@@ -161,7 +173,7 @@ class Encoder(dict):
                     heappush(agenda, place[longer] * n + left)
         return self.spelled(symbols)
 
-    def spelled(self, symbols: list[str | None]) -> tuple[int, ...]:
+    def spelled(self, symbols: list[str | None]) -> bytes:
         """Ids of the symbols that are left."""
         known = self.vocabulary.ids
         out: list[int] = []
@@ -175,17 +187,18 @@ class Encoder(dict):
                 out.extend(self.vocabulary.bytes[b] for b in symbol.encode())
             else:
                 out.append(self.vocabulary.unknown)
-        return tuple(out)
+        return array("i", out).tobytes()
 
-    def __call__(self, text: str, end: bool = True) -> list[int]:
+    def __call__(self, text: str, end: bool = True) -> np.ndarray:
         if self.vocabulary.single and text and text[0] != " " and "  " not in text and SPACE not in text:
             units = (SPACE + text.replace(" ", f" {SPACE}").replace("\n", " \n ")).split(" ")  # one space before every word
         else:
             units = self.vocabulary.unit.findall(self.vocabulary.written(text))
-        ids = list(chain.from_iterable(map(self.__getitem__, units)))
-        if not self.vocabulary.bytes:  # a run of unknown symbols is one
-            ids = [x for i, x in enumerate(ids) if x != self.vocabulary.unknown or not i or ids[i - 1] != x]
-        return ids + [self.vocabulary.end] if end else ids
+        ids = np.frombuffer(b"".join(map(self.__getitem__, units)) + array("i", [self.vocabulary.end] * end).tobytes(), np.intc)
+        if self.vocabulary.bytes or len(ids) < 2:
+            return ids
+        unknown = ids == self.vocabulary.unknown  # a run of unknown symbols is one
+        return ids[np.append(True, ~(unknown[1:] & unknown[:-1]))]
 
 
 @lru_cache(maxsize=1)
@@ -211,9 +224,16 @@ def encoded(docs: DataFrame, path: str, end: bool = True, check: bool = True, id
         for batch in slices(batches, BATCH):
             contents = [t or "" for t in batch.column("text").to_pylist()]
             ids = [encode(t, end) for t in contents]
-            agrees = [a == b for a, b in zip(ids, library.encode(contents, add_eos=end, num_threads=1))] if check else [None] * len(ids)
+            if check:
+                lists = library.encode(contents, add_eos=end, num_threads=1)
+                agrees = [len(a) == len(b) and array("i", b).tobytes() == a.tobytes() for a, b in zip(ids, lists)]
+                lists = [b if same else a.tolist() for a, b, same in zip(ids, lists, agrees)]
+            else:
+                lists, agrees = [a.tolist() for a in ids], [None] * len(ids)
+            starts = np.cumsum([0, *map(len, ids)])
+            column = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.intc)]), pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(library.decode(ids, num_threads=1), pa.string()), pa.array(agrees, pa.bool_())],
+                [batch.column("doc_id"), column, pa.array(library.decode(lists, num_threads=1), pa.string()), pa.array(agrees, pa.bool_())],
                 names=["doc_id", "ids", "decoded", "agrees"])
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
