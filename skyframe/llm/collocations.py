@@ -22,7 +22,7 @@ from skyframe.llm.common import partitions, shares, slices
 from skyframe.session import written
 
 FLUSH = 1 << 19  # words whose n-grams a task counts at a time
-HELD = 1 << 17  # n-grams of a shard that a task holds at a time
+HELD = 1 << 18  # n-grams of a shard that a task holds at a time
 CHUNK = 1024  # n-grams of one transducer of a shard
 SHOWN = 64  # bytes of a word that a bound of ranges keeps
 ROOM = 16  # cells of the first pass for every n-gram
@@ -156,15 +156,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
 class Words(dict):
     """Ids of one language's words, from a counter that all languages share."""
 
-    def __init__(self, lang: bytes, flush: Flush):
+    def __init__(self, lang: bytes, names: list, hashes: list):
         super().__init__()
-        self.lang, self.flush = lang, flush
+        self.lang, self.names, self.hashes = lang, names, hashes
         self.seed = xxhash.xxh64_intdigest(lang)
 
     def __missing__(self, word: bytes) -> int:
-        id = self[word] = len(self.flush.names)
-        self.flush.names.append((self.lang, word))
-        self.flush.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
+        id = self[word] = len(self.names)
+        self.names.append((self.lang, word))
+        self.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
         return id
 
 
@@ -180,7 +180,7 @@ class Flush:
     def add(self, lang: bytes, text: bytes) -> None:
         words = self.words.get(lang)
         if words is None:
-            words = self.words[lang] = Words(lang, self)
+            words = self.words[lang] = Words(lang, self.names, self.hashes)
             words[b"."] = BREAK
         self.ids.extend(map(words.__getitem__, text.translate(TABLE).replace(b".", b" . ").split()))
         self.ids.append(BREAK)
