@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from skyframe.llm.common import partitions, shares, slices
 from skyframe.session import written
 
 FLUSH = 1 << 19  # words whose n-grams a task counts at a time
-HELD = 1 << 18  # n-grams of a shard that a task holds at a time
+HELD = 1 << 22  # n-grams of a shard that a task holds at a time, 24 bytes each
 CHUNK = 1024  # n-grams of one transducer of a shard
 SHOWN = 64  # bytes of a word that a bound of ranges keeps
 ROOM = 16  # cells of the first pass for every n-gram
@@ -263,40 +264,76 @@ def maybe_frequent(docs: DataFrame, most: int, least: int, width: int, n: int, w
     return asked.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(answer, "shard int, cells binary")
 
 
-def counted(flush: Flush, cells: np.ndarray, shift: np.uint64, most: int, into: dict[tuple[bytes, ...], int]) -> None:
-    """Add a flush's counts of n-grams whose cells are among the given ones. Words tell n-grams apart, not hashes."""
-    def among(h):
-        x = mixed(h) >> shift
-        return cells[np.minimum(np.searchsorted(cells, x), len(cells) - 1)] == x
-
-    if not len(cells):
-        return
-    ids, word = np.array(flush.ids, np.int64), np.array(flush.hashes, np.uint64)
-    size, names, known = len(flush.names), flush.names, among(word)
-    known[BREAK] = False
-    at = np.flatnonzero(known[ids])
-    h, code, grams = word[ids], ids, [None] * size
-    for m in range(1, most + 1):
-        if m > 1:  # both shorter n-grams in it are as frequent
-            at = at[kept[at] & kept[at + 1]]
-            x = chained(h[at], word[ids[at + m - 1]])
-            good = among(x)
-            at = at[good]
-            h[at] = x[good]
-        kept = np.zeros(len(ids) + most, bool)
-        kept[at] = True
-        key = ids[at] if m == 1 else code[at] * size + ids[at + m - 1]
-        found, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-        if m == 1:
-            paths = [names[i] for i in found.tolist()]
-        else:
-            first, last = np.divmod(found, size)
-            paths = [(*grams[i], names[j][1]) for i, j in zip(first.tolist(), last.tolist())]
-        code = np.zeros(len(ids), np.int64)
-        code[at] = inverse
-        grams = paths
-        for path, n in zip(paths, count.tolist()):
-            into[path] = into.get(path, 0) + n
+class Held:
+    """N-grams of a shard with their counts, as numbers of words of its own list; words tell n-grams apart, not hashes."""
+
+    def __init__(self, most: int):
+        self.most, self.numbers, self.grams, self.counts, self.settled = most, {}, [], [], 0
+
+    def add(self, flush: Flush, cells: np.ndarray, shift: np.uint64) -> None:
+        """Add those n-grams of a flush whose cells are among the given ones."""
+        def among(h):
+            x = mixed(h) >> shift
+            return cells[np.minimum(np.searchsorted(cells, x), len(cells) - 1)] == x
+
+        if not len(cells):
+            return
+        ids, word = np.array(flush.ids, np.int64), np.array(flush.hashes, np.uint64)
+        size, known = len(flush.names), among(word)
+        known[BREAK] = False
+        own = np.zeros(size, np.int32)
+        for i in np.flatnonzero(known).tolist():
+            own[i] = self.numbers.setdefault(flush.names[i], len(self.numbers) + 1)
+        at = np.flatnonzero(known[ids])
+        h, code = word[ids], ids
+        for m in range(1, self.most + 1):
+            if m > 1:  # both shorter n-grams in it are as frequent
+                at = at[kept[at] & kept[at + 1]]
+                x = chained(h[at], word[ids[at + m - 1]])
+                good = among(x)
+                at = at[good]
+                h[at] = x[good]
+            kept = np.zeros(len(ids) + self.most, bool)
+            kept[at] = True
+            found, inverse, count = np.unique(ids[at] if m == 1 else code[at] * size + ids[at + m - 1], return_inverse=True, return_counts=True)
+            rows = np.zeros((len(found), self.most), np.int32)
+            if m > 1:
+                rows[:, :m - 1] = before[found // size, :m - 1]
+            rows[:, m - 1] = own[found % size if m > 1 else found]
+            code = np.zeros(len(ids), np.int64)
+            code[at] = inverse
+            before = rows
+            self.grams.append(rows)
+            self.counts.append(count)
+        if sum(map(len, self.counts)) > 2 * self.settled + (1 << 19):
+            self.settle(*self.summed())
+
+    def settle(self, grams: np.ndarray, counts: np.ndarray) -> None:
+        self.grams, self.counts, self.settled = [grams], [counts], len(counts)
+
+    def summed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct n-grams and their counts, by the numbers of their words."""
+        grams, counts = np.concatenate(self.grams), np.concatenate(self.counts)
+        order = np.lexsort(grams.T[::-1])
+        grams = grams[order]
+        first = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]).any(axis=1))) if len(grams) else np.zeros(0, np.int64)
+        return grams[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+    def drained(self) -> Iterator[tuple[tuple[bytes, ...], int]]:
+        """All n-grams in the order of their languages and words, with their counts; nothing is held then."""
+        if not self.counts:
+            return
+        grams, counts = self.summed()
+        names = sorted(self.numbers, key=lambda name: name)
+        place = np.zeros(len(names) + 1, np.int32)
+        place[[self.numbers[name] for name in names]] = np.arange(1, len(names) + 1)
+        self.numbers, self.grams, self.counts, self.settled = {}, [], [], 0
+        grams = place[grams]
+        order = np.lexsort(grams.T[::-1])
+        for a in range(0, len(order), 1 << 16):
+            some = order[a:a + (1 << 16)]
+            for row, count in zip(grams[some].tolist(), counts[some].tolist()):
+                yield (names[row[0] - 1][0], *[names[i - 1][1] for i in row if i]), count
 
 
 def shown(path: tuple[bytes, ...], end: bool = False) -> list[bytes]:
@@ -314,7 +351,7 @@ def shard_counts(docs: DataFrame, frequent: DataFrame, most: int, width: int, n:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * len(kinds), kinds)], names=names)
 
     def run(batches):
-        flush, shard, cells, held, totals = Flush(), None, [], {}, {}
+        flush, shard, cells, held, totals = Flush(), None, [], Held(most), {}
 
         def count():
             nonlocal flush, cells
@@ -322,21 +359,23 @@ def shard_counts(docs: DataFrame, frequent: DataFrame, most: int, width: int, n:
             per = np.bincount(np.array(flush.ids), minlength=len(flush.names)).tolist()
             for name, times in zip(flush.names[1:], per[1:]):
                 totals[name[0]] = totals.get(name[0], 0) + times
-            counted(flush, cells[0], shift, most, held)
+            held.add(flush, cells[0], shift)
             flush = Flush()
 
         def out():
-            items = sorted(held.items())
-            held.clear()
-            for a in range(0, len(items), 64 * chunk):
-                some = [items[b:b + chunk] for b in range(a, min(len(items), a + 64 * chunk), chunk)]
-                yield batch_of([(shown(x[0][0]), shown(x[-1][0], True), None, None, *Automaton.from_sorted(x).parts()) for x in some])
+            items, some = held.drained(), []
+            while part := list(islice(items, chunk)):
+                some.append((shown(part[0][0]), shown(part[-1][0], True), None, None, *Automaton.from_sorted(part).parts()))
+                if len(some) == 64:
+                    yield batch_of(some)
+                    some = []
+            yield batch_of(some)
 
         for batch in slices(batches):
             for number, lang, body in zip(*(batch.column(c).to_pylist() for c in ("shard", "lang", "body"))):
                 if number != shard or len(flush.ids) > words:
                     count()
-                    if number != shard or len(held) > HELD:
+                    if number != shard or held.settled > HELD:
                         yield from out()
                 if number != shard:
                     shard, cells = number, []
@@ -496,7 +535,7 @@ def collocations(docs: DataFrame, most: int = 4, least: int = 30, percent: int =
     # A word and what parts it from the next take two bytes at least, so there are at most most / 2 n-grams a byte.
     width = max(3, min(8, math.ceil(math.log2(ROOM * most * max(2, size) / 2) / 8)))
     frequent = maybe_frequent(rows, most, least, width, 4 * n, words)
-    chunks = written(shard_counts(rows, frequent, most, width, n, max(1, words // 2), chunk), "chunks")
+    chunks = written(shard_counts(rows, frequent, most, width, n, words, chunk), "chunks")
     bounds = bounds_of(chunks.filter("low IS NOT NULL"), n)
     counts = written(range_counts(chunks, bounds, least, n), "counts")
     found = scored(answers(counts, questions(counts, bounds), percent, n), n)
