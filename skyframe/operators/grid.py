@@ -1,20 +1,30 @@
 """Grids and regridding: target grid, interpolation maps, long and array application, frames per slot.
 
-A map belongs to a pair of grids and its size is fixed by them (four entries per target cell). The
-array form keeps one row per frame and needs no shuffle at all; the long form is for selected pixels.
+A map belongs to a pair of grids and its size is fixed by them (four entries per target cell). The array form keeps one row
+per frame and needs no shuffle at all, for maps of a checked size; the tiled form is for any size; the long form is for
+selected pixels.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import math
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyframe.functions import decode as dc
 from skyframe.functions import geo
 from skyframe.functions.checks import guard
-from skyframe.operators.sequences import asof_latest
+from skyframe.session import written
 
 WEIGHT_FLOOR = 1e-7  # a contributor this light need not be valid
+AXIS_MOST = 1 << 16  # coordinates of a native axis
+PACKED_MOST = 1 << 20  # target cells of a map that is packed into one row and broadcast, some 70 bytes each
+TILED_MOST = 1 << 22  # entries of a tiled map that is broadcast, some 16 bytes each
+TILE = 128  # cells along the side of a tile
 
 
 def target_grid(spark: SparkSession, resolution_km: int = 3, box=geo.REGION) -> DataFrame:
@@ -39,23 +49,37 @@ def grid_shape(resolution_km: int, box=geo.REGION) -> tuple[int, int]:
     return (top - bottom) // (resolution_km * 1000), (right - left) // (resolution_km * 1000)
 
 
+def axis_values(axis: DataFrame) -> tuple[list[float], int, int]:
+    """An axis (index, coord) as rising coordinates, the index of the least one and the step of the index along them."""
+    rows = axis.select("index", "coord").orderBy("index").limit(AXIS_MOST + 1).collect()
+    if len(rows) > AXIS_MOST:
+        raise ValueError(f"An axis has at most {AXIS_MOST} coordinates")
+    coords = [r.coord for r in rows]
+    if any(b["index"] - a["index"] != 1 for a, b in zip(rows, rows[1:])) or any(c is None or not math.isfinite(c) for c in coords):
+        raise ValueError("Native coordinates must be finite and without gaps")
+    steps = [b > a for a, b in zip(coords, coords[1:]) if a != b]
+    if len(steps) < len(coords) - 1 or len(set(steps)) > 1:
+        raise ValueError("Native coordinates must be strictly monotonic")
+    return (coords, rows[0]["index"] if rows else 0, 1) if not steps or steps[0] else (coords[::-1], rows[-1]["index"], -1)
+
+
 def fractional_index(points: DataFrame, axis: DataFrame, coordinate: str, name: str) -> DataFrame:
-    """Position of a coordinate on a strictly monotonic axis (index, coord), NULL outside it.
+    """Position of a coordinate on a strictly monotonic axis (index, coord), NULL outside it and for NULL and NaN.
 
-    The axis table is one-dimensional (a few thousand rows); a non-monotonic one fails the job.
+    The axis is one-dimensional and bounded, so it goes into the plan as one sorted array; every row searches it by halving,
+    without an exchange.
     """
-    order = Window.partitionBy(F.lit(0)).orderBy("coord")
-    steps = axis.select("index", "coord", F.lead("index").over(order).alias("_ni"), F.lead("coord").over(order).alias("_nc"))
-    steps = steps.withColumns({"_first": F.min(F.col("_ni") - F.col("index")).over(Window.partitionBy(F.lit(0))),
-                               "_last": F.max(F.col("_ni") - F.col("index")).over(Window.partitionBy(F.lit(0)))})
-    sound = (F.col("_first") == F.col("_last")) & (F.abs("_first") == 1) & (F.col("_nc").isNull() | (F.col("_nc") > F.col("coord")))
-    steps = guard(steps, sound, "Native coordinates must be strictly monotonic").drop("_first", "_last").withColumn("_axis", F.lit(0))
-    hits = asof_latest(points.withColumn("_axis", F.lit(0)), steps, ["_axis"], coordinate, "coord", ["index"],
-                       ["index", "coord", "_ni", "_nc"], hit="_h", bounded=True)  # a grid's cells and axis
-    share = (F.col(coordinate) - F.col("_h.coord")) / (F.col("_h._nc") - F.col("_h.coord"))
-    index = F.when(F.col("_h._nc").isNull(), F.when(F.col(coordinate) == F.col("_h.coord"), F.col("_h.index").cast("double"))).otherwise(
-        F.col("_h.index") + share * (F.col("_h._ni") - F.col("_h.index")))
-    return hits.withColumn(name, index).select(*points.columns, name)
+    coords, start, step = axis_values(axis)
+    if not coords:
+        return points.withColumn(name, F.lit(None).cast("double"))
+    known = F.split(F.lit(",".join(map(repr, coords))), ",").cast("array<double>")
+    x, n = F.col(coordinate).cast("double"), len(coords)
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, n.bit_length())))])
+    place = F.aggregate(halves, F.lit(0), lambda at, more: F.when((at + more < n) & (F.get(known, at + more) <= x), at + more).otherwise(at))
+    rows = points.withColumn("_place", F.when((x >= coords[0]) & (x <= coords[-1]), place))
+    here, after = F.get(known, F.col("_place")), F.get(known, F.col("_place") + 1)
+    share = F.coalesce((x - here) / (after - here), F.lit(0.0))
+    return rows.withColumn(name, start + F.col("_place") * step + share * step).drop("_place")
 
 
 def interpolation_map(targets: DataFrame, x_axis: DataFrame, y_axis: DataFrame, nx: int, ny: int, method: str = "bilinear",
@@ -105,32 +129,154 @@ def regrid_long(pixels: DataFrame, sparse: DataFrame, frame: list[str], cell: st
 
 
 def pack_map(mapping: DataFrame, grid_id: str) -> DataFrame:
-    """One row holding the whole map of a grid pair, cells in order: broadcastable, its size is the grid's."""
+    """One row holding the whole map of a grid pair, cells in order. A map of more than ``PACKED_MOST`` target cells fails the
+    job: it would be neither gathered nor broadcast; ``regrid_tiles`` is for those."""
     entry = F.struct("target_cell", "cells", "weights", "nearest", "support")
-    return mapping.groupBy(F.lit(grid_id).alias("grid_id")).agg(F.sort_array(F.collect_list(entry)).alias("lut"))
+    counted = mapping.groupBy(F.lit(grid_id).alias("grid_id")).agg(F.count("*").alias("_n"))
+    small = guard(counted, F.col("_n") <= PACKED_MOST, "The map is too large to be packed; regrid by tiles")
+    rows = mapping.crossJoin(F.broadcast(small))  # one row, checked before any map row is gathered
+    return rows.groupBy("grid_id").agg(F.sort_array(F.collect_list(entry)).alias("lut"))
 
 
 def regrid_frames(frames: DataFrame, packed: DataFrame) -> DataFrame:
     """G03 array form: frames (grid_id, values, valid, quality, classes as row-major arrays) to the target
-    grid, one row in, one row out. ``packed`` holds one row per pair of grids, so it is broadcast."""
+    grid, one row in, one row out, in one pass over the map. ``packed`` holds one row per pair of grids, of checked size, so
+    it is broadcast. A source cell that is NULL in ``valid`` is absent; ``touched`` says which targets have a present one."""
     rows = frames.join(F.broadcast(packed), "grid_id", "left")
     pairs = F.arrays_zip
 
-    def usable(m):
-        return m["support"] & F.forall(pairs(m["cells"], m["weights"]), lambda e: (e["weights"] <= WEIGHT_FLOOR) | F.get("valid", e["cells"]))
-
-    def total(m):
-        return F.aggregate(pairs(m["cells"], m["weights"]), F.lit(0.0), lambda acc, e: acc + F.when(
+    def cell(m):
+        usable = m["support"] & F.forall(pairs(m["cells"], m["weights"]), lambda e: (e["weights"] <= WEIGHT_FLOOR) | F.coalesce(F.get("valid", e["cells"]), F.lit(False)))
+        total = F.aggregate(pairs(m["cells"], m["weights"]), F.lit(0.0), lambda acc, e: acc + F.when(
             F.get("valid", e["cells"]), F.get("values", e["cells"]).cast("double") * e["weights"]).otherwise(F.lit(0.0)))
-
-    def at_nearest(name):
-        return F.transform("lut", lambda m: F.get(name, m["nearest"]))
+        return F.struct(
+            usable.alias("valid"), F.when(usable, total.cast("float")).alias("values"), F.get("quality", m["nearest"]).alias("quality"),
+            F.get("classes", m["nearest"]).alias("classes"), m["support"].alias("source_support"),
+            F.exists(m["cells"], lambda c: F.get("valid", c).isNotNull()).alias("touched"))
 
     kept = [c for c in frames.columns if c not in ("values", "valid", "quality", "classes")]
-    return rows.select(
-        *kept, F.transform("lut", lambda m: F.when(usable(m), total(m).cast("float"))).alias("values"),
-        F.transform("lut", usable).alias("valid"), at_nearest("quality").alias("quality"), at_nearest("classes").alias("classes"),
-        F.transform("lut", lambda m: m["support"]).alias("source_support"))
+    done = rows.select(*kept, F.transform("lut", cell).alias("_cells"))
+    return done.select(*kept, *[F.col(f"_cells.{c}").alias(c) for c in ("values", "valid", "quality", "classes", "source_support", "touched")])
+
+
+def dense_frames(pixels: DataFrame, frame: list[str], cell: str, cells: int, columns: list[str], first_by: list[str]) -> DataFrame:
+    """Frames as arrays of ``cells`` entries from pixel rows: the first pixel of a cell by ``first_by``, NULL where there is none.
+    The pixels are dealt out by frame once."""
+    own = pixels.filter(F.col(cell).between(0, cells - 1)).repartition(*[F.col(c) for c in frame])
+    picked = own.groupBy(*frame, cell).agg(F.min_by(F.struct(*columns), F.struct(*first_by)).alias("_p"))
+    rows = picked.groupBy(*frame).agg(F.sort_array(F.collect_list(F.struct(F.col(cell).cast("int").alias("c"), "_p"))).alias("_s"))
+    # Between a cell and the next one there are as many gaps as cells are missing.
+    after = F.concat(F.transform(F.slice("_s", 2, F.size("_s")), lambda e: e["c"]), F.array(F.lit(cells)))
+    gap = F.struct(*[F.lit(None).cast(pixels.schema[c].dataType).alias(c) for c in columns])
+    nothing = F.when(F.lit(False), gap)  # a NULL of the same type
+    filled = F.flatten(F.transform(F.arrays_zip(F.col("_s").alias("s"), after.alias("n")), lambda e: F.concat(
+        F.array(e["s"]["_p"]), F.array_repeat(nothing, e["n"] - e["s"]["c"] - 1))))
+    rows = rows.withColumn("_all", F.concat(F.array_repeat(nothing, F.col("_s")[0]["c"]), filled))
+    return rows.select(*frame, *[F.col(f"_all.{c}").alias(c) for c in columns])
+
+
+def _tile(cell: Column, nx: int, side: int) -> tuple[Column, Column]:
+    """Tile of a row-major cell, and its place inside; places of edge tiles use the same stride."""
+    y, x = F.floor(cell / nx), cell % nx
+    return (F.floor(y / side) * math.ceil(nx / side) + F.floor(x / side)).cast("int"), (y % side * side + x % side).cast("int")
+
+
+def tile_map(mapping: DataFrame, nx: int, target_nx: int, side: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """A map cut by target and source tiles: entries (target and source place, weight, nearest) per pair of tiles, and per
+    target tile what its cells need. Written once; a row is bounded by the area of a tile."""
+    target_tile, target = _tile(F.col("target_cell"), target_nx, side)
+    heavy = F.size(F.filter("weights", lambda w: w > WEIGHT_FLOOR))
+    rows = mapping.withColumns({"target_tile": target_tile, "to": target, "need": heavy})
+    need = F.struct("to", "target_cell", "need", "support")
+    needs = rows.groupBy("target_tile").agg(F.sort_array(F.collect_list(need)).alias("needs"))
+    flat = rows.select("target_tile", "to", "nearest", F.explode(F.arrays_zip("cells", "weights")).alias("e"))
+    source_tile, source = _tile(F.col("e.cells"), nx, side)
+    entry = F.struct("to", source.alias("from"), F.col("e.weights").alias("weight"), (F.col("e.cells") == F.col("nearest")).alias("near"))
+    tiles = flat.groupBy("target_tile", source_tile.alias("source_tile")).agg(F.collect_list(entry).alias("entries"))
+    return written(tiles, "tiles"), written(needs, "needs")
+
+
+def tile_frames(frames: DataFrame, frame: list[str], nx: int, ny: int, side: int = TILE) -> DataFrame:
+    """Frames as row-major arrays cut into tiles: ``frame`` (a struct), ``source_tile`` and arrays of the tile's places."""
+    across, down = math.ceil(nx / side), math.ceil(ny / side)
+    tile = F.explode(F.sequence(F.lit(0), F.lit(across * down - 1))).alias("source_tile")
+    rows = frames.select(F.struct(*frame).alias("frame"), "values", "valid", "quality", "classes", tile)
+    top, left = F.floor(F.col("source_tile") / across) * side, F.col("source_tile") % across * side
+
+    def cut(name):
+        def line(y):
+            some = F.slice(name, (y * nx + left + 1).cast("int"), F.least(F.lit(side), nx - left).cast("int"))
+            return F.concat(some, F.array_repeat(F.when(F.lit(False), F.get(name, F.lit(0))), (side - F.size(some)).cast("int")))
+        return F.flatten(F.transform(F.sequence(top, F.least(top + side, F.lit(ny)) - 1), line)).alias(name)
+
+    return rows.select("frame", "source_tile", *[cut(c) for c in ("values", "valid", "quality", "classes")])
+
+
+def regrid_tiles(tiles: DataFrame, tiled: tuple[DataFrame, DataFrame], side: int = TILE) -> DataFrame:
+    """G03 tiled form, for maps and frames that neither a broadcast nor a task can hold: ``frame``, ``target_tile`` and, per target
+    cell, ``target_cell``, ``value``, ``valid``, ``quality``, ``class`` and ``source_support``.
+
+    Frame tiles meet map tiles by source tile, are weighted there, and only sums per target place go on to the target
+    tile. The map is broadcast if it has at most ``TILED_MOST`` entries; beyond, frames are salted so that the few source tiles
+    do not bound the number of tasks.
+    """
+    entries, needs = tiled
+    size = entries.agg(F.sum(F.size("entries")), F.countDistinct("source_tile")).first()
+    if (size[0] or 0) <= TILED_MOST:
+        joined = tiles.join(F.broadcast(entries), "source_tile")
+    else:
+        parts = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(1, math.ceil(parts / size[1]))
+        salted = entries.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+        joined = tiles.withColumn("_salt", F.pmod(F.xxhash64("frame"), F.lit(salts)).cast("int")).join(salted, ["source_tile", "_salt"])
+    area = side * side
+    names = ["frame", "target_tile", "sums", "have", "quality", "classes"]
+
+    def numbers(column, fill):
+        flat = column.values if hasattr(column, "values") else column
+        return np.asarray(flat.fill_null(fill).to_numpy(zero_copy_only=False))
+
+    def weigh(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                entry = row.column("entries").flatten()
+                to, source, weight, near = (entry.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+                valid = numbers(row.column("valid").flatten(), False)[source]
+                value = numbers(row.column("values").flatten(), 0.0)[source].astype(np.float64)
+                sums = np.bincount(to, np.where(valid, value * weight, 0.0), minlength=area)
+                have = np.bincount(to[valid & (weight > WEIGHT_FLOOR)], minlength=area)
+                codes = []
+                for c in ("quality", "classes"):
+                    flat = row.column(c).flatten()
+                    at, out = source[near], np.zeros(area, np.int32)
+                    out[to[near]] = numbers(flat, 0)[at]
+                    missing = np.ones(area, bool)
+                    missing[to[near]] = flat.is_null().to_numpy(zero_copy_only=False)[at]
+                    codes.append(pa.array(out, mask=missing))
+                lists = [pa.ListArray.from_arrays([0, area], x) for x in (pa.array(sums), pa.array(have.astype(np.int32)), *codes)]
+                yield pa.RecordBatch.from_arrays([row.column("frame"), row.column("target_tile"), *lists], names=names)
+
+    kind = T.StructType([tiles.schema["frame"], T.StructField("target_tile", T.IntegerType()), T.StructField("sums", T.ArrayType(T.DoubleType())),
+                         *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in names[3:]]])
+    partial = joined.select("frame", "target_tile", "entries", F.col("values").cast("array<double>").alias("values"), "valid", F.col("quality").cast("array<int>").alias("quality"),
+                            F.col("classes").cast("array<int>").alias("classes")).mapInArrow(weigh, kind)
+    # A target tile meets only the source tiles around it, so a few partial rows come together.
+    met = partial.groupBy("frame", "target_tile").agg(F.collect_list(F.struct(*names[2:])).alias("p"))
+
+    def together(name, start, add):
+        return F.aggregate(F.col(f"p.{name}"), F.array_repeat(start, area), lambda a, b: F.zip_with(a, b, add)).alias(name)
+
+    added = met.select(
+        "frame", "target_tile", together("sums", F.lit(0.0), lambda x, y: x + y), together("have", F.lit(0), lambda x, y: x + y),
+        *[together(c, F.lit(None).cast("int"), lambda x, y: F.coalesce(x, y)) for c in ("quality", "classes")])
+
+    def cell(e):
+        ok = (F.get("have", e["to"]) == e["need"]) & e["support"]
+        return F.struct(e["target_cell"].alias("target_cell"), F.when(ok, F.get("sums", e["to"]).cast("float")).alias("value"), ok.alias("valid"),
+                        F.get("quality", e["to"]).alias("quality"), F.get("classes", e["to"]).alias("class"), e["support"].alias("source_support"))
+
+    return added.join(needs, "target_tile").select("frame", "target_tile", F.transform("needs", cell).alias("cells"))
 
 
 def slot_frames(spine: DataFrame, frames: DataFrame, packed: DataFrame, cells: int) -> DataFrame:
@@ -147,34 +293,44 @@ def slot_frames(spine: DataFrame, frames: DataFrame, packed: DataFrame, cells: i
                       fill("classes", 255, "int"), fill("source_support", False, "boolean"))
 
 
-def radar_recipe(pixels: DataFrame, sparse: DataFrame, frame: list[str], recipe: str, cell: str = "source_cell") -> DataFrame:
-    """``mask_first`` drops gaps and sentinels before interpolating; ``mask_late`` interpolates whatever
-    the bitmap keeps and then drops negatives. Cell edges follow this map, not a raster library's."""
-    rows = dc.with_product(pixels)
-    present = (F.col("bitmap") == 1) & dc.finite("raw")
-    if recipe == "mask_first":
-        valid = present & (F.col("raw") != F.col("missing")) & (F.col("raw") != F.col("no_coverage"))
-    elif recipe == "mask_late":
-        valid = present
-    else:
+def radar_recipe(frames: DataFrame, packed: DataFrame, recipe: str) -> DataFrame:
+    """Frames (grid_id, product, raw, bitmap) to the target grid. ``mask_first`` drops gaps and sentinels before
+    interpolating; ``mask_late`` interpolates whatever the bitmap keeps and then drops negatives. Masking, weighting and the
+    choice of codes are array passes within a frame's row. Cell edges follow this map, not a raster library's."""
+    if recipe not in ("mask_first", "mask_late"):
         raise ValueError("Choose mask_first or mask_late")
-    rows = rows.withColumns({"valid": valid, "value": F.col("raw").cast("float"), "quality": F.col("bitmap"), "class": F.lit(0)})
-    out = regrid_long(rows, sparse, frame, cell)
+    rows = dc.with_product(frames)
+
+    def keep(p):
+        present = (p["bitmap"] == 1) & dc.finite(p["raw"])
+        if recipe == "mask_first":
+            present = present & (p["raw"] != F.col("missing")) & (p["raw"] != F.col("no_coverage"))
+        return F.when(p["raw"].isNotNull() | p["bitmap"].isNotNull(), F.coalesce(present, F.lit(False)))
+
+    rows = rows.select(*frames.columns, F.transform(F.arrays_zip("raw", "bitmap"), keep).alias("valid"), F.transform("raw", lambda v: v.cast("float")).alias("values"),
+                       F.col("bitmap").alias("quality"), F.transform("bitmap", lambda b: F.lit(0)).alias("classes"))
+    kept = [c for c in frames.columns if c not in ("raw", "bitmap")]
+    out = regrid_frames(rows.drop("raw", "bitmap"), packed).select(*kept, "values", "valid", "touched")
     if recipe == "mask_late":
-        out = out.withColumn("value", F.when(F.col("value") >= 0, F.col("value")))
-    return out.select(*frame, "target_cell", "value", F.col("value").isNotNull().alias("valid"))
-
-
-def satellite_recipe(decoded: DataFrame, sparse: DataFrame | None, frame: list[str], mask_quality: bool = True,
-                     cell: str = "source_cell") -> DataFrame:
-    """Decoded satellite pixels with an optional strict quality mask, reprojected when a map is given."""
-    good = F.col("value").isNotNull()
-    if mask_quality:
-        good = good & (F.col("quality").isNull() | (F.col("quality") == 0))
-    rows = decoded.withColumns({"valid": good, "value": F.when(good, F.col("value")), "quality": F.coalesce("quality", F.lit(255))})
-    if sparse is None:
-        return rows
-    return regrid_long(rows, sparse, frame, cell)
+        out = out.withColumn("values", F.transform("values", lambda v: F.when(v >= 0, v)))
+        out = out.withColumn("valid", F.transform("values", lambda v: v.isNotNull()))
+    return out
+
+
+def satellite_recipe(frames: DataFrame, packed: DataFrame | None, mask_quality: bool = True) -> DataFrame:
+    """Decoded satellite frames (grid_id, value, quality, class) with an optional strict quality mask, reprojected
+    when a map is given, all within a frame's row. A cell whose class is NULL is absent."""
+    def keep(p):
+        good = p["value"].isNotNull()
+        if mask_quality:
+            good = good & (p["quality"].isNull() | (p["quality"] == 0))
+        return F.when(p["class"].isNotNull(), good)
+
+    zipped = F.arrays_zip("value", "quality", "class")
+    rows = frames.withColumn("valid", F.transform(zipped, keep))
+    rows = rows.withColumn("values", F.transform(F.arrays_zip("value", "valid"), lambda p: F.when(p["valid"], p["value"])))
+    rows = rows.withColumns({"quality": F.transform("quality", lambda q: F.coalesce(q, F.lit(255))), "classes": F.col("class")}).drop("value", "class")
+    return rows if packed is None else regrid_frames(rows, packed)
 
 
 def corrected_pixels(pixels: DataFrame, satellite_lon: float, height: float, resolution_km: int, correction: list[str],

@@ -11,7 +11,6 @@ from skyframe.operators import grid as gr
 from skyframe.operators import pixels as px
 from skyframe.operators import storms as st
 from skyframe.operators import studies as sd
-from skyframe.operators.alignment import first_of
 from skyframe.operators.forecasts import event_hours
 from skyframe.plans.registry import query, table
 from skyframe.plans.standins import (
@@ -57,14 +56,32 @@ def _long(frames):
 _REGRID_COLUMNS = "vec_id, variable, target_cell, CASE WHEN valid THEN round(CAST(s AS FLOAT)::DOUBLE, 5) END AS value, valid, quality, class, source_support"
 
 
-@query("g02_interpolation_map", f"""
-WITH {FRAMES}, {MAP}
-SELECT f.vec_id, l.target_cell, l.cell AS source_cell, round(l.w::DOUBLE, 6) AS weight, l.support, l.cell = l.nearest AS is_nearest FROM frames f CROSS JOIN lut l""")
+# Two uneven axes, one rising and one falling, and one target per line; some lie outside.
+@query("g02_interpolation_map", """
+WITH ax AS (SELECT n_nationkey::INTEGER AS i, (n_nationkey * n_nationkey + n_nationkey)::DOUBLE AS c FROM nation),
+ay AS (SELECT n_nationkey::INTEGER AS i, 40::DOUBLE - 1.5::DOUBLE * n_nationkey AS c FROM nation),
+bx AS (SELECT *, lead(c) OVER (ORDER BY c) AS nc FROM ax), by_ AS (SELECT *, lead(c) OVER (ORDER BY c) AS nc FROM ay),
+t AS (SELECT l_orderkey * 8 + l_linenumber AS target_cell, l_extendedprice::DOUBLE % 650::DOUBLE AS tx, l_quantity::DOUBLE AS ty, l_discount::DOUBLE < 0.085::DOUBLE AS inside FROM lineitem),
+px AS (SELECT t.*, CASE WHEN tx <= 600 THEN b.i + coalesce((tx - b.c) / (b.nc - b.c), 0) END AS ix FROM t ASOF LEFT JOIN bx b ON t.tx >= b.c),
+py AS (SELECT px.*, CASE WHEN ty <= 40 THEN b.i - coalesce((ty - b.c) / (b.nc - b.c), 0) END AS iy FROM px ASOF LEFT JOIN by_ b ON px.ty >= b.c),
+p AS (SELECT target_cell, ix IS NOT NULL AND iy IS NOT NULL AND inside AS support, coalesce(ix, 0) AS ix, coalesce(iy, 0) AS iy FROM py),
+c AS (SELECT *, least(floor(ix), 23)::INTEGER AS x0, least(floor(iy), 23)::INTEGER AS y0, CAST(round_even(iy, 0) * 25 + round_even(ix, 0) AS INTEGER) AS nearest FROM p),
+m AS (
+  SELECT *, y0 * 25 + x0 AS cell, CAST((1 - (ix - x0)) * (1 - (iy - y0)) AS FLOAT) AS w FROM c
+  UNION ALL SELECT *, y0 * 25 + x0 + 1, CAST((ix - x0) * (1 - (iy - y0)) AS FLOAT) FROM c
+  UNION ALL SELECT *, (y0 + 1) * 25 + x0, CAST((1 - (ix - x0)) * (iy - y0) AS FLOAT) FROM c
+  UNION ALL SELECT *, (y0 + 1) * 25 + x0 + 1, CAST((ix - x0) * (iy - y0) AS FLOAT) FROM c)
+SELECT 'native' AS grid_pair, target_cell, cell AS source_cell, round(w::DOUBLE, 5) AS weight, support, cell = nearest AS is_nearest FROM m""")
 def g02(spark, folder):
-    sparse = gr.sparse_map(_map(spark)).select("target_cell", "source_cell", F.round(F.col("weight").cast("double"), 6).alias("weight"), "support", "is_nearest")
-    # Every frame uses the one map of its grid pair.
-    packed = sparse.groupBy(F.lit("native").alias("grid_id")).agg(F.collect_list(F.struct(*sparse.columns)).alias("lut"))
-    return raster_frames(spark, folder).join(F.broadcast(packed), "grid_id").select("vec_id", F.explode("lut").alias("m")).select("vec_id", "m.*")
+    n = F.col("n_nationkey")
+    nations, lines = table(spark, folder, "nation"), table(spark, folder, "lineitem")
+    x_axis = nations.select(n.cast("int").alias("index"), (n * n + n).cast("double").alias("coord"))
+    y_axis = nations.select(n.cast("int").alias("index"), (F.lit(40.0) - F.lit(1.5) * n).alias("coord"))
+    targets = lines.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("target_cell"), (F.col("l_extendedprice").cast("double") % 650.0).alias("tx"),
+        F.col("l_quantity").cast("double").alias("ty"), (F.col("l_discount").cast("double") < 0.085).alias("inside"))
+    sparse = gr.sparse_map(gr.interpolation_map(targets, x_axis, y_axis, 25, 25))
+    return sparse.select(F.lit("native").alias("grid_pair"), "target_cell", "source_cell", F.round(F.col("weight").cast("double"), 5).alias("weight"), "support", "is_nearest")
 
 
 @query("g03_regrid_long", f"WITH {FRAMES}, {MAP}, {REGRIDDED} SELECT {_REGRID_COLUMNS} FROM regridded")
@@ -82,6 +99,13 @@ def g03a(spark, folder):
                        "p.valid", "p.quality", F.col("p.classes").alias("class"), "p.source_support")
 
 
+@query("g03_regrid_tiles", f"WITH {FRAMES}, {MAP}, {REGRIDDED} SELECT {_REGRID_COLUMNS} FROM regridded")
+def g03t(spark, folder):
+    tiles = gr.tile_frames(raster_frames(spark, folder), ["vec_id", "variable"], 8, 8, side=3)
+    out = gr.regrid_tiles(tiles, gr.tile_map(_map(spark), 8, 5, side=3), side=3).select("frame.*", F.explode("cells").alias("p"))
+    return out.select("vec_id", "variable", "p.target_cell", F.round(F.col("p.value").cast("double"), 5).alias("value"), "p.valid", "p.quality", "p.class", "p.source_support")
+
+
 @query("g04_slot_frames", f"""
 WITH {FRAMES}, {MAP}, {REGRIDDED},
 spine AS (SELECT t.time AS slot_time, v.variable FROM (SELECT DISTINCT time FROM frames) t CROSS JOIN (SELECT unnest(['abi01c', 'abi13c', 'refc']) AS variable) v),
@@ -118,15 +142,20 @@ def _block_map(spark):
     cells = spark.range(192).select(F.col("id").alias("target_cell"))
     targets = cells.select("target_cell", (F.col("target_cell") % 16 * 2 + 0.5).alias("tx"), (F.floor(F.col("target_cell") / 16) * 2 + 0.5).alias("ty"), F.lit(True).alias("inside"))
     axes = [gr.axis_table(spark, [float(i) for i in range(n)]) for n in (32, 24)]
-    return gr.sparse_map(gr.interpolation_map(targets, *axes, 32, 24))
+    return gr.pack_map(gr.interpolation_map(targets, *axes, 32, 24), "blocks")
 
 
-def _first_pixels(rows, keys):
-    """One pixel per cell and frame (lines of one month share cells in the given table)."""
+def _block_frames(rows, keys, columns, first_by):
+    """Frames of 32 x 24 cells, one pixel per cell (lines of one month share cells in the given table)."""
     rows = rows.withColumn("source_cell", (F.col("y") * 32 + F.col("x")).cast("int"))
-    extra = [c for c in ("raw", "bitmap") if c in rows.columns]
-    order = [F.col(c) for c in ("l_orderkey", "l_linenumber", *extra)]
-    return first_of(rows, [*keys, "source_cell"], order).drop("_rank")
+    return gr.dense_frames(rows, keys, "source_cell", 768, columns, first_by).withColumn("grid_id", F.lit("blocks"))
+
+
+def _radar_blocks(spark, folder, recipe):
+    frames = _block_frames(radar_pixels(spark, folder), ["time", "product"], ["raw", "bitmap"], ["l_orderkey", "l_linenumber", "raw", "bitmap"])
+    out = gr.radar_recipe(frames, _block_map(spark), recipe)
+    cells = out.select("time", "product", F.posexplode(F.arrays_zip("values", "valid", "touched")).alias("target_cell", "p")).filter("p.touched")
+    return cells.select("time", "product", F.col("target_cell").cast("long").alias("target_cell"), F.round(F.col("p.values").cast("double"), 5).alias("value"), "p.valid")
 
 
 @query("g05_radar_mask_first", f"""
@@ -135,9 +164,7 @@ SELECT time, product, target_cell, CASE WHEN count(*) FILTER (ok) = 4 THEN round
   count(*) FILTER (ok) = 4 AS valid
 FROM (SELECT s.*, m.target_cell, bitmap = 1 AND NOT isnan(raw) AND raw <> missing AND raw <> no_coverage AS ok FROM src s JOIN m USING (cell)) GROUP BY time, product, target_cell""")
 def g05(spark, folder):
-    rows = _first_pixels(radar_pixels(spark, folder), ["time", "product"])
-    out = gr.radar_recipe(rows, _block_map(spark), ["time", "product"], "mask_first")
-    return out.withColumn("value", F.round(F.col("value").cast("double"), 5))
+    return _radar_blocks(spark, folder, "mask_first")
 
 
 @query("g05_radar_mask_late", f"""
@@ -146,9 +173,7 @@ v AS (SELECT time, product, target_cell, CASE WHEN count(*) FILTER (ok) = 4 THEN
   FROM (SELECT s.*, m.target_cell, bitmap = 1 AND NOT isnan(raw) AS ok FROM src s JOIN m USING (cell)) GROUP BY time, product, target_cell)
 SELECT time, product, target_cell, CASE WHEN value >= 0 THEN value END AS value, coalesce(value >= 0, false) AS valid FROM v""")
 def g05l(spark, folder):
-    rows = _first_pixels(radar_pixels(spark, folder), ["time", "product"])
-    out = gr.radar_recipe(rows, _block_map(spark), ["time", "product"], "mask_late")
-    return out.withColumn("value", F.round(F.col("value").cast("double"), 5))
+    return _radar_blocks(spark, folder, "mask_late")
 
 
 @query("g06_satellite_recipe", f"""
@@ -159,9 +184,11 @@ m AS (SELECT t.t AS target_cell, (t.t // 16 * 2 + d // 2) * 32 + t.t % 16 * 2 +
 SELECT variable, time, target_cell, count(*) FILTER (ok) = 4 AS valid, CASE WHEN count(*) FILTER (ok) = 4 THEN round(sum(CASE WHEN ok THEN phys::DOUBLE * 0.25 END), 2) END AS value
 FROM src JOIN m USING (cell) GROUP BY variable, time, target_cell""")
 def g06(spark, folder):
-    rows = px.decode_satellite(_first_pixels(satellite_pixels(spark, folder), ["variable", "time"]))
-    out = gr.satellite_recipe(rows, _block_map(spark), ["variable", "time"])
-    return out.select("variable", "time", "target_cell", "valid", F.round(F.col("value").cast("double"), 2).alias("value"))
+    decoded = px.decode_satellite(satellite_pixels(spark, folder))
+    frames = _block_frames(decoded, ["variable", "time"], ["value", "quality", "class"], ["l_orderkey", "l_linenumber", "raw"])
+    out = gr.satellite_recipe(frames, _block_map(spark))
+    cells = out.select("variable", "time", F.posexplode(F.arrays_zip("values", "valid", "touched")).alias("target_cell", "p")).filter("p.touched")
+    return cells.select("variable", "time", F.col("target_cell").cast("long").alias("target_cell"), "p.valid", F.round(F.col("p.values").cast("double"), 2).alias("value"))
 
 
 # --- projections ------------------------------------------------------------------------------------

@@ -183,3 +183,77 @@ def test_radar_year_example(spark):
     assert (z.valid, z.valid_negative, z.nonfinite) == (2, 1, 1)
     cells = {r.cell: r for r in sd.radar_year_cells(sd.merge_months(sd.radar_month_cells(df)), spark.createDataFrame([(1,)], "reads long")).collect()}
     assert cells[1].mean_rqi == 0.5 and cells[1].availability == 1.0 and cells[3].mean_rqi is None
+
+
+def test_axis_search_matches_linear_interpolation(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for coords in (np.cumsum(rng.random(37) + 0.01), -np.cumsum(rng.random(64) + 0.01), np.array([5.0])):
+        up = coords if len(coords) < 2 or coords[0] < coords[-1] else coords[::-1]
+        at = np.arange(len(coords), dtype=float) if up is coords else np.arange(len(coords), dtype=float)[::-1]
+        x = np.concatenate([coords, rng.uniform(up[0] - 1, up[-1] + 1, 200)])
+        want = np.interp(x, up, at, left=np.nan, right=np.nan)
+        points = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)] + [(-1, None), (-2, float("nan"))], "i int, tx double")
+        got = {r.i: r.f for r in gr.fractional_index(points, gr.axis_table(spark, coords.tolist()), "tx", "f").collect()}
+        assert got.pop(-1) is None and got.pop(-2) is None
+        assert all((got[i] is None) if np.isnan(w) else got[i] == pytest.approx(w, abs=1e-9) for i, w in enumerate(want))
+
+
+def test_interpolation_map_needs_no_exchange(spark):
+    axis = gr.axis_table(spark, [float(i) for i in range(50)])
+    targets = spark.range(1000).select(F.col("id").alias("target_cell"), (F.col("id") % 49 + 0.5).alias("tx"), (F.col("id") / 21).alias("ty"), F.lit(True).alias("inside"))
+    plan = gr.interpolation_map(targets, axis, axis, 50, 50)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_a_gap_in_an_axis_fails(spark):
+    axis = spark.createDataFrame([(0, 1.0), (2, 3.0)], "index int, coord double")
+    with pytest.raises(ValueError, match="without gaps"):
+        gr.fractional_index(spark.range(1).withColumn("tx", F.lit(1.0)), axis, "tx", "i")
+
+
+@pytest.mark.parametrize("side,broadcast", [(7, True), (16, False), (200, True)])
+def test_tiles_agree_with_whole_frames(spark, monkeypatch, side, broadcast):
+    import numpy as np
+
+    monkeypatch.setattr(gr, "TILED_MOST", gr.TILED_MOST if broadcast else 0)
+    nx, ny, tx, ty = 60, 45, 41, 30
+    rng = np.random.default_rng(side)
+    frames = spark.createDataFrame([(
+        k, "g", rng.normal(size=nx * ny).astype("float32").tolist(), (rng.random(nx * ny) > 0.02).tolist(),
+        [int(v) if v else None for v in rng.integers(0, 4, nx * ny)], rng.integers(0, 9, nx * ny).tolist()) for k in range(5)],
+        "k int, grid_id string, values array<float>, valid array<boolean>, quality array<int>, classes array<int>")
+    cells = spark.range(tx * ty).select(F.col("id").alias("target_cell"))
+    targets = cells.select("target_cell", (F.col("target_cell") % tx * 1.5).alias("tx"), (F.floor(F.col("target_cell") / tx) * 1.47).alias("ty"), (F.col("target_cell") % 17 != 0).alias("inside"))
+    mapping = gr.interpolation_map(targets, gr.axis_table(spark, [float(i) for i in range(nx)]), gr.axis_table(spark, [float(i) for i in range(ny)]), nx, ny)
+    tiled = gr.regrid_tiles(gr.tile_frames(frames, ["k"], nx, ny, side), gr.tile_map(mapping, nx, tx, side), side)
+    got = {(r.frame.k, p.target_cell): (p.value, p.valid, p.quality, p["class"], p.source_support) for r in tiled.collect() for p in r.cells}
+    whole = gr.regrid_frames(frames, gr.pack_map(mapping, "g")).collect()
+    assert len(got) == 5 * tx * ty
+    for r in whole:
+        for i, want in enumerate(zip(r["values"], r.valid, r.quality, r.classes, r.source_support)):
+            value, *rest = got[r.k, i]
+            assert rest == list(want[1:]) and (value is None) == (want[0] is None)
+            assert value is None or value == pytest.approx(want[0], abs=1e-6)
+
+
+def test_a_map_too_large_to_pack_fails(spark, monkeypatch):
+    monkeypatch.setattr(gr, "PACKED_MOST", 3)
+    axis = gr.axis_table(spark, [0.0, 1.0])
+    targets = spark.range(4).select(F.col("id").alias("target_cell"), F.lit(0.5).alias("tx"), F.lit(0.5).alias("ty"), F.lit(True).alias("inside"))
+    with pytest.raises(Exception, match="too large to be packed"):
+        gr.pack_map(gr.interpolation_map(targets, axis, axis, 2, 2), "g").collect()
+
+
+def test_recipes_need_no_exchange_on_cells(spark):
+    axis = gr.axis_table(spark, [0.0, 1.0])
+    targets = spark.range(1).select(F.col("id").alias("target_cell"), F.lit(0.5).alias("tx"), F.lit(0.5).alias("ty"), F.lit(True).alias("inside"))
+    packed = gr.pack_map(gr.interpolation_map(targets, axis, axis, 2, 2), "g")
+    decoded = spark.createDataFrame([("g", [1.0, 2.0, 3.0, 4.0], [0, None, 0, 0], [0, 0, 0, 0]), ("g", [1.0, 2.0, 3.0, None], [0, 1, 0, 0], [0, 0, 0, None])],
+                                    "grid_id string, value array<double>, quality array<int>, class array<int>")
+    out = gr.satellite_recipe(decoded, packed)
+    assert [(r["values"], r.valid) for r in out.collect()] == [([2.5], [True]), ([None], [False])]
+    assert [r["values"] for r in gr.satellite_recipe(decoded, packed, mask_quality=False).collect()] == [[2.5], [None]]
+    frames_side = out._jdf.queryExecution().optimizedPlan().toString().split("Join")[1]
+    assert "Aggregate" not in frames_side.split("\n")[1]
