@@ -19,6 +19,7 @@ STEP_HOURS = 6
 PAD_BEFORE_HOURS, PAD_AFTER_HOURS = 12, 24
 NEAR_KM = 100.0
 OUTLINE_DEGREES = 0.1
+EDGES_TOGETHER = 16
 MARGIN_DEGREES = 3.0
 
 # Named comparison storms and their UTC windows.
@@ -103,6 +104,22 @@ def outline(box=geo.REGION, reference=REFERENCE, step: float = OUTLINE_DEGREES,
     return points if planar else [geo.local_plane_point(x, y, *reference) for x, y in points]
 
 
+def _named(make, value: Column) -> Column:
+    """``make`` of a value that is computed once, however often ``make`` uses it."""
+    return F.transform(F.array(value), make)[0]
+
+
+def outline_index(points: list[tuple[float, float]]) -> Column:
+    """The outline's edges as literals, in groups of neighbours with the box around each group."""
+    edges, groups = list(zip(points, points[1:])), []
+    for some in (edges[i:i + EDGES_TOGETHER] for i in range(0, len(edges), EDGES_TOGETHER)):
+        xs, ys = [x for edge in some for x, _ in edge], [y for edge in some for _, y in edge]
+        bounds = {"west": min(xs), "south": min(ys), "east": max(xs), "north": max(ys)}
+        lines = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("ex0", "ey0", "ex1", "ey1"), (*p, *q))]) for p, q in some])
+        groups.append(F.struct(*[F.lit(v).alias(n) for n, v in bounds.items()], lines.alias("edges")))
+    return F.array(*groups)
+
+
 def _point_to_edge(px, py, x0, y0, x1, y1) -> Column:
     dx, dy = x1 - x0, y1 - y0
     size = dx * dx + dy * dy
@@ -114,9 +131,9 @@ def _point_to_edge(px, py, x0, y0, x1, y1) -> Column:
 def encounters(segments: DataFrame, box=geo.REGION, reference=REFERENCE, planar: bool = False) -> DataFrame:
     """Time spans that segments spend in the region, and their distances in kilometres.
 
-    Segments are straight in the local plane, cut against every edge of the outline (a fixed list of a few
-    hundred, carried as literals); time runs linearly along a segment. Only segments within three degrees
-    of the box are cut: others can neither enter it nor come within the "near" limit.
+    Segments are straight in the local plane and are cut in their own row against the outline, a fixed list of a few
+    hundred edges that lie in the plan in indexed groups; time runs linearly along a segment. Only segments within three
+    degrees of the box are cut: others can neither enter it nor come within the "near" limit.
     Output: one row per segment with ``spans`` as an array of (entry, exit), ``edge_km``, ``reference_km``.
     """
     west, south, east, north = box
@@ -129,26 +146,48 @@ def encounters(segments: DataFrame, box=geo.REGION, reference=REFERENCE, planar:
     x0, y0 = F.col("ax") + F.col("f0") * (F.col("bx") - F.col("ax")), F.col("ay") + F.col("f0") * (F.col("by") - F.col("ay"))
     x1, y1 = F.col("ax") + F.col("f1") * (F.col("bx") - F.col("ax")), F.col("ay") + F.col("f1") * (F.col("by") - F.col("ay"))
     rows = rows.withColumns({"x0": x0, "y0": y0, "x1": x1, "y1": y1})
-    points = outline(box, reference, planar=planar)
-    edges = F.array(*[F.struct(F.lit(p[0]).alias("ex0"), F.lit(p[1]).alias("ey0"), F.lit(q[0]).alias("ex1"), F.lit(q[1]).alias("ey1"))
-                      for p, q in zip(points, points[1:])])
-    cut = rows.withColumn("e", F.explode(edges)).select("*", "e.*")
-    dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
-    ux, uy = F.col("ex1") - F.col("ex0"), F.col("ey1") - F.col("ey0")
-    cross = dx * uy - dy * ux
-    t = ((F.col("ex0") - F.col("x0")) * uy - (F.col("ey0") - F.col("y0")) * ux) / F.nullif(cross, F.lit(0.0))
-    u = ((F.col("ex0") - F.col("x0")) * dy - (F.col("ey0") - F.col("y0")) * dx) / F.nullif(cross, F.lit(0.0))
-    hit = F.when(t.between(0, 1) & (u >= 0) & (u < 1), t)
-    # Even-odd test of the segment's start: edges crossed by the ray to the right.
-    straddles = (F.col("ey0") > F.col("y0")) != (F.col("ey1") > F.col("y0"))
-    ray = straddles & (F.col("x0") < (F.col("ex1") - F.col("ex0")) * (F.col("y0") - F.col("ey0")) / F.nullif(F.col("ey1") - F.col("ey0"), F.lit(0.0)) + F.col("ex0"))
-    ends = [("x0", "y0"), ("x1", "y1")]
-    gaps = [_point_to_edge(F.col(x), F.col(y), F.col("ex0"), F.col("ey0"), F.col("ex1"), F.col("ey1")) for x, y in ends]
-    gaps += [_point_to_edge(F.col(x), F.col(y), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")) for x, y in (("ex0", "ey0"), ("ex1", "ey1"))]
-    keys = ["sid", "time_a", "time", "lo", "hi", "x0", "y0", "x1", "y1"]
-    cut = cut.withColumns({"_t": hit, "_ray": ray, "_gap": F.least(*gaps)})
-    per = cut.groupBy(*keys).agg(
-        F.array_sort(F.collect_list("_t")).alias("_ts"), (F.count_if("_ray") % 2 == 1).alias("_starts_in"), F.min("_gap").alias("_gap"))  # <= outline edges
+    # The literals stand in the plan once; what is used several times below is computed once.
+    rows = rows.select("sid", "time_a", "time", "lo", "hi", _named(lambda v: v, F.struct("x0", "y0", "x1", "y1")).alias("line"),
+                       outline_index(outline(box, reference, planar=planar)).alias("_groups"))
+    groups = F.col("_groups")
+
+    def cut(v):
+        def edges(chosen):
+            return F.flatten(F.transform(F.filter(groups, chosen), lambda g: g["edges"]))
+
+        def meets(g):
+            return ((g["west"] <= F.greatest(v["x0"], v["x1"])) & (g["east"] >= F.least(v["x0"], v["x1"]))
+                    & (g["south"] <= F.greatest(v["y0"], v["y1"])) & (g["north"] >= F.least(v["y0"], v["y1"])))
+
+        def hit(e):
+            ux, uy = e["ex1"] - e["ex0"], e["ey1"] - e["ey0"]
+            dx, dy = v["x1"] - v["x0"], v["y1"] - v["y0"]
+            cross = F.nullif(dx * uy - dy * ux, F.lit(0.0))
+            t = ((e["ex0"] - v["x0"]) * uy - (e["ey0"] - v["y0"]) * ux) / cross
+            u = ((e["ex0"] - v["x0"]) * dy - (e["ey0"] - v["y0"]) * dx) / cross
+            return F.when(t.between(0, 1) & (u >= 0) & (u < 1), t)
+
+        def ray(e):
+            """Even-odd test of the segment's start: edges crossed by the ray to the right."""
+            straddles = (e["ey0"] > v["y0"]) != (e["ey1"] > v["y0"])
+            return straddles & (v["x0"] < (e["ex1"] - e["ex0"]) * (v["y0"] - e["ey0"]) / F.nullif(e["ey1"] - e["ey0"], F.lit(0.0)) + e["ex0"])
+
+        def gap(e):
+            gaps = [_point_to_edge(v[x], v[y], e["ex0"], e["ey0"], e["ex1"], e["ey1"]) for x, y in (("x0", "y0"), ("x1", "y1"))]
+            return F.least(*gaps, *[_point_to_edge(e[x], e[y], v["x0"], v["y0"], v["x1"], v["y1"]) for x, y in (("ex0", "ey0"), ("ex1", "ey1"))])
+
+        crossed = F.filter(edges(lambda g: (g["south"] <= v["y0"]) & (g["north"] >= v["y0"]) & (g["east"] > v["x0"])), ray)
+        met = F.struct(F.array_sort(F.filter(F.transform(edges(meets), hit), lambda t: t.isNotNull())).alias("ts"), (F.size(crossed) % 2 == 1).alias("starts_in"))
+
+        def with_gap(m):
+            # Only a segment that does not touch the region looks at every edge for its distance.
+            apart = ~m["starts_in"] & (F.size(m["ts"]) == 0)
+            gap_km = F.when(apart, F.aggregate(F.flatten(F.transform(groups, lambda g: g["edges"])), F.lit(float("inf")), lambda least, e: F.least(least, gap(e))))
+            return F.struct(m["ts"].alias("_ts"), m["starts_in"].alias("_starts_in"), gap_km.alias("_gap"))
+
+        return _named(with_gap, met)
+
+    per = rows.select("sid", "time_a", "time", "lo", "hi", "line.*", _named(cut, F.col("line")).alias("_m")).select("*", "_m.*")
     marks = F.concat(F.array(F.lit(0.0)), F.col("_ts"), F.array(F.lit(1.0)))
     pieces = F.transform(F.sequence(F.lit(1), F.size(marks) - 1), lambda i: F.struct(
         F.element_at(marks, i).alias("p"), F.element_at(marks, i + 1).alias("q"), ((i % 2 == 1) == F.col("_starts_in")).alias("_in")))

@@ -540,13 +540,73 @@ def g10p(spark, folder):
     return met.select("sid", "time_a", "time", second("s.entry").alias("entry_s"), second("s.exit").alias("exit_s"))
 
 
-@query("g10_region_events")
+def _plane_sql(lon, lat):
+    """The local plane around the reference point, as SQL."""
+    lon_0, lat_0 = st.REFERENCE
+    dphi, dlam, mid = f"radians({lat} - {lat_0!r}::DOUBLE)", f"radians({lon} - ({lon_0!r})::DOUBLE)", f"radians(({lat} + {lat_0!r}::DOUBLE) / 2)"
+    w = f"(1 - {geo.ECC2!r}::DOUBLE * pow(sin({mid}), 2))"
+    across = f"({geo.SEMI_MAJOR!r}::DOUBLE / sqrt({w}) * cos({mid}) * {dlam})"
+    along = f"({geo.SEMI_MAJOR * (1 - geo.ECC2)!r}::DOUBLE / pow({w}, 1.5) * {dphi} * cos({dlam} / 2))"
+    bearing = f"(atan2({across}, {along}) - {dlam} * sin({mid}) / cos({dphi} / 2) / 2)"
+    size = f"sqrt({across} * {across} + {along} * {along})"
+    return f"{size} * sin({bearing})", f"{size} * cos({bearing})"
+
+
+def _gap_sql(px, py, x0, y0, x1, y1):
+    """Distance of a point to an edge, as SQL."""
+    t = (f"greatest(0, least(1, coalesce((({px} - {x0}) * ({x1} - {x0}) + ({py} - {y0}) * ({y1} - {y0}))"
+         f" / nullif(({x1} - {x0}) * ({x1} - {x0}) + ({y1} - {y0}) * ({y1} - {y0}), 0), 0)))")
+    return f"sqrt(pow({px} - ({x0} + {t} * ({x1} - {x0})), 2) + pow({py} - ({y0} + {t} * ({y1} - {y0})), 2))"
+
+
+_OUTLINE = st.outline()
+_EDGES = ", ".join(f"({p[0]!r}::DOUBLE, {p[1]!r}::DOUBLE, {q[0]!r}::DOUBLE, {q[1]!r}::DOUBLE)" for p, q in zip(_OUTLINE, _OUTLINE[1:]))
+(_AX, _AY), (_BX, _BY) = _plane_sql("plon", "plat"), _plane_sql("lon", "lat")
+_SHARE = "(epoch_us({0}) - epoch_us(time_a)) / (epoch_us(time) - epoch_us(time_a))::DOUBLE"
+ENCOUNTERS = f"""
+near AS (SELECT * FROM fixes WHERE time >= TIMESTAMP '2024-01-02 18:00:00' AND time < TIMESTAMP '2024-01-28 06:00:00'),
+named AS (SELECT sid, arg_min(name, time) AS name FROM (SELECT sid, time, min(name) AS name FROM near GROUP BY sid, time HAVING count(DISTINCT (lon, lat)) = 1) WHERE name <> '' GROUP BY sid),
+part AS (
+  SELECT sid, time_a, time, plon, plat, lon, lat, lo, hi, {_SHARE.format("lo")} AS f0, {_SHARE.format("hi")} AS f1 FROM segments
+  UNION ALL SELECT sid, time, time, lon, lat, lon, lat, time, time, 0, 1 FROM settled WHERE time >= TIMESTAMP '2024-01-03' AND time < TIMESTAMP '2024-01-28'),
+flat AS (SELECT *, {_AX} AS ax, {_AY} AS ay, {_BX} AS bx, {_BY} AS by_, row_number() OVER () AS n FROM part
+  WHERE greatest(plon, lon) >= {_WEST - 3} AND least(plon, lon) <= {_EAST + 3} AND greatest(plat, lat) >= {_SOUTH - 3} AND least(plat, lat) <= {_NORTH + 3}),
+line AS (SELECT *, ax + f0 * (bx - ax) AS x0, ay + f0 * (by_ - ay) AS y0, ax + f1 * (bx - ax) AS x1, ay + f1 * (by_ - ay) AS y1 FROM flat),
+edge(ex0, ey0, ex1, ey1) AS (VALUES {_EDGES}),
+crossing AS (SELECT *, nullif((x1 - x0) * (ey1 - ey0) - (y1 - y0) * (ex1 - ex0), 0) AS c FROM line CROSS JOIN edge),
+tested AS (SELECT *, ((ex0 - x0) * (ey1 - ey0) - (ey0 - y0) * (ex1 - ex0)) / c AS t, ((ex0 - x0) * (y1 - y0) - (ey0 - y0) * (x1 - x0)) / c AS u,
+  (ey0 > y0) <> (ey1 > y0) AND x0 < (ex1 - ex0) * (y0 - ey0) / nullif(ey1 - ey0, 0) + ex0 AS ray,
+  least({_gap_sql("x0", "y0", "ex0", "ey0", "ex1", "ey1")}, {_gap_sql("x1", "y1", "ex0", "ey0", "ex1", "ey1")},
+        {_gap_sql("ex0", "ey0", "x0", "y0", "x1", "y1")}, {_gap_sql("ex1", "ey1", "x0", "y0", "x1", "y1")}) AS gap FROM crossing),
+met AS (SELECT n, any_value(sid) AS sid, any_value(lo) AS lo, any_value(hi) AS hi, any_value({_gap_sql("0", "0", "x0", "y0", "x1", "y1")}) AS ref,
+  coalesce(list_sort(list(t) FILTER (t BETWEEN 0 AND 1 AND u >= 0 AND u < 1)), []) AS ts, count(*) FILTER (ray) % 2 = 1 AS starts_in, min(gap) AS gap FROM tested GROUP BY n),
+span AS (
+  SELECT sid, make_timestamp(CAST(trunc(epoch_us(lo) + p * (epoch_us(hi) - epoch_us(lo))) AS BIGINT)) AS entry, make_timestamp(CAST(trunc(epoch_us(lo) + q * (epoch_us(hi) - epoch_us(lo))) AS BIGINT)) AS exit
+  FROM (SELECT *, marks[i] AS p, marks[i + 1] AS q FROM (SELECT *, list_concat(list_concat([0::DOUBLE], ts), [1::DOUBLE]) AS marks, unnest(range(1, len(ts) + 2)) AS i FROM met))
+  WHERE q > p AND (i % 2 = 1) = starts_in),
+fact AS (SELECT sid, min(ref) / 1000 AS ref, min(CASE WHEN starts_in OR len(ts) > 0 THEN 0 ELSE gap / 1000 END) AS gap FROM met GROUP BY sid)
+"""
+
+
+@query("g10_region_events", f"""
+WITH {TRACKS}, {SEGMENTS}, {ENCOUNTERS},
+p AS (SELECT sid, entry, exit, greatest(TIMESTAMP '2024-01-03', date_trunc('hour', entry) - INTERVAL 12 HOUR) AS lo,
+  least(TIMESTAMP '2024-01-28', make_timestamp((epoch_us(exit) + 3599999999) // 3600000000 * 3600000000) + INTERVAL 24 HOUR) AS hi FROM span WHERE entry < TIMESTAMP '2024-01-28'),
+r AS (SELECT *, max(hi) OVER (PARTITION BY sid ORDER BY entry, exit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM p),
+i AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo > reach THEN 1 ELSE 0 END) OVER (PARTITION BY sid ORDER BY entry, exit ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM r),
+e AS (SELECT sid, k, min(entry) AS entry, max(exit) AS exit, min(lo)::TIMESTAMP AS start, max(hi)::TIMESTAMP AS "end" FROM i GROUP BY sid, k)
+SELECT sid || '-' || k AS event_id, sid, CAST(round(epoch_us(entry) / 1000000.0) AS BIGINT) AS entry_s, CAST(round(epoch_us(exit) / 1000000.0) AS BIGINT) AS exit_s, start, "end",
+  coalesce(name, sid) AS name, round(ref, 2) AS closest_to_reference_km FROM e JOIN fact USING (sid) LEFT JOIN named USING (sid)""")
 def g10(spark, folder):
-    """Padded events of all tracks on the local equidistant plane (checked against a sequential version in the tests)."""
-    return st.select_events(_fixes(spark, folder), *_STUDY)[0]
+    """Padded events of all tracks on the local equidistant plane."""
+    second = lambda c: F.round(F.unix_micros(F.col(c).cast("timestamp")) / 1_000_000.0).cast("long").alias(f"{c}_s")
+    return st.select_events(_fixes(spark, folder), *_STUDY)[0].select("event_id", "sid", second("entry"), second("exit"), "start", "end", "name", "closest_to_reference_km")
 
 
-@query("k05_nearby_storms")
+@query("k05_nearby_storms", f"""
+WITH {TRACKS}, {SEGMENTS}, {ENCOUNTERS}
+SELECT sid, coalesce(name, sid) AS name, round(gap, 2) AS distance_to_region_km FROM fact LEFT JOIN named USING (sid)
+WHERE gap <= 100 AND NOT EXISTS (SELECT 1 FROM span WHERE span.sid = fact.sid)""")
 def k05(spark, folder):
     return st.select_events(_fixes(spark, folder), *_STUDY)[1]
 
