@@ -222,21 +222,23 @@ def j24(spark, folder):
     return al.observations_at(rows, asked).select("asset_id", "variable", "time", "slot_time")
 
 
-def _window_sql(history, targets, variables, rows="aligned", start=_T0, end=_T1):
+def _window_sql(history, targets, variables, rows="aligned", start=_T0, end=_T1, ids=False):
+    source = "('0x' || substr(sha256(concat_ws('/', variable, slot, asset_id)), 1, 15))::BIGINT::HUGEINT" if ids else "0"
+    identity = f"substr(sha256(concat_ws('|', c.w::VARCHAR, '{history}', '{targets}', coalesce(sources::VARCHAR, 'none'))), 1, 24) AS window_id, " if ids else ""
     need = (history + targets) * variables
     return f"""
 clock AS (SELECT unnest(range({start}, {end}, 600000000)) AS w),
 spread AS (
-  SELECT unnest(range(slot - {targets * 600_000_000}, slot + {(history - 1) * 600_000_000 + 1}, 600000000)) AS w FROM {rows}),
-found AS (SELECT w, count(*) AS n FROM spread GROUP BY w)
-SELECT make_timestamp(c.w) AS time, coalesce(n, 0) = {need} AS eligible, CAST({need} - coalesce(n, 0) AS BIGINT) AS missing_observations,
+  SELECT unnest(range(slot - {targets * 600_000_000}, slot + {(history - 1) * 600_000_000 + 1}, 600000000)) AS w, {source} AS source FROM {rows}),
+found AS (SELECT w, count(*) AS n, sum(source) AS sources FROM spread GROUP BY w)
+SELECT {identity}make_timestamp(c.w) AS time, coalesce(n, 0) = {need} AS eligible, CAST({need} - coalesce(n, 0) AS BIGINT) AS missing_observations,
        {history} AS history, {targets} AS targets
 FROM clock c LEFT JOIN found f ON c.w = f.w"""
 
 
-@query("w01_window_eligibility", f"WITH {OBSERVATIONS}, {ALIGNED}, {_window_sql(6, 1, 5)}")
+@query("w01_window_eligibility", f"WITH {OBSERVATIONS}, {ALIGNED}, {_window_sql(6, 1, 5, ids=True)}")
 def w01(spark, folder):
-    return al.window_index(aligned(spark, folder), START, END, 5, history=6, targets=1).drop("window_id")
+    return al.window_index(aligned(spark, folder), START, END, 5, history=6, targets=1)
 
 
 _S0, _S1 = "2024-01-08T00:00:00Z", "2024-01-22T00:00:00Z"

@@ -266,6 +266,21 @@ def j17(spark, folder):
     return _reconcile(spark, folder, "source = 'radar'", ["product"])
 
 
+_EMPTY = "d41d8cd98f00b204e9800998ecf8427e"  # fixed value: MD5 of no bytes
+
+
+@query("j17_zero_byte_identity", f"""
+WITH {ARCHIVES}, {ASSETS}
+SELECT asset_id, key, etag FROM (SELECT asset_id, key, CASE WHEN etag = 'e3' THEN '{_EMPTY}' ELSE etag END AS etag, etag IN ('e3', 'e7') AS empty FROM assets WHERE source = 'radar')
+WHERE empty AND etag <> '{_EMPTY}'""")
+def j17z(spark, folder):
+    """Radar sources listed without bytes whose etag is not that of the empty object."""
+    rows = assets(spark, folder).filter("source = 'radar'")
+    sized = rows.select("asset_id", "key", F.when(F.col("etag").isin("e3", "e7"), 0).otherwise(1).alias("size"),
+                        F.when(F.col("etag") == "e3", _EMPTY).otherwise(F.col("etag")).alias("etag"))
+    return iv.zero_byte_identity(sized).drop("size")
+
+
 @query("j18_spine_completeness", f"""
 WITH {ARCHIVES}, {TASKS},
 m AS (SELECT strftime(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)), '%Y-%m') AS month),

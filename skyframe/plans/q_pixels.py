@@ -290,11 +290,12 @@ def c12(spark, folder):
 
 @query("c05_packed_to_physical", f"""
 WITH {SATELLITE}
-SELECT l_orderkey, l_linenumber, CAST(enc::DOUBLE * scale + off AS FLOAT)::DOUBLE AS physical FROM encoded WHERE scale < 9""")
+SELECT l_orderkey, l_linenumber, CASE WHEN isfinite(enc::DOUBLE * scale + off) THEN CAST(enc::DOUBLE * scale + off AS FLOAT)::DOUBLE END AS physical FROM encoded""")
 def c05(spark, folder):
-    """Scans of a finite scale; an infinite one has no physical value (P02 classifies it)."""
-    rows = satellite_pixels(spark, folder).filter("scale < 9")
-    return rows.select(*_ID, dc.to_physical(dc.unsigned16("raw"), "scale", "offset").cast("double").alias("physical"))
+    """Every pixel; one of a scan whose scale is infinite has no physical value."""
+    rows = satellite_pixels(spark, folder)
+    physical = dc.to_physical(dc.unsigned16("raw"), "scale", "offset").cast("double")
+    return rows.select(*_ID, F.when(dc.finite(physical), physical).alias("physical"))
 
 
 @query("c06_wrapped_longitude", """
