@@ -15,20 +15,22 @@ EITHER = ["Dr", "Prof"]
 
 TITLES = "|".join([*MALE, *FEMALE, *EITHER])
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-NAME_WORD = r"\p{Lu}(?:-?\p{L}|['’](?!s(?!\p{L}))\p{L})+"
+# A group under an open repeat is matched by recursion unless the repeat is possessive, and a long value would exhaust the
+# stack: such repeats are possessive here, or bounded by the form itself (a domain has at most 127 labels).
+NAME_WORD = r"\p{Lu}(?:-?\p{L}|['’](?!s(?!\p{L}))\p{L})++"
 INITIAL = r"\p{Lu}\."
 #: Every kind's form. Earlier ones win where several would start at one place.
 FORMS = {
     "secret": r"""(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)["']{0,1}\s{0,2}[=:]\s{0,2}["']{0,1})"""
-              r"""(?:(?<=")(?:[^"\\\r\n]|\\.){6,}(?=")|(?<=')(?:[^'\\\r\n]|\\.){6,}(?=')|[^\s"']{5,}[^\s"',;:.!?)\]}])""",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+              r"""(?:(?<=")(?:[^"\\\r\n]|\\.){6,}+(?=")|(?<=')(?:[^'\\\r\n]|\\.){6,}+(?=')|[^\s"']{5,}[^\s"',;:.!?)\]}])""",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.){1,126}[A-Za-z]{2,}",
     "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "ip": rf"(?<![0-9A-Za-z.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?[0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:\+(?=(?:[ .()-]{0,3}[0-9]){7})[0-9]{1,3}(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})){2,6}|(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{4})(?![0-9A-Za-z])",
-    "name": rf"(?<!\p{{L}})(?:(?:{TITLES})\.? )+(?:{INITIAL} )*{NAME_WORD}(?: (?:{INITIAL} )*{NAME_WORD})*",
+    "name": rf"(?<!\p{{L}})(?:(?:{TITLES})\.? ){{1,8}}(?:{INITIAL} )*+{NAME_WORD}(?: (?:{INITIAL} )*+{NAME_WORD})*+",
 }
 ANY = "|".join(f"(?:{form})" for form in FORMS.values())
 #: How the numbers of card issuers begin.
@@ -71,7 +73,7 @@ def kind_of(value: Column) -> Column:
 
 def title_of(value: Column) -> Column:
     """The forms of address that a name begins with, and the space behind them."""
-    return F.regexp_extract(value, rf"^((?:(?:{TITLES})\.? )+)", 1)
+    return F.regexp_extract(value, rf"^((?:(?:{TITLES})\.? ){{1,8}})", 1)
 
 
 def words_of(value: Column) -> Column:

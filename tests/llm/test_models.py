@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyframe.llm import surrogates, toxicity
 
@@ -179,3 +180,13 @@ def test_nothing_of_a_found_value_stays(spark):
     one, two = re.fullmatch(r"Господин (\w+), (\w+)\.", out[6].text).groups()
     assert one == two and one.endswith("ов")
     assert out[7].text == "Smith wrote: 1"
+
+
+def test_long_values_are_matched_without_recursion(spark):
+    """Every form at a length at which matching by recursion exhausts the stack; what is found goes whole."""
+    n = 20_000
+    values = ['password="' + "a" * n + '"', "password='" + "a\\'" * (n // 3) + "'", 'token="' + "b" * n, "Mr. A" + "b" * n, "Mrs. " + "A. " * (n // 3) + "Bell", "Mr. " + "Abe " * (n // 4),
+              "Dr. " * (n // 4) + "Bell", "x@" + "b." * (n // 2) + "com", "x@" + "b" * n + ".com", "a" * n + "@b.com", "1" * n, "1.1." * (n // 4), "+1 " + "234 " * (n // 4), "AB12 " * (n // 5), "O'" * (n // 2)]
+    found = spark.createDataFrame(list(enumerate(values)), "i int, text string").select("i", F.regexp_extract("text", surrogates.ANY, 0).alias("value"))
+    got = {r.i: r.value for r in found.collect()}
+    assert got[0] == "a" * n and got[1] == "a\\'" * (n // 3) and got[3] == values[3] and got[5] == values[5].strip() and got[9] == values[9]
