@@ -20,7 +20,6 @@ SLOTS = 128  # smallest shingle hashes kept of a long text, by hash class
 BANDS = 16  # pairs of slots that let long similar texts meet
 SHORT = 64  # texts up to this many shingles meet by some of the shingles themselves, which misses no pair
 LOOSE = 0.3  # by so much the share of equal slots may fall short of the similarity before the exact check
-BITMAP = 1024  # places that the shingles of a short text are marked in
 SMALL = 24  # runs up to this many fingerprints are compared by shifts, longer ones by expanding groups
 PIECE = 1 << 22  # comparisons at a time
 
@@ -201,73 +200,61 @@ def content(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
-def meeting_keys(hashes: np.ndarray, similarity: float) -> tuple[np.ndarray, bytes | None, bytes | None]:
-    """Keys by which sets of shingles (sorted, distinct) meet, a bitmap of a short set and one byte a slot of a long one.
+def meeting_keys(hashes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray | None, bytes | None]:
+    """Keys by which sets of shingles (sorted, distinct) meet, a short set itself and one byte a slot of a long one.
 
     Two short sets of at least the similarity share one of their ``n - similarity * n + 1`` least members (even keys). Long
     sets meet by pairs of equal slots (odd keys): at 0.8 about one pair in a million meets in none of ``BANDS``. Sets
     near the border have both, so that a pair meets in one of the two ways.
     """
-    n, keys, bitmap, marks = len(hashes), [], None, None
+    n, keys, short, marks = len(hashes), [], None, None
     if n <= SHORT / similarity:
         least = hashes[:n - math.ceil(similarity * n - 1e-9) + 1]
         keys.append((least * np.uint64(0xD6E8FEB86659FD93)) & ~np.uint64(1))
-        places = np.zeros(BITMAP, np.uint8)
-        places[((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(54)).astype(np.int64)] = 1
-        bitmap = np.packbits(places).tobytes()
+        short = hashes.view(np.int64)
     if n > SHORT:
         slots = sketch(hashes)
         step = SLOTS // (2 * BANDS)
         x, y = slots[::2 * step], slots[step::2 * step]
         keys.append((x * np.uint64(0x9E3779B97F4A7C15) ^ (y + np.arange(BANDS, dtype=np.uint64))) * np.uint64(0xD6E8FEB86659FD93) | np.uint64(1))
         marks = ((slots * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes()
-    return np.unique(np.concatenate(keys)), bitmap, marks
+    return np.unique(np.concatenate(keys)), short, marks
 
 
-def may_link(key, n, body, a, b, similarity) -> np.ndarray:
-    """Which of the pairs (a, b) of equal keys may have the similarity: by their sizes, then by what bitmaps say at most
-    (neither loses a pair), or by slots with ``LOOSE`` to spare."""
+def may_link(n, marks, a, b, similarity) -> np.ndarray:
+    """Which of the pairs (a, b) of long sets may have the similarity: by their sizes, which lose no pair, and by equal
+    slots with ``LOOSE`` to spare."""
     a, b = np.broadcast_arrays(a, b)
     ok = np.zeros(a.shape, bool)
     for start in range(0, len(a), 1 << 16):
         x, y = a[start:start + (1 << 16)], b[start:start + (1 << 16)]
         at = np.flatnonzero(np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9)
-        x, y = x[at], y[at]
-        long = (key[x] & 1) == 1
-        good = np.zeros(len(x), bool)
-        good[long] = (body[x[long]] == body[y[long]]).mean(axis=1) >= similarity - LOOSE
-        x, y = x[~long], y[~long]
-        both = np.minimum(n[x] - np.bitwise_count(body[x] & ~body[y]).sum(axis=1, dtype=np.int64), n[y] - np.bitwise_count(body[y] & ~body[x]).sum(axis=1, dtype=np.int64))
-        good[~long] = both >= similarity * (n[x] + n[y] - both) - 1e-9
-        ok[start + at[good]] = True
+        ok[start + at[(marks[x[at]] == marks[y[at]]).mean(axis=1) >= similarity - LOOSE]] = True
     return ok
 
 
-def probe(key, n, body, label, probed, similarity: float, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def probe(key, n, marks, label, probed, similarity: float, probes: int, keys=None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Pairs to be checked within every run of equal keys (sorted), the rows of runs that are not done and which were probed.
 
-    A pair needs no check if its labels (components so far) are equal. Runs of up to ``SMALL`` rows give all pairs. Of a
-    longer one up to ``probes`` rows meet all others; it is done when the rows that never did so are of one component.
+    A pair needs no check if its labels (components so far) are equal, nor here if a smaller one of its rows' ``keys``
+    brings it together too. Up to ``probes`` rows of a run meet all others; it is done when the rows that never did so
+    are of one component.
     """
-    runs = [r for r in shares(key) if r[1] - r[0] > 1]
     found_a, found_b, left, probed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], probed.copy()
-    for a, b in shifted(np.array([r for r in runs if r[1] - r[0] <= SMALL], np.int64).reshape(-1, 2)):
-        ok = may_link(key, n, body, a, b, similarity) & (label[a] != label[b])
-        found_a.append(a[ok])
-        found_b.append(b[ok])
-    for begin, end in runs:
-        if end - begin <= SMALL:
-            continue
+    for begin, end in shares(key):
         rows = np.arange(begin, end)
         open_ = rows[~probed[begin:end]]
         names, counts = np.unique(label[open_], return_counts=True)
         if len(names) < 2:
             continue
         outside = open_[label[open_] != names[counts.argmax()]] if counts.max() > 1 else open_
-        for at in (outside if len(open_) <= SMALL else outside[:probes]):
+        for at in outside[:probes]:
             probed[at] = True
             others = rows[~probed[begin:end] & (label[begin:end] != label[at])]
-            hit = others[may_link(key, n, body, np.intp(at), others, similarity)]
+            hit = others[may_link(n, marks, np.intp(at), others, similarity)]
+            if keys is not None and len(hit):
+                both = np.where(np.isin(keys[hit], keys[at]), keys[hit], np.iinfo(np.int64).max)
+                hit = hit[both.min(axis=1) >= key[at]]
             found_a.append(hit)
             found_b.append(np.full(len(hit), at))
         if len(np.unique(label[rows[~probed[begin:end]]])) > 1:
@@ -275,6 +262,72 @@ def probe(key, n, body, label, probed, similarity: float, probes: int) -> tuple[
     return np.concatenate(found_a), np.concatenate(found_b), np.concatenate(left), probed
 
 
+def padded(sets: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Sets as rows of numbers of their members, filled up with -1, and their sizes."""
+    ends = sets.offsets.to_numpy()
+    size = np.diff(ends)
+    names, number = np.unique(sets.values.to_numpy()[ends[0]:ends[-1]], return_inverse=True)
+    out = np.full((len(size), max(1, size.max(initial=0))), -1, np.int32)
+    out[np.repeat(np.arange(len(size)), size), np.arange(len(number)) - np.repeat(ends[:-1] - ends[0], size)] = number
+    return out, size
+
+
+def alike(members: np.ndarray, n: np.ndarray, a, b, similarity: float) -> np.ndarray:
+    """Which of the pairs (a, b) share at least the similarity of both sets' members."""
+    ok = np.zeros(len(a), bool)
+    for start in range(0, len(a), 1 << 14):
+        x, y = a[start:start + (1 << 14)], b[start:start + (1 << 14)]
+        line = np.sort(np.concatenate([members[x], members[y]], axis=1), axis=1)
+        both = ((line[:, 1:] == line[:, :-1]) & (line[:, 1:] >= 0)).sum(axis=1)
+        ok[start:start + (1 << 14)] = both / np.maximum(n[x] + n[y] - both, 1) >= similarity
+    return ok
+
+
+def short_links(key, members, n, label, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links within every run of equal keys (sorted) of short sets, decided on the sets: as many as span what all pairs
+    would join over all runs, given that rows of one label are together already."""
+    roots, group = np.unique(label, return_inverse=True)
+    parent, found = list(range(len(roots))), []
+
+    def top(i):
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    def join(a, b):
+        for x, y in zip(a.tolist(), b.tolist()):
+            p, q = top(int(group[x])), top(int(group[y]))
+            if p != q:
+                parent[p] = q
+                found.append((x, y))
+
+    runs = [r for r in shares(key) if r[1] - r[0] > 1]
+    for a, b in shifted(np.array([r for r in runs if r[1] - r[0] <= SMALL], np.int64).reshape(-1, 2)):
+        open_ = (label[a] != label[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
+        a, b = a[open_], b[open_]
+        ok = alike(members, n, a, b, similarity)
+        join(a[ok], b[ok])
+    for begin, end in runs:
+        if end - begin <= SMALL:
+            continue
+        own = np.array([top(int(g)) for g in group[begin:end]])
+        marked = np.zeros(members.max(initial=0) + 2, bool)
+        for i in range(end - begin - 1):
+            others = i + 1 + np.flatnonzero(own[i + 1:] != own[i])
+            marked[members[begin + i]] = True
+            marked[-1] = False  # the filling
+            both = marked[members[begin + others]].sum(axis=1)
+            hit = others[both / np.maximum(n[begin + i] + n[begin + others] - both, 1) >= similarity]
+            marked[members[begin + i]] = False
+            if len(hit):
+                join(np.full(len(hit), begin + i), begin + hit)
+                own[np.isin(own, own[hit])] = own[i]
+                if (own == own[0]).all():
+                    break
+    at = np.array(found, np.int64).reshape(-1, 2)
+    return at[:, 0], at[:, 1]
+
+
 def shingle_sets(docs: DataFrame, members: DataFrame, words: int, seed: int) -> DataFrame:
     """``content`` and ``shingles`` (all distinct hashes) of the members (``content`` and the ``node`` whose text has it)."""
     def run(batches):
@@ -302,65 +355,124 @@ def shingle_sets(docs: DataFrame, members: DataFrame, words: int, seed: int) ->
     return found.mapInArrow(run, "content binary, shingles array<long>")
 
 
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (``a``, ``b``) of those pairs whose whole sets share at least the similarity."""
+    # A first one or a probe is in many pairs: its set comes last, so that the shuffled rows hold the other one's.
+    both = pairs.join(sets.withColumnRenamed("shingles", "_x"), "content").join(
+        sets.select(F.col("content").alias("other_content"), F.col("shingles").alias("_y")), "other_content")
+    shared = both.select(F.col("node").alias("a"), F.col("other").alias("b"), F.size(F.array_intersect("_x", "_y")).alias("_both"), (F.size("_x") + F.size("_y")).alias("_all"))
+    return shared.filter(F.col("_both") / (F.col("_all") - F.col("_both")) >= similarity).select("a", "b")
+
+
+def still_open(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of the keys whose members are not of one component yet, with their components (``label``)."""
+    named = components(found).select("node", F.col("component").alias("_label"))
+    rows = rows.drop("label").join(named, "node", "left").withColumn("label", F.coalesce("_label", "node")).drop("_label")
+    many = rows.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
+    return rows.join(many.select("key"), "key")
+
+
 def similar_links(classes: DataFrame, docs: DataFrame, words: int, seed: int, similarity: float) -> DataFrame:
     """Links (``a``, ``b``: class ids) that span all pairs of classes which meet by a key and share at least ``similarity`` of
     the shingles of both, counted on the whole sets.
 
-    Pairs that a round brings together are joined with both sets. What links has one label in the next round, where
-    long runs of one key go on with eight times as many probes; a tight group is linked by its first probe and never
-    becomes a list of its pairs.
+    First every class meets the first one of each of its keys, in joins that send one thin row a key and class: this
+    links a tight group whatever its size. Keys whose members then are of one component are done. Of the others, short
+    sets are compared in their key's task, which gives spanning links only; long ones are probed in rounds, every
+    pair at the least key that it shares, and the pairs that slots do not rule out are joined with both sets. What links
+    has one label in the next round, where keys not done go on with eight times as many probes.
     """
-    kind = "node long, content binary, n long, key long, body binary, label long, probed boolean, other long, other_content binary"
+    many = max(partitions(classes), 32)
+    classes = written(classes, "classes")
+    keyed = classes.select("node", "content", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("_last")).filter("first < _last").drop("_last")
+    rows = written(keyed.join(shared, "key"), "meetings")
+
+    def judged(batches):
+        for batch in slices(batches, 1 << 13):
+            n, other_n = (batch.column(c).to_numpy() for c in ("n", "other_n"))
+            short = batch.column("short").is_valid().to_numpy(zero_copy_only=False) & batch.column("other_short").is_valid().to_numpy(zero_copy_only=False)
+            keep = np.zeros(batch.num_rows, bool)
+            at = np.flatnonzero(short)
+            if len(at):
+                members, size = padded(pa.concat_arrays([batch.column(c).take(pa.array(at)) for c in ("short", "other_short")]))
+                keep[at] = alike(members, size, np.arange(len(at)), np.arange(len(at)) + len(at), similarity)
+            at = np.flatnonzero(~short & batch.column("marks").is_valid().to_numpy(zero_copy_only=False) & batch.column("other_marks").is_valid().to_numpy(zero_copy_only=False))
+            if len(at):
+                x, y = (np.frombuffer(b"".join(batch.column(c).take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1) for c in ("marks", "other_marks"))
+                keep[at] = may_link(np.concatenate([n[at], other_n[at]]), np.concatenate([x, y]), np.arange(len(at)), np.arange(len(at)) + len(at), similarity)
+            out = batch.select(["node", "content", "other", "other_content"]).append_column("sure", pa.array(short))
+            yield out.filter(pa.array(keep))
+
+    told = ["n", "short", "marks"]
+    firsts = classes.select(F.col("node").alias("other"), F.col("content").alias("other_content"), *[F.col(c).alias(f"other_{c}") for c in told])
+    pairs = rows.filter("node != first").select("content", F.col("first").alias("other")).distinct()
+    pairs = pairs.join(firsts, "other").join(classes.select("node", "content", *told), "content")
+    pairs = pairs.filter((F.least("n", "other_n") >= similarity * F.greatest("n", "other_n") - 1e-9))
+    pairs = written(pairs.mapInArrow(judged, "node long, content binary, other long, other_content binary, sure boolean"), "pairs")
+    sure, unsure = pairs.filter("sure").select(F.col("node").alias("a"), F.col("other").alias("b")), pairs.filter("not sure").drop("sure")
+    members = unsure.select("content", "node").unionAll(unsure.select("other_content", "other")).distinct()
+    found = sure.unionAll(written(verified(unsure, shingle_sets(docs, members, words, seed), similarity), "links"))
+    rows = written(still_open(rows.drop("first"), found), "open")
+
+    def compare_short(batches):
+        whole = met(batches)
+        if whole is None:
+            return
+        members, n = padded(whole.column("short").combine_chunks())
+        node = whole.column("node").to_numpy()
+        a, b = short_links(whole.column("key").to_numpy(), members, n, whole.column("label").to_numpy(), similarity)
+        yield pa.RecordBatch.from_arrays([pa.array(node[a], pa.int64()), pa.array(node[b], pa.int64())], names=["a", "b"])
+
+    odd = F.col("key").bitwiseAND(F.lit(1)) == 1
+    short = rows.filter(~odd).join(classes.select("content", "short"), "content").select("node", "key", "label", "short")
+    found = found.unionAll(written(short.repartition(many, "key").mapInArrow(compare_short, "a long, b long"), "links"))
+
+    rows = rows.filter(odd).join(classes.select("content", "n", "marks", "keys"), "content").withColumn("probed", F.lit(False))
+    kind = "node long, content binary, n long, key long, marks binary, keys array<long>, label long, probed boolean, other long, other_content binary"
     names = [c.split(" ")[0] for c in kind.split(", ")]
-    body = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, F.col("marks")).otherwise(F.col("bitmap"))
-    rows = classes.select("node", "content", "n", F.explode("keys").alias("key"), "marks", "bitmap").select(
-        "node", "content", "n", "key", body.alias("body"), F.col("node").alias("label"), F.lit(False).alias("probed"))
-    many, probes, sets, found = max(partitions(classes), 32), 1, None, None
+    kinds = {"n": pa.int64(), "key": pa.int64(), "marks": pa.binary(), "keys": pa.list_(pa.int64()), "label": pa.int64(), "probed": pa.bool_()}
+    rows, probes, sets = rows.select(*names[:8]), 8, None
 
     def compare(batches):
         whole = met(batches)
         if whole is None:
             return
         key, n, label = (whole.column(c).to_numpy() for c in ("key", "n", "label"))
-        body = np.frombuffer(b"".join(whole.column("body").to_pylist()), np.uint8).reshape(len(key), -1)
-        a, b, left, probed = probe(key, n, body, label, np.array(whole.column("probed").to_pylist(), bool), similarity, probes)
+        marks = np.frombuffer(b"".join(whole.column("marks").to_pylist()), np.uint8).reshape(len(key), -1)
+        own = np.full((len(key), BANDS), np.iinfo(np.int64).max)
+        for i, k in enumerate(whole.column("keys").to_pylist()):
+            k = [x for x in k if x & 1]
+            own[i, :len(k)] = k
+        a, b, left, probed = probe(key, n, marks, label, np.array(whole.column("probed").to_pylist(), bool), similarity, probes, own)
         for start in range(0, len(a), 1 << 16):
             x, y = (whole.select(["node", "content"]).take(pa.array(i[start:start + (1 << 16)])) for i in (a, b))
             columns = {"node": x["node"], "content": x["content"], "other": y["node"], "other_content": y["content"]}
-            kinds = {"n": pa.int64(), "key": pa.int64(), "body": pa.binary(), "label": pa.int64(), "probed": pa.bool_()}
             yield from pa.table([columns[c] if c in columns else pa.nulls(len(x), kinds[c]) for c in names], names=names).to_batches()
         if len(left):
-            rest = whole.select(names[:6]).take(pa.array(left))
+            rest = whole.select(names[:7]).take(pa.array(left))
             yield from pa.table([*rest.columns, pa.array(probed[left]), pa.nulls(len(left), pa.int64()), pa.nulls(len(left), pa.binary())], names=names).to_batches()
 
-    while True:
+    while rows.limit(1).count():
+        if sets is None:
+            sets = written(shingle_sets(docs, rows.select("content", "node").distinct(), words, seed), "sets")
         step = written(rows.repartition(many, "key").mapInArrow(compare, kind), "pairs")
-        met_pairs = step.filter("key is null").withColumn("_a", F.least("content", "other_content")).withColumn("_b", F.greatest("content", "other_content"))
-        pairs = met_pairs.dropDuplicates(["_a", "_b"]).select("node", "content", "other", "other_content")
+        pairs = step.filter("key is null").select("node", "content", "other", "other_content")
+        found = found.unionAll(written(verified(pairs, sets, similarity), "links"))
         rows = step.filter("key is not null").drop("other", "other_content")
-        if sets is None:
-            members = step.select("content", "node").unionAll(step.filter("key is null").select("other_content", "other")).distinct()
-            sets = written(shingle_sets(docs, members, words, seed), "sets")
-        # A probe is in many pairs: its set comes last, so that the shuffled rows hold the other one's.
-        both = pairs.join(sets.withColumnRenamed("shingles", "_x"), "content").join(
-            sets.select(F.col("content").alias("other_content"), F.col("shingles").alias("_y")), "other_content")
-        shared = both.select(F.col("node").alias("a"), F.col("other").alias("b"), F.size(F.array_intersect("_x", "_y")).alias("_both"), (F.size("_x") + F.size("_y")).alias("_all"))
-        now = written(shared.filter(F.col("_both") / (F.col("_all") - F.col("_both")) >= similarity).select("a", "b"), "links")
-        found = now if found is None else found.unionAll(now)
-        if not rows.limit(1).count():
-            return found
-        named = components(found).select("node", F.col("component").alias("_label"))
-        rows = rows.join(named, "node", "left").select("node", "content", "n", "key", "body", F.coalesce("_label", "label").alias("label"), "probed")
+        if rows.limit(1).count():
+            rows = written(still_open(rows, found).select(*names[:8]), "open")
         probes *= 8
+    return found
 
 
 def described(docs: DataFrame, words: int, seed: int, similarity: float) -> DataFrame:
     """``doc_id``, ``fingerprint`` and what ``similar_links`` needs of ``doc_id`` and ``text`` rows."""
-    names = ["doc_id", "fingerprint", "content", "n", "keys", "bitmap", "marks"]
+    names = ["doc_id", "fingerprint", "content", "n", "keys", "short", "marks"]
 
     def run(batches):
         for batch in slices(batches):
-            prints, contents, sizes, keys, bitmaps, marks = [], [], [], [], [], []
+            prints, contents, sizes, keys, shorts, marks = [], [], [], [], [], []
             for text in texts(batch):
                 hashes = shingle_hashes(text, words, seed)
                 prints.append(majority(hashes))
@@ -369,13 +481,13 @@ def described(docs: DataFrame, words: int, seed: int, similarity: float) -> Data
                 sizes.append(len(hashes))
                 own = meeting_keys(hashes, similarity)
                 keys.append(own[0].view(np.int64))
-                bitmaps.append(own[1])
+                shorts.append(own[1])
                 marks.append(own[2])
             columns = [batch.column("doc_id"), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(contents, pa.binary()), pa.array(sizes, pa.int64()),
-                       pa.array(keys, pa.list_(pa.int64())), pa.array(bitmaps, pa.binary()), pa.array(marks, pa.binary())]
+                       pa.array(keys, pa.list_(pa.int64())), pa.array(shorts, pa.list_(pa.int64())), pa.array(marks, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint long, content binary, n long, keys array<long>, bitmap binary, marks binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint long, content binary, n long, keys array<long>, short array<long>, marks binary")
 
 
 def near_groups(docs: DataFrame, words: int = 4, max_bits: int = 4, similarity: float | None = None, id: str = "doc_id",
@@ -398,7 +510,7 @@ def near_groups(docs: DataFrame, words: int = 4, max_bits: int = 4, similarity:
         found = links(classes.filter("node is not null"), max_bits)
     else:
         same, prints = "content", written(described(rows, words, seed, similarity), "fingerprints")
-        firsts = [F.first(c).alias(c) for c in ("n", "keys", "bitmap", "marks")]  # the same in all rows of one content
+        firsts = [F.first(c).alias(c) for c in ("n", "keys", "short", "marks")]  # the same in all rows of one content
         classes = prints.groupBy(same).agg(F.min("doc_id").alias("node"), *firsts)
         found = similar_links(classes.filter("node is not null"), rows, words, seed, similarity)
     grouped = components(found)

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -246,3 +247,52 @@ def test_templated_texts_below_the_similarity_all_stay(spark):
     assert all(0.7 <= s < 0.8 for s in shares)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     assert simhash.without_near_copies(docs).count() == len(texts)
+
+
+def test_short_sets_in_shared_keys_give_spanning_links_only():
+    """All keys of a partition: the groups are those of all pairs that share a key, with one link less than members."""
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        base = [rng.choice(400, 30, replace=False) for _ in range(6)]
+        sets = [np.unique(np.where(rng.random(30) < 0.06, rng.integers(400, 900, 30), base[rng.integers(6)])) for _ in range(120)]
+        sets = [np.sort(s.astype(np.int64)) for s in sets]
+        at = [(k, i) for i, s in enumerate(sets) for k in (int(s[0]), int(s[1]), 5000 + i % 2)]
+        at.sort()
+        key, row = np.array([k for k, _ in at]), np.array([i for _, i in at])
+        members, n = simhash.padded(pa.array([sets[i].tolist() for i in row], pa.list_(pa.int64())))
+        label = row // 2 * 2  # pairs that are together already
+        a, b = simhash.short_links(key, members, n, label, 0.8)
+        near = lambda x, y: len(np.intersect1d(x, y)) / len(np.union1d(x, y)) >= 0.8
+        want = {(i, j) for i in range(120) for j in range(i) if near(sets[i], sets[j]) and (i % 2 == j % 2 or sets[i][0] in sets[j][:2] or sets[i][1] in sets[j][:2])}
+        assert all((max(i, j), min(i, j)) in want for i, j in zip(row[a].tolist(), row[b].tolist()))
+        together = {(i, i // 2 * 2) for i in range(120)}
+        assert groups({(row[x], row[y]) for x, y in zip(a, b)} | together, range(120)) == groups(want | together, range(120))
+        assert len(a) < 60
+
+
+def test_every_pair_of_long_sets_is_probed_at_one_key():
+    """Rows that slots cannot tell apart: each pair comes up once, however many keys the two rows share."""
+    n, keys = 30, np.full((30, simhash.BANDS), np.iinfo(np.int64).max)
+    keys[:, :3] = [3, 5, 7]
+    key, row = np.repeat([3, 5, 7], n), np.tile(np.arange(n), 3)
+    marks = np.zeros((3 * n, simhash.SLOTS), np.uint8)
+    a, b, left, _ = simhash.probe(key, np.full(3 * n, 200), marks, row, np.zeros(3 * n, bool), 0.8, n, keys[row])
+    pairs = Counter(tuple(sorted(p)) for p in zip(row[a].tolist(), row[b].tolist()))
+    assert set(pairs.values()) == {1} and len(pairs) == n * (n - 1) // 2 and not len(left)
+
+
+def test_a_template_of_many_texts_gives_few_rows_a_text(spark, monkeypatch):
+    """800 texts with one word changed, short and long: every row that the rounds write for them is counted."""
+    texts = [" ".join(f"t{n}x{i}" if i != (k * 7) % n else f"own{k}" for i in range(n)) for n in (60, 200) for k in range(800)]
+    rows, keep = Counter(), simhash.written
+
+    def counted(df, name):
+        out = keep(df, name)
+        rows[name] += out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "written", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.component_id for r in simhash.near_groups(docs, words=5, similarity=0.8).select("component_id").distinct().collect()}
+    assert got == {0, 800}
+    assert rows["pairs"] <= 16 * len(texts) and rows["links"] <= 16 * len(texts) and rows["open"] <= 20 * len(texts)
