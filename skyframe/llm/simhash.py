@@ -22,6 +22,7 @@ SHORT = 64  # texts up to this many shingles meet by some of the shingles themse
 LOOSE = 0.3  # by so much the share of equal slots may fall short of the similarity before the exact check
 SMALL = 24  # runs up to this many fingerprints are compared by shifts, longer ones by expanding groups
 PIECE = 1 << 22  # comparisons at a time
+TILE = 4096  # rows of one key that a task compares; keys of more rows go in tiles
 
 
 def shingle_hashes(text: bytes, words: int, seed: int = 42) -> np.ndarray:
@@ -233,33 +234,63 @@ def may_link(n, marks, a, b, similarity) -> np.ndarray:
     return ok
 
 
-def probe(key, n, marks, label, probed, similarity: float, probes: int, keys=None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs to be checked within every run of equal keys (sorted), the rows of runs that are not done and which were probed.
+class Union:
+    """Groups of labels, joined link by link."""
 
-    A pair needs no check if its labels (components so far) are equal, nor here if a smaller one of its rows' ``keys``
-    brings it together too. Up to ``probes`` rows of a run meet all others; it is done when the rows that never did so
-    are of one component.
+    def __init__(self, label: np.ndarray):
+        names, self.group = np.unique(label, return_inverse=True)
+        self.parent, self.found = list(range(len(names))), []
+
+    def top(self, row: int) -> int:
+        i, parent = int(self.group[row]), self.parent
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    def join(self, a, b) -> None:
+        """Link the rows a and b one by one; kept are the links that join two groups."""
+        for x, y in zip(a.tolist(), b.tolist()):
+            p, q = self.top(x), self.top(y)
+            if p != q:
+                self.parent[p] = q
+                self.found.append((x, y))
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        at = np.array(self.found, np.int64).reshape(-1, 2)
+        return at[:, 0], at[:, 1]
+
+
+def long_pairs(run, values, ends, n, label, similarity: float, keys=None, key=None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within every run of equal numbers (sorted) whose sets may share the similarity; rows of one label need none.
+
+    ``values`` (from ``ends[i]`` to ``ends[i + 1]`` those of row i) are 16 bits of every member's hash: as many members as
+    are shared are found among them at least, so no pair is lost, and few come that fall short. Without ``keys`` only
+    as many pairs are given as span all of them. With the rows' ``keys``, all are, each at the least key that both have
+    (``key`` is that of the run).
     """
-    found_a, found_b, left, probed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], probed.copy()
-    for begin, end in shares(key):
-        rows = np.arange(begin, end)
-        open_ = rows[~probed[begin:end]]
-        names, counts = np.unique(label[open_], return_counts=True)
-        if len(names) < 2:
-            continue
-        outside = open_[label[open_] != names[counts.argmax()]] if counts.max() > 1 else open_
-        for at in outside[:probes]:
-            probed[at] = True
-            others = rows[~probed[begin:end] & (label[begin:end] != label[at])]
-            hit = others[may_link(n, marks, np.intp(at), others, similarity)]
-            if keys is not None and len(hit):
-                both = np.where(np.isin(keys[hit], keys[at]), keys[hit], np.iinfo(np.int64).max)
-                hit = hit[both.min(axis=1) >= key[at]]
-            found_a.append(hit)
-            found_b.append(np.full(len(hit), at))
-        if len(np.unique(label[rows[~probed[begin:end]]])) > 1:
-            left.append(rows)
-    return np.concatenate(found_a), np.concatenate(found_b), np.concatenate(left), probed
+    union, found_a, found_b = Union(label), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    marked = np.zeros(1 << 16, bool)
+    for begin, end in shares(run):
+        own = np.array([union.top(i) for i in range(begin, end)])
+        for i in range(begin, end - 1):
+            apart = own[i + 1 - begin:] != own[i - begin]
+            if not apart.any():
+                continue
+            mine = values[ends[i]:ends[i + 1]]
+            marked[mine] = True
+            both = np.add.reduceat(marked[values[ends[i + 1]:ends[end]]], ends[i + 1:end] - ends[i + 1], dtype=np.int64)
+            marked[mine] = False
+            both = np.minimum(both, np.minimum(n[i], n[i + 1:end]))
+            hit = i + 1 + np.flatnonzero(apart & (both / (n[i] + n[i + 1:end] - both) >= similarity))
+            if keys is not None:
+                least = np.where(np.isin(keys[hit], keys[i]), keys[hit], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
+                hit = hit[least >= key[i]]
+                found_a.append(np.full(len(hit), i))
+                found_b.append(hit)
+            elif len(hit):
+                union.join(np.full(len(hit), i), hit)
+                own[np.isin(own, own[hit - begin])] = own[i - begin]
+    return union.links() if keys is None else (np.concatenate(found_a), np.concatenate(found_b))
 
 
 def padded(sets: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,31 +317,17 @@ def alike(members: np.ndarray, n: np.ndarray, a, b, similarity: float) -> np.nda
 def short_links(key, members, n, label, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Links within every run of equal keys (sorted) of short sets, decided on the sets: as many as span what all pairs
     would join over all runs, given that rows of one label are together already."""
-    roots, group = np.unique(label, return_inverse=True)
-    parent, found = list(range(len(roots))), []
-
-    def top(i):
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    def join(a, b):
-        for x, y in zip(a.tolist(), b.tolist()):
-            p, q = top(int(group[x])), top(int(group[y]))
-            if p != q:
-                parent[p] = q
-                found.append((x, y))
-
+    union = Union(label)
     runs = [r for r in shares(key) if r[1] - r[0] > 1]
     for a, b in shifted(np.array([r for r in runs if r[1] - r[0] <= SMALL], np.int64).reshape(-1, 2)):
         open_ = (label[a] != label[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
         a, b = a[open_], b[open_]
         ok = alike(members, n, a, b, similarity)
-        join(a[ok], b[ok])
+        union.join(a[ok], b[ok])
     for begin, end in runs:
         if end - begin <= SMALL:
             continue
-        own = np.array([top(int(g)) for g in group[begin:end]])
+        own = np.array([union.top(i) for i in range(begin, end)])
         marked = np.zeros(members.max(initial=0) + 2, bool)
         for i in range(end - begin - 1):
             others = i + 1 + np.flatnonzero(own[i + 1:] != own[i])
@@ -320,12 +337,11 @@ def short_links(key, members, n, label, similarity: float) -> tuple[np.ndarray,
             hit = others[both / np.maximum(n[begin + i] + n[begin + others] - both, 1) >= similarity]
             marked[members[begin + i]] = False
             if len(hit):
-                join(np.full(len(hit), begin + i), begin + hit)
+                union.join(np.full(len(hit), begin + i), begin + hit)
                 own[np.isin(own, own[hit])] = own[i]
                 if (own == own[0]).all():
                     break
-    at = np.array(found, np.int64).reshape(-1, 2)
-    return at[:, 0], at[:, 1]
+    return union.links()
 
 
 def shingle_sets(docs: DataFrame, members: DataFrame, words: int, seed: int) -> DataFrame:
@@ -372,15 +388,26 @@ def still_open(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(many.select("key"), "key")
 
 
+def tiles(rows: DataFrame) -> DataFrame:
+    """The rows with the number of a ``tile``: a key's rows are one, or, beyond ``TILE`` of them, dealt into parts of which
+    every two make one, so that all pairs meet and no task needs a whole key."""
+    parts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("_parts"))
+    own = F.pmod(F.xxhash64("content"), "_parts").cast("int")
+    others = F.when(F.col("_parts") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("_parts") - 1), F.col("_own")))
+    dealt = rows.join(parts, "key").withColumn("_own", own).withColumn("_other", F.explode(others))
+    tile = F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other"))
+    return dealt.withColumn("tile", tile).drop("_parts", "_own", "_other")
+
+
 def similar_links(classes: DataFrame, docs: DataFrame, words: int, seed: int, similarity: float) -> DataFrame:
     """Links (``a``, ``b``: class ids) that span all pairs of classes which meet by a key and share at least ``similarity`` of
     the shingles of both, counted on the whole sets.
 
     First every class meets the first one of each of its keys, in joins that send one thin row a key and class: this
     links a tight group whatever its size. Keys whose members then are of one component are done. Of the others, short
-    sets are compared in their key's task, which gives spanning links only; long ones are probed in rounds, every
-    pair at the least key that it shares, and the pairs that slots do not rule out are joined with both sets. What links
-    has one label in the next round, where keys not done go on with eight times as many probes.
+    sets are compared in their key's task, which gives spanning links only. Long ones are compared there by 16 bits of
+    every shingle's hash; the pairs that span what these let through are joined with both sets and counted. After that,
+    pairs between components that are still apart come once each, all of them close below the similarity, and are counted.
     """
     many = max(partitions(classes), 32)
     classes = written(classes, "classes")
@@ -428,41 +455,46 @@ def similar_links(classes: DataFrame, docs: DataFrame, words: int, seed: int, si
     short = rows.filter(~odd).join(classes.select("content", "short"), "content").select("node", "key", "label", "short")
     found = found.unionAll(written(short.repartition(many, "key").mapInArrow(compare_short, "a long, b long"), "links"))
 
-    rows = rows.filter(odd).join(classes.select("content", "n", "marks", "keys"), "content").withColumn("probed", F.lit(False))
-    kind = "node long, content binary, n long, key long, marks binary, keys array<long>, label long, probed boolean, other long, other_content binary"
-    names = [c.split(" ")[0] for c in kind.split(", ")]
-    kinds = {"n": pa.int64(), "key": pa.int64(), "marks": pa.binary(), "keys": pa.list_(pa.int64()), "label": pa.int64(), "probed": pa.bool_()}
-    rows, probes, sets = rows.select(*names[:8]), 8, None
-
-    def compare(batches):
-        whole = met(batches)
-        if whole is None:
-            return
-        key, n, label = (whole.column(c).to_numpy() for c in ("key", "n", "label"))
-        marks = np.frombuffer(b"".join(whole.column("marks").to_pylist()), np.uint8).reshape(len(key), -1)
-        own = np.full((len(key), BANDS), np.iinfo(np.int64).max)
-        for i, k in enumerate(whole.column("keys").to_pylist()):
-            k = [x for x in k if x & 1]
-            own[i, :len(k)] = k
-        a, b, left, probed = probe(key, n, marks, label, np.array(whole.column("probed").to_pylist(), bool), similarity, probes, own)
-        for start in range(0, len(a), 1 << 16):
-            x, y = (whole.select(["node", "content"]).take(pa.array(i[start:start + (1 << 16)])) for i in (a, b))
-            columns = {"node": x["node"], "content": x["content"], "other": y["node"], "other_content": y["content"]}
-            yield from pa.table([columns[c] if c in columns else pa.nulls(len(x), kinds[c]) for c in names], names=names).to_batches()
-        if len(left):
-            rest = whole.select(names[:7]).take(pa.array(left))
-            yield from pa.table([*rest.columns, pa.array(probed[left]), pa.nulls(len(left), pa.int64()), pa.nulls(len(left), pa.binary())], names=names).to_batches()
-
-    while rows.limit(1).count():
-        if sets is None:
-            sets = written(shingle_sets(docs, rows.select("content", "node").distinct(), words, seed), "sets")
-        step = written(rows.repartition(many, "key").mapInArrow(compare, kind), "pairs")
-        pairs = step.filter("key is null").select("node", "content", "other", "other_content")
+    rows = rows.filter(odd)
+    if not rows.limit(1).count():
+        return found
+    sets = written(shingle_sets(docs, rows.select("content", "node").distinct(), words, seed), "sets")
+    bits = F.transform("shingles", lambda x: F.shiftright(x, 48).cast("short"))
+    bodies = classes.join(sets, "content").select("content", "n", "keys", bits.alias("body"))
+
+    def compare_long(every):
+        def run(batches):
+            whole = met(batches)
+            if whole is None:
+                return
+            key, label = whole.column("tile").to_numpy(), whole.column("label").to_numpy()
+            _, place, count = np.unique(np.stack([key, label]), axis=1, return_inverse=True, return_counts=True)
+            whole = whole.take(pa.array(np.lexsort((label, count[place.ravel()], key))))  # a run's largest component comes last
+            tile, key, n, label, node = (whole.column(c).to_numpy() for c in ("tile", "key", "n", "label", "node"))
+            body, own = whole.column("body").combine_chunks(), None
+            ends = body.offsets.to_numpy().astype(np.int64)
+            values = body.values.to_numpy().view(np.uint16)
+            if every:
+                own = np.full((len(key), BANDS), np.iinfo(np.int64).max)
+                for i, k in enumerate(whole.column("keys").to_pylist()):
+                    k = [x for x in k if x & 1]
+                    own[i, :len(k)] = k
+            a, b = long_pairs(tile, values, ends, n, label, similarity, own, key)
+            content = whole.column("content")
+            for start in range(0, len(a), 1 << 16):
+                x, y = a[start:start + (1 << 16)], b[start:start + (1 << 16)]
+                columns = [pa.array(node[x]), content.take(pa.array(x)), pa.array(node[y]), content.take(pa.array(y))]
+                yield from pa.table(columns, names=["node", "content", "other", "other_content"]).to_batches()
+        return run
+
+    # First what spans the pairs that the bits let through; then those between components that are still apart.
+    for every in (False, True):
+        met_rows = tiles(rows).join(bodies, "content").repartition(many, "tile")
+        pairs = met_rows.mapInArrow(compare_long(every), "node long, content binary, other long, other_content binary")
+        pairs = written(pairs.dropDuplicates(["content", "other_content"]), "pairs")
         found = found.unionAll(written(verified(pairs, sets, similarity), "links"))
-        rows = step.filter("key is not null").drop("other", "other_content")
-        if rows.limit(1).count():
-            rows = written(still_open(rows, found).select(*names[:8]), "open")
-        probes *= 8
+        if not every:
+            rows = written(still_open(rows, found), "open")
     return found
 
 

@@ -228,13 +228,33 @@ def test_similar_texts_at_exactly_the_similarity(spark, small, monkeypatch):
     assert got == {i: min(j for j in want if want[j] == want[i]) for i in want}
 
 
+def long_rows(sets):
+    values = np.concatenate([x >> np.uint64(48) for x in sets]).astype(np.uint16)
+    return values, np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+
+
 def test_similar_texts_of_one_long_group_are_not_listed_pair_by_pair():
     n = 500
-    key, sizes, body = np.zeros(n, np.int64), np.full(n, 60), np.full((n, 128), 255, np.uint8)
-    a, b, left, probed = simhash.probe(key, sizes, body, np.arange(n), np.zeros(n, bool), 0.8, 1)
-    assert len(a) == n - 1 and len(left) == n and probed.sum() == 1
-    a, b, left, probed = simhash.probe(key, sizes, body, np.zeros(n, np.int64), probed, 0.8, 8)
-    assert len(a) == len(left) == 0
+    values, ends = long_rows([np.arange(200, dtype=np.uint64) << np.uint64(48)] * n)
+    a, b = simhash.long_pairs(np.zeros(n, np.int64), values, ends, np.full(n, 200), np.arange(n), 0.8)
+    assert len(a) == n - 1
+    a, b = simhash.long_pairs(np.zeros(n, np.int64), values, ends, np.full(n, 200), np.zeros(n, np.int64), 0.8)
+    assert len(a) == 0
+
+
+def test_bits_of_hashes_lose_no_pair():
+    """Sets of random hashes: every pair at the similarity is joined by the spanning pairs, or listed when all are asked for."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(900) < 0.02 + 0.1 * rng.random(), rng.integers(0, 2**63, 900, dtype=np.uint64), base)) for _ in range(60)]
+    values, ends = long_rows(sets)
+    sizes, run = np.array([len(x) for x in sets]), np.zeros(60, np.int64)
+    want = {(j, i) for i in range(60) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) >= 0.8}
+    a, b = simhash.long_pairs(run, values, ends, sizes, np.arange(60), 0.8, np.zeros((60, 1), np.int64), run)
+    assert want <= set(zip(a.tolist(), b.tolist())) and len(a) <= len(want) + 60
+    a, b = simhash.long_pairs(run, values, ends, sizes, np.arange(60), 0.8)
+    joined = groups(zip(a.tolist(), b.tolist()), range(60))
+    assert 0 < len(want) < 1770 and all(joined[i] == joined[j] for i, j in want) and len(a) < 60
 
 
 def test_templated_texts_below_the_similarity_all_stay(spark):
@@ -270,15 +290,31 @@ def test_short_sets_in_shared_keys_give_spanning_links_only():
         assert len(a) < 60
 
 
-def test_every_pair_of_long_sets_is_probed_at_one_key():
-    """Rows that slots cannot tell apart: each pair comes up once, however many keys the two rows share."""
+def test_every_pair_of_long_sets_comes_at_one_key():
+    """Rows of equal sets: each pair comes up once, however many keys the two rows share."""
     n, keys = 30, np.full((30, simhash.BANDS), np.iinfo(np.int64).max)
     keys[:, :3] = [3, 5, 7]
     key, row = np.repeat([3, 5, 7], n), np.tile(np.arange(n), 3)
-    marks = np.zeros((3 * n, simhash.SLOTS), np.uint8)
-    a, b, left, _ = simhash.probe(key, np.full(3 * n, 200), marks, row, np.zeros(3 * n, bool), 0.8, n, keys[row])
+    values, ends = long_rows([np.arange(100, dtype=np.uint64) << np.uint64(48)] * 3 * n)
+    a, b = simhash.long_pairs(key, values, ends, np.full(3 * n, 100), row, 0.8, keys[row], key)
     pairs = Counter(tuple(sorted(p)) for p in zip(row[a].tolist(), row[b].tolist()))
-    assert set(pairs.values()) == {1} and len(pairs) == n * (n - 1) // 2 and not len(left)
+    assert set(pairs.values()) == {1} and len(pairs) == n * (n - 1) // 2
+
+
+@pytest.mark.parametrize("tile", [None, 7])
+def test_edited_copies_of_one_text_form_the_groups_of_all_pairs(spark, monkeypatch, tile):
+    """Similarities from 0.3 to 1 within one group, so that keys stay open after the first links."""
+    if tile:
+        monkeypatch.setattr(simhash, "TILE", tile)
+    rng = np.random.default_rng(11)
+    rate = [0.002, 0.01, 0.02, 0.05]
+    texts = [" ".join(f"w{n}x{i}" if rng.random() > rate[k % 4] else f"own{k}x{i}" for i in range(n)) for n in (40, 72, 160) for k in range(50)]
+    sets = [frozenset(" ".join(w[i:i + 5]) for i in range(len(w) - 4)) for w in (t.split(" ") for t in texts)]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(docs, words=5, similarity=0.8).collect()}
+    assert got == groups(pairs, range(len(texts)))
+    assert 3 < len(set(got.values())) < len(texts)
 
 
 def test_a_template_of_many_texts_gives_few_rows_a_text(spark, monkeypatch):
