@@ -45,6 +45,9 @@ ENDINGS = {"latin": {"m": "n", "f": "ana", "surname": "rt", "surname_m": "rt", "
            "cyrillic": {"m": "н", "f": "на", "surname": "енко", "surname_m": "ов", "surname_f": "ова"},
            "greek": {"m": "ος", "f": "να", "surname": "ίδη", "surname_m": "ίδης", "surname_f": "ίδου"}}
 
+ROUNDS = 100  # attempts at surrogates that differ from each other and from all real values
+WIDER = 8  # attempts after which an address of the small private network gets a surrogate in the large one
+
 
 def digits_of(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
@@ -148,8 +151,9 @@ def surrogate(key: str, unit: Column, canon: Column, again: Column) -> Column:
     card = F.concat(body, ((F.lit(10) - luhn_sum(body, 1) % 10) % 10).cast("string"))
     ssn = F.concat(one_of("12345", byte(digest, F.lit(60))), F.substr(form, F.lit(2)))
     phone = F.concat(one_of("23456789", byte(digest, F.lit(60))), F.substr(form, F.lit(2)))
-    octets = F.transform(F.split(canon, r"\."), lambda o, i: F.when(
-        ((i == 0) & canon.rlike(r"^(?:10|127|192\.168)\.")) | ((i == 1) & canon.rlike(r"^192\.168\.")), o).otherwise((byte(digest, i * 2) * 256 + byte(digest, i * 2 + 1)).cast("int") % 254 + 1))
+    wide = (again >= WIDER) & canon.rlike(r"^192\.168\.")  # the small private network is full: the surrogate comes from the large one
+    octets = F.transform(F.split(canon, r"\."), lambda o, i: F.when((i == 0) & wide, F.lit("10")).when(
+        ((i == 0) & canon.rlike(r"^(?:10|127|192\.168)\.")) | ((i == 1) & canon.rlike(r"^192\.168\.") & ~wide), o).otherwise((byte(digest, i * 2) * 256 + byte(digest, i * 2 + 1)).cast("int") % 254 + 1))
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     reserved = domain.rlike(r"(^|\.)example\.(com|org|net)$")  # names that belong to nobody stay
     host = F.regexp_extract(domain, r"^(.*)\.[a-z]+$", 1)
@@ -170,23 +174,41 @@ def surrogate(key: str, unit: Column, canon: Column, again: Column) -> Column:
         unit == "email", email).when(unit == "iban", iban).when(unit == "key", aws).when(names, spelled).otherwise(secret)
 
 
+def finished(unit: Column, stem: Column) -> Column:
+    """All spellings, in lower case, that a surrogate can have in a text: a name's stem with every ending of its place."""
+    out = F.array(stem)
+    for script, forms in ENDINGS.items():
+        surnames = dict.fromkeys(forms[k] for k in ("surname", "surname_m", "surname_f"))
+        out = F.when(unit == f"surname:{script}", F.array(*[F.concat(stem, F.lit(e)) for e in surnames])).when(
+            unit == f"first_f:{script}", F.array(F.concat(stem, F.lit(forms["f"])))).when(
+            unit.startswith("first_") & unit.endswith(f":{script}"), F.array(F.concat(stem, F.lit(forms["m"])))).otherwise(out)
+    return out
+
+
 def distinct_surrogates(units: DataFrame, key: str) -> DataFrame:
     """``unit``, ``canon``, ``surrogate`` of all distinct values: no two of a kind share a surrogate, and none is a value that
-    occurs in the corpus itself.
+    occurs in the corpus itself. A name counts as it is written, stem and ending, against all real words of names.
 
     All values are tried at once; of those that share a surrogate the smallest keeps it, the others and those that hit a
     real value try again with the next digest. The driver sees one number a round; the table has one row per value.
+    E-mail addresses, secrets and names grow from attempt to attempt, addresses of 192.168 go over to 10; where a form of
+    fixed length has no room left after ``ROUNDS`` attempts, a ValueError says which.
     """
     rows = written(units.select("unit", "canon").distinct().withColumn("again", F.lit(0)), "values")
-    while True:
+    space = F.when(F.col("unit").contains(":"), F.lit("name")).otherwise(F.col("unit"))
+    real = rows.select(space.alias("_space"), F.col("canon").alias("_form")).distinct()
+    for _ in range(ROUNDS):
         tried = rows.withColumn("surrogate", surrogate(key, F.col("unit"), F.col("canon"), F.col("again")))
-        real = rows.select(F.col("unit").alias("_unit"), F.col("canon").alias("_real"))
+        hit = tried.select("unit", "canon", space.alias("_space"), F.explode(finished(F.col("unit"), F.col("surrogate"))).alias("_form"))
+        hit = hit.join(real, ["_space", "_form"]).select("unit", "canon").distinct().withColumn("_real", F.lit(True))
         place = F.row_number().over(Window.partitionBy("unit", "surrogate").orderBy("again", "canon"))
-        checked = tried.withColumn("_place", place).join(real, (F.col("unit") == F.col("_unit")) & (F.col("surrogate") == F.col("_real")), "left")
+        checked = tried.withColumn("_place", place).join(hit, ["unit", "canon"], "left")
         checked = written(checked.select("unit", "canon", "again", "surrogate", ((F.col("_place") > 1) | F.col("_real").isNotNull()).alias("_taken")), "surrogates")
-        if not checked.filter("_taken").limit(1).count():
+        open_ = checked.filter("_taken").select("unit").limit(1).collect()
+        if not open_:
             return checked.select("unit", "canon", "surrogate")
         rows = checked.select("unit", "canon", (F.col("again") + F.col("_taken").cast("int")).alias("again"))
+    raise ValueError(f"No room for distinct surrogates of kind {open_[0].unit!r} after {ROUNDS} attempts")
 
 
 def filled(value: Column, digits: Column) -> Column:

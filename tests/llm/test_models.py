@@ -190,3 +190,22 @@ def test_long_values_are_matched_without_recursion(spark):
     found = spark.createDataFrame(list(enumerate(values)), "i int, text string").select("i", F.regexp_extract("text", surrogates.ANY, 0).alias("value"))
     got = {r.i: r.value for r in found.collect()}
     assert got[0] == "a" * n and got[1] == "a\\'" * (n // 3) and got[3] == values[3] and got[5] == values[5].strip() and got[9] == values[9]
+
+
+def test_no_written_name_is_a_real_one(spark):
+    """Every stem of two syllables with the surname's ending is a real name here: none of them may come out."""
+    real = [a + b + "rt" for a in surrogates.SYLLABLES for b in surrogates.SYLLABLES]
+    docs = spark.createDataFrame([(i, f"Mr. {name.capitalize()}") for i, name in enumerate(real)], "doc_id long, text string")
+    out = [r.text.split(" ")[1].lower() for r in surrogates.with_surrogates(docs, "key").select("text").collect()]
+    assert len(set(out)) == len(real) and not set(out) & set(real)
+
+
+def test_forms_without_room_widen_or_say_so(spark, monkeypatch):
+    """More than half of 192.168 is real: surrogates go over to 10; a form that is full raises."""
+    taken = [("ip", f"192.168.{a}.{b}") for a in range(1, 255) for b in range(1, 255)]
+    got = {r.surrogate for r in surrogates.distinct_surrogates(spark.createDataFrame(taken, "unit string, canon string"), "key").collect()}
+    assert len(got) == len(taken) and not got & {c for _, c in taken} and all(g.startswith("10.") for g in got)
+    monkeypatch.setattr(surrogates, "ROUNDS", 3)
+    full = spark.createDataFrame([("phone", str(d)) for d in range(10)], "unit string, canon string")
+    with pytest.raises(ValueError, match="phone"):
+        surrogates.distinct_surrogates(full, "key")
