@@ -22,7 +22,7 @@ SHORT = 64  # texts up to this many shingles meet by some of the shingles themse
 LOOSE = 0.3  # by so much the share of equal slots may fall short of the similarity before the exact check
 SMALL = 24  # runs up to this many fingerprints are compared by shifts, longer ones by expanding groups
 PIECE = 1 << 22  # comparisons at a time
-TILE = 4096  # rows of one key that a task compares; keys of more rows go in tiles
+TILE = 4096  # rows of one key that are compared as one; keys of more rows go in parts of about so many, two of them a tile
 
 
 def shingle_hashes(text: bytes, words: int, seed: int = 42) -> np.ndarray:
