@@ -80,14 +80,15 @@ def comparison_targets(hours: DataFrame) -> DataFrame:
         F.array(*[F.lit(m * MINUTE) for m in (-10, 0, 10)]), lambda o: instant(micros("hour") + o))))
 
 
-def radar_month_cells(pixels: DataFrame, quality_product: str = "RadarQualityIndex_00.00") -> DataFrame:
+def radar_month_cells(pixels: DataFrame, quality_product: str = "RadarQualityIndex_00.00", also: list[Column] | None = None) -> DataFrame:
     """A16, one month at a time: per cell the sum and count of valid quality and the count of valid
-    reflectivity. Quality outside [0, 1] is not valid and is counted apart by the class totals."""
+    reflectivity. Quality outside [0, 1] is not valid and is counted apart by the class totals. ``also`` are further
+    aggregates of the same rows."""
     rows = _radar_valid(pixels, quality_product)
     quality = F.col("product") == quality_product
     return rows.groupBy("month", "cell").agg(
         F.coalesce(F.sum(F.when(quality & F.col("_valid"), F.col("raw"))), F.lit(0.0)).alias("rqi_sum"),
-        F.count_if(quality & F.col("_valid")).alias("rqi_count"), F.count_if(~quality & F.col("_valid")).alias("reflectivity_count"))
+        F.count_if(quality & F.col("_valid")).alias("rqi_count"), F.count_if(~quality & F.col("_valid")).alias("reflectivity_count"), *(also or []))
 
 
 def _radar_valid(pixels: DataFrame, quality_product: str) -> DataFrame:
@@ -111,9 +112,9 @@ def radar_class_totals(pixels: DataFrame, quality_product: str = "RadarQualityIn
         F.count_if(F.col("_valid") & (F.col("raw") == 0)).alias("valid_zero"), F.count_if(F.col("_valid") & (F.col("raw") < 0)).alias("valid_negative"))
 
 
-def merge_months(months: DataFrame) -> DataFrame:
-    """Whole-period cell sums from monthly ones."""
-    return months.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("rqi_sum", "rqi_count", "reflectivity_count")])
+def merge_months(months: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Whole-period cell sums from monthly ones, or those of months from their parts."""
+    return months.groupBy(*(keys or ["cell"])).agg(*[F.sum(c).alias(c) for c in ("rqi_sum", "rqi_count", "reflectivity_count")])
 
 
 def radar_year_cells(cells: DataFrame, reflectivity_reads: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ def t04(spark, folder):
     for part in ("scan >= '2024-01-12'", "scan < '2024-01-20'"):
         rows.filter(part).write.mode("append").parquet(f"{root}/in")
         stream = ig.newer_listings(ig.read_folder(spark, f"{root}/in", rows.schema, "parquet"), ["variable", "band", "scan"])
-        ig.drain(stream, f"{root}/checkpoint", ig.folder_writer(f"{root}/archive"))
+        ig.drain(stream, f"{root}/checkpoint", ig.folder_writer(f"{root}/archive"), mode="update")
     return ig.current_listing(spark, f"{root}/archive", ["variable", "band", "scan"]).select("variable", "band", "scan", "key")
 
 
@@ -163,10 +163,13 @@ def t06(spark, folder):
     return rt.stale_runs(beats, 1706659200.0)
 
 
-@query("t07_month_state", f"""
+_T07 = f"""
 WITH {RADAR}, {_YEAR}
 SELECT cell::BIGINT AS cell, round(coalesce(sum(raw) FILTER (q AND ok), 0), 6) AS rqi_sum, count(*) FILTER (q AND ok) AS rqi_count, count(*) FILTER (NOT q AND ok) AS reflectivity_count
-FROM u WHERE month < '2001-12' GROUP BY cell""")
+FROM u WHERE month < '2001-12' GROUP BY cell"""
+
+
+@query("t07_month_state", _T07)
 def t07(spark, folder):
     """Years arrive one after the other; the last month is still open and stays out."""
     root = new_folder(spark, "months")
@@ -177,3 +180,22 @@ def t07(spark, folder):
         ig.drain(ig.read_folder(spark, f"{root}/in", rows.schema, "parquet"), f"{root}/checkpoint", ig.month_writer(f"{root}/state"))
     out = ig.year_cells(spark, f"{root}/state")
     return out.withColumn("rqi_sum", F.round("rqi_sum", 6))
+
+
+@query("t07_months_in_parts", _T07)
+def t07p(spark, folder):
+    """Every month comes in three batches, by rows of cells; the marks that close the months come with the last one. Every
+    batch is run twice."""
+    root = new_folder(spark, "months")
+    rows = radar_pixels(spark, folder).withColumn("month", F.date_format("time", "yyyy-MM"))
+    rows = rows.select("product", "raw", "bitmap", "month", "y", (F.col("y") * 32 + F.col("x")).cast("long").alias("cell"), F.lit(False).alias("month_complete"))
+    marks = rows.filter("month < '2001-12'").groupBy("month").agg(F.max("product").alias("product")).select(
+        "product", F.lit(None).cast(rows.schema["raw"].dataType).alias("raw"), F.lit(0).cast(rows.schema["bitmap"].dataType).alias("bitmap"), "month",
+        F.lit(None).cast("long").alias("cell"), F.lit(True).alias("month_complete"))
+    write = ig.month_writer(f"{root}/state")
+    for third in range(3):
+        part = rows.filter(F.pmod("y", F.lit(3)) == third).drop("y")
+        part = part.unionByName(marks) if third == 2 else part
+        part.write.mode("append").parquet(f"{root}/in")
+        ig.drain(ig.read_folder(spark, f"{root}/in", part.schema, "parquet"), f"{root}/checkpoint", lambda df, i: (write(df, i), write(df, i)))
+    return ig.year_cells(spark, f"{root}/state").withColumn("rqi_sum", F.round("rqi_sum", 6))

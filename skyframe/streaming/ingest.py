@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from skyframe.functions.checks import guard
 from skyframe.functions.identity import fingerprint
@@ -59,39 +57,21 @@ def materialise(stream: DataFrame, target: str, checkpoint: str, columns: list[s
     drain(stream, checkpoint, batch_writer(target, columns, partitions))
 
 
-class ListingProcessor(StatefulProcessor):
-    """Of the listed processings of one scan the newest, if it is newer than any before. State is one value per scan,
-    so neither the archive nor earlier batches are read; a batch that is run again starts from the state before it."""
-
-    def __init__(self, key: str, version: str):
-        self.key, self.version = key, version
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getValueState("newest", "version string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = self.newest.get()[0] if self.newest.exists() else None
-        best = None
-        for chunk in rows:
-            chunk = chunk[chunk[self.version].notna()]
-            if len(chunk):
-                top = chunk.sort_values([self.version, self.key], kind="stable").iloc[-1:]
-                if best is None or top[self.version].iloc[0] > best[self.version].iloc[0]:
-                    best = top
-        if best is not None and (known is None or best[self.version].iloc[0] > known):
-            self.newest.update((best[self.version].iloc[0],))
-            yield best
-
-    def close(self) -> None:
-        pass
-
-
 def newer_listings(stream: DataFrame, scan_keys: list[str], key: str = "asset_id", version: str = "key") -> DataFrame:
-    """Listed objects that are the newest processing of their scan so far. An object that is listed again, or an
-    older processing, adds nothing, whenever it comes: an old scan may be listed late."""
+    """Listed objects that are the newest processing of their scan so far; drain it in update mode.
+
+    State is one row per scan: its newest version and when that first came. A scan whose newest version came with this
+    batch is given out; an object that is listed again, or an older processing, adds nothing, whenever it comes. Neither
+    the archive nor earlier batches are read, and a batch that is run again has its first run's time and state.
+    """
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    return stream.groupBy(*scan_keys).transformWithStateInPandas(
-        statefulProcessor=ListingProcessor(key, version), outputStructType=stream.schema, outputMode="Append", timeMode="None")
+    arrival = F.unix_micros(F.current_timestamp())  # one instant a batch
+    rows = stream.filter(F.col(version).isNotNull()).withColumn("_arrival", arrival)
+    told = F.struct("_arrival", *[F.col(c) for c in stream.columns if c not in scan_keys])
+    first_told = F.struct(F.col(version), -F.col("_arrival"), F.col(key))
+    newest = rows.groupBy(*scan_keys).agg(F.max_by(told, first_told).alias("_newest"))
+    fresh = newest.filter(F.col("_newest._arrival") == arrival)
+    return fresh.select(*[F.col(c) if c in scan_keys else F.col(f"_newest.{c}").alias(c) for c in stream.columns])
 
 
 def folder_writer(target: str) -> Callable[[DataFrame, int], None]:
@@ -114,21 +94,42 @@ def published_by(forecasts: DataFrame, available: str, cutoff: str) -> DataFrame
     return forecasts.filter(F.col(available) <= F.col(cutoff))
 
 
+CELL_SUMS = "cell bigint, rqi_sum double, rqi_count bigint, reflectivity_count bigint"
+
+
+def _batches(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    return spark.read.schema(f"{schema}, month string, batch int").option("basePath", folder).parquet(f"{folder}/batch=*")
+
+
 def month_writer(target: str) -> Callable[[DataFrame, int], None]:
-    """Monthly cell sums of complete months; a month belongs to the batch that brought it."""
+    """Cell sums of months that come in parts. Every batch adds its sums to the parts of the months still open; a
+    month is summed up and enters the state with the batch that brings a row marked ``month_complete``.
+
+    A marked row without a cell closes its month and adds nothing else. A batch that is run again replaces what it wrote
+    before and reads no later parts. Parts lie in folders by month, so that only those of closing months are read.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        complete = batch.filter("month_complete")
-        radar_month_cells(complete.drop("month_complete")).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        sums = radar_month_cells(batch, also=[F.bool_or("month_complete").alias("closing")])
+        parts = sums.withColumn("cell", F.col("cell").cast("long"))
+        # A month of many cells is split, small months share a task.
+        parts.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(f"{target}/parts/batch={batch_id}")
+        held = _batches(batch.sparkSession, f"{target}/parts", f"{CELL_SUMS}, closing boolean").filter(F.col("batch") <= batch_id)
+        closed = held.filter((F.col("batch") == batch_id) & F.col("closing")).select("month").distinct()
+        whole = merge_months(held.filter("cell is not null").join(closed, "month", "left_semi"), ["month", "cell"])
+        whole.write.mode("overwrite").parquet(f"{target}/months/batch={batch_id}")
 
     return write
 
 
 def year_cells(spark: SparkSession, target: str) -> DataFrame:
-    """Cell sums over the months that have entered the state; a month in two batches fails."""
-    rows = spark.read.option("basePath", target).parquet(f"{target}/batch=*")
-    owners = rows.groupBy("month").agg(F.count_distinct("batch").alias("_n"))
-    sound = guard(owners, F.col("_n") == 1, "A month entered the state twice").select("month")
+    """Cell sums over the months that have entered the state; a month that is closed twice, or has rows after it
+    was closed, fails."""
+    rows = _batches(spark, f"{target}/months", CELL_SUMS)
+    parts = _batches(spark, f"{target}/parts", f"{CELL_SUMS}, closing boolean").groupBy("month").agg(F.max("batch").alias("_latest"))
+    owners = rows.groupBy("month").agg(F.min("batch").alias("_first"), F.max("batch").alias("_last")).join(parts, "month")
+    once = (F.col("_first") == F.col("_last")) & (F.col("_latest") <= F.col("_first"))
+    sound = guard(owners, once, "A month entered the state twice").select("month")
     return merge_months(rows.join(sound, "month", "left_semi"))
 
 

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+from pandas.api.types import union_categoricals
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from skyframe.operators.sequences import with_previous
+from skyframe.operators.sequences import with_neighbours, with_previous
 from skyframe.session import STATE_STORE
 
 SNAPSHOT = "scope string, task_id string, run_id string, status string, read_bytes bigint, started_at double, snapshot_at double"
@@ -29,6 +31,57 @@ STALE_SECONDS = 120
 DAY_MS = 86_400_000
 
 
+OUT_ROWS = 100_000
+
+
+def _in_order(chunks, texts: list[str]) -> pd.DataFrame:
+    """A task's snapshots of one batch in time order, texts as codes of the few values they take (some 40 bytes a row).
+    A snapshot without a time or a counter says nothing."""
+    columns = {c: [] for c in [*texts, "read_bytes", "snapshot_at", "started_at"]}
+    for chunk in chunks:
+        chunk = chunk[chunk["snapshot_at"].notna() & chunk["read_bytes"].notna() & ~chunk["status"].isin(SILENT)]
+        for name, held in columns.items():
+            held.append(pd.Categorical(chunk[name]) if name in texts else chunk[name].astype("int64" if name == "read_bytes" else "float64").to_numpy())
+    joined = {c: union_categoricals(held) if c in texts else np.concatenate(held) for c, held in columns.items()}
+    return pd.DataFrame(joined).sort_values("snapshot_at", kind="stable", ignore_index=True)
+
+
+def watch_windows(rows: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple | None]:
+    """Elapsed time and rate of every snapshot in order, and the window's state after the last.
+
+    State: run, first time, first counter, last counter, last time, ended. Before there is a window, completions say nothing.
+    While a window is ended its last counter stands still, and a smaller one than the least since then opens a new window.
+    """
+    if state is None:
+        rows = rows[np.maximum.accumulate((rows["status"] != "complete").to_numpy(dtype=bool))]
+    if rows.empty:
+        return rows.assign(elapsed_seconds=[], average_mbps=[]), state
+    runs = [str(c) for c in rows["run_id"].cat.categories]
+    run, at, count = rows["run_id"].cat.codes.to_numpy(), rows["snapshot_at"].to_numpy(), rows["read_bytes"].to_numpy()
+    ended = rows["status"].isin(ENDED).to_numpy()
+    carried = state is not None
+    if carried:  # the window so far goes ahead as one row
+        own = runs.index(state[0]) if state[0] in runs else (-1 if state[0] is None else len(runs))
+        run, at, count, ended = np.r_[own, run], np.r_[state[4], at], np.r_[state[3], count], np.r_[bool(state[5]), ended]
+    same, both = run[1:] == run[:-1], ended[1:] & ended[:-1]
+    stretch = np.cumsum(np.r_[True, ~(same & both)])
+    least = pd.Series(count).groupby(stretch).cummin().to_numpy()
+    fresh = np.r_[not carried, ~same | (count[1:] < least[:-1]) | (ended[:-1] & ~ended[1:])]
+    place = np.arange(len(run))
+    frozen = np.r_[False, both] & ~fresh
+    begin, now = np.maximum.accumulate(np.where(fresh, place, 0)), np.maximum.accumulate(np.where(frozen, 0, place))
+    first_at, first_count = at.copy(), count.copy()
+    if carried:
+        first_at[0], first_count[0] = state[1], state[2]
+    elapsed = np.maximum(0.0, at[now] - first_at[begin])
+    rate = np.full(len(run), np.nan)
+    np.divide((count[now] - first_count[begin]) * 8, elapsed, out=rate, where=elapsed > 0)
+    left = int(carried)
+    out = rows.assign(elapsed_seconds=elapsed[left:], average_mbps=rate[left:] / 1e6)
+    name = rows["run_id"].iloc[-1]
+    return out, (None if pd.isna(name) else name, float(first_at[begin[-1]]), int(first_count[begin[-1]]), int(count[now[-1]]), float(at[now[-1]]), bool(ended[-1]))
+
+
 class WatchProcessor(StatefulProcessor):
     """One watch window per task. A new run, a smaller counter or a resumed task starts a new window;
     an ended task is frozen; a queued one shows nothing. State is one row per task."""
@@ -41,29 +94,30 @@ class WatchProcessor(StatefulProcessor):
         self.window = handle.getValueState("window", schema, self.expire_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("snapshot_at", kind="stable")
-        state = self.window.get() if self.window.exists() else None
-        out = []
-        for row in batch.itertuples(index=False):
-            if row.status in SILENT or pd.isna(row.read_bytes) or (row.status == "complete" and state is None):
-                continue
-            resumed = state is not None and state[5] and row.status not in ENDED
-            if state is None or state[0] != row.run_id or row.read_bytes < state[3] or resumed:
-                state = (row.run_id, row.snapshot_at, int(row.read_bytes), int(row.read_bytes), row.snapshot_at, False)
-            if not state[5]:
-                state = (*state[:3], int(row.read_bytes), row.snapshot_at, row.status in ENDED)
-            elapsed = max(0.0, state[4] - state[1])
-            rate = (state[3] - state[2]) * 8 / elapsed / 1e6 if elapsed > 0 else None
-            out.append((key[0], row.run_id, row.status, row.snapshot_at, elapsed, rate))
+        batch = _in_order(rows, ["run_id", "status"])
+        out, state = watch_windows(batch, self.window.get() if self.window.exists() else None)
         if state is not None:
             self.window.update(state)
-        if out:
-            yield pd.DataFrame(out, columns=["task_id", "run_id", "status", "snapshot_at", "elapsed_seconds", "average_mbps"])
+        for start in range(0, len(out), OUT_ROWS):
+            part = out.iloc[start:start + OUT_ROWS].astype({"run_id": object, "status": object})
+            yield part.assign(task_id=key[0])[["task_id", "run_id", "status", "snapshot_at", "elapsed_seconds", "average_mbps"]]
 
     def close(self) -> None:
         pass
 
 
+def counter_changes(rows: pd.DataFrame, before: tuple | None) -> pd.DataFrame:
+    """The steps between a task's snapshots in order; a repeated or stale one adds nothing."""
+    at = rows["snapshot_at"].to_numpy()
+    new = np.r_[True, at[1:] > at[:-1]][:len(at)] & (at > (before[0] if before else -np.inf))
+    kept = rows[new]
+    previous = kept[["snapshot_at", "read_bytes"]].shift()
+    if before and len(kept):
+        previous.iloc[0] = before
+    change = kept["read_bytes"] - previous["read_bytes"].astype("Int64")
+    return kept.rename(columns={"read_bytes": "bytes"}).assign(prev_at=previous["snapshot_at"], change=change)
+
+
 class StepProcessor(StatefulProcessor):
     """T02, first stage: the step of every task's counter since its own previous snapshot in the run."""
 
@@ -74,20 +128,13 @@ class StepProcessor(StatefulProcessor):
         self.previous = handle.getValueState("previous", "snapshot_at double, bytes bigint", self.expire_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("snapshot_at", kind="stable")
         before = self.previous.get() if self.previous.exists() else None
-        out = []
-        for row in batch.itertuples(index=False):
-            if before is not None and row.snapshot_at <= before[0]:
-                continue  # a repeated or stale snapshot adds nothing
-            out.append((key[0], key[1], row.snapshot_at, before[0] if before else None, int(row.read_bytes),
-                        int(row.read_bytes) - before[1] if before else None, row.started_at))
-            before = (row.snapshot_at, int(row.read_bytes))
-        if before is not None:
-            self.previous.update(before)
-        if out:
-            frame = pd.DataFrame(out, columns=["scope", "run_id", "snapshot_at", "prev_at", "bytes", "change", "started_at"])
-            yield frame.astype({"change": "Int64"})
+        out = counter_changes(_in_order(rows, []), before)
+        if len(out):
+            self.previous.update((float(out["snapshot_at"].iloc[-1]), int(out["bytes"].iloc[-1])))
+        for start in range(0, len(out), OUT_ROWS):
+            part = out.iloc[start:start + OUT_ROWS].assign(scope=key[0], run_id=key[1])
+            yield part[["scope", "run_id", "snapshot_at", "prev_at", "bytes", "change", "started_at"]]
 
     def close(self) -> None:
         pass
@@ -115,14 +162,16 @@ def _stateful(grouped, snapshots, processor, schema, mode, expire_days):
 
 
 def watch_rates_batch(snapshots: DataFrame) -> DataFrame:
-    """T01 over a finished table whose tasks end with their last snapshot."""
+    """T01 over a finished table whose tasks end with their last snapshot. As in the stream, completions before anything
+    else was seen of a task say nothing."""
     rows = snapshots.filter(~F.col("status").isin(*SILENT) & F.col("read_bytes").isNotNull())
-    rows = with_previous(rows, ["task_id"], ["snapshot_at"], ["run_id", "read_bytes", "status"])
+    seen = rows.filter("status <> 'complete'").groupBy("task_id").agg(F.min("snapshot_at").alias("_seen"))
+    rows = rows.join(seen, "task_id").filter((F.col("snapshot_at") > F.col("_seen")) | ((F.col("snapshot_at") == F.col("_seen")) & (F.col("status") != "complete")))
+    rows = with_previous(rows.drop("_seen"), ["task_id"], ["snapshot_at"], ["run_id", "read_bytes", "status"])
     fresh = (F.col("prev_run_id").isNull() | (F.col("prev_run_id") != F.col("run_id")) | (F.col("read_bytes") < F.col("prev_read_bytes"))
              | F.col("prev_status").isin(*ENDED))
-    order = Window.partitionBy("task_id").orderBy("snapshot_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start = F.last(F.when(fresh, F.struct(F.col("snapshot_at").alias("at"), F.col("read_bytes").alias("base"))), ignorenulls=True)
-    rows = rows.withColumn("_start", start.over(order))
+    rows = rows.withColumn("_opens", F.when(fresh, F.struct(F.col("snapshot_at").alias("at"), F.col("read_bytes").alias("base"))))
+    rows = with_neighbours(rows, ["task_id"], ["snapshot_at"], "_opens", last="_start")
     elapsed = F.col("snapshot_at") - F.col("_start.at")
     rate = F.when(elapsed > 0, (F.col("read_bytes") - F.col("_start.base")) * 8 / elapsed / 1e6)
     return rows.select("task_id", "run_id", "status", "snapshot_at", elapsed.alias("elapsed_seconds"), rate.alias("average_mbps"))

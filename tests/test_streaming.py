@@ -1,3 +1,7 @@
+import random
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,7 +102,85 @@ def test_listings_survive_retries_and_late_scans(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         stream = ig.newer_listings(ig.read_folder(spark, f"{tmp_path}/in", schema, "parquet"), ["scan"])
         write = ig.folder_writer(f"{tmp_path}/archive")
-        ig.drain(stream, f"{tmp_path}/checkpoint", lambda df, n: (write(df, n), write(df, n)))
+        ig.drain(stream, f"{tmp_path}/checkpoint", lambda df, n: (write(df, n), write(df, n)), mode="update")
     held = spark.read.parquet(f"{tmp_path}/archive")
     assert sorted(r.asset_id for r in held.collect()) == ["a", "c", "d", "e"]
     assert {r.scan: r.key for r in ig.current_listing(spark, f"{tmp_path}/archive", ["scan"]).collect()} == {"2024-01-01": "k0", "2024-03-01": "k3"}  # a scan without a time has no newest
+
+
+def _watch_loop(rows, state):
+    """Plain rule, one snapshot after the other."""
+    out = []
+    for run, status, count, at in rows:
+        if state is None and status == "complete":
+            continue
+        if state is None or state[0] != run or count < state[3] or (state[5] and status not in rt.ENDED):
+            state = (run, at, count, count, at, False)
+        if not state[5]:
+            state = (*state[:3], count, at, status in rt.ENDED)
+        elapsed = max(0.0, state[4] - state[1])
+        out.append((at, elapsed, (state[3] - state[2]) * 8 / elapsed / 1e6 if elapsed > 0 else None))
+    return out, state
+
+
+def test_watch_windows_follow_the_plain_rule():
+    chance = random.Random(5)
+    for _ in range(400):
+        known = wanted = None
+        for _ in range(3):
+            at, rows = chance.randint(0, 3), []
+            for _ in range(chance.randint(0, 9)):
+                at += chance.randint(1, 5)
+                rows.append((chance.choice("rs"), chance.choice(["fetching", "complete", "paused", "running"]), chance.randint(0, 6), float(at)))
+            want, wanted = _watch_loop(rows, wanted)
+            frame = pd.DataFrame(rows, columns=["run_id", "status", "read_bytes", "snapshot_at"]).astype(
+                {"run_id": "category", "status": "category", "read_bytes": "int64", "snapshot_at": "float64"})
+            got, known = rt.watch_windows(frame, known)
+            assert known == wanted
+            shown = [(a, e, None if pd.isna(r) else r) for a, e, r in got[["snapshot_at", "elapsed_seconds", "average_mbps"]].itertuples(index=False)]
+            assert shown == [(a, e, pytest.approx(r) if r is not None else None) for a, e, r in want]
+
+
+def test_many_snapshots_of_one_task_stay_small():
+    """The arrays of a batch, not a Python object for every snapshot."""
+    n = 2_000_000
+    chunks = (pd.DataFrame({"run_id": "r", "status": "fetching", "read_bytes": np.arange(i, i + 100_000), "snapshot_at": np.arange(i, i + 100_000, dtype="float64"), "started_at": 0.0})
+              for i in range(0, n, 100_000))
+    rows = rt._in_order(chunks, ["run_id", "status"])
+    assert rows.memory_usage(deep=True).sum() < 40 * n
+    out, state = rt.watch_windows(rows, None)
+    assert state == ("r", 0.0, 0, n - 1, float(n - 1), False) and len(out) == n
+    assert rt.counter_changes(rows, (-1.0, -5))["change"].iloc[0] == 5
+
+
+def test_batch_and_stream_agree_on_a_task_first_seen_complete(spark, tmp_path):
+    rows = [("all", "a", "r", "complete", 5 * MB, None, 0.0), ("all", "a", "r", "fetching", 6 * MB, None, 10.0), ("all", "a", "r", "complete", 7 * MB, None, 20.0), ("all", "b", "r", "complete", 7, None, 20.0)]
+    streamed = _watch(spark, tmp_path, rows)
+    batch = {(r.task_id, r.snapshot_at): (r.elapsed_seconds, r.average_mbps) for r in rt.watch_rates_batch(_snapshots(spark, rows)).collect()}
+    assert streamed == batch == {("a", 10.0): (0.0, None), ("a", 20.0): (10.0, 0.8)}
+
+
+def test_a_month_in_three_batches_with_a_rerun(spark, tmp_path):
+    schema = "product string, raw double, bitmap int, month string, cell long, month_complete boolean"
+    quality = "RadarQualityIndex_00.00"
+    batches = [[(quality, 0.5, 1, "2022-01", 1, False), (quality, 0.25, 1, "2022-02", 1, False)], [(quality, 0.75, 1, "2022-01", 1, False)],
+               [(quality, 1.0, 1, "2022-01", 2, False), (quality, None, 0, "2022-01", None, True)]]
+    write = ig.month_writer(f"{tmp_path}/state")
+    for i, rows in enumerate(batches):
+        write(spark.createDataFrame(rows, schema), i)
+        if i < 2:
+            assert ig.year_cells(spark, f"{tmp_path}/state").collect() == []
+    for i in (1, 2):
+        write(spark.createDataFrame(batches[i], schema), i)  # both run again
+    want = [(1, 1.25, 2), (2, 1.0, 1)]
+    assert sorted((r.cell, r.rqi_sum, r.rqi_count) for r in ig.year_cells(spark, f"{tmp_path}/state").collect()) == want
+    write(spark.createDataFrame(batches[1], schema), 3)  # rows of a month that is closed
+    with pytest.raises(Exception, match="twice"):
+        ig.year_cells(spark, f"{tmp_path}/state").collect()
+
+
+def test_listings_need_no_python_worker(spark, tmp_path):
+    spark.createDataFrame([("a", "s", "k")], "asset_id string, scan string, key string").write.parquet(f"{tmp_path}/in")
+    stream = ig.newer_listings(ig.read_folder(spark, f"{tmp_path}/in", "asset_id string, scan string, key string", "parquet"), ["scan"])
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan and "max_by" in plan
