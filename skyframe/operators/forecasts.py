@@ -165,15 +165,21 @@ def paired_cycles(rows: DataFrame, members: DataFrame) -> DataFrame:
 
 def same_cycle_pairs(listing: DataFrame, records: DataFrame, specs: DataFrame) -> DataFrame:
     """Per hour and field the newest cycle whose files for the hour and the next both hold exactly one
-    record and were both published by the hour."""
-    files = listing.filter(F.col("index_size").isNotNull() & F.col("lead").between(0, LONGEST_LEAD))
-    unique = unique_fields(records.join(files.select("key", "lead"), "key"), specs, ["key"])
-    rows = files.select("cycle", "lead", "key", "modified").join(unique.select("key", "name"), "key")
-    first = rows.select("cycle", "lead", "name", F.col("key").alias("key_first"), F.col("modified").alias("_m1"))
-    second = rows.select("cycle", (F.col("lead") - 1).alias("lead"), "name", F.col("key").alias("key_second"), F.col("modified").alias("_m2"))
-    both = first.join(second, ["cycle", "lead", "name"]).withColumn("hour", valid_time())
-    both = both.filter((F.col("_m1") <= F.col("hour")) & (F.col("_m2") <= F.col("hour")))
-    best = both.groupBy("hour", "name").agg(F.max_by(F.struct("cycle", "lead", "key_first", "key_second"), "cycle").alias("b"))
+    record and were both published by the hour.
+
+    Records that carry their file's cycle, lead and publication need no listing; they stay partitioned by file from the
+    index to the unique fields, and one window over a cycle's leads (at most sixty) puts neighbours together.
+    """
+    file = ["key", "cycle", "lead", "modified"]
+    if not set(file) <= set(records.columns):
+        records = records.join(listing.filter(F.col("index_size").isNotNull()).select(*file), "key")
+    usable = records.filter(F.col("lead").between(0, LONGEST_LEAD) & F.col("modified").isNotNull())
+    rows = unique_fields(usable, specs, file)
+    following = Window.partitionBy("cycle", "name").orderBy("lead").rangeBetween(1, 1)
+    rows = rows.withColumn("_next", F.min(F.struct("modified", "key")).over(following)).withColumn("hour", valid_time())
+    both = rows.filter((F.col("modified") <= F.col("hour")) & (F.col("_next.modified") <= F.col("hour")))
+    best = both.groupBy("hour", "name").agg(
+        F.max_by(F.struct("cycle", "lead", F.col("key").alias("key_first"), F.col("_next.key").alias("key_second")), "cycle").alias("b"))
     return best.select("hour", "name", "b.*")
 
 

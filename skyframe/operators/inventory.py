@@ -66,7 +66,7 @@ def inventory_totals(archives: DataFrame, assets: DataFrame) -> DataFrame:
 
 def coverage_facts(assets: DataFrame, key: str = "path", gap_seconds: int = 900) -> DataFrame:
     """Per archive observations, duplicate times, ends, long gaps, nonpositive scans."""
-    rows = assets.withColumn("_us", micros("time"))
+    rows = assets.select(key, "time", "end_time", "asset_id", micros("time").alias("_us"))
     rows = with_previous(rows, [key], ["_us", "asset_id"], ["_us"], prefix="_prev")
     gap = F.col("_us") - F.col("_prev_us") > gap_seconds * SECOND
     return rows.groupBy(key).agg(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyframe.functions.labels import series_label
@@ -228,8 +231,34 @@ def temporal_blocks(slots: DataFrame, origin_us: int, width: int, halo: int = 5,
         *slots.columns, "_b.block", "_b.is_halo")
 
 
-# Lists that a run summary replaces by their lengths.
+# Lists that a run summary replaces by their lengths, and all fields that it leaves out.
 COUNTED = ["records", "assets", "features", "missing_times"]
+OMITTED = {"records", "assets", "features", "hourly_matches", "expected_times", "shifted_matches", "missing_times", "source_metadata_json", "asset_ids"}
+
+
+def _without_inventories(pairs):
+    """One parsed JSON object; the objects inside it have come through here before."""
+    fields = dict(pairs)
+    counts = {f"{name}_count": len(fields[name]) for name in COUNTED if isinstance(fields.get(name), list)}
+    return {name: value for name, value in fields.items() if name not in OMITTED} | counts
+
+
+def compact_tree(payload: Column | str) -> Column:
+    """C11 for documents of any shape and depth: at every level the omitted fields go and counted lists leave their
+    length; all other fields stay as they are. NULL and text that is not JSON give NULL. No fixed schema can say this, so
+    it is one pass of the JSON parser over Arrow batches."""
+
+    @F.pandas_udf("string")
+    def shorten(texts: pd.Series) -> pd.Series:
+        def one(text):
+            try:
+                return None if text is None else json.dumps(json.loads(text, object_pairs_hook=_without_inventories), separators=(",", ":"), ensure_ascii=False)
+            except (ValueError, RecursionError):
+                return None
+
+        return texts.map(one)
+
+    return shorten(payload)
 
 
 def compact_payload(payload: str, kept: str, nested: str | None = None):

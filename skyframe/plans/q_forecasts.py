@@ -11,7 +11,7 @@ from skyframe.operators import forecasts as fc
 from skyframe.plans.q_alignment import ALIGNED, aligned
 from skyframe.plans.registry import query
 from skyframe.plans.standins import (
-    END, LISTING, OBSERVATIONS, RECORDS, START, STORMS, forecast_listing, index_records, observations, storm_events)
+    END, LISTING, OBSERVATIONS, RECORDS, START, STORMS, forecast_listing, index_lines, index_records, observations, storm_events)
 from skyframe.sources import forecast_index as fi
 
 SPECS = "specs(name, code, want_level, statistic) AS (VALUES " + ", ".join(str(s) for s in [*fi.CORE, *fi.UPPER]) + ")"
@@ -167,7 +167,8 @@ p AS (SELECT a.cycle + to_hours(a.lead) AS hour, a.name, a.cycle, a.lead, a.key
   WHERE a.modified <= a.cycle + to_hours(a.lead) AND b.modified <= a.cycle + to_hours(a.lead))
 SELECT hour, name, cycle, lead, key_first, key_second FROM p QUALIFY row_number() OVER (PARTITION BY hour, name ORDER BY cycle DESC) = 1""")
 def j12(spark, folder):
-    return fc.same_cycle_pairs(forecast_listing(spark, folder), index_records(spark, folder), fi.spec_table(spark, fi.CORE))
+    records = fi.parse_byte_index(index_lines(spark, folder), carry=["cycle", "lead", "modified"])
+    return fc.same_cycle_pairs(forecast_listing(spark, folder), records, fi.spec_table(spark, fi.CORE))
 
 
 @query("j13_byte_ranges", f"""{_J10}

@@ -485,6 +485,28 @@ def u01a(spark, folder):
     return mg.merge_archives([first, second]).select("path", "marker", "sha256")
 
 
+@query("u01_merge_benchmarks", f"""
+WITH {ARCHIVES} SELECT path AS case_id, product, observations::BIGINT AS observations, stored_bytes::BIGINT AS stored_bytes FROM archives""")
+def u01b(spark, folder):
+    """Three snapshots that overlap: a case told again is the same case; a differing one would fail."""
+    cases = archives(spark, folder).select(
+        F.col("path").alias("case_id"), "product", F.col("observations").cast("long").alias("observations"), F.col("stored_bytes").cast("long").alias("stored_bytes"))
+    odd = F.col("observations") % 2 == 1
+    return mg.merge_benchmarks([cases.filter(odd), cases, cases.filter(~odd)])
+
+
+@query("u01_merge_receipts", f"""
+WITH {ARCHIVES} SELECT path AS key, archive_sha256 AS sha256, CASE WHEN source = 'radar' THEN NULL ELSE stored_bytes::BIGINT END AS stored_bytes FROM archives""")
+def u01r(spark, folder):
+    """Receipts without a size, later told again with one or the other fact missing: the last input wins."""
+    base = archives(spark, folder).select(F.col("path").alias("key"), "source", F.col("archive_sha256").alias("sha256"), F.col("stored_bytes").cast("long").alias("stored_bytes"))
+    unknown = F.lit(None)
+    first = base.withColumn("sha256", unknown.cast("string"))
+    second = base.filter("source = 'radar'").withColumn("stored_bytes", unknown.cast("long"))
+    third = base.filter("source <> 'radar'")
+    return mg.merge_archives([first, second, third], key="key").select("key", "sha256", "stored_bytes")
+
+
 @query("u01_merge_jobs", f"""
 WITH {ARCHIVES},
 j AS (SELECT DISTINCT 'run-' || (archive_key % 200) AS run_id, archive_key % 200 AS k FROM archives),

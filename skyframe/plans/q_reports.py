@@ -309,3 +309,25 @@ def c11(spark, folder):
     doc = F.to_json(F.struct(F.col("o_orderstatus").alias("status"), fill(F.col("o_custkey") % 4).alias("assets"), F.array(month).alias("months")))
     rows = o.select("o_orderkey", doc.alias("payload"))
     return rows.select("o_orderkey", rp.compact_payload("payload", "status:string", "months").alias("summary"))
+
+
+_LEAVES = '"hourly_matches":[1],"expected_times":[],"shifted_matches":{"a":[2]},"source_metadata_json":"{}","asset_ids":["x"]'
+
+
+@query("c11_compact_tree", """
+WITH d AS (SELECT o_orderkey, '"note":"' || o_orderstatus || ' \u00e9","shares":[1,2.5,null,true]' AS own, o_custkey % 4 AS a, o_custkey % 3 AS r FROM orders),
+t AS (SELECT o_orderkey, 1 AS depth, '{' || own || ',"assets_count":' || a || '}' AS summary, own, a, r FROM d),
+u AS (SELECT *, '{' || own || ',"results":[' || summary || ',7],"records_count":' || r || '}' AS s2 FROM t),
+v AS (SELECT *, '{' || own || ',"results":[' || s2 || ',7],"features_count":' || a || '}' AS s3 FROM u),
+w AS (SELECT *, '{' || own || ',"results":[' || s3 || ',7],"missing_times_count":' || r || '}' AS s4 FROM v)
+SELECT o_orderkey, '{' || own || ',"results":[' || s4 || ',7],"records_count":' || a || '}' AS summary FROM w""")
+def c11t(spark, folder):
+    """Summaries five levels deep, with every omitted field at every level, under names no schema knows."""
+    o = table(spark, folder, "orders")
+    own = F.concat(F.lit('"note":"'), F.col("o_orderstatus"), F.lit(' \u00e9","shares":[1,2.5,null,true]'))
+    doc = None
+    for counted, size in (("assets", 4), ("records", 3), ("features", 4), ("missing_times", 3), ("records", 4)):
+        items = F.array_join(F.array_repeat(F.lit('{"id":[1]}'), (F.col("o_custkey") % size).cast("int")), ",")
+        inner = F.concat(F.lit(',"results":['), doc, F.lit(",7]")) if doc is not None else F.lit("")
+        doc = F.concat(F.lit("{"), own, F.lit(f',{_LEAVES},"{counted}":['), items, F.lit("]"), inner, F.lit("}"))
+    return o.select("o_orderkey", rp.compact_tree(doc).alias("summary"))

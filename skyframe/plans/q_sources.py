@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyframe.functions import times as tm
 from skyframe.functions.identity import content_id
 from skyframe.operators import alignment as al
+from skyframe.plans.q_alignment import ALIGNED
 from skyframe.plans.registry import query, table
 from skyframe.plans.standins import ARCHIVES, ASSETS, END, OBSERVATIONS, START, archives, assets, observations
 from skyframe.session import new_folder
@@ -178,6 +182,21 @@ def s13(spark, folder):
     return wr.write_index({"observations": obs, "windows": windows}, new_folder(spark, "index"), "study")
 
 
+@query("s13_index_tables", f"""
+WITH {ARCHIVES}, {OBSERVATIONS}, {ALIGNED}
+SELECT 'archives' AS "table", count(*) AS rows FROM archives UNION ALL SELECT 'observations', count(*) FROM observations
+UNION ALL SELECT 'aligned', count(*) FROM aligned UNION ALL SELECT 'windows', 4464""")
+def s13t(spark, folder):
+    """All four tables, first of a shorter study and then in full; what a reader finds is the full one."""
+    root, obs = new_folder(spark, "index"), observations(spark, folder)
+    for end in ("2024-01-03T00:00:00", END):
+        lined = al.causal_align(obs, START, end)
+        wr.write_index({"archives": archives(spark, folder), "observations": obs, "aligned": lined, "windows": al.window_index(lined, START, end, 5)}, root, "study")
+    found = [wr.read_index(spark, root, "study", name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+             for name in ("archives", "observations", "aligned", "windows")]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("s14_archive_write", f"""
 WITH {ARCHIVES}, {ASSETS}
 SELECT source, product, strftime(time, '%Y-%m') AS month, count(*) AS rows, sum(source_bytes)::BIGINT AS bytes FROM assets GROUP BY ALL""")

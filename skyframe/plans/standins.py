@@ -323,7 +323,7 @@ def index_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Text index lines of every forecast file that has an index."""
     files = forecast_listing(spark, folder).filter("index_size is not null")
     fixed = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(lv).alias("level"), F.lit(k).alias("kind")) for f, lv, k in FORECAST_RECORDS])
-    rows = files.select("key", "lead", "size", F.posexplode(fixed).alias("i", "r"))
+    rows = files.select("key", "lead", "size", "cycle", "modified", F.posexplode(fixed).alias("i", "r"))
     rows = rows.filter((F.col("i") != 12) | (F.col("size") % 5 == 0)).filter((F.col("i") != 9) | (F.col("size") % 7 != 0))
     instant = F.when(F.col("lead") == 0, "anl").otherwise(F.concat(F.col("lead").cast("string"), F.lit(" hour fcst")))
     begin = F.greatest(F.lit(0), F.col("lead") - (F.col("size") % 4 + 1).cast("int"))
@@ -331,7 +331,7 @@ def index_lines(spark: SparkSession, folder: str) -> DataFrame:
     descriptor = F.when(F.col("r.kind") == "sum", summed).when((F.col("i") == 8) & (F.col("size") % 3 == 0), "0-3 hour ave fcst").otherwise(instant)
     offset = F.floor(F.col("i") / 2) * (100 + F.col("size") % 50)
     line = F.concat_ws(":", (F.col("i") + 1).cast("string"), offset.cast("long").cast("string"), F.lit("d=2024"), "r.field", "r.level", descriptor, F.lit(""))
-    return rows.select("key", "lead", "size", line.alias("line"))
+    return rows.select("key", "lead", "size", "cycle", "modified", line.alias("line"))
 
 
 _VALUES = ", ".join(f"({i}, '{f}', '{lv}', '{k}')" for i, (f, lv, k) in enumerate(FORECAST_RECORDS))

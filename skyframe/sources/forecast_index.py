@@ -43,18 +43,20 @@ def spec_table(spark: SparkSession, specs: list[tuple] | None = None) -> DataFra
     return spark.createDataFrame(specs or [*CORE, *UPPER], SPEC_SCHEMA)
 
 
-def parse_byte_index(lines: DataFrame, key: str = "key", line: str = "line", size: str = "size") -> DataFrame:
+def parse_byte_index(lines: DataFrame, key: str = "key", line: str = "line", size: str = "size", carry: list[str] | None = None) -> DataFrame:
     """Records with their byte range; a range ends at the next distinct offset of the file, the last
-    at the file size. Lines without an offset are skipped; an offset beyond the file fails."""
+    at the file size. Lines without an offset are skipped; an offset beyond the file fails. ``carry`` names columns
+    of the file (its lead, its publication) that stay with its records, so that nothing has to join them back."""
+    carry = carry or []
     parts = F.split(line, ":")
     number = F.get(parts, F.lit(1))
     rows = lines.filter((F.size(parts) >= 6) & number.rlike(r"^\d+$")).select(
-        key, size, number.cast("long").alias("start"), parts[3].alias("field"), parts[4].alias("level"), parts[5].alias("descriptor"))
+        key, *carry, size, number.cast("long").alias("start"), parts[3].alias("field"), parts[4].alias("level"), parts[5].alias("descriptor"))
     rows = guard(rows, F.col("start") < F.col(size), "Malformed index offsets")
     # One file's index is small, so a window over it does; equal offsets share their end.
     later = Window.partitionBy(key).orderBy("start").rangeBetween(1, Window.unboundedFollowing)
     stop = F.coalesce(F.min("start").over(later), F.col(size))
-    return rows.select(key, "start", stop.alias("stop"), "field", "level", "descriptor")
+    return rows.select(key, *carry, "start", stop.alias("stop"), "field", "level", "descriptor")
 
 
 def match_records(records: DataFrame, specs: DataFrame, lead: str = "lead") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,17 +15,32 @@ ARCHIVE_PARTITIONS = ["source", "product", "satellite", "band", "roi", "month"]
 
 
 def write_index(tables: dict[str, DataFrame], root: str, identity: str) -> DataFrame:
-    """Write every table below ``root/identity`` and return one summary row per table, read back."""
-    summaries = []
+    """Write all tables of one selection and return one row per table with its rows, read back.
+
+    The tables go to a folder of their own; one pointer row, written when all of them are there, makes them the
+    selection's tables. A run that stops on the way leaves the earlier tables as they were, in full.
+    """
+    version = uuid.uuid4().hex
+    counts = []
     for name, df in tables.items():
-        target = f"{root}/{identity}/{name}"
-        df.write.mode("overwrite").parquet(target)
-        back = df.sparkSession.read.parquet(target)
-        summaries.append(back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows"))
-    out = summaries[0]
-    for part in summaries[1:]:
-        out = out.unionByName(part)
-    return out
+        target = f"{root}/{identity}/{version}/{name}"
+        df.write.parquet(target)
+        back = df.sparkSession.read.schema(df.schema).parquet(target)
+        counts.append(back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows"))
+    summary = reduce(DataFrame.unionByName, counts)
+    pointer = summary.agg(F.map_from_entries(F.collect_list(F.struct("table", "rows"))).alias("tables")).select(  # one entry a table
+        F.lit(identity).alias("identity"), F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"), "tables")
+    pointer.coalesce(1).write.mode("append").parquet(f"{root}/selections")
+    return summary
+
+
+def read_index(spark: SparkSession, root: str, identity: str, table: str) -> DataFrame:
+    """One table of a selection as its latest complete write left it."""
+    found = spark.read.parquet(f"{root}/selections").filter(F.col("identity") == identity)
+    latest = found.agg(F.max_by("version", F.struct("committed_at", "version")).alias("version")).first()["version"]
+    if latest is None:
+        raise ValueError(f"No complete index {identity}")
+    return spark.read.parquet(f"{root}/{identity}/{latest}/{table}")
 
 
 def write_archives(rows: DataFrame, root: str, partitions: list[str] | None = None, sort: list[str] | None = None,

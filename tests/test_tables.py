@@ -9,6 +9,7 @@ from skyframe.functions.checks import require_empty
 from skyframe.operators import forecasts as fc
 from skyframe.operators import inventory as iv
 from skyframe.operators import merges as mg
+from skyframe.operators import reports as rp
 from skyframe.sources import forecast_index as fi
 from skyframe.sources import manifests as mf
 from skyframe.sources import writers as wr
@@ -187,3 +188,33 @@ def test_writers(spark, tmp_path):
         wr.verify_readback(rows.filter("id < 19"), rows, ["id"]).collect()
     with pytest.raises(ValueError):
         wr.export(rows, str(tmp_path / "b"), "xml")
+
+
+def test_compact_tree_at_any_depth(spark):
+    deep = '{"status":"s","records":[1,2],"asset_ids":["a"],"x":[{"assets":[],"y":{"features":"none","missing_times":[0],"é":1.50}},[{"hourly_matches":1}]]}'
+    rows = spark.createDataFrame([(1, deep), (2, "[]"), (3, "no json"), (4, None), (5, "")], "id int, doc string")
+    got = {r.id: r.out for r in rows.select("id", rp.compact_tree("doc").alias("out")).collect()}
+    assert got == {1: '{"status":"s","x":[{"y":{"é":1.5,"missing_times_count":1},"assets_count":0},[{}]],"records_count":2}', 2: "[]", 3: None, 4: None, 5: None}
+
+
+def test_an_index_write_that_stops_leaves_the_earlier_tables(spark, tmp_path):
+    small, large = spark.range(3), spark.range(7)
+    wr.write_index({"observations": small, "windows": small}, str(tmp_path), "study")
+    broken = large.select(F.expr("CASE WHEN id = 5 THEN raise_error('lost') ELSE id END").cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        wr.write_index({"observations": large, "windows": broken}, str(tmp_path), "study")
+    assert [wr.read_index(spark, str(tmp_path), "study", t).count() for t in ("observations", "windows")] == [3, 3]
+    wr.write_index({"observations": large, "windows": small}, str(tmp_path), "study")
+    assert wr.read_index(spark, str(tmp_path), "study", "observations").count() == 7
+    with pytest.raises(ValueError):
+        wr.read_index(spark, str(tmp_path), "other", "windows")
+
+
+def test_records_that_carry_their_file_need_no_listing(spark):
+    at = datetime(2024, 8, 9, 18)
+    lines = [(f"f{lead}", lead, 500, at, at + timedelta(hours=late), f"{i}:{i * 10}:d:REFC:entire atmosphere:{lead} hour fcst:")
+             for lead, late in ((3, 1), (4, 3), (5, 9), (7, 1)) for i in range(1 + (lead == 7))]
+    df = spark.createDataFrame(lines, "key string, lead int, size long, cycle timestamp_ntz, modified timestamp_ntz, line string")
+    records = fi.parse_byte_index(df, carry=["cycle", "lead", "modified"])
+    got = fc.same_cycle_pairs(None, records, fi.spec_table(spark, fi.CORE)).collect()
+    assert [(r.hour, r.lead, r.key_first, r.key_second) for r in got] == [(at + timedelta(hours=3), 3, "f3", "f4")]
