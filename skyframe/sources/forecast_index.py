@@ -48,9 +48,11 @@ def parse_byte_index(lines: DataFrame, key: str = "key", line: str = "line", siz
     at the file size. Lines without an offset are skipped; an offset beyond the file fails. ``carry`` names columns
     of the file (its lead, its publication) that stay with its records, so that nothing has to join them back."""
     carry = carry or []
-    parts = F.split(line, ":")
+    # Through a generator a line is split once; column by column Spark would split it again for each.
+    split = lines.select(key, *carry, size, F.explode(F.array(F.split(line, ":"))).alias("_parts"))
+    parts = F.col("_parts")
     number = F.get(parts, F.lit(1))
-    rows = lines.filter((F.size(parts) >= 6) & number.rlike(r"^\d+$")).select(
+    rows = split.filter((F.size(parts) >= 6) & number.rlike(r"^\d+$")).select(
         key, *carry, size, number.cast("long").alias("start"), parts[3].alias("field"), parts[4].alias("level"), parts[5].alias("descriptor"))
     rows = guard(rows, F.col("start") < F.col(size), "Malformed index offsets")
     # One file's index is small, so a window over it does; equal offsets share their end.
