@@ -129,8 +129,13 @@ rows AS (SELECT f.*, u.name, u.start, u.stop FROM files f JOIN uniq u USING (key
 _J10 = f"WITH {LISTING}, {RECORDS}, {CORE_ONLY}, {MATCHED}, {STORMS}, {REQUESTS}, {TIMELY}"
 
 
-def _timely(spark, folder):
-    return fc.timely_forecasts(_requests(spark, folder), forecast_listing(spark, folder), index_records(spark, folder), fi.spec_table(spark, fi.CORE))
+def _timely(spark, folder, requests=None):
+    """Rows, usable pairs and gaps; only the index lines of files that serve a request are parsed."""
+    requests = _requests(spark, folder) if requests is None else requests
+    judged = fc.judged_requests(requests, forecast_listing(spark, folder))
+    keys = fc.timely_files(judged).select("key").distinct()  # bounded by the calendar
+    lines = index_lines(spark, folder).join(F.broadcast(keys), "key", "left_semi")
+    return fc.timely_rows(judged, fi.parse_byte_index(lines), fi.spec_table(spark, fi.CORE))
 
 
 @query("j10_timely_forecasts", f"{_J10} SELECT cycle, valid, lead, key, name, start, stop FROM rows")
@@ -147,7 +152,8 @@ def j10g(spark, folder):
 
 @query("j10_event_coverage", f"{_J10} SELECT event_id, count(DISTINCT hour) AS covered_hours FROM members WHERE hour = valid GROUP BY event_id")
 def j10c(spark, folder):
-    return fc.event_coverage(_timely(spark, folder)[1])
+    requests = _requests(spark, folder)
+    return fc.covered_hours(requests, _timely(spark, folder, requests)[1])
 
 
 @query("j11_paired_cycles", f"""{_J10},
@@ -155,8 +161,8 @@ pairs AS (SELECT m.hour, r.name, r.cycle FROM (SELECT DISTINCT hour, cycle, vali
   WHERE (r.valid = m.hour OR r.valid = m.hour + INTERVAL 1 HOUR) AND r.modified <= m.hour GROUP BY m.hour, r.name, r.cycle HAVING count(DISTINCT r.valid) = 2)
 SELECT hour, name, max(cycle) AS latest_pair_cycle, string_agg(strftime(cycle, '%Y-%m-%dT%H:%M:%SZ'), ' ' ORDER BY cycle DESC) AS eligible_pair_cycles FROM pairs GROUP BY hour, name""")
 def j11(spark, folder):
-    rows, members, _ = _timely(spark, folder)
-    return fc.paired_cycles(rows, members)
+    rows, pairs, _ = _timely(spark, folder)
+    return fc.paired_cycles(rows, pairs)
 
 
 @query("j12_same_cycle_pairs", f"""
