@@ -213,7 +213,7 @@ def fix_points(fixes: DataFrame, start: str, end: str) -> DataFrame:
 
 def event_windows(spans: DataFrame, start: str, end: str) -> DataFrame:
     """Encounters padded by 12 h before and 24 h after to whole hours, clipped, and merged while the
-    next one starts inside the running end; numbered per storm in time order.
+    next one starts inside the running end; numbered per storm in time order. Encounters of one entry and exit are one event.
 
     spans: sid, entry, exit.
     """
@@ -225,7 +225,7 @@ def event_windows(spans: DataFrame, start: str, end: str) -> DataFrame:
     reach = F.max("_hi").over(track.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("_reach", reach)
     fresh = F.when(F.col("_reach").isNull() | (F.col("_lo") > F.col("_reach")), 1).otherwise(0)
-    rows = rows.withColumn("encounter", F.sum(fresh).over(track.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = rows.withColumn("encounter", F.sum(fresh).over(track.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     return rows.groupBy("sid", "encounter").agg(
         F.min("entry").alias("entry"), F.max("exit").alias("exit"), instant(F.min("_lo")).alias("start"), instant(F.max("_hi")).alias("end")).select(
         F.concat_ws("-", "sid", "encounter").alias("event_id"), "sid", "entry", "exit", "start", "end")

@@ -2,7 +2,10 @@
 
 from datetime import datetime, timedelta
 
+from skyframe.operators import alignment as al
 from skyframe.operators import forecasts as fc
+from skyframe.operators import sequences as sq
+from skyframe.operators import storms as st
 from skyframe.sources import forecast_index as fi
 
 EVENTS = "event_id string, start timestamp_ntz, end timestamp_ntz"
@@ -42,3 +45,23 @@ def test_judged_requests_do_not_grow_with_events(spark):
     few, many = run(1), run(40)
     assert few[:2] == many[:2] and many[2]["missing-object-or-index"] == 40 * few[2]["missing-object-or-index"]
     assert many[2]["missing-or-ambiguous-field"] == few[2]["missing-or-ambiguous-field"] == 18
+
+
+def test_equal_encounters_are_one_event(spark):
+    """Both lie before the study, so that their clipped windows end before they begin; the frame of the SQL has peers."""
+    at = datetime(2024, 1, 1, 2)
+    rows = [("N", at, at + timedelta(hours=5)), ("N", at, at + timedelta(hours=5)), ("N", at + timedelta(hours=1), at + timedelta(hours=6))]
+    spans = spark.createDataFrame(rows, "sid string, entry timestamp_ntz, exit timestamp_ntz")
+    got = sorted((r.event_id, r.entry) for r in st.event_windows(spans, "2024-01-03T00:00:00", "2024-01-28T00:00:00").collect())
+    assert got == [("N-2", at), ("N-3", at + timedelta(hours=1))]
+
+
+def test_anchors_of_one_instant_are_scanned_once(spark, monkeypatch):
+    day, scanned = datetime(2024, 1, 1), []
+    monkeypatch.setattr(al, "asof_nearest", lambda left, *a, **k: scanned.append(left.count()) or sq.asof_nearest(left, *a, **k))
+    anchors = spark.createDataFrame([(i, day, b) for i in range(30) for b in (1, 2, None)], "anchor_id int, anchor_time timestamp_ntz, band int")
+    assets = spark.createDataFrame([(1, day + timedelta(seconds=60), "b"), (1, day - timedelta(seconds=60), "z"), (1, day - timedelta(seconds=60), "a"),
+                                    (2, day + timedelta(seconds=91), "far"), (None, day, "n")], "band int, time timestamp_ntz, key string")
+    got = sorted((r.anchor_id, r.band or 0, r.key, r.time) for r in al.nearest_peers(assets, anchors, ["band"]).collect())
+    assert got == sorted(x for i in range(30) for x in ((i, 0, "n", day), (i, 1, "a", day - timedelta(seconds=60))))
+    assert scanned == [3]
