@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyframe.functions.checks import guard
 from skyframe.functions.identity import hash_number
 from skyframe.functions.times import HOUR, MINUTE, SECOND, ceil_to, instant, literal_micros, micros
-from skyframe.operators.sequences import asof_latest, asof_nearest, with_previous
+from skyframe.operators.sequences import asof_latest, asof_nearest, join_on, with_previous
 
 # The two source families and how old a matched observation may be, in seconds.
 SATELLITE_TOLERANCE = 600
@@ -194,12 +194,14 @@ def nearest_peers(assets: DataFrame, anchors: DataFrame, peer_keys: list[str], t
                   anchor_time: str = "anchor_time", limit_seconds: int = 90) -> DataFrame:
     """Per anchor and peer key the nearest asset within the limit (earlier, then smaller key, on a tie).
 
-    ``anchors`` carries one row per (anchor, peer key). One as-of scan replaces a range join.
+    ``anchors`` carries one row per (anchor, peer key). One as-of scan over the distinct instants that are asked for
+    replaces a range join; anchors meet its hits by equality and are not scanned themselves.
     """
     left = anchors.withColumn("_want", micros(anchor_time))
     right = assets.withColumn("_have", micros(time)).groupBy(*peer_keys, "_have").agg(F.min(key).alias(key))
-    hits = asof_nearest(left, right, peer_keys, "_want", "_have", [key], limit_seconds * SECOND)
-    return hits.filter("hit is not null").select(*anchors.columns, F.col(f"hit.{key}").alias(key), instant(F.col("hit._us")).alias(time))
+    hits = asof_nearest(left.select(*peer_keys, "_want").distinct(), right, peer_keys, "_want", "_have", [key], limit_seconds * SECOND)
+    out = join_on(left, hits.filter("hit is not null"), [*peer_keys, "_want"], "inner")
+    return out.select(*anchors.columns, F.col(f"hit.{key}").alias(key), instant(F.col("hit._us")).alias(time))
 
 
 def comparable(obs: DataFrame, requested: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:

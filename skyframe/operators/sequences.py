@@ -65,15 +65,16 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], value: str
 
     ``bounded`` promises that a key's rows are few (an axis, a clock); then one plain window does.
     """
+    # What follows is what precedes in the reverse order: a frame up to the key's end would be summed anew for every row.
     behind = (Window.unboundedPreceding, Window.currentRow)
-    ahead = (Window.currentRow, Window.unboundedFollowing)
+    back = [F.col(o).desc() for o in order]
     if bounded:
-        whole = Window.partitionBy(*keys).orderBy(*order)
+        whole = Window.partitionBy(*keys)
         found = []
         if last:
-            found.append(F.last(value, ignorenulls=True).over(whole.rowsBetween(*behind)).alias(last))
+            found.append(F.last(value, ignorenulls=True).over(whole.orderBy(*order).rowsBetween(*behind)).alias(last))
         if following:
-            found.append(F.first(value, ignorenulls=True).over(whole.rowsBetween(*ahead)).alias(following))
+            found.append(F.last(value, ignorenulls=True).over(whole.orderBy(*back).rowsBetween(*behind)).alias(following))
         return df.select("*", *found)
     blocked, inside, along = _scan(df, keys, order, parts)
     position = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
@@ -87,9 +88,9 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], value: str
         carry.append(F.last("_tail.v", ignorenulls=True).over(earlier).alias("_carry_behind"))
         out.append(F.coalesce("_behind", "_carry_behind").alias(last))
     if following:
-        rows = rows.withColumn("_ahead", F.first(value, ignorenulls=True).over(inside.rowsBetween(*ahead)))
-        later = along.rowsBetween(1, Window.unboundedFollowing)
-        carry.append(F.first("_head.v", ignorenulls=True).over(later).alias("_carry_ahead"))
+        rows = rows.withColumn("_ahead", F.last(value, ignorenulls=True).over(inside.orderBy(*back).rowsBetween(*behind)))
+        later = along.orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        carry.append(F.last("_head.v", ignorenulls=True).over(later).alias("_carry_ahead"))
         out.append(F.coalesce("_ahead", "_carry_ahead").alias(following))
     return _attach(rows, edges.select(*keys, "_block", *carry), keys).select(*out)
 

@@ -2,10 +2,15 @@
 
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
+import __spark_entry__  # noqa: F401  registers the queries
+
 from skyframe.operators import alignment as al
 from skyframe.operators import forecasts as fc
 from skyframe.operators import sequences as sq
 from skyframe.operators import storms as st
+from skyframe.plans.registry import QUERIES
 from skyframe.sources import forecast_index as fi
 
 EVENTS = "event_id string, start timestamp_ntz, end timestamp_ntz"
@@ -65,3 +70,26 @@ def test_anchors_of_one_instant_are_scanned_once(spark, monkeypatch):
     got = sorted((r.anchor_id, r.band or 0, r.key, r.time) for r in al.nearest_peers(assets, anchors, ["band"]).collect())
     assert got == sorted(x for i in range(30) for x in ((i, 0, "n", day), (i, 1, "a", day - timedelta(seconds=60))))
     assert scanned == [3]
+
+
+def test_what_follows_is_found_in_linear_time(spark):
+    """Frames up to the key's end cost the square of a key's rows: 60,000 rows of one key in one range."""
+    rows = spark.range(60_000).select(F.lit(1).alias("k"), F.col("id").alias("at"), F.when(F.col("id") % 20_000 == 19_999, F.col("id")).alias("v"))
+    for bounded in (False, True):
+        found = sq.with_neighbours(rows, ["k"], ["at"], "v", None, "next", bounded=bounded, parts=1)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "unboundedfollowing" not in plan.lower(), plan
+        assert [tuple(r) for r in found.groupBy("next").count().orderBy("next").collect()] == [(19_999, 20_000), (39_999, 20_000), (59_999, 20_000)]
+
+
+def test_rain_of_equal_values_is_that_of_the_first_observation(spark, tmp_path):
+    at = datetime(2024, 1, 1, 0, 59, 30)
+    kinds = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    for order in (1, -1):
+        folder = str(tmp_path / f"t{order}")
+        events = [(i, at, 1, "view", v, '{"k": %d}' % k) for i, v, k in ((3, 5.0, 30), (4, 5.0, 90), (5, 5.0, 60), (6, 1.0, 70), (7, None, 99))][::order]
+        spark.createDataFrame(events, kinds).coalesce(1).write.parquet(f"{folder}/events.parquet")
+        customers = [(0, "c", 0, 1.0, "m")]
+        spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+        got = [tuple(r) for r in QUERIES["j14_rain_context"](spark, folder).collect()]
+        assert got == [("S0", 1, 0.3, 5.0)]
