@@ -196,8 +196,10 @@ j AS (SELECT h.event_id, CASE WHEN w - u <= 300000000 THEN vf END AS vf, CASE WH
 SELECT s.event_id, count(*) FILTER (vf > 0) AS hours_observed, round(coalesce(avg(vf) FILTER (vf > 0), 0), 9) AS valid_fraction, max(peak) FILTER (vf > 0) AS peak
 FROM storms s LEFT JOIN j USING (event_id) GROUP BY s.event_id""")
 def j14(spark, folder):
+    # Of equal values the first observation counts, as in the order of the table.
+    first = F.when(F.col("quality").isNotNull() & F.col("value").isNotNull(), F.struct("value", -F.col("asset_id")))
     frames = observations(spark, folder).groupBy("time").agg(
-        F.max_by(F.col("quality") / 100.0, "value").alias("valid_fraction"), F.max("value").alias("peak"))
+        F.max_by(F.col("quality") / 100.0, first).alias("valid_fraction"), F.max("value").alias("peak"))
     out = fc.rain_context(storm_events(spark, folder), frames)
     return out.withColumn("valid_fraction", F.round("valid_fraction", 9))
 
