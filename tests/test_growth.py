@@ -102,3 +102,13 @@ def test_hours_of_few_events_are_listed_by_many_tasks(spark):
     assert frames.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     got = {tuple(r) for r in frames.collect()}
     assert got == {(f"E{i}", start + timedelta(hours=h), start + timedelta(hours=h, minutes=10 * m)) for i in range(50) for h in (0, 1) for m in range(-5, 7)}
+
+
+def test_channel_sizes_are_not_held_in_one_buffer(spark, monkeypatch):
+    monkeypatch.setattr(F, "percentile", lambda *a: (_ for _ in ()).throw(AssertionError("a group's values in one buffer")))
+    records = spark.createDataFrame([(f"k{i}", 1, 0, i, "PRES", "surface", "1 hour fcst") for i in range(1, 102)],
+                                    "key string, lead int, start long, stop long, field string, level string, descriptor string")
+    got = fc.channel_summary(records, fi.spec_table(spark, fi.CORE), ["key"]).filter("name = 'surface_pressure'").first()
+    assert (got.samples, got.ambiguous, got.p10, got.median, got.p90) == (101, 0, 11.0, 51.0, 91.0)
+    sizes = records.withColumn("bytes", F.col("stop"))
+    assert fc.message_medians(sizes, ["field"], ["bytes"]).first().median_bytes == 51.0
