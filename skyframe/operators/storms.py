@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyframe.functions import geo
 from skyframe.functions.checks import guard
@@ -11,6 +14,7 @@ from skyframe.functions.times import HOUR, ceil_to, floor_to, instant, literal_m
 from skyframe.operators.alignment import first_of
 from skyframe.operators.forecasts import sample_times
 from skyframe.operators.sequences import with_previous
+from skyframe.session import written
 
 # Reference point, longest step between fixes, padding of an encounter, "near" limit,
 # spacing of the region's outline in degrees.
@@ -19,7 +23,7 @@ STEP_HOURS = 6
 PAD_BEFORE_HOURS, PAD_AFTER_HOURS = 12, 24
 NEAR_KM = 100.0
 OUTLINE_DEGREES = 0.1
-EDGES_TOGETHER = 16
+LINES_TOGETHER = 64
 MARGIN_DEGREES = 3.0
 
 # Named comparison storms and their UTC windows.
@@ -70,8 +74,11 @@ def settled_fixes(fixes: DataFrame, start: str, end: str) -> tuple[DataFrame, Da
     at = micros("time")
     low, high = literal_micros(start) - STEP_HOURS * HOUR, literal_micros(end) + STEP_HOURS * HOUR
     near = fixes.filter((at >= low) & (at < high))
-    per = near.groupBy("sid", "time").agg(F.count_distinct(F.struct("lon", "lat")).alias("_n"), F.min(F.struct("lon", "lat", "name")).alias("f"))
-    return per.filter("_n = 1").select("sid", "time", "f.lon", "f.lat", "f.name"), per.filter("_n > 1").select("sid", "time")
+    ends = [f(c).alias(f"{n}_{c}") for c in ("lon", "lat") for n, f in (("least", F.min), ("most", F.max))]
+    # Segments, points, names and conflicts all read it.
+    per = written(near.groupBy("sid", "time").agg(*ends, F.min("name").alias("name")), "fixes")
+    one = (F.col("least_lon") == F.col("most_lon")) & (F.col("least_lat") == F.col("most_lat"))
+    return per.filter(one).select("sid", "time", F.col("least_lon").alias("lon"), F.col("least_lat").alias("lat"), "name"), per.filter(~one).select("sid", "time")
 
 
 def track_segments(fixes: DataFrame, conflicts: DataFrame, start: str, end: str) -> DataFrame:
@@ -104,20 +111,51 @@ def outline(box=geo.REGION, reference=REFERENCE, step: float = OUTLINE_DEGREES,
     return points if planar else [geo.local_plane_point(x, y, *reference) for x, y in points]
 
 
-def _named(make, value: Column) -> Column:
-    """``make`` of a value that is computed once, however often ``make`` uses it."""
-    return F.transform(F.array(value), make)[0]
-
-
-def outline_index(points: list[tuple[float, float]]) -> Column:
-    """The outline's edges as literals, in groups of neighbours with the box around each group."""
-    edges, groups = list(zip(points, points[1:])), []
-    for some in (edges[i:i + EDGES_TOGETHER] for i in range(0, len(edges), EDGES_TOGETHER)):
-        xs, ys = [x for edge in some for x, _ in edge], [y for edge in some for _, y in edge]
-        bounds = {"west": min(xs), "south": min(ys), "east": max(xs), "north": max(ys)}
-        lines = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("ex0", "ey0", "ex1", "ey1"), (*p, *q))]) for p, q in some])
-        groups.append(F.struct(*[F.lit(v).alias(n) for n, v in bounds.items()], lines.alias("edges")))
-    return F.array(*groups)
+def outline_cuts(lines: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """How lines (rows of x0, y0, x1, y1) meet a closed outline (edges of the same form): the rows and shares along them of
+    the crossings, in order, whether a line starts inside, and the distance of the lines that do not touch (else NaN)."""
+    ex0, ey0, ex1, ey1 = edges.T
+    ux, uy = ex1 - ex0, ey1 - ey0
+    rows, shares = [np.zeros(0, np.int64)], [np.zeros(0)]
+    starts_in, gap = np.zeros(len(lines), bool), np.full(len(lines), np.nan)
+
+    def to_edge(px, py, x0, y0, dx, dy):
+        size = dx * dx + dy * dy
+        along = np.where(size == 0, 0.0, ((px - x0) * dx + (py - y0) * dy) / size)
+        t = np.clip(along, 0.0, 1.0)
+        return np.hypot(px - (x0 + t * dx), py - (y0 + t * dy))
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for start in range(0, len(lines), LINES_TOGETHER):
+            x0, y0, x1, y1 = (lines[start:start + LINES_TOGETHER, i, None] for i in range(4))
+            # Even-odd test of the start: edges crossed by the ray to the right.
+            ray = ((ey0 > y0) != (ey1 > y0)) & (x0 < ux * (y0 - ey0) / uy + ex0)
+            inside = ray.sum(axis=1) % 2 == 1
+            touched = inside.copy()
+            moving = np.flatnonzero((x0 != x1) | (y0 != y1))
+            if len(moving):
+                mx, my, dx, dy = x0[moving], y0[moving], (x1 - x0)[moving], (y1 - y0)[moving]
+                cross = dx * uy - dy * ux
+                cross[cross == 0] = np.nan
+                t = ((ex0 - mx) * uy - (ey0 - my) * ux) / cross
+                u = ((ex0 - mx) * dy - (ey0 - my) * dx) / cross
+                at, edge = np.nonzero((t >= 0) & (t <= 1) & (u >= 0) & (u < 1))
+                found = t[at, edge]
+                order = np.lexsort((found, at))
+                rows.append(start + moving[at[order]])
+                shares.append(found[order])
+                touched[moving[at]] = True
+            starts_in[start:start + LINES_TOGETHER] = inside
+            # Only a line that does not touch the region has a distance; a point's is that of its one end.
+            apart = np.flatnonzero(~touched)
+            least = to_edge(x0[apart], y0[apart], ex0, ey0, ux, uy).min(axis=1, initial=np.inf)
+            along = np.flatnonzero(np.isin(apart, moving))
+            if len(along):
+                x0, y0, x1, y1 = (v[apart[along]] for v in (x0, y0, x1, y1))
+                for gaps in (to_edge(x1, y1, ex0, ey0, ux, uy), to_edge(ex0, ey0, x0, y0, x1 - x0, y1 - y0), to_edge(ex1, ey1, x0, y0, x1 - x0, y1 - y0)):
+                    least[along] = np.minimum(least[along], gaps.min(axis=1, initial=np.inf))
+            gap[start + apart] = least
+    return np.concatenate(rows), np.concatenate(shares), starts_in, gap
 
 
 def _point_to_edge(px, py, x0, y0, x1, y1) -> Column:
@@ -131,9 +169,9 @@ def _point_to_edge(px, py, x0, y0, x1, y1) -> Column:
 def encounters(segments: DataFrame, box=geo.REGION, reference=REFERENCE, planar: bool = False) -> DataFrame:
     """Time spans that segments spend in the region, and their distances in kilometres.
 
-    Segments are straight in the local plane and are cut in their own row against the outline, a fixed list of a few
-    hundred edges that lie in the plan in indexed groups; time runs linearly along a segment. Only segments within three
-    degrees of the box are cut: others can neither enter it nor come within the "near" limit.
+    Segments are straight in the local plane; each task cuts its own, an Arrow batch at a time, against the outline, a fixed
+    list of a few hundred edges; time runs linearly along a segment. Only segments within three degrees of the box are
+    cut: others can neither enter it nor come within the "near" limit.
     Output: one row per segment with ``spans`` as an array of (entry, exit), ``edge_km``, ``reference_km``.
     """
     west, south, east, north = box
@@ -146,48 +184,19 @@ def encounters(segments: DataFrame, box=geo.REGION, reference=REFERENCE, planar:
     x0, y0 = F.col("ax") + F.col("f0") * (F.col("bx") - F.col("ax")), F.col("ay") + F.col("f0") * (F.col("by") - F.col("ay"))
     x1, y1 = F.col("ax") + F.col("f1") * (F.col("bx") - F.col("ax")), F.col("ay") + F.col("f1") * (F.col("by") - F.col("ay"))
     rows = rows.withColumns({"x0": x0, "y0": y0, "x1": x1, "y1": y1})
-    # The literals stand in the plan once; what is used several times below is computed once.
-    rows = rows.select("sid", "time_a", "time", "lo", "hi", _named(lambda v: v, F.struct("x0", "y0", "x1", "y1")).alias("line"),
-                       outline_index(outline(box, reference, planar=planar)).alias("_groups"))
-    groups = F.col("_groups")
-
-    def cut(v):
-        def edges(chosen):
-            return F.flatten(F.transform(F.filter(groups, chosen), lambda g: g["edges"]))
-
-        def meets(g):
-            return ((g["west"] <= F.greatest(v["x0"], v["x1"])) & (g["east"] >= F.least(v["x0"], v["x1"]))
-                    & (g["south"] <= F.greatest(v["y0"], v["y1"])) & (g["north"] >= F.least(v["y0"], v["y1"])))
-
-        def hit(e):
-            ux, uy = e["ex1"] - e["ex0"], e["ey1"] - e["ey0"]
-            dx, dy = v["x1"] - v["x0"], v["y1"] - v["y0"]
-            cross = F.nullif(dx * uy - dy * ux, F.lit(0.0))
-            t = ((e["ex0"] - v["x0"]) * uy - (e["ey0"] - v["y0"]) * ux) / cross
-            u = ((e["ex0"] - v["x0"]) * dy - (e["ey0"] - v["y0"]) * dx) / cross
-            return F.when(t.between(0, 1) & (u >= 0) & (u < 1), t)
-
-        def ray(e):
-            """Even-odd test of the segment's start: edges crossed by the ray to the right."""
-            straddles = (e["ey0"] > v["y0"]) != (e["ey1"] > v["y0"])
-            return straddles & (v["x0"] < (e["ex1"] - e["ex0"]) * (v["y0"] - e["ey0"]) / F.nullif(e["ey1"] - e["ey0"], F.lit(0.0)) + e["ex0"])
-
-        def gap(e):
-            gaps = [_point_to_edge(v[x], v[y], e["ex0"], e["ey0"], e["ex1"], e["ey1"]) for x, y in (("x0", "y0"), ("x1", "y1"))]
-            return F.least(*gaps, *[_point_to_edge(e[x], e[y], v["x0"], v["y0"], v["x1"], v["y1"]) for x, y in (("ex0", "ey0"), ("ex1", "ey1"))])
-
-        crossed = F.filter(edges(lambda g: (g["south"] <= v["y0"]) & (g["north"] >= v["y0"]) & (g["east"] > v["x0"])), ray)
-        met = F.struct(F.array_sort(F.filter(F.transform(edges(meets), hit), lambda t: t.isNotNull())).alias("ts"), (F.size(crossed) % 2 == 1).alias("starts_in"))
-
-        def with_gap(m):
-            # Only a segment that does not touch the region looks at every edge for its distance.
-            apart = ~m["starts_in"] & (F.size(m["ts"]) == 0)
-            gap_km = F.when(apart, F.aggregate(F.flatten(F.transform(groups, lambda g: g["edges"])), F.lit(float("inf")), lambda least, e: F.least(least, gap(e))))
-            return F.struct(m["ts"].alias("_ts"), m["starts_in"].alias("_starts_in"), gap_km.alias("_gap"))
-
-        return _named(with_gap, met)
-
-    per = rows.select("sid", "time_a", "time", "lo", "hi", "line.*", _named(cut, F.col("line")).alias("_m")).select("*", "_m.*")
+    rows = rows.select("sid", "time_a", "time", "lo", "hi", "x0", "y0", "x1", "y1")
+    points = np.array(outline(box, reference, planar=planar))
+    edges = np.concatenate([points[:-1], points[1:]], axis=1)
+
+    def cut(batches):
+        for batch in batches:
+            line = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("x0", "y0", "x1", "y1")], axis=1)
+            at, shares, starts_in, gap = outline_cuts(line, edges)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(line)))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(shares)), pa.array(starts_in), pa.array(gap)],
+                                             names=[*batch.schema.names, "_ts", "_starts_in", "_gap"])
+
+    per = rows.mapInArrow(cut, StructType([*rows.schema.fields, *StructType.fromDDL("_ts array<double>, _starts_in boolean, _gap double").fields]))
     marks = F.concat(F.array(F.lit(0.0)), F.col("_ts"), F.array(F.lit(1.0)))
     pieces = F.transform(F.sequence(F.lit(1), F.size(marks) - 1), lambda i: F.struct(
         F.element_at(marks, i).alias("p"), F.element_at(marks, i + 1).alias("q"), ((i % 2 == 1) == F.col("_starts_in")).alias("_in")))
@@ -235,7 +244,7 @@ def select_events(fixes: DataFrame, start: str, end: str, limit: int | None = No
     """G10/W08/W09/K01/K05 together: padded events (closest storms first when limited) and nearby storms."""
     settled, conflicts = settled_fixes(fixes, start, end)
     parts = track_segments(settled, conflicts, start, end).unionByName(fix_points(settled, start, end))
-    met = encounters(parts, box)
+    met = written(encounters(parts, box).select("sid", "spans", "edge_km", "reference_km"), "encounters")  # read twice
     distance = met.groupBy("sid").agg(F.min("reference_km").alias("_ref"), F.min("edge_km").alias("_edge"),
                                       F.max(F.size("spans")).alias("_spans"))
     names = settled.filter("name <> ''").groupBy("sid").agg(F.min_by("name", "time").alias("name"))

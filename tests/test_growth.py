@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  registers the queries
@@ -112,3 +113,25 @@ def test_channel_sizes_are_not_held_in_one_buffer(spark, monkeypatch):
     assert (got.samples, got.ambiguous, got.p10, got.median, got.p90) == (101, 0, 11.0, 51.0, 91.0)
     sizes = records.withColumn("bytes", F.col("stop"))
     assert fc.message_medians(sizes, ["field"], ["bytes"]).first().median_bytes == 51.0
+
+
+def test_cuts_of_lines_are_not_evaluated_edge_by_edge_in_the_plan(spark):
+    """An expression that walks some hundred edges for every row ran for minutes on a hundred thousand rows."""
+    rows = spark.range(200_000).select(
+        F.col("id").cast("string").alias("sid"), F.lit(datetime(2024, 8, 10)).cast("timestamp_ntz").alias("time_a"), (-73 + F.col("id") % 1300 / 100).alias("lon_a"),
+        (F.lit(23.0) + F.col("id") % 150 / 100).alias("lat_a"))
+    points = rows.select("sid", "time_a", F.col("time_a").alias("time"), "lon_a", "lat_a", F.col("lon_a").alias("lon_b"), F.col("lat_a").alias("lat_b"),
+                         F.col("time_a").alias("lo"), F.col("time_a").alias("hi"), F.lit(0.0).alias("f0"), F.lit(1.0).alias("f1"))
+    met = st.encounters(points)
+    assert "lambdafunction" not in met.select("edge_km")._jdf.queryExecution().executedPlan().toString()
+    assert met.agg(F.count("edge_km").alias("n"), F.min("edge_km").alias("km")).first().n == 200_000
+
+
+def test_cuts_of_a_square_by_hand():
+    square = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]
+    edges = np.array([(*p, *q) for p, q in zip(square, square[1:])])
+    lines = np.array([(-2, 1, 6, 1), (1, 1, 2, 2), (6, 1, 6, 3), (7, 8, 7, 8), (3, 3, 3, 7), (np.nan, 1, 2, 2)], float)
+    rows, shares, starts_in, gap = st.outline_cuts(np.concatenate([lines] * 200), np.array(edges))
+    assert list(zip(rows[:3].tolist(), shares[:3].tolist())) == [(0, 0.25), (0, 0.75), (4, 0.25)] and len(rows) == 600
+    assert starts_in[:5].tolist() == [False, True, False, False, True] and starts_in.sum() == 400
+    assert np.isnan(gap[[0, 1, 4]]).all() and gap[[2, 3]].tolist() == [2.0, 5.0]
