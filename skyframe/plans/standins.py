@@ -195,7 +195,10 @@ visible AS (
 
 def archives(spark: SparkSession, folder: str) -> DataFrame:
     """orders as completed archives, one per order."""
-    o = table(spark, folder, "orders")
+    return _archives(table(spark, folder, "orders"))
+
+
+def _archives(o: DataFrame, *more: str) -> DataFrame:
     source = F.when(F.col("o_custkey") % 3 == 0, "radar").otherwise("satellite")
     band = F.when(F.col("o_custkey") % 3 != 0, (F.col("o_custkey") % 8 + 1).cast("int"))
     product = F.concat(F.lit("P"), F.substring("o_orderpriority", 1, 1))
@@ -213,7 +216,7 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("o_custkey") % 30).alias("observations"), F.md5(F.col("o_orderkey").cast("string")).alias("archive_sha256"),
         F.when(F.col("o_custkey") % 7 != 0, F.col("o_orderdate")).alias("start_utc"),
         F.when(F.col("o_custkey") % 11 != 0, F.col("o_orderdate") + F.expr("interval 30 days")).alias("end_utc"),
-        F.col("o_orderstatus").alias("state"), F.col("o_orderdate").alias("indexed_at"))
+        F.col("o_orderstatus").alias("state"), F.col("o_orderdate").alias("indexed_at"), *more)
 
 
 ARCHIVES = """
@@ -234,12 +237,13 @@ archives AS (
 
 def assets(spark: SparkSession, folder: str) -> DataFrame:
     """lineitem as the assets of the archives (joined on the order)."""
-    li = table(spark, folder, "lineitem")
-    own = archives(spark, folder).select("archive_key", "path", "source", "product", "band", "satellite", "archive_sha256", "state")
+    # The given columns are joined; the texts made of them are many times as long and would go through the shuffle.
+    both = table(spark, folder, "lineitem").join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = _archives(both, *[c for c in both.columns if c.startswith("l_")])
     us = F.unix_micros(F.col("l_shipdate").cast("timestamp")) + (F.col("l_partkey") % 1440) * 60_000_000
-    rows = li.select(
-        F.col("l_orderkey").alias("archive_key"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")).alias("asset_id"),
+    return rows.select(
+        "archive_key",
+        F.concat_ws("-", "archive_key", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")).alias("asset_id"),
         F.timestamp_micros(us).cast("timestamp_ntz").alias("time"),
         F.timestamp_micros(us + (F.col("l_suppkey") % 15 - 1) * 60_000_000).cast("timestamp_ntz").alias("end_time"),
         F.concat(F.lit("bucket"), (F.col("l_suppkey") % 3).cast("string")).alias("bucket"),
@@ -247,8 +251,8 @@ def assets(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("e"), (F.col("l_suppkey") % 10).cast("string")).alias("etag"),
         F.when(F.col("l_tax") != 0.0, (F.col("l_quantity") * 1000 + 0.5).cast("long")).alias("source_bytes"),
         F.when(F.col("l_linenumber") <= 4, "6").when(F.col("l_linenumber") <= 6, "3").alias("mode"),
-        F.when(F.col("l_returnflag") == "R", "corrupt_source").otherwise("saved").alias("status"))
-    return rows.join(own, "archive_key")
+        F.when(F.col("l_returnflag") == "R", "corrupt_source").otherwise("saved").alias("status"),
+        "path", "source", "product", "band", "satellite", "archive_sha256", "state")
 
 
 ASSETS = """

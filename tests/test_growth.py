@@ -135,3 +135,49 @@ def test_cuts_of_a_square_by_hand():
     assert list(zip(rows[:3].tolist(), shares[:3].tolist())) == [(0, 0.25), (0, 0.75), (4, 0.25)] and len(rows) == 600
     assert starts_in[:5].tolist() == [False, True, False, False, True] and starts_in.sum() == 400
     assert np.isnan(gap[[0, 1, 4]]).all() and gap[[2, 3]].tolist() == [2.0, 5.0]
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_texts_are_made_behind_the_shuffle_and_rows_are_dealt_once(spark, monkeypatch):
+    from skyframe.plans import q_sources, standins
+
+    folder, before = "/root/testdata/sf0.001", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = standins.assets(spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "concat_ws" not in plan[plan.index("Exchange"):], plan
+        assert _shuffles(q_sources._manifests(spark, folder)) == 3
+        most = {"s06_selected_archives": 4, "s07_observation_index": 3, "u01_merge_fetch_runs": 1, "u06_adoption_audit": 7, "f11_confirmed_issues": 6, "u09_task_completion": 8}
+        assert {n: c for n, c in ((n, _shuffles(QUERIES[n](spark, folder))) for n in most) if c > most[n]} == {}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_manifests_are_stored_compressed(spark):
+    from skyframe.plans import q_sources
+
+    assert all(f.endswith(".json.gz") for f in spark.read.text(q_sources._stored_manifests(spark, "/root/testdata/sf0.001")).inputFiles())
+
+
+def test_two_different_completed_runs_fail_wherever_they_stand(spark):
+    import pytest
+
+    from skyframe.operators import merges as mg
+
+    rows = lambda *r: spark.createDataFrame(list(r), "run_id long, status string, wall_seconds double")
+    one, two = rows((1, "complete", 5.0), (2, "partial", 9.0), (None, "partial", 1.0)), rows((1, "complete", 5.0), (2, "complete", None))
+    assert sorted(map(tuple, mg.merge_fetch_runs([one, two]).collect())) == [(1, "complete", 5.0), (2, "complete", None)]
+    with pytest.raises(Exception, match="Conflicting completed fetch run"):
+        mg.merge_fetch_runs([one, two, rows((1, "complete", 4.0))]).collect()
+
+
+def test_adoption_of_assets_in_one_store_only(spark):
+    from skyframe.operators import merges as mg
+
+    rows = lambda *r: spark.createDataFrame(list(r), "asset_id string, content string")
+    wanted = rows(("a", "x"), ("b", "x"), ("b", "y"), ("c", "z"), (None, "n"))
+    got = mg.adoption_audit(wanted, rows(("a", "x"), ("z", "x"), (None, "q")), rows(("a", "x"), ("b", "y"), ("b", "y"), (None, "r")))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", "already_shared", 1), ("b", "moved", 1), ("c", "not_present", 0), (None, "not_present", 0)], key=str)
