@@ -24,7 +24,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8)."""
+    """One document of each group of near copies (SimHash links, then keys, of five-word shingles; both checked at similarity 0.8)."""
     return simhash.without_near_copies(docs, words=5, similarity=0.8)
 
 

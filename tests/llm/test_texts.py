@@ -332,3 +332,24 @@ def test_a_template_of_many_texts_gives_few_rows_a_text(spark, monkeypatch):
     got = {r.component_id for r in simhash.near_groups(docs, words=5, similarity=0.8).select("component_id").distinct().collect()}
     assert got == {0, 800}
     assert rows["pairs"] <= 16 * len(texts) and rows["links"] <= 16 * len(texts) and rows["open"] <= 20 * len(texts)
+
+
+def test_fingerprints_link_similar_texts_and_shingles_check_them(spark, monkeypatch):
+    """With keys that no two texts share only fingerprints bring texts together; equal ones of different sets do not link."""
+    def own_key(hashes, similarity, keep=simhash.meeting_keys):
+        _, short, marks = keep(hashes, similarity)
+        return hashes[:1] & ~np.uint64(1) if len(hashes) < 50 else hashes[-1:] ^ hashes[len(hashes) // 2] | np.uint64(1), short, marks
+
+    monkeypatch.setattr(simhash, "meeting_keys", own_key)
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(400)]
+    copies = [base, base] + [base[:at] + ["new"] + base[at + 1:] for at in rng.choice(400, 12, replace=False).tolist()]
+    phrase = ["one", "two", "three", "four", "five"] * 60
+    texts = [" ".join(t) for t in copies + [phrase + [f"{x}{i}" for i in range(30)] for x in "ab"]]
+    prints = [print_of(t, 5) for t in texts]
+    assert prints[-1] == prints[-2]
+    want = groups([(a, b) for a in range(14) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 4], range(len(texts)))
+    assert len(set(want.values())) < 12
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(docs, words=5, similarity=0.8).collect()}
+    assert got == want
