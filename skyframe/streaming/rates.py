@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pandas.api.types import union_categoricals
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,10 +33,12 @@ DAY_MS = 86_400_000
 
 
 OUT_ROWS = 100_000
+BUCKETS = 1024  # groups that the tasks of a stream are dealt into; a checkpoint holds for this number only
+ARROW = {"str": pa.string(), "f8": pa.float64(), "i8": pa.int64(), "bool": pa.bool_()}
 
 
 def _in_order(chunks, texts: list[str]) -> pd.DataFrame:
-    """A task's snapshots of one batch in time order, texts as codes of the few values they take (some 40 bytes a row).
+    """A bucket's snapshots of one batch in time order, texts as codes of the few values they take (some 40 bytes a row).
     A snapshot without a time or a counter says nothing."""
     columns = {c: [] for c in [*texts, "read_bytes", "snapshot_at", "started_at"]}
     for chunk in chunks:
@@ -46,116 +49,191 @@ def _in_order(chunks, texts: list[str]) -> pd.DataFrame:
     return pd.DataFrame(joined).sort_values("snapshot_at", kind="stable", ignore_index=True)
 
 
-def watch_windows(rows: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple | None]:
-    """Elapsed time and rate of every snapshot in order, and the window's state after the last.
+def _place(columns: list[pd.Categorical]) -> np.ndarray:
+    """One number for every combination of the columns' values; a null is a value."""
+    number = np.zeros(len(columns[0]), np.int64)
+    for column in columns:
+        number = number * (len(column.categories) + 1) + column.codes + 1
+        number = np.unique(number, return_inverse=True)[1]
+    return number
+
+
+def _joined(keys: list[str], before: pd.DataFrame, rows: pd.DataFrame) -> tuple[dict[str, pd.Categorical], np.ndarray, np.ndarray]:
+    """The text columns of the state's rows and then the batch's, their order by key (a key's state, then its snapshots in
+    time), and in that order where a key begins."""
+    names = [*keys, *[c for c in ("run_id",) if c not in keys]]
+    parts = {c: [pd.Categorical(before[c]), pd.Categorical(rows[c])] for c in names}
+    both = {c: union_categoricals([pd.Categorical.from_codes(p.codes, p.categories.astype(object)) for p in parts[c]]) for c in names}
+    place = _place([both[k] for k in keys])
+    order = np.argsort(place, kind="stable")
+    place = place[order]
+    return both, order, np.r_[True, place[1:] != place[:-1]][:len(place)]
+
+
+def watch_tasks(rows: pd.DataFrame, before: pd.DataFrame, now_ms: int = 0) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Elapsed time and rate of every snapshot of many tasks, each task's in order, and all windows' states after the last.
 
-    State: run, first time, first counter, last counter, last time, ended. Before there is a window, completions say nothing.
-    While a window is ended its last counter stands still, and a smaller one than the least since then opens a new window.
+    State, a row a task: task, run, first time, first counter, last counter, last time, ended, and when its task last came.
+    Before there is a window,
+    completions say nothing. While a window is ended its last counter stands still, and a smaller one than the least since
+    then opens a new window.
     """
-    if state is None:
-        rows = rows[np.maximum.accumulate((rows["status"] != "complete").to_numpy(dtype=bool))]
-    if rows.empty:
-        return rows.assign(elapsed_seconds=[], average_mbps=[]), state
-    runs = [str(c) for c in rows["run_id"].cat.categories]
-    run, at, count = rows["run_id"].cat.codes.to_numpy(), rows["snapshot_at"].to_numpy(), rows["read_bytes"].to_numpy()
-    ended = rows["status"].isin(ENDED).to_numpy()
-    carried = state is not None
-    if carried:  # the window so far goes ahead as one row
-        own = runs.index(state[0]) if state[0] in runs else (-1 if state[0] is None else len(runs))
-        run, at, count, ended = np.r_[own, run], np.r_[state[4], at], np.r_[state[3], count], np.r_[bool(state[5]), ended]
-    same, both = run[1:] == run[:-1], ended[1:] & ended[:-1]
-    stretch = np.cumsum(np.r_[True, ~(same & both)])
+    texts, order, begins = _joined(["task_id"], before, rows)
+    carried = order < len(before)  # a window so far goes ahead of its task's snapshots as one row
+    told = carried | (rows["status"] != "complete").to_numpy(dtype=bool)[np.maximum(order - len(before), 0)] if len(rows) else carried
+    ahead = np.cumsum(told)
+    known = ahead > np.maximum.accumulate(np.where(begins, ahead - told, 0))
+    order, carried = order[known], carried[known]
+    task, run = texts["task_id"].codes[order], texts["run_id"].codes[order]
+    at, count, ended = (np.concatenate([before[old], now])[order] for old, now in (
+        ("last_seen", rows["snapshot_at"]), ("last_bytes", rows["read_bytes"]), ("stopped", rows["status"].isin(ENDED))))
+    ended = ended.astype(bool)
+    same = (task[1:] == task[:-1]) & (run[1:] == run[:-1])
+    both = ended[1:] & ended[:-1]
+    stretch = np.cumsum(np.r_[True, ~(same & both)][:len(run)])
     least = pd.Series(count).groupby(stretch).cummin().to_numpy()
-    fresh = np.r_[not carried, ~same | (count[1:] < least[:-1]) | (ended[:-1] & ~ended[1:])]
+    fresh = np.r_[True, ~same | (count[1:] < least[:-1]) | (ended[:-1] & ~ended[1:])][:len(run)]
     place = np.arange(len(run))
-    frozen = np.r_[False, both] & ~fresh
+    frozen = np.r_[False, both][:len(run)] & ~fresh
     begin, now = np.maximum.accumulate(np.where(fresh, place, 0)), np.maximum.accumulate(np.where(frozen, 0, place))
     first_at, first_count = at.copy(), count.copy()
-    if carried:
-        first_at[0], first_count[0] = state[1], state[2]
+    first_at[carried], first_count[carried] = before["first_seen"].to_numpy()[order[carried]], before["base_bytes"].to_numpy()[order[carried]]
     elapsed = np.maximum(0.0, at[now] - first_at[begin])
     rate = np.full(len(run), np.nan)
     np.divide((count[now] - first_count[begin]) * 8, elapsed, out=rate, where=elapsed > 0)
-    left = int(carried)
-    out = rows.assign(elapsed_seconds=elapsed[left:], average_mbps=rate[left:] / 1e6)
-    name = rows["run_id"].iloc[-1]
-    return out, (None if pd.isna(name) else name, float(first_at[begin[-1]]), int(first_count[begin[-1]]), int(count[now[-1]]), float(at[now[-1]]), bool(ended[-1]))
+    out = rows.iloc[order[~carried] - len(before)].assign(elapsed_seconds=elapsed[~carried], average_mbps=rate[~carried] / 1e6)
+    ends = np.flatnonzero(np.r_[task[1:] != task[:-1], True][:len(task)])
+    after = pd.DataFrame({
+        "task_id": texts["task_id"][order[ends]].astype(object), "run_id": texts["run_id"][order[ends]].astype(object), "first_seen": first_at[begin[ends]],
+        "base_bytes": first_count[begin[ends]], "last_bytes": count[now[ends]], "last_seen": at[now[ends]], "stopped": ended[ends],
+        "seen_ms": _seen(before, order[ends], now_ms)})
+    return out, after
 
 
-class WatchProcessor(StatefulProcessor):
-    """One watch window per task. A new run, a smaller counter or a resumed task starts a new window;
-    an ended task is frozen; a queued one shows nothing. State is one row per task."""
+def _seen(before: pd.DataFrame, last: np.ndarray, now_ms: int) -> np.ndarray:
+    """When the tasks last came, by the places of their last rows: those that end with the state's row keep its time."""
+    return np.r_[before["seen_ms"].to_numpy(), now_ms][np.minimum(last, len(before))]
 
-    def __init__(self, expire_days: int | None = None):
-        self.expire_ms = expire_days * DAY_MS if expire_days else None
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = "run_id string, first_seen double, base_bytes bigint, last_bytes bigint, last_seen double, stopped boolean"
-        self.window = handle.getValueState("window", schema, self.expire_ms)
+def watch_windows(rows: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple | None]:
+    """``watch_tasks`` of one task, its state a tuple without the task."""
+    before = _state(WINDOWS, [] if state is None else [(None, *state, 0)])
+    out, after = watch_tasks(rows.assign(task_id=pd.Categorical([None] * len(rows))), before)
+    if after.empty:
+        return out, None
+    name, *numbers = after.drop(columns=["task_id", "seen_ms"]).iloc[0].tolist()
+    return out, (None if pd.isna(name) else name, *numbers)
+
+
+def task_changes(rows: pd.DataFrame, before: pd.DataFrame, now_ms: int = 0) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The steps between the snapshots of many tasks, each task's in order, and the last snapshot of all; a repeated or stale
+    one adds nothing."""
+    texts, order, begins = _joined(TASK, before, rows)
+    carried = order < len(before)
+    at, count = (np.concatenate([before[c], rows[c]])[order] for c in ("snapshot_at", "read_bytes"))
+    place = np.cumsum(begins)
+    newest = np.where(begins & carried, at, -np.inf)[begins][place - 1] if len(at) else at
+    kept = carried | ((begins | (at > np.r_[-np.inf, at][:-1])) & (at > newest))
+    order, carried, at, count, place = order[kept], carried[kept], at[kept], count[kept], place[kept]
+    first = np.r_[True, place[1:] != place[:-1]][:len(place)]
+    prev_at = np.where(first, np.nan, np.r_[np.nan, at][:-1])[~carried]
+    change = pd.array(count - np.r_[count[:1], count][:len(count)], "Int64")
+    change[first] = pd.NA
+    out = rows.iloc[order[~carried] - len(before)].rename(columns={"read_bytes": "bytes"}).assign(prev_at=prev_at, change=change[~carried])
+    ends = np.flatnonzero(np.r_[first[1:], True][:len(first)])
+    last = {k: texts[k][order[ends]].astype(object) for k in TASK}
+    return out, pd.DataFrame({**last, "snapshot_at": at[ends], "read_bytes": count[ends], "seen_ms": _seen(before, order[ends], now_ms)})
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, ["run_id", "status"])
-        out, state = watch_windows(batch, self.window.get() if self.window.exists() else None)
-        if state is not None:
-            self.window.update(state)
-        for start in range(0, len(out), OUT_ROWS):
-            part = out.iloc[start:start + OUT_ROWS].astype({"run_id": object, "status": object})
-            yield part.assign(task_id=key[0])[["task_id", "run_id", "status", "snapshot_at", "elapsed_seconds", "average_mbps"]]
 
-    def close(self) -> None:
-        pass
+def counter_changes(rows: pd.DataFrame, before: tuple | None) -> pd.DataFrame:
+    """``task_changes`` of one task."""
+    known = _state(NEWEST, [(None, None, None, *before, 0)] if before else [])
+    return task_changes(rows.assign(**{k: pd.Categorical([None] * len(rows)) for k in TASK}), known)[0]
 
 
-def counter_changes(rows: pd.DataFrame, before: tuple | None) -> pd.DataFrame:
-    """The steps between a task's snapshots in order; a repeated or stale one adds nothing."""
-    at = rows["snapshot_at"].to_numpy()
-    new = np.r_[True, at[1:] > at[:-1]][:len(at)] & (at > (before[0] if before else -np.inf))
-    kept = rows[new]
-    previous = kept[["snapshot_at", "read_bytes"]].shift()
-    if before and len(kept):
-        previous.iloc[0] = before
-    change = kept["read_bytes"] - previous["read_bytes"].astype("Int64")
-    return kept.rename(columns={"read_bytes": "bytes"}).assign(prev_at=previous["snapshot_at"], change=change)
-
-
-class StepProcessor(StatefulProcessor):
-    """T02, first stage: the step of every task's counter since its own previous snapshot in the run."""
+TASK = ["scope", "run_id", "task_id"]
+WINDOWS = {"task_id": "str", "run_id": "str", "first_seen": "f8", "base_bytes": "i8", "last_bytes": "i8", "last_seen": "f8", "stopped": "bool", "seen_ms": "i8"}
+NEWEST = {**{k: "str" for k in TASK}, "snapshot_at": "f8", "read_bytes": "i8", "seen_ms": "i8"}
+
+
+def _state(kinds: dict[str, str], rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=list(kinds)).astype({c: object if k == "str" else k for c, k in kinds.items()})
+
+
+class _TaskStates(StatefulProcessor):
+    """Tasks dealt into ``BUCKETS`` by hash: one call, one reading and one writing of state serve all tasks of a bucket. The
+    state is a row a task, a bucket's rows one Arrow table. A task that was silent for ``expire_days`` has none."""
+
+    kinds: dict[str, str]
+    texts: list[str]
 
     def __init__(self, expire_days: int | None = None):
         self.expire_ms = expire_days * DAY_MS if expire_days else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.previous = handle.getValueState("previous", "snapshot_at double, bytes bigint", self.expire_ms)
+        self.held = handle.getValueState("tasks", "rows binary", self.expire_ms)
+
+    def advance(self, batch: pd.DataFrame, before: pd.DataFrame, now_ms: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self.previous.get() if self.previous.exists() else None
-        out = counter_changes(_in_order(rows, []), before)
-        if len(out):
-            self.previous.update((float(out["snapshot_at"].iloc[-1]), int(out["bytes"].iloc[-1])))
+        batch, now = _in_order(rows, self.texts), timerValues.getCurrentProcessingTimeInMs() if self.expire_ms else 0
+        if batch.empty:
+            return
+        before = pa.ipc.open_stream(self.held.get()[0]).read_all().to_pandas() if self.held.exists() else _state(self.kinds, [])
+        if self.expire_ms:
+            before = before[before["seen_ms"] > now - self.expire_ms].reset_index(drop=True)
+        out, after = self.advance(batch, before, now)
+        table = pa.Table.from_pandas(after, pa.schema([(c, ARROW[k]) for c, k in self.kinds.items()]), preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as stream:
+            stream.write_table(table)
+        self.held.update((sink.getvalue().to_pybytes(),))
         for start in range(0, len(out), OUT_ROWS):
-            part = out.iloc[start:start + OUT_ROWS].assign(scope=key[0], run_id=key[1])
-            yield part[["scope", "run_id", "snapshot_at", "prev_at", "bytes", "change", "started_at"]]
+            yield out.iloc[start:start + OUT_ROWS].astype({c: object for c in self.texts})[self.columns]
 
     def close(self) -> None:
         pass
 
 
+class WatchProcessor(_TaskStates):
+    """One watch window per task. A new run, a smaller counter or a resumed task starts a new window;
+    an ended task is frozen; a queued one shows nothing."""
+
+    kinds, texts = WINDOWS, ["task_id", "run_id", "status"]
+    columns = ["task_id", "run_id", "status", "snapshot_at", "elapsed_seconds", "average_mbps"]
+
+    def advance(self, batch, before, now_ms):
+        return watch_tasks(batch, before, now_ms)
+
+
+class StepProcessor(_TaskStates):
+    """T02, first stage: the step of every task's counter since its own previous snapshot in the run."""
+
+    kinds, texts = NEWEST, TASK
+    columns = ["scope", "run_id", "snapshot_at", "prev_at", "bytes", "change", "started_at"]
+
+    def advance(self, batch, before, now_ms):
+        return task_changes(batch, before, now_ms)
+
+
 def watch_rates(snapshots: DataFrame, expire_days: int | None = None) -> DataFrame:
     """T01 over a stream of snapshots: elapsed time and average rate of every task's watch window.
 
     A monitor that never stops should let the state of silent tasks expire; a run that drains a folder
     cannot (expiry keeps a stream ticking for ever).
     """
-    return _stateful(snapshots.groupBy("task_id"), snapshots, WatchProcessor(expire_days), WATCH, "Update", expire_days)
+    return _stateful(snapshots, ["task_id"], WatchProcessor(expire_days), WATCH, "Update", expire_days)
 
 
 def counter_steps(snapshots: DataFrame, expire_days: int | None = None) -> DataFrame:
     """T02 over a stream, first stage: keyed by task, so a scope with many tasks spreads over the cluster."""
     usable = snapshots.filter(~F.col("status").isin(*SILENT) & F.col("read_bytes").isNotNull())
-    return _stateful(usable.groupBy("scope", "run_id", "task_id"), snapshots, StepProcessor(expire_days), STEP, "Append", expire_days)
+    return _stateful(usable, TASK, StepProcessor(expire_days), STEP, "Append", expire_days)
 
 
-def _stateful(grouped, snapshots, processor, schema, mode, expire_days):
+def _stateful(snapshots, keys, processor, schema, mode, expire_days):
+    grouped = snapshots.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))).groupBy("bucket")
     snapshots.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return grouped.transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode="ProcessingTime" if expire_days else "None")

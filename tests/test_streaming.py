@@ -184,3 +184,75 @@ def test_listings_need_no_python_worker(spark, tmp_path):
     stream = ig.newer_listings(ig.read_folder(spark, f"{tmp_path}/in", "asset_id string, scan string, key string", "parquet"), ["scan"])
     plan = stream._jdf.queryExecution().analyzed().toString()
     assert "Python" not in plan and "max_by" in plan
+
+
+def test_tasks_of_one_bucket_do_not_meet():
+    """Many tasks in one call, with names and runs that may be null, give what each gives on its own; so do their states."""
+    chance, kinds = random.Random(9), {"read_bytes": "int64", "snapshot_at": "float64"}
+    for _ in range(150):
+        names, own_window, own_last = ["a", "b", "c", None], {}, {}
+        windows, newest = rt._state(rt.WINDOWS, []), rt._state(rt.NEWEST, [])
+        for _ in range(3):
+            told = [("all", chance.choice(names), chance.choice(["r", "s", None]), chance.choice(["fetching", "complete", "paused"]), chance.randint(0, 6), float(chance.randint(0, 30)), 0.0)
+                    for _ in range(chance.randint(0, 14))]
+            rows = pd.DataFrame(told, columns=["scope", "task_id", "run_id", "status", "read_bytes", "snapshot_at", "started_at"]).astype(
+                {**kinds, "started_at": "float64", **{c: "category" for c in ("scope", "task_id", "run_id", "status")}})
+            rows = rows.sort_values("snapshot_at", kind="stable", ignore_index=True)
+            got, windows = rt.watch_tasks(rows, windows)
+            steps, newest = rt.task_changes(rows, newest)
+            for name in names:
+                mine = rows["task_id"].isna() if name is None else rows["task_id"] == name
+                want, own_window[name] = rt.watch_windows(rows[mine].reset_index(drop=True), own_window.get(name))
+                same = got["task_id"].isna() if name is None else got["task_id"] == name
+                shown = ["snapshot_at", "elapsed_seconds", "average_mbps"]
+                np.testing.assert_array_equal(got[same][shown].to_numpy("float64"), want[shown].to_numpy("float64"))
+                for run in ("r", "s", None):
+                    here = mine & (rows["run_id"].isna() if run is None else rows["run_id"] == run)
+                    mine_too = (steps["task_id"].isna() if name is None else steps["task_id"] == name) & (steps["run_id"].isna() if run is None else steps["run_id"] == run)
+                    last, want = own_last.get((name, run)), []
+                    for r in rows[here].itertuples():
+                        if last is None or r.snapshot_at > last[0]:
+                            want.append((r.snapshot_at, last and last[0], r.read_bytes, last and r.read_bytes - last[1]))
+                            last = (r.snapshot_at, r.read_bytes)
+                    own_last[name, run] = last
+                    found = steps[mine_too][["snapshot_at", "prev_at", "bytes", "change"]].astype(object)
+                    assert [tuple(None if pd.isna(x) else x for x in r) for r in found.itertuples(index=False)] == want
+        for name, state in own_window.items():
+            held = windows[windows["task_id"].isna() if name is None else windows["task_id"] == name]
+            assert len(held) == (state is not None)
+            assert state is None or tuple(None if pd.isna(x) else x for x in held.iloc[0].tolist()[1:-1]) == state
+
+
+def test_one_call_serves_the_tasks_of_a_bucket(monkeypatch):
+    """Calls of a stream's processor are per bucket, however many tasks there are; silent ones lose their state."""
+    class Held:
+        value = None
+        exists, get = (lambda self: self.value is not None), (lambda self: self.value)
+
+        def update(self, value):
+            self.value = value
+
+    class Clock:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.ms
+
+    processor = rt.WatchProcessor(expire_days=1)
+    processor.held = Held()
+
+    def run(at, ms, tasks):
+        rows = pd.DataFrame({"bucket": 1, "scope": "all", "task_id": tasks, "run_id": "r", "status": "fetching", "read_bytes": int(at), "started_at": 0.0, "snapshot_at": at})
+        return {r.task_id: r.elapsed_seconds for part in processor.handleInputRows((1,), iter([rows]), Clock(ms)) for r in part.itertuples()}
+
+    assert len(run(0.0, 0, [f"t{i}" for i in range(5000)])) == 5000
+    assert run(10.0, rt.DAY_MS - 1, ["t1"]) == {"t1": 10.0}
+    assert run(20.0, rt.DAY_MS, ["t1", "t2"]) == {"t1": 20.0, "t2": 0.0}
+
+
+def test_streams_deal_tasks_into_buckets(spark, tmp_path):
+    spark.createDataFrame([], rt.SNAPSHOT).write.json(f"{tmp_path}/in")
+    for steps in (rt.watch_rates, rt.counter_steps):
+        plan = steps(ig.read_folder(spark, f"{tmp_path}/in", rt.SNAPSHOT))._jdf.queryExecution().analyzed().toString()
+        assert "TransformWithStateInP" in plan and "bucket" in plan, plan
