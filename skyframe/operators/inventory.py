@@ -388,11 +388,12 @@ def band_sequences(scans: DataFrame, series: list[str], time: str = "time") -> D
     scans: series columns, time, grid_hash, images array of (band, origin, size).
     """
     rows = scans.withColumn("_i", F.explode("images")).select(
-        *series, time, "grid_hash", F.size("images").alias("available_bands"), F.col("_i.band").alias("band"),
+        *series, time, F.size("images").alias("available_bands"), F.col("_i.band").alias("band"),
         F.col("_i.origin").alias("origin"), F.col("_i.size").alias("size"), micros(time).alias("_us"))
     grids = scans.groupBy(*series).agg(F.count_distinct("grid_hash").alias("_n"))
-    same = guard(grids, F.col("_n") == 1, "The grid changed between scans").select(*series)
-    return with_ordinal(rows.join(same, series), [*series, "band"], ["_us", "origin"], "scan_index").drop("_us")
+    # One row says it of all series; a join by series would put each of them into one task.
+    same = guard(grids.agg(F.count_if(F.col("_n") != 1).alias("_changed")), F.col("_changed") == 0, "The grid changed between scans")
+    return with_ordinal(rows.crossJoin(F.broadcast(same)).drop("_changed"), [*series, "band"], ["_us", "origin"], "scan_index").drop("_us")
 
 
 def completion_offsets(attempts: DataFrame, bands: list[int]) -> DataFrame:

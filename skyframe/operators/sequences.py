@@ -33,12 +33,14 @@ def with_block(df: DataFrame, keys: list[str], order: list[Column], parts: int |
 
 
 def _scan(df, keys, order, parts):
-    """Blocked rows plus the window inside a block and the window along the blocks of a key."""
+    """Blocked rows, the same dealt to a task a block, the window inside a block and the window along the blocks of a key."""
     columns = [F.col(o) for o in order]
     blocked = with_block(df, keys, columns, parts)
+    # By their number: hashes of blocks collide, and a task would read several of them.
+    dealt = blocked.repartitionById(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_block")
     inside = Window.partitionBy(*keys, "_block").orderBy(*columns)
     along = Window.partitionBy(*keys).orderBy("_block")
-    return blocked, inside, along
+    return blocked, dealt, inside, along
 
 
 def _attach(rows, carry, keys):
@@ -48,9 +50,9 @@ def _attach(rows, carry, keys):
 def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list[str],
                   prefix: str = "prev_", parts: int | None = None) -> DataFrame:
     """Add the values of the preceding row of the key (``lag``). Order columns must be ascending."""
-    blocked, inside, along = _scan(df, keys, order, parts)
+    blocked, dealt, inside, along = _scan(df, keys, order, parts)
     kept = F.struct(*[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
-    rows = blocked.withColumn("_lag", F.lag(kept).over(inside))
+    rows = dealt.withColumn("_lag", F.lag(kept).over(inside))
     tails = blocked.groupBy(*keys, "_block").agg(
         F.max(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], kept.alias("kept"))).alias("_tail"))
     carry = tails.select(*keys, "_block", F.lag("_tail.kept").over(along).alias("_carry"))
@@ -76,12 +78,12 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], value: str
         if following:
             found.append(F.last(value, ignorenulls=True).over(whole.orderBy(*back).rowsBetween(*behind)).alias(following))
         return df.select("*", *found)
-    blocked, inside, along = _scan(df, keys, order, parts)
+    blocked, dealt, inside, along = _scan(df, keys, order, parts)
     position = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
     known = F.when(F.col(value).isNotNull(), position)
     kept = F.struct(F.col(value).alias("v"))
     edges = blocked.groupBy(*keys, "_block").agg(F.max_by(kept, known).alias("_tail"), F.min_by(kept, known).alias("_head"))
-    rows, carry, out = blocked, [], list(df.columns)
+    rows, carry, out = dealt, [], list(df.columns)
     if last:
         rows = rows.withColumn("_behind", F.last(value, ignorenulls=True).over(inside.rowsBetween(*behind)))
         earlier = along.rowsBetween(Window.unboundedPreceding, -1)
@@ -105,11 +107,11 @@ def with_runnings(df: DataFrame, keys: list[str], order: list[str], values: dict
                   parts: int | None = None) -> DataFrame:
     """Add several running totals in one scan, by name, and the key's totals of those that ``totals`` names."""
     source = df.withColumns({f"_value{i}": v for i, v in enumerate(values.values())})
-    blocked, inside, along = _scan(source, keys, order, parts)
+    blocked, dealt, inside, along = _scan(source, keys, order, parts)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier, whole = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
     n = range(len(values))
-    rows = blocked.withColumns({f"_here{i}": F.sum(f"_value{i}").over(upto) for i in n})
+    rows = dealt.withColumns({f"_here{i}": F.sum(f"_value{i}").over(upto) for i in n})
     tails = blocked.groupBy(*keys, "_block").agg(*[F.sum(f"_value{i}").alias(f"_part{i}") for i in n])
     carry = tails.select(*keys, "_block", *[F.coalesce(F.sum(f"_part{i}").over(earlier), F.lit(0)).alias(f"_carry{i}") for i in n],
                          *[F.sum(f"_part{i}").over(whole).alias(f"_total{i}") for i in n])
@@ -122,9 +124,9 @@ def with_runnings(df: DataFrame, keys: list[str], order: list[str], values: dict
 def with_running_max(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,
                      parts: int | None = None) -> DataFrame:
     """Add the greatest ``value`` over all *earlier* rows of the key (NULL on the first)."""
-    blocked, inside, along = _scan(df, keys, order, parts)
+    blocked, dealt, inside, along = _scan(df, keys, order, parts)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    rows = blocked.withColumn("_here", F.max(value).over(before))
+    rows = dealt.withColumn("_here", F.max(value).over(before))
     tails = blocked.groupBy(*keys, "_block").agg(F.max(value).alias("_top"))
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     carry = tails.select(*keys, "_block", F.max("_top").over(earlier).alias("_carry"))

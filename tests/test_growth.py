@@ -181,3 +181,29 @@ def test_adoption_of_assets_in_one_store_only(spark):
     wanted = rows(("a", "x"), ("b", "x"), ("b", "y"), ("c", "z"), (None, "n"))
     got = mg.adoption_audit(wanted, rows(("a", "x"), ("z", "x"), (None, "q")), rows(("a", "x"), ("b", "y"), ("b", "y"), (None, "r")))
     assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", "already_shared", 1), ("b", "moved", 1), ("c", "not_present", 0), (None, "not_present", 0)], key=str)
+
+
+def test_a_task_reads_one_range_of_an_ordered_scan(spark):
+    """Hashes of the ranges' numbers collide: of 16 ranges some tasks had several and others none."""
+    rows = spark.range(4000).select((F.col("id") % 3).alias("k"), F.col("id").alias("at"))
+    dealt = sq._scan(rows, ["k"], ["at"], 16)[1]
+    held = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("_block").alias("n")).collect()
+    assert len(held) > 12 and {r.n for r in held} == {1}
+    scanned = sq.with_ordinal(rows, ["k"], ["at"], parts=16)
+    assert scanned.filter("ordinal <> (at - k) div 3").count() == 0
+
+
+def test_scans_of_few_series_are_not_dealt_by_series(spark, monkeypatch):
+    import pytest
+
+    from skyframe.operators import inventory as iv
+
+    plans, keep = [], sq.written
+    monkeypatch.setattr(sq, "written", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, name))
+    at, kinds = datetime(2024, 1, 1), "product string, time timestamp_ntz, grid_hash string, images array<struct<band: int, origin: string, size: long>>"
+    scans = [(p, at + timedelta(hours=h), "g", [(b, f"{p}{h}", 1) for b in (1, 2)]) for p in ("x", "y", None) for h in (2, 0, 1)]
+    got = iv.band_sequences(spark.createDataFrame(scans, kinds), ["product"]).select("product", "band", "origin", "scan_index").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((p, b, f"{p}{h}", h) for p in ("x", "y", None) for b in (1, 2) for h in range(3)), key=str)
+    assert "SortMergeJoin" not in plans[0] and "HashJoin" not in plans[0], plans[0]
+    with pytest.raises(Exception, match="grid changed"):
+        iv.band_sequences(spark.createDataFrame([*scans, ("x", at, "h", [(1, "o", 1)])], kinds), ["product"]).collect()
