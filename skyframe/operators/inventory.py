@@ -84,20 +84,20 @@ def mode_histogram(assets: DataFrame, keys: list[str], mode: str = "mode") -> Da
 def progress_states(selected: DataFrame, archived: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Per (product, satellite, month, band) how many objects are archived, corrupt, checkpointed or
     pending. Archived beats checkpointed; a checkpoint counts only its verified prefix."""
-    keys = ["product", "asset_id"]
-    seen = archived.groupBy(*keys).agg(
-        F.max_by(F.col("status"), F.col("path")).alias("_archived"), F.first("satellite").alias("_sat"),
-        F.first("month").alias("_month"), F.first("band").alias("_band"), F.lit(1).alias("_is"))
-    listed = selected.groupBy(*keys).agg(*[F.first(c).alias(c) for c in ("satellite", "month", "band")])
-    objects = listed.join(seen, keys, "full_outer").select(
-        *keys, F.coalesce("satellite", "_sat").alias("satellite"), F.coalesce("month", "_month").alias("month"),
-        F.coalesce("band", "_band").alias("band"), "_archived", "_is")
+    # All that is told of an asset goes through one shuffle, by the asset alone, so that checkpoints without a product meet
+    # its products there; an asset's products are few.
     sound = F.col("next_index").between(0, F.size("asset_ids"))
     prefix = checkpoints.filter(sound).select(
-        "product", "stamp", F.explode(F.slice("asset_ids", F.lit(1), F.col("next_index"))).alias("asset_id"))
-    own = prefix.filter("product is not null").groupBy(*keys).agg(F.max("stamp").alias("_own"))
-    loose = prefix.filter("product is null").groupBy("asset_id").agg(F.max("stamp").alias("_loose"))
-    rows = objects.join(own, keys, "left").join(loose, "asset_id", "left")
+        F.lit(2).alias("_told"), "product", "stamp", F.explode(F.slice("asset_ids", F.lit(1), F.col("next_index"))).alias("asset_id"))
+    places = ["satellite", "month", "band"]
+    told = selected.select(F.lit(0).alias("_told"), "product", "asset_id", *places).unionByName(
+        archived.select(F.lit(1).alias("_told"), "product", "asset_id", *places, F.struct("path", "status").alias("_archived")), True).unionByName(prefix, True)
+    which = F.col("_told")
+    objects = told.repartition("asset_id").groupBy("asset_id", "product").agg(
+        *[F.coalesce(F.max(F.when(which == 0, F.col(c))), F.max(F.when(which == 1, F.col(c)))).alias(c) for c in places],
+        F.max("_archived")["status"].alias("_archived"), F.max(F.when(which == 1, 1)).alias("_is"), F.min("_told").alias("_first"), F.max("stamp").alias("_stamp"))
+    own, loose = F.when(F.col("product").isNotNull(), F.col("_stamp")), F.when(F.col("product").isNull(), F.col("_stamp"))
+    rows = objects.withColumn("_own", own).withColumn("_loose", F.max(loose).over(Window.partitionBy("asset_id"))).filter("_first < 2")
     state = (F.when(F.col("_archived") == "corrupt_source", "corrupt_source").when(F.col("_is") == 1, "archived")
              .when(F.coalesce("_own", "_loose").isNotNull(), "checkpointed").otherwise("pending"))
     rows = rows.withColumn("state", state)

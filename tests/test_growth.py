@@ -207,3 +207,23 @@ def test_scans_of_few_series_are_not_dealt_by_series(spark, monkeypatch):
     assert "SortMergeJoin" not in plans[0] and "HashJoin" not in plans[0], plans[0]
     with pytest.raises(Exception, match="grid changed"):
         iv.band_sequences(spark.createDataFrame([*scans, ("x", at, "h", [(1, "o", 1)])], kinds), ["product"]).collect()
+
+
+def test_what_is_told_of_an_asset_is_shuffled_once(spark):
+    from skyframe.operators import inventory as iv
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        place = "product string, asset_id string, satellite int, month string, band int"
+        selected = spark.createDataFrame([(p, a, 16, "2024-01", 1) for p, a in (("P", "a"), ("P", "b"), ("P", "b"), ("P", "c"), ("Q", "c"), ("P", "d"), ("P", "e"), ("Q", "x"))], place)
+        archived = spark.createDataFrame([("P", "a", 16, "2024-01", 1, "2", "corrupt_source"), ("P", "a", 16, "2024-01", 1, "1", "saved"), ("P", "b", 16, "2024-01", 1, "1", "saved"),
+                                          ("Q", "z", 17, "2024-02", 2, "1", "saved")], f"{place}, path string, status string")
+        points = spark.createDataFrame([("P", ["c", "d"], 1, 5), (None, ["c", "e", "x"], 2, 9), (None, ["x"], 2, 7), ("R", ["d"], 1, 3)],
+                                       "product string, asset_ids array<string>, next_index int, stamp long")
+        found = iv.progress_states(selected, archived, points)
+        assert _shuffles(found) == 2
+        got = {(r.product, r.satellite): tuple(r)[4:] for r in found.collect()}
+        assert got == {("P", 16): (5, 1, 1, 2, 1, 9, 80.0, "in_progress"), ("Q", 16): (2, 0, 0, 1, 1, 9, 50.0, "in_progress"), ("Q", 17): (1, 1, 0, 0, 0, None, 100.0, "complete")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
