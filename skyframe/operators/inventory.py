@@ -176,20 +176,20 @@ def archive_accounting(members: DataFrame, key: str = "path") -> DataFrame:
     return out.withColumn("container_overhead_bytes", F.col("_whole") - F.col("member_bytes")).drop("_whole")
 
 
-def member_source_bytes(members: DataFrame, catalog: DataFrame, manifest: DataFrame, checkpoints: DataFrame) -> DataFrame:
+def member_source_bytes(members: DataFrame, catalog: DataFrame, manifest: DataFrame, checkpoints: DataFrame, key: str = "path") -> DataFrame:
     """Source size of a member: catalog sizes when all its ids are known, else its manifest's when all
     known, else the month checkpoint's total, else NULL.
 
-    members: path, month, asset_ids; catalog: asset_id, size; manifest: path, source_bytes per asset;
-    checkpoints: month, listed_bytes.
+    members: the key, month, asset_ids, any others that stay; catalog: asset_id, size; manifest: the key, source_bytes per
+    asset; checkpoints: month, listed_bytes. A short key keeps the shuffles small.
     """
-    ids = members.select("path", F.explode("asset_ids").alias("asset_id")).join(
+    ids = members.select(key, F.explode("asset_ids").alias("asset_id")).join(
         catalog.groupBy("asset_id").agg(F.max("size").alias("size")), "asset_id", "left")
-    by_catalog = ids.groupBy("path").agg(all_known_sum("size").alias("_catalog"))
-    by_manifest = manifest.groupBy("path").agg(all_known_sum("source_bytes").alias("_manifest"))
-    rows = members.join(by_catalog, "path", "left").join(by_manifest, "path", "left").join(
+    by_catalog = ids.groupBy(key).agg(all_known_sum("size").alias("_catalog"))
+    by_manifest = manifest.groupBy(key).agg(all_known_sum("source_bytes").alias("_manifest"))
+    rows = members.join(by_catalog, key, "left").join(by_manifest, key, "left").join(
         checkpoints.select("month", F.col("listed_bytes").alias("_listed")), "month", "left")
-    return rows.select("path", "month", F.coalesce("_catalog", "_manifest", "_listed").alias("source_bytes"))
+    return rows.select(*[c for c in members.columns if c != "asset_ids"], F.coalesce("_catalog", "_manifest", "_listed").alias("source_bytes"))
 
 
 def merge_new_rows(prior: DataFrame, listed: DataFrame, issues: DataFrame, key: str = "asset_id") -> DataFrame:

@@ -225,5 +225,7 @@ def test_what_is_told_of_an_asset_is_shuffled_once(spark):
         assert _shuffles(found) == 2
         got = {(r.product, r.satellite): tuple(r)[4:] for r in found.collect()}
         assert got == {("P", 16): (5, 1, 1, 2, 1, 9, 80.0, "in_progress"), ("Q", 16): (2, 0, 0, 1, 1, 9, 50.0, "in_progress"), ("Q", 17): (1, 1, 0, 0, 0, None, 100.0, "complete")}
+        # The rows of an order stay where the join of its lines put them.
+        assert _shuffles(QUERIES["a38_member_source_bytes"](spark, "/root/testdata/sf0.001")) <= 15
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
