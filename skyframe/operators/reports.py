@@ -121,28 +121,34 @@ MEDIANS = ["wall_seconds", "returned_bytes", "peak_rss_bytes", "download_seconds
 def measurement_rows(measurements: DataFrame) -> DataFrame:
     """One row per timed record of a nested measurement, however deep it lies.
 
-    The documents are opened level by level: a record's own fields are read, its branches become the next level's
-    documents, as texts. There are as many rounds as the deepest document has levels, over ever fewer rows.
+    The documents are opened level by level: a text is parsed once, for its record's fields and its branches, whose members
+    are the next level's documents, as texts. There are as many rounds as the deepest document has levels, over ever fewer
+    rows. A text that is no JSON object has neither.
     """
     own = ["stage:string", "scope:string", "method:string", "product:string", "band:int", "profile:struct<read_mode:string>", *[f"{m}:double" for m in MEASURES]]
+    whole = f"struct<{','.join([*own, *[f'{b}:array<string>' for b in BRANCHES]])}>"
     level, found = measurements.select(F.col("kind").alias("_kind"), F.col("payload").alias("n")), []
     while True:
-        level = written(level.filter(F.col("n").startswith("{")), "measurements")
+        texts = level.filter(F.col("n").startswith("{"))
         # Through a generator: field by field Spark would parse the document again for each.
-        timed = level.filter(F.arrays_overlap(F.json_object_keys("n"), F.array(*[F.lit(t) for t in TIMED])))
-        fields = timed.select("_kind", F.explode(F.array(F.from_json("n", f"struct<{','.join(own)}>"))).alias("n"))
-        found.append(fields.select(
-            F.concat(F.col("_kind"), F.lit(":"), F.coalesce("n.stage", "n.scope", F.lit(""))).alias("scope"),
+        fields = texts.select("_kind", F.col("n").alias("_text"), F.explode(F.array(F.from_json("n", whole))).alias("n"))
+        # A field that is there without a number marks a record too; only that takes another look at the text.
+        named = F.coalesce(F.arrays_overlap(F.json_object_keys("_text"), F.array(*[F.lit(t) for t in TIMED])), F.lit(False))
+        timed = F.when(F.coalesce(*[F.col(f"n.{t}") for t in TIMED]).isNotNull(), F.lit(True)).otherwise(named)
+        none = F.array().cast("array<string>")
+        held = written(fields.select(
+            "_kind", timed.alias("_timed"), F.concat(F.col("_kind"), F.lit(":"), F.coalesce("n.stage", "n.scope", F.lit(""))).alias("scope"),
             F.coalesce("n.method", "n.profile.read_mode").alias("method"), F.col("n.product").alias("product"),
-            F.col("n.band").alias("band"), *[F.col(f"n.{m}").alias(m) for m in MEASURES]))
-        lists = [F.get_json_object("n", f"$.{b}") for b in BRANCHES]
-        below = F.flatten(F.array(*[F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.array().cast("array<string>")) for text in lists]))
-        children = level.select("_kind", F.explode(below).alias("c"))
-        # A child that carries a summary is represented by it.
-        summed = F.coalesce(F.array_contains(F.json_object_keys("c"), "summary"), F.lit(False))
-        level = children.select("_kind", F.when(summed, F.get_json_object("c", "$.summary")).otherwise(F.col("c")).alias("n"))
-        if not level.filter(F.col("n").startswith("{")).limit(1).count():
+            F.col("n.band").alias("band"), *[F.col(f"n.{m}").alias(m) for m in MEASURES],
+            F.flatten(F.array(*[F.coalesce(f"n.{b}", none) for b in BRANCHES])).alias("_below")), "measurements")
+        found.append(held.filter("_timed").drop("_kind", "_timed", "_below"))
+        if not held.filter(F.size("_below") > 0).limit(1).count():
             break
+        children = held.select("_kind", F.explode("_below").alias("c"))
+        # A child that carries a summary is represented by it. Only a text with that word, or an escaped one, can have the key.
+        may = F.col("c").contains("summary") | F.col("c").contains("\\")
+        summed = F.coalesce(F.when(may, F.array_contains(F.json_object_keys("c"), "summary")), F.lit(False))
+        level = children.select("_kind", F.when(summed, F.get_json_object("c", "$.summary")).otherwise(F.col("c")).alias("n"))
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)

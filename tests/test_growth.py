@@ -229,3 +229,16 @@ def test_what_is_told_of_an_asset_is_shuffled_once(spark):
         assert _shuffles(QUERIES["a38_member_source_bytes"](spark, "/root/testdata/sf0.001")) <= 15
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_measurements_are_parsed_once_a_level(spark):
+    from skyframe.operators import reports as rp
+
+    payloads = ['{"wall_s": null, "method": "a", "band": 3}', '{"rows": [{"summary": {"wall_s": 1, "method": "b"}, "wall_s": 9}, {"s\\u0075mmary": {"wall_s": 2}}, {"summary": null, "wall_s": 9}, "x", 5]}',
+                '{"wall_seconds": 4, "rows": 7, "evidence": [{"rows": [{"download_seconds": 3, "stage": "deep"}]}], "summary": {"wall_s": 9}}', "not json", '{"band": 1}', None]
+    rows = rp.measurement_rows(spark.createDataFrame([("k", p) for p in payloads], "kind string, payload string"))
+    got = [(r.scope, r.method, r.band, r.wall_s, r.wall_seconds, r.download_seconds) for r in rows.collect()]
+    assert sorted(got, key=str) == sorted([("k:", "a", 3, None, None, None), ("k:", "b", None, 1.0, None, None), ("k:", None, None, 2.0, None, None),
+                                           ("k:", None, None, None, 4.0, None), ("k:deep", None, None, None, None, 3.0)], key=str)
+    # The fields lie in the written levels: what comes out parses nothing again.
+    assert "from_json" not in rows._jdf.queryExecution().optimizedPlan().toString()
