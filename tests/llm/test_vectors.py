@@ -105,3 +105,42 @@ def test_vectors_of_other_lengths(spark):
     assert {r.vec_id for r in neighbours.search(frame, "id = 0", 5).collect()} == {1, 3}
     assert {r.vec_id for r in exact_search.top_k(exact_search.as_integers(frame), "id = 0", 5).collect()} == {1, 3}
     assert frame.select(F.col("vec_id")).count() == 4
+
+
+def integers(spark, values, kept):
+    return spark.createDataFrame([(i, [int(c) for c in v]) for i, v in enumerate(values)], "vec_id long, vector array<long>").filter(kept).repartition(3)
+
+
+def plain_top(values, queries, k):
+    out = []
+    for q in queries:
+        s = [sum(int(a) * int(b) for a, b in zip(values[q], v)) for v in values]
+        order = sorted((i for i in range(len(values)) if i != q), key=lambda i: (-s[i], i))[:k]
+        out += [(q, n, i, s[i]) for n, i in enumerate(order, 1)]
+    return out
+
+
+@pytest.mark.parametrize("most", [3, 100, 40_000, 600_000_000])
+def test_top_k_in_many_tiles(spark, monkeypatch, most):
+    for name, value in (("ROW_BLOCK", 16), ("QUERY_BLOCK", 8), ("PIECE", 7), ("TILE", 200), ("PAIRS", 1)):
+        monkeypatch.setattr(exact_search, name, value)
+    rng = np.random.default_rng(most % 97)
+    values = rng.integers(-most, most, (150, 5), endpoint=True)
+    values[60:110] = values[60]  # ties beyond k
+    values[120:] //= 1000
+    got = exact_search.top_k(integers(spark, values, "true"), "id % 6 = 0", 7)
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == plain_top(values, range(0, 150, 6), 7)
+
+
+def test_pairs_of_blocks_are_neither_broadcast_nor_shuffled(spark, monkeypatch):
+    """Packed query blocks look small enough to broadcast, but there was one copy of them for every row block."""
+    plans, keep = [], exact_search.written
+    monkeypatch.setattr(exact_search, "written", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or keep(df, name))
+    for name, value in (("ROW_BLOCK", 16), ("QUERY_BLOCK", 8)):
+        monkeypatch.setattr(exact_search, name, value)
+    values = np.random.default_rng(1).integers(-50, 50, (300, 4))
+    out = exact_search.top_k(integers(spark, values, "true"), "id % 5 = 0", 3)
+    assert "Join" not in dict(plans)["cutoffs"]
+    joins = [line for line in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in line]
+    assert len(joins) == 1, joins  # the cutoffs, once a block of queries
+    assert out.count() == 180
