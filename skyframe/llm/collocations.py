@@ -8,10 +8,12 @@ one that holds the counts. No table of words or n-grams is broadcast or collecte
 
 from __future__ import annotations
 
+import itertools
 import math
-from bisect import bisect_right
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from array import array
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -111,6 +113,142 @@ class Automaton:
         return out.done()
 
 
+def by_rows(grams: np.ndarray) -> np.ndarray:
+    """The order of rows of numbers from 0, column by column."""
+    bits = int(grams.max(initial=0)).bit_length() or 1
+    keys, room = [], 0
+    for column in grams.T:
+        if room < bits:
+            keys.append(np.zeros(len(grams), np.int64))
+            room = 63
+        keys[-1] = keys[-1] << bits | column
+        room -= bits
+    return np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+
+
+def summed_rows(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows in order and the sums of their counts."""
+    order = by_rows(grams)
+    grams = grams[order]
+    first = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]).any(axis=1))) if len(grams) else np.zeros(0, np.int64)
+    return grams[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def automata_of(labels: list[bytes], grams: np.ndarray, counts: np.ndarray, size: int) -> Iterator[tuple]:
+    """Of every ``size`` paths the columns of the row that holds their minimal automaton, as ``Automaton.from_sorted`` makes it.
+
+    Paths are distinct rows in order: places in ``labels`` from 1, then noughts. All automata are made in one go: nodes of their
+    tries depth by depth, states from the lowest nodes to the roots. Nodes that hashes take for equal are compared; where one
+    is not, the nodes of that height stay states of their own.
+    """
+    n, depth = grams.shape
+    if not n:
+        return
+    length = (grams > 0).sum(axis=1)
+    differs = np.ones((n, depth), bool)
+    differs[1:] = grams[1:] != grams[:-1]
+    differs[::size] = True
+    first = differs.argmax(axis=1)
+    begins = np.arange(n) % size == 0
+    trees = int(begins.sum())
+    levels = [(np.zeros(trees, np.int64), np.zeros(trees, np.int64), np.zeros(trees, np.int64), np.arange(trees))]
+    above, base = np.cumsum(begins) - 1, trees
+    for d in range(1, depth + 1):
+        new = (first < d) & (length >= d)
+        at = np.flatnonzero(new)
+        levels.append((above[at], grams[at, d - 1].astype(np.int64), np.where(length[at] == d, counts[at], 0), at // size))
+        above, base = base + np.cumsum(new) - 1, base + len(at)
+    ends = np.cumsum([len(x[0]) for x in levels])
+    parent, label, weight, tree = (np.concatenate(x) for x in zip(*levels))
+    kids = np.bincount(parent[trees:], minlength=base)
+    start = trees + np.cumsum(kids) - kids  # the nodes below a node lie side by side
+    height = np.zeros(base, np.int64)
+    for a, b in zip(ends[-2::-1], ends[:0:-1]):
+        np.maximum.at(height, parent[a:b], height[a:b] + 1)
+
+    def below(nodes):
+        """Nodes below the given ones, and where each one's begin in them."""
+        many = kids[nodes]
+        begin = np.cumsum(many) - many
+        return np.repeat(start[nodes] - begin, many) + np.arange(many.sum()), begin
+
+    state, kept, made = np.zeros(base, np.int64), [], 0
+    for h in range(int(height.max()) + 1):
+        nodes = np.flatnonzero(height == h)
+        key = mixed(chained(mixed(weight[nodes].astype(np.uint64) + np.uint64(h)), tree[nodes].astype(np.uint64)))
+        if h:
+            arcs, begin = below(nodes)
+            key += np.add.reduceat(mixed(chained(mixed(label[arcs].astype(np.uint64)), state[arcs].astype(np.uint64))), begin)
+        _, index, of = np.unique(key, return_index=True, return_inverse=True)
+        like = nodes[index[of]]
+        same = (weight[nodes] == weight[like]) & (tree[nodes] == tree[like]) & (kids[nodes] == kids[like])
+        if h and same.all():
+            others = below(like)[0]
+            same = (label[arcs] == label[others]) & (state[arcs] == state[others])
+        if not same.all():
+            index = of = np.arange(len(nodes))
+        state[nodes] = made + of
+        kept.append(nodes[index])
+        made += len(index)
+    kept = np.concatenate(kept)
+    order = np.argsort(tree[kept], kind="stable")  # by height within a tree: a state comes after all that it leads to
+    kept = kept[order]
+    cuts = np.searchsorted(tree[kept], np.arange(trees + 1))
+    place = np.empty(made, np.int64)
+    place[order] = np.arange(made) - cuts[tree[kept]]
+    arcs, begin = below(kept)
+    weights, begin = weight[kept].astype("<i8"), np.append(begin, len(arcs))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        some = arcs[begin[a]:begin[b]]
+        used, own = np.unique(label[some], return_inverse=True)
+        flat = np.stack([own, place[state[some]]], axis=1).astype("<i4")
+        yield [labels[i - 1] for i in used.tolist()], weights[a:b].tobytes(), (begin[a:b + 1] - begin[a]).astype("<i4").tobytes(), flat.tobytes()
+
+
+def paths_of(rows: list[dict]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Labels in order, and of the paths of all these rows' automata the labels' places from 1 and the weights."""
+    known = sorted({x for r in rows for x in r["labels"]})
+    number = {x: i for i, x in enumerate(known, 1)}
+    label, to, weights, starts, roots = [], [], [], [], []
+    at = arcs = 0
+    for r in rows:
+        own, flat = np.array([number[x] for x in r["labels"]], np.int32), np.frombuffer(r["arcs"], "<i4").reshape(-1, 2)
+        label.append(own[flat[:, 0]] if len(flat) else own[:0])
+        to.append(flat[:, 1].astype(np.int64) + at)
+        weights.append(np.frombuffer(r["weights"], "<i8"))
+        starts.append(np.frombuffer(r["starts"], "<i4")[:-1].astype(np.int64) + arcs)
+        at, arcs = at + len(weights[-1]), arcs + len(flat)
+        roots.append(at - 1)
+    label, to, weights, starts = map(np.concatenate, (label, to, weights, starts))
+    many = np.diff(np.append(starts, arcs))
+    found, states, path = [], np.array(roots), np.zeros((len(roots), 0), np.int32)
+    while len(states):
+        good = weights[states] > 0
+        found.append((path[good], weights[states[good]]))
+        n = many[states]
+        some = np.repeat(starts[states] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        path, states = np.column_stack([np.repeat(path, n, axis=0), label[some]]), to[some]
+    grams = np.zeros((sum(len(p) for p, _ in found), max(1, len(found) - 1)), np.int32)
+    a = 0
+    for p, _ in found:
+        grams[a:a + len(p), :p.shape[1]] = p
+        a += len(p)
+    return known, grams, np.concatenate([w for _, w in found])
+
+
+class Paths(Sequence):
+    """Rows of labels' places from 1, read as paths."""
+
+    def __init__(self, labels: list[bytes], grams: np.ndarray):
+        self.labels, self.grams = labels, grams
+
+    def __len__(self) -> int:
+        return len(self.grams)
+
+    def __getitem__(self, i: int) -> tuple[bytes, ...]:
+        return tuple(self.labels[x - 1] for x in self.grams[i].tolist() if x)
+
+
 def united(automata: list[Automaton], least: int = 1) -> Automaton:
     """The automaton of all paths with summed weights, without those below ``least``."""
     out = Automaton()
@@ -154,42 +292,39 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-class Words(dict):
-    """Ids of one language's words, from a counter that all languages share."""
-
-    def __init__(self, lang: bytes, names: list, hashes: list):
-        super().__init__()
-        self.lang, self.names, self.hashes = lang, names, hashes
-        self.seed = xxhash.xxh64_intdigest(lang)
-
-    def __missing__(self, word: bytes) -> int:
-        id = self[word] = len(self.names)
-        self.names.append((self.lang, word))
-        self.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
-        return id
-
-
 class Flush:
     """Words of some documents as ids, with breaks between pieces."""
 
     def __init__(self):
-        self.names: list[tuple[bytes, bytes] | None] = [None]
-        self.hashes: list[int] = [0]
-        self.words: dict[bytes, Words] = {}
-        self.ids: list[int] = [BREAK]
+        self.next = itertools.count(BREAK + 1).__next__  # all languages share the ids
+        self.words: dict[bytes, defaultdict] = {}
+        self.ids = array("q", [BREAK])
 
     def add(self, lang: bytes, text: bytes) -> None:
         words = self.words.get(lang)
         if words is None:
-            words = self.words[lang] = Words(lang, self.names, self.hashes)
-            words[b"."] = BREAK
+            words = self.words[lang] = defaultdict(self.next, {b".": BREAK})
         self.ids.extend(map(words.__getitem__, text.translate(TABLE).replace(b".", b" . ").split()))
         self.ids.append(BREAK)
 
+    def by_language(self) -> Iterator[tuple[bytes, list[bytes], np.ndarray]]:
+        """Words of every language and their ids, without the break."""
+        for lang, words in self.words.items():
+            yield lang, list(itertools.islice(words, 1, None)), np.fromiter(itertools.islice(words.values(), 1, None), np.int64, len(words) - 1)
+
+    def size(self) -> int:
+        return 1 + sum(len(words) - 1 for words in self.words.values())
+
+    def hashes(self) -> np.ndarray:
+        out = np.zeros(self.size(), np.uint64)
+        for lang, words, ids in self.by_language():
+            out[ids] = np.fromiter(map(xxhash.xxh64_intdigest, words, itertools.repeat(xxhash.xxh64_intdigest(lang))), np.uint64, len(words))
+        return out
+
     def grams(self, most: int) -> Iterator[np.ndarray]:
         """For 1 to ``most`` words: hashes of all n-grams."""
         ids = np.array(self.ids, np.int64)
-        word = np.array(self.hashes, np.uint64)[ids]
+        word = self.hashes()[ids]
         whole, h = ids != BREAK, word
         for m in range(1, most + 1):
             if m > 1:
@@ -234,7 +369,7 @@ def maybe_frequent(docs: DataFrame, most: int, least: int, width: int, n: int, w
                     flush = Flush()
                 shard = number
                 flush.add(lang.encode(), text)
-        if len(flush.names) > 1:
+        if flush.size() > 1:
             yield out()
 
     def answer(batches):
@@ -264,38 +399,65 @@ def maybe_frequent(docs: DataFrame, most: int, least: int, width: int, n: int, w
     return asked.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(answer, "shard int, cells binary")
 
 
+class Cells:
+    """Given hashes, found by their first bits before they are looked for."""
+
+    def __init__(self, cells: np.ndarray, shift: np.uint64):
+        self.cells, self.shift = cells, shift
+        self.down = np.uint64(max(40, 64 - max(10, len(cells).bit_length() + 4)))
+        self.there = np.zeros(1 << 64 - int(self.down), bool)
+        self.there[(cells << shift) >> self.down] = True
+
+    def among(self, h: np.ndarray) -> np.ndarray:
+        h = mixed(h)
+        out = self.there[h >> self.down]
+        at = np.flatnonzero(out)
+        x = h[at] >> self.shift
+        out[at] = self.cells[np.minimum(np.searchsorted(self.cells, x), len(self.cells) - 1)] == x
+        return out
+
+
 class Held:
     """N-grams of a shard with their counts, as numbers of words of its own list; words tell n-grams apart, not hashes."""
 
     def __init__(self, most: int):
-        self.most, self.numbers, self.grams, self.counts, self.settled = most, {}, [], [], 0
+        self.most = most
+        self.clear()
 
-    def add(self, flush: Flush, cells: np.ndarray, shift: np.uint64) -> None:
-        """Add those n-grams of a flush whose cells are among the given ones."""
-        def among(h):
-            x = mixed(h) >> shift
-            return cells[np.minimum(np.searchsorted(cells, x), len(cells) - 1)] == x
+    def clear(self) -> None:
+        self.numbers, self.next, self.grams, self.counts, self.settled = {}, itertools.count(1).__next__, [], [], 0
 
-        if not len(cells):
+    def add(self, flush: Flush, cells: Cells) -> None:
+        """Add those n-grams of a flush whose cells are among the given ones."""
+        if not len(cells.cells):
             return
-        ids, word = np.array(flush.ids, np.int64), np.array(flush.hashes, np.uint64)
-        size, known = len(flush.names), among(word)
+        ids, word = np.array(flush.ids, np.int64), flush.hashes()
+        size, known = len(word), cells.among(word)
         known[BREAK] = False
         own = np.zeros(size, np.int32)
-        for i in np.flatnonzero(known).tolist():
-            own[i] = self.numbers.setdefault(flush.names[i], len(self.numbers) + 1)
+        for lang, words, at in flush.by_language():
+            numbers, at = self.numbers.setdefault(lang, defaultdict(self.next)), at[kept := known[at]]
+            own[at] = np.fromiter(map(numbers.__getitem__, itertools.compress(words, kept)), np.int32, len(at))
         at = np.flatnonzero(known[ids])
         h, code = word[ids], ids
         for m in range(1, self.most + 1):
-            if m > 1:  # both shorter n-grams in it are as frequent
+            if m == 1:
+                every = np.bincount(ids[at], minlength=size)
+                found = np.flatnonzero(every)
+                inverse, count = (np.cumsum(every > 0) - 1)[ids[at]], every[found]
+            else:  # both shorter n-grams in it are as frequent
                 at = at[kept[at] & kept[at + 1]]
-                x = chained(h[at], word[ids[at + m - 1]])
-                good = among(x)
-                at = at[good]
-                h[at] = x[good]
+                found, inverse, count = np.unique(code[at] * size + ids[at + m - 1], return_inverse=True, return_counts=True)
+                one = np.zeros(len(found), np.int64)
+                one[inverse] = at
+                x = chained(h[one], word[ids[one + m - 1]])
+                good = cells.among(x)
+                found, count, there = found[good], count[good], good[inverse]
+                at, inverse = at[there], inverse[there]
+                h[at] = x[inverse]
+                inverse = (np.cumsum(good) - 1)[inverse]
             kept = np.zeros(len(ids) + self.most, bool)
             kept[at] = True
-            found, inverse, count = np.unique(ids[at] if m == 1 else code[at] * size + ids[at + m - 1], return_inverse=True, return_counts=True)
             rows = np.zeros((len(found), self.most), np.int32)
             if m > 1:
                 rows[:, :m - 1] = before[found // size, :m - 1]
@@ -313,27 +475,26 @@ class Held:
 
     def summed(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-grams and their counts, by the numbers of their words."""
-        grams, counts = np.concatenate(self.grams), np.concatenate(self.counts)
-        order = np.lexsort(grams.T[::-1])
-        grams = grams[order]
-        first = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]).any(axis=1))) if len(grams) else np.zeros(0, np.int64)
-        return grams[first], np.add.reduceat(counts[order], first) if len(first) else counts
+        return summed_rows(np.concatenate(self.grams), np.concatenate(self.counts))
 
-    def drained(self) -> Iterator[tuple[tuple[bytes, ...], int]]:
-        """All n-grams in the order of their languages and words, with their counts; nothing is held then."""
+    def drained(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """All n-grams in the order of their languages and words: labels, their places from 1 and the counts; nothing is held then."""
         if not self.counts:
-            return
+            return [], np.zeros((0, self.most + 1), np.int32), np.zeros(0, np.int64)
         grams, counts = self.summed()
-        names = sorted(self.numbers, key=lambda name: name)
-        place = np.zeros(len(names) + 1, np.int32)
-        place[[self.numbers[name] for name in names]] = np.arange(1, len(names) + 1)
-        self.numbers, self.grams, self.counts, self.settled = {}, [], [], 0
+        langs, labels, numbers = sorted(self.numbers), [], []
+        for lang in langs:
+            words = sorted(self.numbers[lang])
+            labels += words
+            numbers += map(self.numbers[lang].__getitem__, words)
+        place, lead = np.zeros((2, len(labels) + 1), np.int32)
+        place[numbers] = np.arange(1, len(labels) + 1)
+        lead[1:] = len(labels) + 1 + np.repeat(np.arange(len(langs)), [len(self.numbers[lang]) for lang in langs])
+        self.clear()
         grams = place[grams]
-        order = np.lexsort(grams.T[::-1])
-        for a in range(0, len(order), 1 << 16):
-            some = order[a:a + (1 << 16)]
-            for row, count in zip(grams[some].tolist(), counts[some].tolist()):
-                yield (names[row[0] - 1][0], *[names[i - 1][1] for i in row if i]), count
+        order = by_rows(grams)
+        grams = grams[order]
+        return labels + langs, np.column_stack([lead[grams[:, 0]], grams]), counts[order]
 
 
 def shown(path: tuple[bytes, ...], end: bool = False) -> list[bytes]:
@@ -342,7 +503,8 @@ def shown(path: tuple[bytes, ...], end: bool = False) -> list[bytes]:
 
 
 def shard_counts(docs: DataFrame, frequent: DataFrame, most: int, width: int, n: int, words: int = FLUSH, chunk: int = CHUNK) -> DataFrame:
-    """Transducers of every shard's n-grams, in chunks with their bounds; rows with ``words`` count a language's words instead."""
+    """Transducers of every shard's n-grams, in chunks with their bounds; rows with ``words`` count a language's words instead.
+    Each of the ``n`` shards goes to a task of its own."""
     shift = np.uint64(64 - 8 * width)
     names = ["low", "high", "lang", "words", *[c for c, _ in PARTS_SCHEMA]]
     kinds = [pa.list_(pa.binary()), pa.list_(pa.binary()), pa.string(), pa.int64(), *[t for _, t in PARTS_SCHEMA]]
@@ -352,24 +514,28 @@ def shard_counts(docs: DataFrame, frequent: DataFrame, most: int, width: int, n:
 
     def run(batches):
         flush, shard, cells, held, totals = Flush(), None, [], Held(most), {}
+        among = None
 
         def count():
-            nonlocal flush, cells
-            cells = [np.unique(np.concatenate(cells))] if cells else [np.zeros(0, np.uint64)]
-            per = np.bincount(np.array(flush.ids), minlength=len(flush.names)).tolist()
-            for name, times in zip(flush.names[1:], per[1:]):
-                totals[name[0]] = totals.get(name[0], 0) + times
-            held.add(flush, cells[0], shift)
+            nonlocal flush, among
+            if among is None:
+                among = Cells(np.unique(np.concatenate(cells)) if cells else np.zeros(0, np.uint64), shift)
+                cells.clear()
+            per = np.bincount(np.array(flush.ids), minlength=flush.size())
+            for lang, words, ids in flush.by_language():
+                if words:
+                    totals[lang] = totals.get(lang, 0) + int(per[ids].sum())
+            held.add(flush, among)
             flush = Flush()
 
         def out():
-            items, some = held.drained(), []
-            while part := list(islice(items, chunk)):
-                some.append((shown(part[0][0]), shown(part[-1][0], True), None, None, *Automaton.from_sorted(part).parts()))
-                if len(some) == 64:
-                    yield batch_of(some)
-                    some = []
-            yield batch_of(some)
+            labels, grams, counts = held.drained()
+            for a in range(0, len(grams), 64 * chunk):
+                rows, some = grams[a:a + 64 * chunk], []
+                for i, parts in enumerate(automata_of(labels, rows, counts[a:a + 64 * chunk], chunk)):
+                    low, high = ([labels[x - 1] for x in row if x] for row in rows[[i * chunk, min((i + 1) * chunk, len(rows)) - 1]].tolist())
+                    some.append((shown(low), shown(high, True), None, None, *parts))
+                yield batch_of(some)
 
         for batch in slices(batches):
             for number, lang, body in zip(*(batch.column(c).to_pylist() for c in ("shard", "lang", "body"))):
@@ -378,7 +544,7 @@ def shard_counts(docs: DataFrame, frequent: DataFrame, most: int, width: int, n:
                     if number != shard or held.settled > HELD:
                         yield from out()
                 if number != shard:
-                    shard, cells = number, []
+                    shard, cells, among = number, [], None
                 if lang is None:  # a shard's cells come before its documents
                     cells.append(wide(body, width))
                 else:
@@ -389,7 +555,7 @@ def shard_counts(docs: DataFrame, frequent: DataFrame, most: int, width: int, n:
             yield batch_of([(None, None, lang.decode(), n, None, None, None, None) for lang, n in totals.items()])
 
     both = frequent.select("shard", F.lit(None).cast("string").alias("lang"), F.col("cells").alias("body")).unionByName(docs)
-    sorted_rows = both.repartition(n, "shard").sortWithinPartitions("shard", F.col("lang").isNotNull())
+    sorted_rows = both.repartitionById(n, "shard").sortWithinPartitions("shard", F.col("lang").isNotNull())
     return sorted_rows.mapInArrow(run, f"low array<binary>, high array<binary>, lang string, words long, {PARTS}")
 
 
@@ -423,21 +589,29 @@ def range_counts(chunks: DataFrame, bounds: list[tuple[bytes, ...]], least: int,
     """``r`` and the transducer of the range's n-grams that reach ``least``."""
     def cut(batches):
         for batch in slices(batches, 64):
+            low, high = ([bisect_right(bounds, tuple(x)) for x in batch.column(c).to_pylist()] for c in ("low", "high"))
+            whole = batch.filter(pa.array([a == b for a, b in zip(low, high)])).select([c for c, _ in PARTS_SCHEMA])
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, b in zip(low, high) if a == b], pa.int32()), *whole.columns], names=["r", *whole.schema.names])
             out = []
-            for row in batch.to_pylist():
-                low, high = (bisect_right(bounds, tuple(row[c])) for c in ("low", "high"))
-                if low == high:
-                    out.append((low, row["labels"], row["weights"], row["starts"], row["arcs"]))
-                    continue
-                by = {}
-                for path, weight in Automaton.of(row).paths():
-                    by.setdefault(bisect_right(bounds, path), []).append((path, weight))
-                out += [(r, *Automaton.from_sorted(items).parts()) for r, items in by.items()]
+            for row in batch.filter(pa.array([a != b for a, b in zip(low, high)])).to_pylist():
+                labels, grams, counts = paths_of([row])
+                order = by_rows(grams)
+                grams, counts = grams[order], counts[order]
+                # Of the path that begins a range all that follow are in it or a later one.
+                first = [0, *(bisect_left(Paths(labels, grams), x) for x in bounds[bisect_right(bounds, tuple(row["low"])):bisect_right(bounds, tuple(row["high"]))]), len(grams)]
+                for a, b in zip(first[:-1], first[1:]):
+                    if a < b:
+                        r = bisect_right(bounds, Paths(labels, grams)[a])
+                        out.append((r, *next(automata_of(labels, grams[a:b], counts[a:b], b - a))))
             yield automaton_rows(out, [("r", pa.int32())])
 
     def unite(batches):
         for r, rows in grouped(batches):
-            yield automaton_rows([(r, *united([Automaton.of(x) for x in rows], least).parts())], [("r", pa.int32())])
+            labels, grams, counts = paths_of(rows)
+            grams, counts = summed_rows(grams, counts)
+            good = counts >= least
+            parts = next(automata_of(labels, grams[good], counts[good], max(1, len(grams))), Automaton().done().parts())
+            yield automaton_rows([(r, *parts)], [("r", pa.int32())])
 
     kind = f"r int, {PARTS}"
     return chunks.filter("low IS NOT NULL").mapInArrow(cut, kind).repartition(n, "r").sortWithinPartitions("r").mapInArrow(unite, kind)
@@ -530,12 +704,13 @@ def collocations(docs: DataFrame, most: int = 4, least: int = 30, percent: int =
     n = partitions(docs)
     rows = written(docs.select(
         F.spark_partition_id().alias("shard"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
-        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("body")), "shards")
-    size = rows.agg(F.sum(F.length("body"))).first()[0] or 0
+        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("body")).withColumn("size", F.length("body")), "shards")
+    size, last = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("shard"), F.lit(0))).first()
+    rows = rows.drop("size")
     # A word and what parts it from the next take two bytes at least, so there are at most most / 2 n-grams a byte.
     width = max(3, min(8, math.ceil(math.log2(ROOM * most * max(2, size) / 2) / 8)))
     frequent = maybe_frequent(rows, most, least, width, 4 * n, words)
-    chunks = written(shard_counts(rows, frequent, most, width, n, words, chunk), "chunks")
+    chunks = written(shard_counts(rows, frequent, most, width, last + 1, words, chunk), "chunks")
     bounds = bounds_of(chunks.filter("low IS NOT NULL"), n)
     counts = written(range_counts(chunks, bounds, least, n), "counts")
     found = scored(answers(counts, questions(counts, bounds), percent, n), n)

@@ -4,7 +4,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyframe.llm import collocations as co
 
@@ -109,3 +111,54 @@ def test_whole_table(spark):
 
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("lang", "text").collect()]
     assert got(op11_collocations(spark, "/root/testdata/sf0.001")) == plain(rows)
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 10_000])
+def test_automata_of_sorted_numbers_are_minimal_and_hold_the_same(size):
+    rng = random.Random(size)
+    labels = [b"a", b"ab", b"b", b"c", b"d", b"a"]  # a language may be called like a word
+    counts = Counter((6, *[rng.randint(1, 5) for _ in range(rng.randint(1, 4))]) for _ in range(900))
+    rows = sorted((p + (0,) * (5 - len(p)), c) for p, c in counts.items())
+    grams, weights = np.array([p for p, _ in rows], np.int32), np.array([c for _, c in rows])
+    found = [dict(zip(("labels", "weights", "starts", "arcs"), p)) for p in co.automata_of(labels, grams, weights, size)]
+    items = [(tuple(labels[x - 1] for x in p if x), c) for p, c in rows]
+    for i, row in enumerate(found):
+        plain = co.Automaton.from_sorted(items[i * size:(i + 1) * size])
+        assert list(co.Automaton.of(row).paths()) == items[i * size:(i + 1) * size]
+        assert len(row["weights"]) == 8 * len(plain.weights)
+    known, back, sums = co.paths_of(found + found[:1])
+    back, sums = co.summed_rows(back, sums)
+    want = Counter(dict(items)) + Counter(dict(items[:size]))
+    assert [(tuple(known[x - 1] for x in p if x), c) for p, c in zip(back.tolist(), sums.tolist())] == sorted(want.items())
+    assert list(co.automata_of([], grams[:0], weights[:0], size)) == []
+
+
+@pytest.mark.parametrize("width", [3, 5, 8])
+def test_cells_are_found(width):
+    rng = np.random.default_rng(width)
+    h, shift = rng.integers(0, 1 << 63, 5000, dtype=np.uint64), np.uint64(64 - 8 * width)
+    cells = np.unique(co.mixed(h[::3]) >> shift)
+    assert co.Cells(cells, shift).among(h).tolist() == np.isin(co.mixed(h) >> shift, cells).tolist()
+
+
+def test_a_task_counts_one_shard(spark):
+    """Hashes of the shards' numbers collide: some tasks had three of them, one after the other."""
+    rows = spark.createDataFrame([(i % 9, "en", f"a b c{i}".encode()) for i in range(90)], "shard int, lang string, body binary")
+    cells = co.maybe_frequent(rows, 4, 1, 5, 4)
+    held = co.shard_counts(rows, cells, 4, 5, 9).filter("words IS NOT NULL").groupBy(F.spark_partition_id().alias("task")).agg(F.sum("words").alias("n")).collect()
+    assert sorted((r.task, r.n) for r in held) == [(i, 30) for i in range(9)]
+
+
+def test_chunks_that_several_ranges_cut(spark):
+    rows = [("en", f"{a}{b} {b}{c}") for a in "abcdef" for b in "ghij" for c in "klmn"] + [("de", "x y z")] * 3
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    shards = frame.select(F.spark_partition_id().alias("shard"), "lang", F.col("text").cast("binary").alias("body"))
+    frequent = co.maybe_frequent(shards, 3, 1, 5, 4)
+    chunks = co.written(co.shard_counts(shards, frequent, 3, 5, 2, chunk=1000), "chunks")
+    bounds = [(b"en", w) for w in (b"ah", b"bi", b"cg", b"cg ", b"gk", b"zz")]
+    counts = co.range_counts(chunks, bounds, 1, 3).collect()
+    got_ranges = {r.r: [p for p, _ in co.Automaton.of(r.asDict()).paths()] for r in counts}
+    every = sorted(p for paths in got_ranges.values() for p in paths)
+    assert len(every) == len(set(every)) and all(co.bisect_right(bounds, p) == r for r, paths in got_ranges.items() for p in paths)
+    words = {(lang, *text.split()[i:i + m]) for lang, text in rows for m in (1, 2, 3) for i in range(len(text.split()) - m + 1)}
+    assert {tuple(x.decode() for x in p) for p in every} == words
