@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyframe.functions.checks import guard
 from skyframe.functions.times import HOUR, SECOND, instant, literal_micros, micros
 from skyframe.operators.alignment import first_of
-from skyframe.operators.sequences import with_ordinal, with_previous
+from skyframe.operators.sequences import with_element_ordinal, with_previous
 
 # Fixed value: instant at which the eastern satellite changed from 16 to 19.
 EAST_TRANSITION = "2025-04-07T15:00:00Z"
@@ -387,13 +387,10 @@ def band_sequences(scans: DataFrame, series: list[str], time: str = "time") -> D
 
     scans: series columns, time, grid_hash, images array of (band, origin, size).
     """
-    rows = scans.withColumn("_i", F.explode("images")).select(
-        *series, time, F.size("images").alias("available_bands"), F.col("_i.band").alias("band"),
-        F.col("_i.origin").alias("origin"), F.col("_i.size").alias("size"), micros(time).alias("_us"))
-    grids = scans.groupBy(*series).agg(F.count_distinct("grid_hash").alias("_n"))
-    # One row says it of all series; a join by series would put each of them into one task.
-    same = guard(grids.agg(F.count_if(F.col("_n") != 1).alias("_changed")), F.col("_changed") == 0, "The grid changed between scans")
-    return with_ordinal(rows.crossJoin(F.broadcast(same)).drop("_changed"), [*series, "band"], ["_us", "origin"], "scan_index").drop("_us")
+    rows = with_element_ordinal(scans.select(*series, time, "grid_hash", "images"), series, micros(time), "images", "band", "origin", "scan_index",
+                                ("grid_hash", "The grid changed between scans"))
+    image = [F.col(f"_element.{c}").alias(c) for c in ("band", "origin", "size")]
+    return rows.select(*series, time, F.col("_size").alias("available_bands"), *image, "scan_index")
 
 
 def completion_offsets(attempts: DataFrame, bands: list[int]) -> DataFrame:

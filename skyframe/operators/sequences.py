@@ -15,8 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyframe.functions.checks import guard
 from skyframe.session import written
 
+GROUPS = 1 << 18  # keys' parts of ranges up to which their starts are broadcast
+
 
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join on keys that may be NULL: a NULL meets a NULL. The left side's keys stay."""
@@ -32,6 +35,61 @@ def with_block(df: DataFrame, keys: list[str], order: list[Column], parts: int |
     return written(ranged.withColumn("_block", F.spark_partition_id()), "ranges")
 
 
+def ranged(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
+    """Rows dealt into ranges by ``order``, and ``_block``, the range of a row. The rows are shuffled here, once: whatever reads
+    the result reads that shuffle's files. It keeps its cuts, so all that read it see the same, also when a task runs again."""
+    spark = df.sparkSession
+    dealt = df.repartitionByRange(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
+    rows = spark._jsparkSession.internalCreateDataFrame(dealt._jdf.queryExecution().toRdd(), dealt._jdf.schema(), False)
+    return DataFrame(rows, spark).withColumn("_block", F.spark_partition_id())
+
+
+def with_element_ordinal(df: DataFrame, keys: list[str], instant: Column, array: str, key: str, order: str, name: str = "ordinal",
+                         unchanged: tuple[str, str] | None = None, parts: int | None = None) -> DataFrame:
+    """One row for every element of ``array``, as ``_element``, with the zero-based position of the element among all of its
+    ``keys`` and its field ``key``, by ``instant`` (NULL first) and then its field ``order``; ``_size`` is the array's.
+
+    Rows are shuffled once, before their arrays are spread out, and by ``instant`` and their least ``order``, so one key or
+    instant may hold any share of them. Elements of an instant that lies in several ranges (there is at most one for every
+    cut) may stand in any of these: they are numbered by a scan of their own. All others are numbered by their place in
+    the range, from what is counted per key and range. With ``unchanged``, a column and a message, keys for which the column
+    has not one value fail.
+    """
+    column, message = unchanged or (array, "")
+    least = F.array_min(F.transform(array, lambda x: x[order]))
+    rows = ranged(df, [*[F.col(k) for k in keys], instant, least], parts).withColumn("_at", F.coalesce(instant, F.lit(-(1 << 63))))
+    told = rows.groupBy(*keys, "_block", *([column] if unchanged else [])).agg(F.min("_at").alias("_low"), F.max("_at").alias("_high"))
+    told = written(told, "edges")
+    edges = told.groupBy(*keys, "_block").agg(F.min("_low").alias("_low"), F.max("_high").alias("_high"))
+    if unchanged:
+        values = told.groupBy(*keys).agg(F.count_distinct(column).alias("_values"))
+        # One row says it of all keys; a join by keys would put each of them into one task.
+        edges = edges.crossJoin(F.broadcast(guard(values.agg(F.count_if(F.col("_values") != 1).alias("_changed")), F.col("_changed") == 0, message)))
+    after = F.lead("_low").over(Window.partitionBy(*keys).orderBy("_block"))
+    cut = edges.withColumn("_after", after).filter("_after = _high").select(*keys, F.col("_high").alias("_at")).distinct().withColumn("_cut", F.lit(True))
+    # At most one row for every cut.
+    rows = join_on(rows, F.broadcast(cut), [*keys, "_at"])
+    kept = [c for c in df.columns if c not in (array, column)]
+    each = rows.select(*kept, "_block", "_at", "_cut", F.size(array).alias("_size"), F.explode(array).alias("_element"))
+    named = {"_key": F.col("_element")[key], "_order": F.col("_element")[order]}
+    whole, out = [*keys, "_key"], [*kept, "_size", "_element", (F.col("_place") + F.col("_move")).alias(name)]
+    counted = written(each.withColumns(named).groupBy(*whole, "_block", F.when(F.col("_cut"), F.col("_at")).alias("_shared")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")), "counted")
+    before = (Window.unboundedPreceding, -1)
+    start = F.sum("_n").over(Window.partitionBy(*whole).orderBy("_block", "_first").rowsBetween(*before))
+    starts = counted.withColumn("_start", F.coalesce(start, F.lit(0)))
+    place = F.sum("_n").over(Window.partitionBy("_block").orderBy(*whole).rowsBetween(*before))
+    moves = starts.filter("_shared IS NULL").select(*whole, "_block", (F.col("_start") - F.coalesce(place, F.lit(0))).alias("_move"))
+    moves = F.broadcast(moves) if counted.count() <= GROUPS else moves
+    alone = each.filter("_cut IS NULL").drop("_cut").sortWithinPartitions(*keys, named["_key"], "_at", named["_order"])
+    # A row's place in its sorted range: the lower 33 bits.
+    alone = alone.withColumns({"_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)), "_key": named["_key"]})
+    alone = join_on(alone, moves, [*whole, "_block"], "inner").select(*out)
+    several = with_ordinal(each.filter("_cut").drop("_block", "_cut").withColumns(named), [*whole, "_at"], ["_order"], "_place", parts)
+    moves = starts.filter("_shared IS NOT NULL").groupBy(*whole, F.col("_shared").alias("_at")).agg(F.min("_start").alias("_move"))
+    return alone.unionByName(join_on(several, moves, [*whole, "_at"], "inner").select(*out))
+
+
 def _scan(df, keys, order, parts):
     """Blocked rows, the same dealt to a task a block, the window inside a block and the window along the blocks of a key."""
     columns = [F.col(o) for o in order]

@@ -242,3 +242,17 @@ def test_measurements_are_parsed_once_a_level(spark):
                                            ("k:", None, None, None, 4.0, None), ("k:deep", None, None, None, None, 3.0)], key=str)
     # The fields lie in the written levels: what comes out parses nothing again.
     assert "from_json" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_band_sequences_write_no_images(spark, monkeypatch):
+    """All images of all scans were shuffled twice and written in between."""
+    from skyframe.operators import inventory as iv
+
+    tables, keep = [], sq.written
+    monkeypatch.setattr(sq, "written", lambda df, name: tables.append(keep(df, name)) or tables[-1])
+    at, kinds = datetime(2024, 1, 1), "product string, time timestamp_ntz, grid_hash string, images array<struct<band: int, origin: string, size: long>>"
+    scans = [(p, at + timedelta(hours=h), "g", [(b, f"{p}{h}/{b}", h) for b in (1, 2, 3)]) for p in ("x", "y") for h in range(300)]
+    got = iv.band_sequences(spark.createDataFrame(scans, kinds).repartition(4), ["product"])
+    assert got.columns == ["product", "time", "available_bands", "band", "origin", "size", "scan_index"]
+    assert sorted(map(tuple, got.collect())) == sorted((p, at + timedelta(hours=h), 3, b, f"{p}{h}/{b}", h, h) for p in ("x", "y") for h in range(300) for b in (1, 2, 3))
+    assert sum(t.count() for t in tables) < 100, [(t.columns, t.count()) for t in tables]

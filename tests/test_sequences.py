@@ -104,3 +104,58 @@ def test_a_third_of_the_rows_in_one_key(spark, cut_keys):
     want = df.select("k", "o", F.sum("v").over(plain.rowsBetween(Window.unboundedPreceding, 0)).alias("s"), F.lag("v").over(plain).alias("prev_v"))
     got = sq.with_previous(sq.with_running(df, ["k"], ["o"], F.col("v"), "s"), ["k"], ["o"], ["v"]).select("k", "o", "s", "prev_v")
     assert got.exceptAll(want).count() == 0 and got.count() == 6000
+
+
+ELEMENTS = "k string, t timestamp_ntz, g string, a array<struct<b: int, o: string, n: long>>, i int"
+
+
+def _elements(seed, instants, keys, n=300):
+    """Scans with nulls everywhere, empty arrays, repeats, and bands whose origins come in another order than their scans' least ones."""
+    from datetime import datetime, timedelta
+
+    rng = random.Random(seed)
+    rows = [("none", datetime(2024, 1, 1), "g", None, -1), ("none", None, "g", [], -2)]
+    for i in range(n):
+        found = [(rng.choice([1, 2, 3, None]), rng.choice([None, f"o{rng.randrange(200)}"]), i) for _ in range(rng.randint(1, 4))]
+        at = rng.randrange(instants + 1)
+        rows.append((rng.choice(keys), datetime(2024, 1, 1) + timedelta(minutes=at) if at else None, "g", found, i))
+    return rows + rows[5:8]
+
+
+@pytest.mark.parametrize("instants,keys", [(1, ["a"]), (2, ["a", None]), (40, ["a", "b", None]), (10_000, ["a"]), (300, [str(i) for i in range(250)]), (0, ["a", "b"])])
+@pytest.mark.parametrize("groups", [1 << 18, 0])
+def test_elements_are_numbered_like_by_a_window(spark, cut_keys, monkeypatch, instants, keys, groups):
+    from pyspark.sql import Window
+
+    monkeypatch.setattr(sq, "GROUPS", groups)
+    df = spark.createDataFrame(_elements(instants, instants, keys), ELEMENTS).repartition(3)
+    at = F.unix_micros(F.col("t").cast("timestamp"))
+    got = sq.with_element_ordinal(df, ["k"], at, "a", "b", "o", "nth", ("g", "changed"))
+    plain = df.select("k", "t", "i", F.size("a").alias("_size"), F.explode("a").alias("_element"))
+    w = Window.partitionBy("k", "_element.b").orderBy(F.unix_micros(F.col("t").cast("timestamp")), "_element.o")
+    # Elements alike in instant and order may change places.
+    told = lambda d: sorted(((r.k, r._element.b, r.nth, r.t, r._element.o) for r in d.collect()), key=str)
+    assert told(got) == told(plain.withColumn("nth", F.row_number().over(w) - 1))
+    rest = lambda d: sorted(((r.k, r.t, r.i, r._size, tuple(r._element)) for r in d.collect()), key=str)
+    assert rest(got) == rest(plain)
+
+
+def test_one_instant_lies_in_several_ranges(spark, cut_keys):
+    df = spark.createDataFrame(_elements(3, 0, ["a"], 900), ELEMENTS).repartition(3)
+    ranges = sq.ranged(df, [F.col("k"), F.col("t"), F.array_min(F.transform("a", lambda x: x["o"]))])
+    held = ranges.filter("k = 'a'").groupBy("_block").count().collect()
+    assert len(held) > 4 and max(r["count"] for r in held) < 450
+    # The rows are dealt once: what reads them again has the same ranges and reads no table.
+    assert sorted(map(tuple, ranges.filter("k = 'a'").groupBy("_block").count().collect())) == sorted(map(tuple, held))
+    assert "Exchange" not in ranges._jdf.queryExecution().executedPlan().toString()
+
+
+def test_elements_are_shuffled_once_and_not_written(spark, monkeypatch):
+    tables, keep = [], sq.written
+    monkeypatch.setattr(sq, "written", lambda df, name: tables.append((name, df.columns)) or keep(df, name))
+    df = spark.createDataFrame(_elements(4, 500, ["a", "b"]), ELEMENTS).repartition(3)
+    sq.with_element_ordinal(df, ["k"], F.unix_micros(F.col("t").cast("timestamp")), "a", "b", "o")
+    assert [name for name, _ in tables] == ["edges", "counted", "ranges"] and "_element" not in tables[0][1] + tables[1][1]
+    with pytest.raises(Exception, match="changed"):
+        other = df.unionByName(df.limit(1).withColumn("g", F.lit("h")))
+        sq.with_element_ordinal(other, ["k"], F.unix_micros(F.col("t").cast("timestamp")), "a", "b", "o", unchanged=("g", "changed")).collect()
