@@ -343,8 +343,20 @@ def wide(data: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def packed_cells(cells: np.ndarray) -> bytes:
+    """Rising cells, one at least, as the first one and steps of as few bytes as the longest needs."""
+    steps = np.diff(cells)
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + int(cells[0]).to_bytes(8, "little") + narrow(steps, width)
+
+
+def cells_of(data: bytes) -> np.ndarray:
+    steps = wide(data[9:], data[0])
+    return np.cumsum(np.append(np.uint64(int.from_bytes(data[1:9], "little")), steps), dtype=np.uint64)
+
+
 def maybe_frequent(docs: DataFrame, most: int, least: int, width: int, n: int, words: int = FLUSH) -> DataFrame:
-    """``shard``, ``cells``: hashes of ``width`` bytes whose counts over all shards reach ``least``, for every shard that has them."""
+    """``shard``, ``cells``: hashes of ``width`` bytes (as ``packed_cells``) whose counts over all shards reach ``least``, for every shard that has them."""
     shift, small = np.uint64(64 - 8 * width), np.min_scalar_type(least)
 
     def ask(batches):
@@ -356,7 +368,7 @@ def maybe_frequent(docs: DataFrame, most: int, least: int, width: int, n: int, w
             # The cells are in order, so those of a bucket lie side by side.
             for a, b in shares((cells >> np.uint64(8 * width - 16)).astype(np.int64) * n >> 16):
                 bucket = int(cells[a] >> np.uint64(8 * width - 16)) * n >> 16
-                yield bucket, shard, narrow(cells[a:b], width), counts[a:b].tobytes()
+                yield bucket, shard, packed_cells(cells[a:b]), counts[a:b].tobytes()
 
         def out():
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows()), kinds)], names=["bucket", "shard", "cells", "counts"])
@@ -374,7 +386,7 @@ def maybe_frequent(docs: DataFrame, most: int, least: int, width: int, n: int, w
 
     def answer(batches):
         def frequent(rows):
-            cells = [wide(r["cells"], width) for r in rows]
+            cells = [cells_of(r["cells"]) for r in rows]
             _, at = np.unique(np.concatenate(cells), return_inverse=True)
             sums = np.bincount(at, np.concatenate([np.frombuffer(r["counts"], small) for r in rows]))
             kept = np.split(sums[at] >= least, np.cumsum([len(c) for c in cells])[:-1])
@@ -382,7 +394,7 @@ def maybe_frequent(docs: DataFrame, most: int, least: int, width: int, n: int, w
             for r, c, k in zip(rows, cells, kept):
                 if k.any():
                     by.setdefault(r["shard"], []).append(c[k])
-            found = [(shard, narrow(np.unique(np.concatenate(c)), width)) for shard, c in by.items()]
+            found = [(shard, packed_cells(np.unique(np.concatenate(c)))) for shard, c in by.items()]
             return pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int32()), pa.array([c for _, c in found], pa.binary())], names=["shard", "cells"])
 
         held = []
@@ -546,7 +558,7 @@ def shard_counts(docs: DataFrame, frequent: DataFrame, most: int, width: int, n:
                 if number != shard:
                     shard, cells, among = number, [], None
                 if lang is None:  # a shard's cells come before its documents
-                    cells.append(wide(body, width))
+                    cells.append(cells_of(body))
                 else:
                     flush.add(lang.encode(), body)
         count()

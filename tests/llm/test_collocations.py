@@ -141,6 +141,14 @@ def test_cells_are_found(width):
     assert co.Cells(cells, shift).among(h).tolist() == np.isin(co.mixed(h) >> shift, cells).tolist()
 
 
+@pytest.mark.parametrize("bits,least", [(63, 8), (40, 3), (20, 1)])
+def test_cells_are_packed_as_steps(bits, least):
+    cells = np.unique(np.random.default_rng(bits).integers(0, 1 << bits, 1_000_000, dtype=np.uint64))
+    for some in (cells, cells[:1], cells[-2:], np.array([0, (1 << 64) - 1], np.uint64)):
+        assert co.cells_of(co.packed_cells(some)).tolist() == some.tolist()
+    assert len(co.packed_cells(cells)) <= 9 + max(1, least) * len(cells)  # 5 bytes a cell before, of 40 bits
+
+
 def test_a_task_counts_one_shard(spark):
     """Hashes of the shards' numbers collide: some tasks had three of them, one after the other."""
     rows = spark.createDataFrame([(i % 9, "en", f"a b c{i}".encode()) for i in range(90)], "shard int, lang string, body binary")
